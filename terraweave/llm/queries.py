@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, token_counts, token_files, transport_stream
+from . import bpe_dp, near_dedup, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -69,11 +69,17 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents that are similar on two-word shingles."""
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
+
+
 QUERIES = {
     "op1_transport_streams": op1_transport_streams,
     "op5_bpe_prefix_dp": op5_bpe_prefix_dp,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
+    "op8_near_dedup": op8_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
