@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, near_dedup, token_counts, token_files, transport_stream
+from . import bpe_dp, chat_format, language_id, near_dedup, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -74,12 +74,41 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
 
 
+def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, and one that spells control strings, formatted and read back."""
+    added = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
+    read = chat_format.read_back(chat_format.format_conversations(talks))
+    told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learned = F.array_join("targets", "")
+    return read.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(told, 256).alias("turns_sha256"),
+        F.length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from two thirds of the labelled ones."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_transport_streams": op1_transport_streams,
     "op5_bpe_prefix_dp": op5_bpe_prefix_dp,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_near_dedup": op8_near_dedup,
+    "op9_chat_windows": op9_chat_windows,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE_SQL: dict[str, str] = {}
