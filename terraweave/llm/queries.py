@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, chat_format, language_id, near_dedup, token_counts, token_files, transport_stream
+from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -38,6 +38,11 @@ def op1_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items that each document contains."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     encoded = bpe_dp.encode_documents(
@@ -103,6 +108,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_transport_streams": op1_transport_streams,
+    "op4_spaced_seeds": op4_spaced_seeds,
     "op5_bpe_prefix_dp": op5_bpe_prefix_dp,
     "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
@@ -111,4 +117,4 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op4_spaced_seeds": decontaminate.LEAKS_SQL}
