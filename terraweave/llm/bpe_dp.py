@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from .textcut import BoundedCache, segments
 
 #: Entries of a worker's caches of segments and of pair tests.
-CACHED_SEGMENTS = 250_000
+CACHED_SEGMENTS = 400_000
 CACHED_WORDS = 400_000
 CACHED_PAIRS = 400_000
 

@@ -60,13 +60,36 @@ def by_bytes(items: Iterable[tuple[int, str]], most: int) -> Iterator[tuple[list
 
 
 class BoundedCache(dict):
-    """A dict emptied when it reaches `most` entries, so that workers stay small."""
+    """A dict of at most `most` entries in two generations.
+
+    When the young half is full it becomes the old one and the former old one goes.
+    Entries of the old half that are read again move to the young one, so frequent
+    entries stay. `[]` reads both halves; `get` is None for what neither has.
+    """
 
     def __init__(self, most: int):
         super().__init__()
-        self.most = most
+        self.half = max(1, most // 2)
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        value = self.old[key]
+        self[key] = value
+        return value
+
+    def get(self, key, default=None):
+        try:
+            return self[key]
+        except KeyError:
+            return default
 
     def room(self, wanted: int) -> None:
-        """Make room for `wanted` further entries."""
-        if len(self) + wanted > self.most:
+        """Make room for `wanted` further entries; call it before adding them."""
+        if len(self) + wanted > self.half:
+            self.old = dict(self)
             self.clear()
+
+    def lacking(self, keys) -> list:
+        """Those of `keys` that neither half has."""
+        old = self.old
+        return [k for k in keys if k not in self and k not in old]

@@ -24,7 +24,9 @@ from pyspark.sql import functions as F
 from .textcut import BoundedCache, segments
 
 BLOCK_IDS = 1 << 16
-CACHED_SEGMENTS = 500_000
+CACHED_SEGMENTS = 800_000
+#: Segments in one call of the library.
+JOINED = 256
 #: Shards of a dataset. Shard bases are broadcast only below this number.
 MOST_SHARDS = 100_000
 
@@ -62,7 +64,7 @@ def unpack_bits(payload: bytes, bits: int, n: int, first: int = 0) -> np.ndarray
 
 @lru_cache(maxsize=2)
 def library(path: str):
-    """(tokenizer, cache: segment -> ids as little-endian bytes)."""
+    """(tokenizer, special strings, cache: segment -> ids as little-endian bytes)."""
     # a task has one core; the library's own threads would take those of other tasks
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -70,25 +72,52 @@ def library(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    return tokenizer, BoundedCache(CACHED_SEGMENTS)
+    special = {str(t.content): i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
+    return tokenizer, special, BoundedCache(CACHED_SEGMENTS)
+
+
+def _encoded(tokenizer, special: dict[str, int], wanted: list[str]) -> Iterator[tuple[str, bytes]]:
+    """Each segment with its ids, many segments to a call.
+
+    The library cuts texts at special strings before all else, so one between two
+    segments parts them; its id marks where. Segments that hold a special string go
+    alone, as do all if the vocabulary has none.
+    """
+    mark = next(iter(special), None)
+    alone = [s for s in wanted if mark is None or any(t in s for t in special)]
+    rest = wanted if not alone else [s for s in wanted if s not in set(alone)]
+    for s, e in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
+        yield s, np.asarray(e.ids, "<u4").tobytes()
+    runs = [rest[k : k + JOINED] for k in range(0, len(rest), JOINED)]
+    texts = [mark.join(run) for run in runs] if runs else []
+    for run, e in zip(runs, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
+        ids = np.asarray(e.ids, "<u4")
+        packed = ids.tobytes()
+        cuts = (np.flatnonzero(ids == special[mark]) * 4).tolist()
+        for s, low, high in zip(run, [0, *(c + 4 for c in cuts)], [*cuts, len(packed)], strict=True):
+            yield s, packed[low:high]
 
 
 def encode_batch(path: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of each whole text; the library sees each segment once while it is cached.
 
     Segments begin at lone spaces. The library's splitting never joins across such
-    a space, so segments encoded on their own give the ids of the whole.
+    a space, so segments encoded on their own give the ids of the whole. Keys of the
+    cache leave out that space; a text's first segment, without it, is in a tuple.
     """
-    tokenizer, cache = library(path)
-    cut = [[" " + s if k else s for k, s in enumerate(segments(t))] for t in texts]
+    tokenizer, special, cache = library(path)
+    cut: list[list] = [segments(t) for t in texts]
+    for own in cut:
+        if own:
+            own[0] = (own[0],)
     wanted = {s for own in cut for s in own}
-    missing = [s for s in wanted if s not in cache]
-    if missing:
-        if len(cache) + len(missing) > cache.most:
-            cache.clear()
-            missing = list(wanted)
-        for s, e in zip(missing, tokenizer.encode_batch(missing, add_special_tokens=False), strict=True):
-            cache[s] = np.asarray(e.ids, "<u4").tobytes()
+    cache.room(len(wanted))
+    lacking: dict[str, list] = {}
+    for key in cache.lacking(wanted):
+        lacking.setdefault(" " + key if isinstance(key, str) else key[0], []).append(key)
+    for text, ids in _encoded(tokenizer, special, list(lacking)):
+        for key in lacking[text]:
+            cache[key] = ids
     return [np.frombuffer(b"".join(map(cache.__getitem__, own)), "<u4") for own in cut]
 
 
@@ -114,7 +143,7 @@ def write_token_files(
     shards = min(MOST_SHARDS, shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer, _ = library(tokenizer_path)
+        tokenizer = library(tokenizer_path)[0]
         size = max(tokenizer.get_vocab_size(with_added_tokens=True), (end_id or 0) + 1)
         bits = bits_for(size)
         shard = TaskContext.get().partitionId()
