@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, token_counts, token_files, transport_stream
+from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, pii, secret_scan, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -38,6 +38,21 @@ def op1_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of all documents with the forest's verdict."""
+    model = secret_scan.fit(secret_scan.labelled_findings(spark))
+    return secret_scan.scan(table(spark, sf_dir, "documents"), model)
+
+
+#: The key of surrogates in queries; a real run passes its own secret.
+SURROGATE_KEY = b"terraweave query key"
+
+
+def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its personal data replaced, and what replaced it."""
+    return pii.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY, keep=["doc_id"])
+
+
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each document contains."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -108,6 +123,8 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_transport_streams": op1_transport_streams,
+    "op2_secret_scan": op2_secret_scan,
+    "op3_pii_surrogates": op3_pii_surrogates,
     "op4_spaced_seeds": op4_spaced_seeds,
     "op5_bpe_prefix_dp": op5_bpe_prefix_dp,
     "op6_token_files": op6_token_files,
