@@ -7,15 +7,14 @@ from the registers and confirmed on full sets. Two texts of one bucket that are
 still in different components are compared in a second round, so no link between
 bucket mates is lost:
 
+* strays are the members outside their group's largest component;
 * groups of at most SMALL_GROUP members pair their strays with the other members;
-* in larger groups all members are described by their difference to the head. Two
-  sets are similar if their intersection is at least q = s / (1 + s) of their summed
-  sizes. With d elements that only the head h has, u that only the member has, and
-  w = (1 - q) * d + q * u, a member is similar to the head exactly if
-  w <= (1 - 2q) * |h|. Two members a, b are similar exactly if their differences share
-  at least w_a + w_b - (1 - 2q) * |h| elements, and for a stray a that is more than
-  w_b. So an index over all but w_b elements of each b's difference finds every
-  partner of a stray without comparing all pairs.
+* in larger groups each member is described by its difference to the head: how many
+  elements of the head it lacks, and the elements that only one of the two has. The
+  intersection of two members is the head's size less what each lacks, plus what
+  their differences share. Blocks of strays meet blocks of members, one row for a
+  pair of blocks, and all overlaps of two blocks are one matrix product; only links
+  leave the task.
 """
 
 from __future__ import annotations
@@ -35,6 +34,9 @@ from .tables import stored
 #: Similarity in hundredths, as in 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
 SMALL_GROUP = 48
+#: Members in a block of a larger group, on average, and matrix columns at a time.
+BLOCK = 192
+COLUMNS = 8192
 #: Ids broadcast at most (8 bytes each); beyond that the join shuffles.
 BROADCAST_IDS = 1_000_000
 BATCH_CHARS = 1 << 20
@@ -153,35 +155,81 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
     return _with_sets(pairs, sets).mapInArrow(check, "a long, b long")
 
 
-def _differences(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
-    """(a, b, every, rare): a's difference to its head b, and enough of it to meet.
-
-    A stray's difference shares more than w elements (see the module's text) with
-    that of any similar member, so w elements may go unindexed. `rare` leaves out
-    elements of the head first, as many members lack those.
-    """
-    # intersection >= need * (|a| + |b|) with need = s / (1 + s)
-    need = similarity / (100 + similarity)
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b, n, lacks, n_b, elements): a's size, how many elements of its head b it
+    lacks, b's size, and the elements that only one of the two has."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            every, rare = [], []
+            n, lacks, n_b, elements = [], [], [], []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):
                 own, head = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                extra = np.setdiff1d(own, head, assume_unique=True)
-                lacks = np.setdiff1d(head, own, assume_unique=True)
-                w = (1 - need) * len(lacks) + need * len(extra)
-                # a hair below w guards the rounding
-                spare = max(0, int(np.floor(w - 1e-9)))
-                both = np.concatenate([extra, lacks])
-                every.append(both.view(np.int64).tolist())
-                rare.append(both[: max(1, len(both) - spare)].view(np.int64).tolist())
-            kind = pa.list_(pa.int64())
+                only = np.setxor1d(own, head, assume_unique=True)
+                n.append(len(own))
+                n_b.append(len(head))
+                lacks.append((len(only) + len(head) - len(own)) // 2)
+                elements.append(only.tobytes())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array(every, kind), pa.array(rare, kind)], names=["a", "b", "every", "rare"]
+                [*batch.columns[:2], *(pa.array(c, pa.int64()) for c in (n, lacks, n_b)), pa.array(elements, pa.binary())],
+                names=["a", "b", "n", "lacks", "n_b", "elements"],
             )
 
-    return _with_sets(pairs, sets).mapInArrow(build, "a long, b long, every array<long>, rare array<long>")
+    return _with_sets(pairs, sets).mapInArrow(
+        build, "a long, b long, n long, lacks long, n_b long, elements binary"
+    )
+
+
+def _shared(one: list[np.ndarray], two: list[np.ndarray]) -> np.ndarray:
+    """How many elements each set of `one` shares with each of `two`."""
+    sizes = np.array([len(x) for x in [*one, *two]])
+    rows = np.repeat(np.arange(len(sizes)), sizes)
+    every, at = np.unique(np.concatenate([*one, *two]), return_inverse=True)
+    order = np.argsort(at, kind="stable")
+    rows, at = rows[order], at[order]
+    out = np.zeros((len(one), len(two)), np.float32)
+    for low in range(0, len(every), COLUMNS):
+        span = slice(*np.searchsorted(at, (low, low + COLUMNS)))
+        table = np.zeros((len(sizes), min(COLUMNS, len(every) - low)), np.float32)
+        table[rows[span], at[span] - low] = 1
+        out += table[: len(one)] @ table[len(one) :].T
+    return out
+
+
+def _block_links(members: DataFrame, told: DataFrame, similarity: int) -> DataFrame:
+    """Links (a, b) between strays and members of their groups, by blocks."""
+    known = members.join(told, ["a", "b"])
+    entry = F.struct(F.col("a").alias("id"), F.col("of_a").alias("of"), "n", "lacks", "elements")
+
+    def blocks(rows: DataFrame, total: str, name: str) -> DataFrame:
+        part = F.pmod(F.xxhash64("a"), F.ceil(F.col(total) / BLOCK))
+        return rows.groupBy("b", part.alias(f"{name}_block")).agg(
+            F.collect_list(entry).alias(name), F.first("n_b").alias(f"{name}_head")
+        )
+
+    strays = blocks(known.filter("of_a <> most"), "strays", "one")
+    met = strays.join(blocks(known, "size", "two"), "b").select("one", "two", F.col("one_head").alias("n_b"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one, two = (batch.column(k)[row].as_py() for k in (0, 1))
+                head = batch.column(2)[row].as_py()
+                both = [[np.frombuffer(x["elements"], np.uint64) for x in side] for side in (one, two)]
+                (n1, l1, c1), (n2, l2, c2) = (
+                    [np.array([x[f] for x in side], np.int64) for f in ("n", "lacks", "of")] for side in (one, two)
+                )
+                common = _shared(*both).astype(np.int64) + (head - l1[:, None] - l2[None, :])
+                union = n1[:, None] + n2[None, :] - common
+                i, j = np.nonzero((100 * common >= similarity * union) & (c1[:, None] != c2[None, :]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([one[k]["id"] for k in i], pa.int64()),
+                        pa.array([two[k]["id"] for k in j], pa.int64()),
+                    ],
+                    names=["a", "b"],
+                )
+
+    return met.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(
@@ -240,7 +288,7 @@ def _class_components(
     links = stored(_links(likely.select("a", "b"), first_sets, similarity), "links")
     component = connected_components(links)
 
-    # the second round: members whose component is not their head's
+    # the second round: members outside their group's largest component
     named = component.select("id", "component")
     of_a = stars.join(named.withColumnRenamed("id", "a"), "a", "left").select(
         "a", "b", F.coalesce("component", "a").alias("of_a")
@@ -248,20 +296,23 @@ def _class_components(
     placed = of_a.join(named.withColumnRenamed("id", "b"), "b", "left").select(
         "a", "b", "of_a", F.coalesce("component", "b").alias("of_b")
     )
-    groups = placed.groupBy("b").agg(
-        F.count("*").alias("size"), F.sum((F.col("of_a") != F.col("of_b")).cast("int")).alias("strays")
+    largest = (
+        placed.groupBy("b", "of_a").agg(F.count("*").alias("n"))
+        .groupBy("b")
+        .agg(F.sum("n").alias("size"), F.max(F.struct("n", "of_a")).alias("top"))
+        .select("b", "size", F.col("top.of_a").alias("most"), (F.col("size") - F.col("top.n")).alias("strays"))
+        .filter("strays > 0")
     )
-    members = stored(placed.join(groups.filter("size > 1 and strays > 0"), "b"), "members")
-    small = _mates_of_strays(members.filter(F.col("size") <= SMALL_GROUP))
+    members = stored(placed.join(largest, "b"), "members")
+    pairs = _mates_of_strays(members.filter(F.col("size") <= SMALL_GROUP))
+    likely = stored(_estimated(pairs, classes, similarity), "likely")
+    sets = stored(_sets_of(df, _ends(likely), words, text_col, id_col), "sets")
+    further = _links(likely.select("a", "b"), sets, similarity)
     large = members.filter(F.col("size") > SMALL_GROUP)
     if large.limit(1).count():
         sets = stored(_sets_of(df, _ends(large), words, text_col, id_col), "sets")
-        told = stored(_differences(large.select("a", "b"), sets, similarity), "differences")
-        small = small.union(_meeting(large, told))
-    pairs = small.distinct()
-    likely = stored(_estimated(pairs, classes, similarity), "likely")
-    sets = _sets_of(df, _ends(likely), words, text_col, id_col)
-    further = _links(likely.select("a", "b"), stored(sets, "sets"), similarity)
+        told = stored(_differences(large.select("a", "b"), sets), "differences")
+        further = further.union(_block_links(large, told, similarity))
     return connected_components(links.union(further))
 
 
@@ -271,22 +322,11 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 def _mates_of_strays(members: DataFrame) -> DataFrame:
     """Pairs (a, b), a < b, of a stray and a member of its group in another component."""
-    strays = members.filter("of_a <> of_b").select(F.col("a").alias("x"), F.col("of_a").alias("of_x"), F.col("b").alias("head"))
+    strays = members.filter("of_a <> most").select(
+        F.col("a").alias("x"), F.col("of_a").alias("of_x"), F.col("b").alias("head")
+    )
     others = members.select(F.col("a").alias("y"), F.col("of_a").alias("of_y"), F.col("b").alias("head"))
     met = strays.join(others, "head").filter("of_x <> of_y")
-    return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-
-
-def _meeting(members: DataFrame, told: DataFrame) -> DataFrame:
-    """As _mates_of_strays, of those only whose differences to the head meet."""
-    known = members.join(told, ["a", "b"])
-    strays = known.filter("of_a <> of_b").select(
-        F.col("a").alias("x"), F.col("of_a").alias("of_x"), F.col("b").alias("head"), F.explode("every").alias("element")
-    )
-    others = known.select(
-        F.col("a").alias("y"), F.col("of_a").alias("of_y"), F.col("b").alias("head"), F.explode("rare").alias("element")
-    )
-    met = strays.join(others, ["head", "element"]).filter("of_x <> of_y")
     return met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
