@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shingles import mixed, series
@@ -24,8 +24,9 @@ LENGTHS = (2, 3, 4, 5)
 #: Slots of the filter and slots per n-gram.
 SLOT_BITS = 21
 PROBES = 3
-#: Labelled documents per language that the filter is built from, at most.
+#: Labelled documents per language that the filter is built from, in expectation.
 PER_LANGUAGE = 3000
+_DRAWS = 1 << 24
 #: An n-gram belongs to a language if at least this share of its n-grams of that
 #: length, and two occurrences, are it; junk and foreign passages stay below.
 LEAST_SHARE = 2e-6
@@ -138,20 +139,17 @@ class LanguageFilter:
         return names, np.where(lettered, share[best, np.arange(len(texts))], 0.0).tolist()
 
 
-def _training_rows(df: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
-    """PER_LANGUAGE documents of each language at most, by a hash of their ids."""
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    named = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"))
-    drawn = (
-        named.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-        .withColumn("place", F.row_number().over(order))
-        .filter(F.col("place") <= PER_LANGUAGE)
-        .select("doc_id", "lang")
-        .distinct()
-    )
-    texts = df.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    # at most MOST_LANGUAGES * PER_LANGUAGE ids
-    return texts.join(F.broadcast(drawn), ["doc_id", "lang"], "left_semi")
+def _training_rows(df: DataFrame, counts: dict[str, int], text_col: str, lang_col: str, id_col: str) -> DataFrame:
+    """About PER_LANGUAGE documents of each language, or all of a smaller one.
+
+    A document is drawn by a hash of its id, so no rows are sorted, counted or moved
+    for the drawing and each task decides alone.
+    """
+    draw = F.pmod(F.xxhash64(id_col), F.lit(_DRAWS))
+    chosen = F.lit(False)
+    for lang, n in counts.items():
+        chosen |= (F.col(lang_col) == lang) & (draw < min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n)))
+    return df.filter(F.col(id_col).isNotNull() & chosen).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -181,19 +179,19 @@ def _counts(rows: DataFrame) -> DataFrame:
 
 
 def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> LanguageFilter:
-    """A filter from at most PER_LANGUAGE labelled documents of each language.
+    """A filter from about PER_LANGUAGE labelled documents of each language.
 
     Rows with a null text, language or id teach nothing; of more than MOST_LANGUAGES
     languages those with the most documents are learned. Without labelled rows the
     filter knows no language and predicts UNKNOWN.
     """
     named = df.groupBy(F.col(lang_col).alias("lang")).count().filter("lang is not null")
-    top = [r.lang for r in named.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()]
+    top = {r["lang"]: r["count"] for r in named.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
     languages = sorted(top)
     slots = np.zeros(1 << SLOT_BITS, np.uint64)
     if not languages:
         return LanguageFilter([], slots, np.zeros(0))
-    rows = _training_rows(df.filter(F.col(lang_col).isin(languages)), text_col, lang_col, id_col)
+    rows = _training_rows(df, top, text_col, lang_col, id_col)
     counted = _counts(rows)
     totals = counted.groupBy("lang", "length").agg(F.sum("n").alias("total"))
     held = (
