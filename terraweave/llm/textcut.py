@@ -7,8 +7,15 @@ from collections.abc import Iterable, Iterator
 
 #: A space with a non-space character on both sides.
 _LONE_SPACE = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
-#: A space that touches other white space (or the pieces' own space mark).
-_TOUCHING = re.compile(r"▁|\s\s|^\s|\s$")
+#: White space other than blanks and line feeds, and the pieces' own space mark.
+_RARE = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\u2581]")
+
+
+def _only_lone_spaces(text: str) -> bool:
+    """Whether every blank has characters other than white space on both sides."""
+    return not (
+        text[0] == " " or text[-1] == " " or "  " in text or " \n" in text or "\n " in text
+    ) and _RARE.search(text) is None
 
 
 def segments(text: str) -> list[str]:
@@ -19,7 +26,7 @@ def segments(text: str) -> list[str]:
     """
     if not text:
         return []
-    if _TOUCHING.search(text) is None:
+    if _only_lone_spaces(text):
         return text.split(" ")
     return _LONE_SPACE.split(text)
 
@@ -89,7 +96,7 @@ class BoundedCache(dict):
             self.old = dict(self)
             self.clear()
 
-    def lacking(self, keys) -> list:
+    def lacking(self, keys: set) -> set:
         """Those of `keys` that neither half has."""
         old = self.old
-        return [k for k in keys if k not in self and k not in old]
+        return {k for k in keys if k not in self and k not in old}

@@ -11,6 +11,7 @@ Spark's committer, so a lost executor leaves no half-written shard.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -43,17 +44,25 @@ def bits_for(vocabulary_size: int) -> int:
     return max(1, (vocabulary_size - 1).bit_length())
 
 
+#: Widths of whole bytes: numpy's big-endian integers are the packed form already.
+_WHOLE = {8: ">u1", 16: ">u2", 32: ">u4"}
+
+
 def pack_bits(ids: np.ndarray, bits: int) -> bytes:
     """Ids at `bits` bits each, the last byte filled with zero bits."""
     wide = np.ascontiguousarray(ids, dtype=">u4")
     if len(wide) and int(wide.max()) >> bits:
         raise ValueError(f"an id does not fit {bits} bits")
+    if bits in _WHOLE:
+        return wide.astype(_WHOLE[bits]).tobytes()
     each = np.unpackbits(wide.view(np.uint8)).reshape(-1, 32)[:, 32 - bits :]
     return np.packbits(each).tobytes()
 
 
 def unpack_bits(payload: bytes, bits: int, n: int, first: int = 0) -> np.ndarray:
     """`n` ids from position `first`, reading only the bytes that hold them."""
+    if bits in _WHOLE:
+        return np.frombuffer(payload, _WHOLE[bits], n, first * bits // 8).astype(np.uint32)
     low, high = first * bits, (first + n) * bits
     raw = np.frombuffer(payload, np.uint8, count=-(-high // 8) - low // 8, offset=low // 8)
     each = np.unpackbits(raw)[low % 8 : low % 8 + n * bits].reshape(n, bits)
@@ -98,27 +107,54 @@ def _encoded(tokenizer, special: dict[str, int], wanted: list[str]) -> Iterator[
             yield s, packed[low:high]
 
 
+#: A sentence mark between a letter or digit and a blank: no run of letters, digits
+#: or marks goes on across its left side, so texts may be cut there as well.
+_MARK = re.compile("([.,;:!?])(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff].) ")
+#: Begins the key of what follows a cut without a blank.
+_JOINED_ON = "\x01"
+
+
+def _keys(text: str) -> list:
+    """The text in pieces that the library encodes on their own as in the whole.
+
+    A key stands for a blank and itself, after _JOINED_ON for the rest of it alone;
+    the text's first piece, which has no blank, is in a tuple.
+    """
+    if _JOINED_ON not in text:
+        text = _MARK.sub(" \x01\\1 ", text)
+        keys: list = segments(text)
+    else:
+        keys = [" " + s if k else s for k, s in enumerate(segments(text))]
+        keys = [_JOINED_ON + s for s in keys]
+    if keys and keys[0][:1] != _JOINED_ON:
+        keys[0] = (keys[0],)
+    return keys
+
+
+def _spelled(key) -> str:
+    if isinstance(key, tuple):
+        return key[0]
+    return key[1:] if key[:1] == _JOINED_ON else " " + key
+
+
 def encode_batch(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each whole text; the library sees each segment once while it is cached.
+    """Ids of each whole text; the library sees each piece once while it is cached.
 
-    Segments begin at lone spaces. The library's splitting never joins across such
-    a space, so segments encoded on their own give the ids of the whole. Keys of the
-    cache leave out that space; a text's first segment, without it, is in a tuple.
+    Pieces begin at lone blanks and at sentence marks, across which the library's
+    splitting never joins, so pieces encoded on their own give the ids of the whole.
     """
     tokenizer, special, cache = library(path)
-    cut: list[list] = [segments(t) for t in texts]
-    for own in cut:
-        if own:
-            own[0] = (own[0],)
-    wanted = {s for own in cut for s in own}
+    cut = [_keys(t) for t in texts]
+    wanted: set = set().union(*cut)
     cache.room(len(wanted))
     lacking: dict[str, list] = {}
     for key in cache.lacking(wanted):
-        lacking.setdefault(" " + key if isinstance(key, str) else key[0], []).append(key)
+        lacking.setdefault(_spelled(key), []).append(key)
     for text, ids in _encoded(tokenizer, special, list(lacking)):
         for key in lacking[text]:
             cache[key] = ids
-    return [np.frombuffer(b"".join(map(cache.__getitem__, own)), "<u4") for own in cut]
+    look = cache.__getitem__
+    return [np.frombuffer(b"".join(map(look, own)), "<u4") for own in cut]
 
 
 def write_token_files(
