@@ -1,0 +1,342 @@
+"""Near-duplicates, contamination, languages, PII, secrets and the pipeline against
+brute force or planted cases."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from terraweave.llm import decontaminate as de
+from terraweave.llm import hyperminhash as hm
+from terraweave.llm import language_id as li
+from terraweave.llm import near_dedup, pii, secret_scan, shingles
+from terraweave.llm.components import connected_components
+
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def words_of(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", low)
+
+
+def set_of(text, k):
+    w = words_of(text)
+    if not w:
+        return frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(max(1, len(w) - k + 1)))
+
+
+def brute_components(rows, k, similarity=80):
+    sets = {i: set_of(t, k) for i, t in rows}
+    parent = {i: i for i in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= similarity * len(sets[a] | sets[b]):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), find(i)) for i in ids}
+
+
+def noisy(rng, base, rate):
+    return " ".join(w if rng.random() > rate else f"n{rng.randint(0, 40)}" for w in base)
+
+
+def corpus(seed=7, group=90):
+    rng = random.Random(seed)
+    rows = [None, "", " \t", "one", "ONE", "one two", "One  Two", "a b c", "a b c d", "a b c d e f g h i j", "a b c d e f g h i k"]
+    hot = [f"w{rng.randint(0, 500)}" for _ in range(120)]
+    rows += [noisy(rng, hot, rng.choice((0, 0.02, 0.05, 0.08))) for _ in range(group)]
+    rows += [" ".join(hot)] * 30
+    for _ in range(12):
+        base = [f"v{rng.randint(0, 900)}" for _ in range(rng.randint(3, 300))]
+        rows += [noisy(rng, base, r) for r in (0, 0.03, 0.05, 0.1)]
+    return list(enumerate(rows))
+
+
+@pytest.mark.parametrize("k", [2, 5])
+def test_components_equal_brute_force(spark, k):
+    rows = corpus()
+    df = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, component_id int")
+    got = {r.doc_id: r for r in near_dedup.near_duplicates(df, words=k).collect()}
+    want = brute_components(rows, k)
+    assert {i: (r.n_shingles, r.component_id) for i, r in got.items()} == want
+    assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
+
+
+def test_dedup_of_nothing(spark):
+    df = spark.createDataFrame([], "doc_id long, text string")
+    assert near_dedup.near_duplicates(df).count() == 0
+    same = spark.createDataFrame([(3, "a b c"), (3, "a b c"), (None, "a b c")], "doc_id long, text string")
+    got = near_dedup.near_duplicates(same, words=2).collect()
+    assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [("3", "3"), ("3", "3"), ("None", "None")]
+
+
+def test_registers_estimate_similarity():
+    rng = np.random.default_rng(3)
+    for n, j in ((2000, 0.8), (2000, 0.5), (150, 0.8), (40, 0.9)):
+        found = []
+        for _ in range(60):
+            pool = rng.integers(0, 2**64 - 1, 2 * n, dtype=np.uint64)
+            both = int(2 * n * j / (1 + j))
+            a, b = np.unique(pool[:n]), np.unique(np.concatenate([pool[:both], pool[n : 2 * n - both]]))
+            found.append(float(hm.estimate(hm.bands(a), hm.bands(b))[0]))
+        assert abs(np.mean(found) - j) < 0.04
+
+
+def test_shared_counts():
+    rng = np.random.default_rng(1)
+    sets = [np.unique(rng.integers(0, 60, 30)).astype(np.uint64) for _ in range(20)]
+    got = near_dedup._shared(sets[:8], sets[8:])
+    assert (got == [[len(np.intersect1d(a, b)) for b in sets[8:]] for a in sets[:8]]).all()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="aAbB é\n\t", max_size=14)), max_size=5), st.integers(1, 4))
+def test_shingle_sets(texts, k):
+    assert [len(s) for s in shingles.shingle_sets(texts, k)] == [len(set_of(t, k)) for t in texts]
+
+
+def test_connected_components(spark):
+    rng = random.Random(1)
+    edges = [(rng.randint(0, 80), rng.randint(0, 80)) for _ in range(45)] + [(k, k + 1) for k in range(100, 160)] + [(5, 5), (None, 1)]
+    got = {r.id: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None:
+            x, y = find(a), find(b)
+            parent[max(x, y)] = min(x, y)
+    assert got == {x: find(x) for x in list(parent)}
+    assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+# -- contamination --------------------------------------------------------------
+
+
+def test_masks_meet_every_tolerated_span():
+    from itertools import combinations
+
+    for gone in range(de.SPAN - de.LEAST + 1):
+        for lost in combinations(range(de.SPAN), gone):
+            assert any(all(at + o not in lost for o in m) for m in de.MASKS for at in range(de.SPAN - m[-1]))
+
+
+def brute_leaks(docs, items):
+    cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    out = set()
+    for d, t in docs:
+        w = cut(t)
+        for i, u in items:
+            v = cut(u)
+            if len(v) < de.WEIGHT:
+                continue
+            span = min(de.SPAN, len(v))
+            best = 0
+            for shift in range(-len(v), len(w)):
+                equal = [0 <= j + shift < len(w) and w[j + shift] == x for j, x in enumerate(v)]
+                best = max(best, *(sum(equal[j : j + span]) for j in range(len(v) - span + 1)))
+            if best >= (de.LEAST if len(v) >= de.SPAN else len(v)):
+                out.add((d, i, best))
+    return out
+
+
+def test_leaks_equal_brute_force(spark):
+    rng = random.Random(11)
+    pool = [f"w{k}" for k in range(60)] + ["the", "of", "and"] * 8
+    items = [(k, " ".join(rng.choice(pool) for _ in range(n))) for k, n in enumerate((3, 6, 9, 12, 13, 14, 20, 40, 40))] + [(50, None), (51, "")]
+    docs = [(0, None), (1, ""), (2, "short")]
+    for k in range(3, 90):
+        own = [rng.choice(pool) for _ in range(rng.randint(5, 60))]
+        if k % 2:
+            item = rng.choice(items[:9])[1].split()
+            low = rng.randint(0, max(0, len(item) - 14))
+            part = [x if rng.random() > rng.choice((0, 0.1, 0.2)) else "zzz" for x in item[low : low + rng.randint(10, 40)]]
+            at = rng.randint(0, len(own))
+            own[at:at] = part
+        docs.append((k, rng.choice((" ", ", ", "\n")).join(own).upper() if k % 5 == 0 else " ".join(own)))
+    df = spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, item_id int")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {tuple(r) for r in de.leaks(df.union(df.limit(3)), bench).collect()}
+    assert got == brute_leaks(docs, items) and len(got) > 10
+    kept = {r.doc_id for r in de.drop_contaminated(df, bench).collect()}
+    assert kept == {d for d, _ in docs} - {d for d, _, _ in got}
+    assert de.leaks(df.limit(0), bench).count() == 0 and de.leaks(df, bench.limit(0)).count() == 0
+
+
+# -- languages --------------------------------------------------------------------
+
+
+def test_languages(spark):
+    pools = {"aa": "lorem ipsum dolor sit amet consect".split(), "bb": "krz strz przy chrzan wiesz".split(), "cc": "Ωμέγα καλη μερα αλφα".split()}
+    rng = random.Random(4)
+    rows = []
+    for k in range(240):
+        lang = rng.choice(list(pools))
+        rows.append((k, " ".join(rng.choice(pools[lang]) for _ in range(12)), lang if k % 7 else None, "s", 0))
+    rows += [(900, None, "aa", "s", 0), (901, "", "aa", "s", 0), (902, "12 34!", "bb", "s", 0), (903, "Lorem", None, "s", 0), (903, "Lorem", None, "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = li.identify(df).collect()
+    assert len(got) == len(rows)
+    truth = {k: next(x for x, p in pools.items() if t and set(t.split()) <= set(p)) for k, t, *_ in rows[:240]}
+    import zlib
+
+    for r in got:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) and 0 <= r.score <= 1
+        if r.doc_id in truth:
+            assert r.lang_pred == truth[r.doc_id]
+        elif r.doc_id != 903:
+            assert r.lang_pred == "und" and r.score == 0
+        else:
+            assert r.lang_pred == "aa"
+    kept = li.drop_unidentified(df).collect()
+    assert {r.doc_id for r in kept} == {r[0] for r in rows} - {900, 901, 902} and all(r.lang for r in kept)
+    assert li.identify(df.limit(0)).count() == 0
+    assert {r.lang_pred for r in li.identify(df.withColumn("lang", df.lang.substr(9, 1).cast("string")).filter("lang = 'x'")).collect()} == set()
+
+
+def test_held_out_accuracy(spark, data):
+    df = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet")
+    found = li.identify(df).filter("held_out").join(df.select("doc_id", "lang"), "doc_id")
+    assert found.filter("lang = lang_pred").count() >= 0.97 * found.count()
+
+
+# -- personal data -------------------------------------------------------------------
+
+
+def test_surrogates_keep_shape_and_distinctness():
+    key = b"k"
+    rng = random.Random(9)
+    makers = {
+        "email": lambda: f"{rng.choice('abcdef')}{rng.choice('abcdef')}.{rng.randint(0, 99):02d}@mail{rng.randint(0, 9)}.example.com",
+        "phone": lambda: f"+1 ({rng.randint(200, 299)}) 555-{rng.randint(0, 99):04d}",
+        "ipv4": lambda: f"{rng.randint(1, 99)}.{rng.randint(0, 9)}.0.{rng.randint(1, 254)}",
+        "ssn": lambda: f"{rng.randint(100, 120)}-{rng.randint(10, 99)}-0001",
+    }
+    for kind, make in makers.items():
+        own = {make() for _ in range(400)}
+        new = {t: pii.surrogate(key, kind, t) for t in own}
+        assert len(set(new.values())) == len(own)
+        for t, s in new.items():
+            assert s != t and pii.surrogate(key, kind, t) == s and pii.surrogate(b"other", kind, t) != s
+            if kind != "ipv4":
+                assert re.sub("[a-z]", "a", re.sub(r"\d", "0", s)) == re.sub("[a-z]", "a", re.sub(r"\d", "0", t))
+            assert [e[0] for e in pii.entities(f"x {s} y")] == [kind]
+
+
+def test_cards_ibans_names():
+    key = b"k"
+    card = "4111 1111 1111 1111"
+    new = re.sub(r"\D", "", pii.surrogate(key, "card", card))
+    assert pii.luhn_digit(new[:-1]) == new[-1] and new != re.sub(r"\D", "", card) and len(new) == 16
+    assert re.sub(r"\D", "", pii.surrogate(key, "card", "4111111111111111")) == new
+    iban = pii.surrogate(key, "iban", "DE89 3704 0044 0532 0130 00").replace(" ", "")
+    assert int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
+    for (script, gender), names in pii.GIVEN.items():
+        got = [pii.surrogate(key, "name", f"{n} {pii.FAMILY[script][0]}").split()[0] for n in names]
+        assert sorted(got) == sorted(names) and all(a != b for a, b in zip(got, names, strict=True)), (script, gender)
+    assert pii.surrogate(key, "phone", "363-555-1234")[-8:] == pii.surrogate(key, "phone", "+1 (363) 555-1234")[-8:]
+    assert pii.surrogate(key, "email", "A.b@Ex.org").lower() == pii.surrogate(key, "email", "a.B@ex.org").lower()
+
+
+def test_permutation():
+    for n in (2, 3, 10, 97, 1000):
+        assert sorted(pii.permuted(b"k", "t", x, n) for x in range(n)) == list(range(n))
+        assert all(pii.permuted(b"k", "t", pii.permuted(b"k", "t", x, n), n, inverse=True) == x for x in range(n))
+        moved = [pii.replaced_number(b"k", "t", x, n) for x in range(n)]
+        assert sorted(moved) == list(range(n)) and all(a != x for x, a in enumerate(moved))
+    fits = lambda x: x % 3 == 0
+    own = [pii.replaced_number(b"k", "t", x, 60, fits) for x in range(0, 60, 3)]
+    assert sorted(own) == list(range(0, 60, 3))
+
+
+def test_documents_keep_all_else(spark):
+    rows = [
+        (1, "Mail ab.01@mail2.example.com or +1 (366) 555-9807, card 4007000000027114.", "en", "s", 0),
+        (2, "AB.01@mail2.example.com again; 12.158.146.200 and 12.158.146.200", "en", "s", 0),
+        (3, "clean text of 3 words, version 1.2.3 and 2020-01-02", "en", "s", 7), (4, None, None, None, None), (5, "", "en", "s", 0),
+        (5, "", "en", "s", 0), (6, "x " * 20000 + "ab.01@mail2.example.com", "en", "s", 0),
+    ]
+    df = spark.createDataFrame(rows, SCHEMA)
+    out = pii.replace_entities(df, b"k", keep=["doc_id"])
+    got = {r.doc_id: r for r in out.collect()}
+    assert [e.kind for e in got[1].entities] == ["email", "phone", "card"] and [e.kind for e in got[2].entities] == ["email", "ipv4", "ipv4"]
+    assert got[1].entities[0].entity == got[2].entities[0].entity == got[6].entities[0].entity
+    assert got[3].text == rows[2][1] and got[4].text is None and got[5].text == "" and not got[3].entities
+    for r in got.values():
+        for e in r.entities:
+            assert r.text[e.start : e.start + len(e.surrogate)] == e.surrogate
+    assert pii.collisions(out).count() == 0
+    back = pii.replace_in_documents(df, b"k")
+    assert back.columns == df.columns and back.count() == len(rows)
+    assert pii.replace_entities(df.limit(0), b"k", keep=["doc_id"]).count() == 0
+
+
+# -- secrets ---------------------------------------------------------------------------
+
+
+def test_secrets(spark):
+    rng = random.Random(6)
+    hexes = lambda n: "".join(rng.choice("0123456789abcdef") for _ in range(n))
+    base36 = lambda n: "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567") for _ in range(n))
+    rows, secret = [], set()
+    for k in range(60):
+        word = "thereaftering"
+        text, hidden = [
+            (f"some {word} password={(s := hexes(18))} more", True),
+            (f'token = "{(s := hexes(40))}" {word}', True),
+            (f"in AKIA{(s := base36(16))} of", True),
+            (f"commit {(s := hexes(40))} merged", False),
+            (f"id {hexes(8)}-{hexes(4)}-{hexes(4)}-{hexes(4)}-{hexes(12)} found", False),
+            ("denerheitteungkeitlichen Schgestaechungein", False),
+        ][k % 6]
+        rows.append((k, text, "src1"))
+        if hidden:
+            secret.add(k)
+    rows += [(90, None, "s"), (91, "", None), (92, "x" * 100_000, "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    model = secret_scan.fit(secret_scan.labelled_findings(spark))
+    got = secret_scan.scan(df, model).collect()
+    texts = {r[0]: r[1] for r in rows}
+    assert all(texts[r.doc_id][r.start : r.start + len(r.candidate)] == r.candidate for r in got)
+    found = {r.doc_id for r in got if r.is_secret}
+    assert secret <= found and len(found - secret) <= 1
+    assert secret_scan.scan(df.limit(0), model).count() == 0
+    assert secret_scan.scan(df.drop("source"), model).count() == len(got)
+
+
+# -- pipeline ----------------------------------------------------------------------------
+
+
+def test_pipeline_stages(spark, data):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{data}/documents.parquet")
+    bench = [tuple(r) for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()]
+    names = [n for n, _ in p.STAGES]
+    assert names == ["language_id", "near_dedup", "decontaminate", "pii_surrogates", "bpe_encode"]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    lettered = [(d, t) for d, t in rows if re.search(r"[^\W\d_]", t or "")]
+    kept = [d for d, (_, c) in brute_components(lettered, 5).items() if c == d]
+    left = [(d, t) for d, t in lettered if d in set(kept)]
+    leaking = {d for d, _, _ in brute_leaks(left, bench)}
+    want = {d for d, _ in left} - leaking
+    out = {r.doc_id: r for r in p.run(spark, data).collect()}
+    assert set(out) == want and all(r.n_tokens == len(r.ids) // 4 for r in out.values())
