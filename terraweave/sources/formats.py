@@ -72,7 +72,7 @@ def _unescaped(text: Column) -> Column:
         F.transform(
             parts,
             lambda p, i: F.when(i % 2 == 0, p).otherwise(
-                F.decode(F.unhex(F.lpad(p, 8, "0")), "UTF-32BE")
+                F.decode(F.unhex(F.lpad(p, 8, "0")), "utf-32")
             ),
         ),
         "",
