@@ -12,6 +12,7 @@ the full length give the ids.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -19,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textcut import BoundedCache, segments
+from .textcut import BoundedCache, by_bytes, keys_of, spelled
 
 #: Entries of a worker's caches of segments and of pair tests.
 CACHED_SEGMENTS = 400_000
@@ -27,6 +28,33 @@ CACHED_WORDS = 400_000
 CACHED_PAIRS = 400_000
 
 
+#: The normaliser and splitter that _latin_pieces stands for.
+LATIN_NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+LATIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+#: Texts of these characters only are split without the library: lower-casing maps
+#: each to one of them, composing changes none, and their classes are plain.
+_LATIN = re.compile("[\x20-\x7e\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|[^ \n{_SMALL}0-9]+")
+
+
+def _byte_characters() -> list[str]:
+    """The character that stands for each byte: printable ones for themselves, the
+    others for code points from 256 on, in order."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(256, 512))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
+
+
+_BYTE = _byte_characters()
+
+
+def _latin_pieces(text: str) -> list[str]:
+    """The pre-tokens of a text that _LATIN matches, in byte characters."""
+    found = _PIECES.findall(text.lower())
+    return [p if p.isascii() else "".join([_BYTE[b] for b in p.encode()]) for p in found]
+
+
 class SuffixAutomaton:
     """The generalised suffix automaton of the vocabulary's symbol strings.
 
@@ -109,7 +137,11 @@ class PrefixBpe:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]
+            whole = json.load(f)
+        model = whole["model"]
+        steps = (whole.get("normalizer") or {}).get("normalizers")
+        splits = (whole.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+        self.latin = steps == LATIN_NORMALISER and splits[0].get("pattern") == {"Regex": LATIN_SPLIT}
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -126,8 +158,10 @@ class PrefixBpe:
         self.spelled: dict[int, tuple[int, ...]] = {}
         words = [(self._spell(i), i) for i in vocab.values()]
         self.text = {i: t for t, i in vocab.items()}
-        self.pairs: BoundedCache = BoundedCache(CACHED_PAIRS)
-        self.words: BoundedCache = BoundedCache(CACHED_WORDS)
+        #: Answers of pair tests, and ids of words: those of late, and those before.
+        self.pairs: dict[tuple[int, int], bool] = {}
+        self.words: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}
         #: The spine test needs that each entry comes from one merge only.
         self.one_merge = len(self.rank) == len(self.halves)
         # an entry that merging cannot reach never ends a prefix
@@ -174,7 +208,8 @@ class PrefixBpe:
                 known = not self._straddled(a, b)
             else:
                 known = self._merged(self.spelled[a] + self.spelled[b]) == [a, b]
-            self.pairs.room(1)
+            if len(self.pairs) >= CACHED_PAIRS:
+                self.pairs.clear()
             self.pairs[a, b] = known
         return known
 
@@ -200,17 +235,22 @@ class PrefixBpe:
 
     def encode_symbols(self, symbols: list[int]) -> list[int]:
         """The ids of one pre-token, by the last token of each of its prefixes."""
-        step, ends = self.automaton.step, self.automaton.ends
+        step, ends, pairs = self.automaton.step, self.automaton.ends, self.pairs
         last = [-1] * (len(symbols) + 1)
         back = [0] * (len(symbols) + 1)
         state = long = 0
         for i, s in enumerate(symbols, 1):
             state, long = step(state, long, s)
             for n, token in ends(state, long):
-                before = last[i - n]
-                if n == i or (before >= 0 and self.compatible(before, token)):
-                    last[i], back[i] = token, i - n
-                    break
+                if n < i:
+                    before = last[i - n]
+                    known = pairs.get((before, token))
+                    if known is None:
+                        known = self.compatible(before, token)
+                    if not known:
+                        continue
+                last[i], back[i] = token, i - n
+                break
             else:
                 raise ValueError("no token ends this prefix: not a BPE vocabulary")
         out = []
@@ -223,18 +263,26 @@ class PrefixBpe:
     def _plain(self, text: str) -> list[int]:
         """Ids of text without special strings: normalise, pre-tokenise, encode."""
         tk = self.tokenizer
-        if tk.normalizer is not None:
-            text = tk.normalizer.normalize_str(text)
         out: list[int] = []
-        pieces = tk.pre_tokenizer.pre_tokenize_str(text) if tk.pre_tokenizer is not None else [(text, None)]
-        for piece, _ in pieces:
+        if self.latin and _LATIN.fullmatch(text):
+            pieces = _latin_pieces(text)
+        else:
+            if tk.normalizer is not None:
+                text = tk.normalizer.normalize_str(text)
+            pieces = [p for p, _ in tk.pre_tokenizer.pre_tokenize_str(text)] if tk.pre_tokenizer is not None else [text]
+        for piece in pieces:
             ids = self.words.get(piece)
+            if ids is None:
+                ids = self.older.get(piece)
+                if len(self.words) >= CACHED_WORDS // 2:
+                    self.words, self.older = {}, self.words
+                if ids is not None:
+                    self.words[piece] = ids
             if ids is None:
                 marks = list(piece)
                 if self.suffix:
                     marks[-1] += self.suffix
                 ids = self.encode_symbols([self.symbol[m] for m in marks])
-                self.words.room(1)
                 self.words[piece] = ids
             out += ids
         return out
@@ -266,12 +314,11 @@ def segment_cache(path: str) -> BoundedCache:
 def encode_text(bpe: PrefixBpe, text: str) -> list[int]:
     """Ids of a whole text.
 
-    Segments are cut at lone spaces, where neither normalising, nor splitting, nor
-    merging looks across; all but the first begin with their space.
+    Pieces are cut where neither normalising, nor splitting, nor merging looks across.
     """
     out: list[int] = []
-    for k, s in enumerate(segments(text)):
-        out += bpe.encode_segment(" " + s if k else s)
+    for key in keys_of(text):
+        out += bpe.encode_segment(spelled(key))
     return out
 
 
@@ -299,29 +346,31 @@ def encode_documents(
         cache = segment_cache(path)
         joined = bpe.tokenizer.decoder is None
 
-        def look(key: str) -> tuple[bytes, str]:
-            found = cache.get(key)
-            if found is None:
-                ids = bpe.encode_segment(key)
-                cache.room(1)
-                found = cache[key] = (
+        def encoded(texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
+            cut = [keys_of(t or "") for t in texts]
+            wanted: set = set().union(*cut)
+            cache.room(len(wanted))
+            for key in cache.lacking(wanted):
+                ids = bpe.encode_segment(spelled(key))
+                cache[key] = (
                     np.asarray(ids, "<u4").tobytes(),
-                    " ".join(bpe.text[i] for i in ids) if joined else "",
+                    " ".join([bpe.text[i] for i in ids]) if joined else "",
                 )
-            return found
+            for own in cut:
+                found = list(map(cache.__getitem__, own))
+                ids = b"".join([x[0] for x in found])
+                if joined:
+                    yield ids, " ".join([x[1] for x in found if x[1]])
+                else:
+                    yield ids, decode_ids(bpe, np.frombuffer(ids, "<u4").tolist())
 
         for batch in batches:
             packed, counts, decoded = [], [], []
-            for text in batch.column(1).to_pylist():
-                own = segments(text or "")
-                found = [look(" " + s if k else s) for k, s in enumerate(own)]
-                ids = b"".join(x[0] for x in found)
-                packed.append(ids)
-                counts.append(len(ids) // 4)
-                if joined:
-                    decoded.append(" ".join(x[1] for x in found if x[1]))
-                else:
-                    decoded.append(decode_ids(bpe, np.frombuffer(ids, "<u4").tolist()))
+            for _, texts in by_bytes(enumerate(t or "" for t in batch.column(1).to_pylist()), 1 << 20):
+                for ids, text in encoded(texts):
+                    packed.append(ids)
+                    counts.append(len(ids) // 4)
+                    decoded.append(text)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),

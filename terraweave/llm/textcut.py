@@ -31,6 +31,37 @@ def segments(text: str) -> list[str]:
     return _LONE_SPACE.split(text)
 
 
+#: A sentence mark between a letter or digit and a blank: no run of letters, digits
+#: or marks goes on across its left side, so texts may be cut there as well.
+_MARK = re.compile("([.,;:!?])(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff].) ")
+#: Begins the key of what follows a cut without a blank.
+_JOINED_ON = "\x01"
+
+
+def keys_of(text: str) -> list:
+    """The text in pieces that are encoded on their own as in the whole.
+
+    A key stands for a blank and itself, after _JOINED_ON for the rest of it alone;
+    the text's first piece, which has no blank, is in a tuple.
+    """
+    if _JOINED_ON not in text:
+        text = _MARK.sub(" \x01\\1 ", text)
+        keys: list = segments(text)
+    else:
+        keys = [" " + s if k else s for k, s in enumerate(segments(text))]
+        keys = [_JOINED_ON + s for s in keys]
+    if keys and keys[0][:1] != _JOINED_ON:
+        keys[0] = (keys[0],)
+    return keys
+
+
+def spelled(key) -> str:
+    """The piece that a key stands for."""
+    if isinstance(key, tuple):
+        return key[0]
+    return key[1:] if key[:1] == _JOINED_ON else " " + key
+
+
 def safe_spans(text: str, limit: int) -> list[str]:
     """Parts of at most about `limit` characters, cut at lone spaces only.
 

@@ -11,7 +11,6 @@ Spark's committer, so a lost executor leaves no half-written shard.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .textcut import BoundedCache, segments
+from .textcut import BoundedCache, keys_of, spelled
 
 BLOCK_IDS = 1 << 16
 CACHED_SEGMENTS = 800_000
@@ -107,36 +106,6 @@ def _encoded(tokenizer, special: dict[str, int], wanted: list[str]) -> Iterator[
             yield s, packed[low:high]
 
 
-#: A sentence mark between a letter or digit and a blank: no run of letters, digits
-#: or marks goes on across its left side, so texts may be cut there as well.
-_MARK = re.compile("([.,;:!?])(?<=[A-Za-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff].) ")
-#: Begins the key of what follows a cut without a blank.
-_JOINED_ON = "\x01"
-
-
-def _keys(text: str) -> list:
-    """The text in pieces that the library encodes on their own as in the whole.
-
-    A key stands for a blank and itself, after _JOINED_ON for the rest of it alone;
-    the text's first piece, which has no blank, is in a tuple.
-    """
-    if _JOINED_ON not in text:
-        text = _MARK.sub(" \x01\\1 ", text)
-        keys: list = segments(text)
-    else:
-        keys = [" " + s if k else s for k, s in enumerate(segments(text))]
-        keys = [_JOINED_ON + s for s in keys]
-    if keys and keys[0][:1] != _JOINED_ON:
-        keys[0] = (keys[0],)
-    return keys
-
-
-def _spelled(key) -> str:
-    if isinstance(key, tuple):
-        return key[0]
-    return key[1:] if key[:1] == _JOINED_ON else " " + key
-
-
 def encode_batch(path: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of each whole text; the library sees each piece once while it is cached.
 
@@ -144,12 +113,12 @@ def encode_batch(path: str, texts: list[str]) -> list[np.ndarray]:
     splitting never joins, so pieces encoded on their own give the ids of the whole.
     """
     tokenizer, special, cache = library(path)
-    cut = [_keys(t) for t in texts]
+    cut = [keys_of(t) for t in texts]
     wanted: set = set().union(*cut)
     cache.room(len(wanted))
     lacking: dict[str, list] = {}
     for key in cache.lacking(wanted):
-        lacking.setdefault(_spelled(key), []).append(key)
+        lacking.setdefault(spelled(key), []).append(key)
     for text, ids in _encoded(tokenizer, special, list(lacking)):
         for key in lacking[text]:
             cache[key] = ids
