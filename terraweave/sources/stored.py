@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame
 
-LOCAL_FOLDER = "/tmp/checkpoints"
+#: Used only where no shared folder is set; goes with the process.
+LOCAL_FOLDER = f"/tmp/checkpoints/run-{os.getpid()}"
+atexit.register(shutil.rmtree, LOCAL_FOLDER, ignore_errors=True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:
