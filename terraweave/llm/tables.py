@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import atexit
+import os
+import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder (tests and local runs).
-LOCAL_CHECKPOINTS = "/tmp/checkpoints"
+#: Used only where the session names no shared folder (tests and local runs); such a
+#: run's tables go with its process.
+LOCAL_CHECKPOINTS = f"/tmp/checkpoints/run-{os.getpid()}"
+atexit.register(shutil.rmtree, LOCAL_CHECKPOINTS, ignore_errors=True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +39,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_path(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def drop_stored(spark: SparkSession, path: str) -> None:
-    """Delete a folder that `stored` or `shared_path` made, by Hadoop's file system."""
-    jvm = spark._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
