@@ -297,6 +297,22 @@ ORACLE_SQL["way_metadata"] = union(
     f"SELECT {S_WAY}, {t(V.NODE_COUNT)}, {typed('refs', 'integer')} FROM {FLAGS}",
     f"SELECT {S_WAY}, {t(V.UNIQUE_NODE_COUNT)}, {typed('n_points', 'integer')} FROM {FLAGS}",
 )
+_way_rows = """(SELECT o_orderkey AS id, o_orderkey AS changeset, CAST(epoch(o_orderdate) AS BIGINT) AS seconds,
+ 'cust' || o_custkey AS "user", o_custkey AS uid, 1 AS version, true AS visible, o_orderstatus, o_orderpriority FROM orders)"""
+_way_tagged = f"(SELECT * FROM {_way_rows} WHERE id % 6 <> 0)"
+_metres = f"""(SELECT o_orderkey AS id, coalesce(metres, 0) AS metres FROM orders LEFT JOIN (
+ SELECT id, sum({haversine('lon0', 'lat0', 'lon', 'lat', V.RADIUS_LENGTH, 'pi()')}) AS metres FROM {SHAPED} WHERE lon0 IS NOT NULL GROUP BY id)
+ ON id = o_orderkey)"""
+ORACLE_SQL["way_facts"] = union(
+    WAY_TYPES,
+    meta(_way_rows, S_WAY),
+    raw(_way_tagged, "'status'", "o_orderstatus", S_WAY),
+    raw(_way_tagged, "'priority'", "o_orderpriority", S_WAY),
+    f"SELECT {S_WAY}, {t(V.FACTS)}, {typed(lit('2'), 'integer')} FROM {_way_tagged}",
+    WAY_MEMBERS,
+    ORACLE_SQL["way_linestring"],
+    f"SELECT {S_WAY}, {t(V.LENGTH)}, {typed(f'({trimmed("metres", V.LENGTH_DIGITS)})', 'double')} FROM {_metres}",
+)
 _vec = "(SELECT vec_id, k, embedding[2 * k + 1]::DOUBLE AS x, embedding[2 * k + 2]::DOUBLE AS y FROM embeddings, range(32) r(k))"
 ORACLE_SQL["polyline_length"] = f"""SELECT vec_id, CAST(round(sum({haversine('x0', 'y0', 'x', 'y', V.RADIUS_LENGTH, 'pi()')})) AS BIGINT) AS metres
  FROM (SELECT *, lag(x) OVER w AS x0, lag(y) OVER w AS y0 FROM {_vec} WINDOW w AS (PARTITION BY vec_id ORDER BY k)) WHERE x0 IS NOT NULL GROUP BY vec_id"""
@@ -327,6 +343,23 @@ _texts = f"""SELECT m.id, m.pos, 'LINESTRING(' || string_agg({xy('l.lon', 'l.lat
 ORACLE_SQL["relation_collections"] = f"""SELECT id, 'GEOMETRYCOLLECTION(' || string_agg(part, ',' ORDER BY pos) || ')' AS wkt
  FROM ({_texts}) WHERE {_open} GROUP BY id"""
 
+_rel_rows = f"""(SELECT c_custkey AS id, c_mktsegment AS v1, 'segment' AS k1,
+ CASE c_custkey % 3 WHEN 0 THEN 'multipolygon' WHEN 1 THEN 'route' ELSE 'site' END AS kind FROM customer
+ UNION ALL SELECT r_regionkey + {REGION_BASE}, r_name, 'name', 'collection' FROM region)"""
+_rel_geom = f"'{V.GEOM}:osmrel_' || id"
+ORACLE_SQL["relation_facts"] = union(
+    f"SELECT {S_REL} AS s, {t(V.TYPE)} AS p, {t((V.OBJECT, 'relation'))} AS o FROM {_rel_rows}",
+    f"SELECT {S_REL}, {t((V.META, 'timestamp'))}, {typed(lit('1970-01-01T00:00:00'), 'dateTime')} FROM {_rel_rows}",
+    f"SELECT {S_REL}, {t((V.META, 'version'))}, {typed(lit('1'), 'integer')} FROM {_rel_rows}",
+    raw(_rel_rows, "k1", "v1", S_REL),
+    raw(_rel_rows, "'type'", "kind", S_REL),
+    f"SELECT {S_REL}, {t(V.FACTS)}, {typed(lit('2'), 'integer')} FROM {_rel_rows}",
+    ORACLE_SQL["relation_member_triples"],
+    f"SELECT {S_REL}, {t(V.HAS_GEOMETRY)}, {_rel_geom} FROM ({ORACLE_SQL['relation_collections']})",
+    f"SELECT {_rel_geom}, {t(V.AS_WKT)}, {typed('wkt', 'wktLiteral')} FROM ({ORACLE_SQL['relation_collections']})",
+    f"SELECT {S_REL}, {t(V.COMPLETE)}, {typed('CAST(complete AS VARCHAR)', 'boolean')} FROM ({ORACLE_SQL['relation_geometry']}) WHERE parts > 0",
+)
+
 # -- areas ----------------------------------------------------------------------
 
 ORACLE_SQL["area_polygon"] = f"""SELECT CASE WHEN from_way THEN obj_id * 2 ELSE obj_id * 2 + 1 END AS area_id,

@@ -359,6 +359,13 @@ def relation_collections(spark, d):
     return found.filter(F.size("parts") > 0).select("id", joins.collection_wkt(DIGITS).alias("wkt"))
 
 
+@query
+def relation_facts(spark, d):
+    """All facts of all relations."""
+    found = joins.relation_geometries(A.relations(spark, d), A.ways(spark, d), A.located_nodes(spark, d))
+    return facts().relations(A.relations(spark, d), found)
+
+
 # -- areas ---------------------------------------------------------------------------
 
 
