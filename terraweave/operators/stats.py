@@ -37,13 +37,23 @@ def first_pass(nodes: DataFrame, ways: DataFrame, relations: DataFrame, *, tagge
 
     The ids count all nodes, tagged or not.
     """
-    keep = (F.size("tags") > 0) if tagged_only else F.lit(True)
-    n = nodes.agg(F.count_if(keep).alias("nodes"), F.min("id").alias("min_node"), F.max("id").alias("max_node"))
-    w = ways.agg(F.count_if(keep).alias("ways"), F.sum(F.when(keep, F.size("nds")).otherwise(0)).alias("way_weight"))
-    r = relations.agg(
-        F.count_if(keep).alias("relations"), F.sum(F.when(keep, F.size("members") * 2).otherwise(0)).alias("relation_weight")
+    keep = ((F.size("tags") > 0) if tagged_only else F.lit(True)).alias("keep")
+    every = (
+        nodes.select(F.lit("node").alias("kind"), "id", F.lit(0).alias("weight"), keep)
+        .unionByName(ways.select(F.lit("way").alias("kind"), "id", F.size("nds").alias("weight"), keep))
+        .unionByName(relations.select(F.lit("relation").alias("kind"), "id", (F.size("members") * 2).alias("weight"), keep))
+    )
+    of = lambda kind: F.col("kind") == kind
+    weight = lambda kind: F.coalesce(F.sum(F.when(of(kind) & F.col("keep"), F.col("weight"))), F.lit(0))
+    return every.agg(
+        F.count_if(of("node") & F.col("keep")).alias("nodes"),
+        F.min(F.when(of("node"), F.col("id"))).alias("min_node"),
+        F.max(F.when(of("node"), F.col("id"))).alias("max_node"),
+        F.count_if(of("way") & F.col("keep")).alias("ways"),
+        weight("way").alias("way_weight"),
+        F.count_if(of("relation") & F.col("keep")).alias("relations"),
+        weight("relation").alias("relation_weight"),
     )
-    return n.join(w).join(r)  # one row each
 
 
 def count_and_max(kinds: dict[str, DataFrame]) -> DataFrame:
