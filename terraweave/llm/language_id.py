@@ -211,9 +211,15 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
 
 
 def predict(
-    df: DataFrame, model: LanguageFilter, *, text_col: str = "text", keep: list[str], batch_chars: int = 1 << 18
+    df: DataFrame,
+    model: LanguageFilter,
+    *,
+    text_col: str = "text",
+    keep: list[str],
+    batch_chars: int = 1 << 18,
+    names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
-    """The columns `keep` with lang_pred and score; whole texts, only texts."""
+    """The columns `keep` with the prediction and its score, named by `names`."""
     kept = [df.schema[c] for c in keep]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
     shared = df.sparkSession.sparkContext.broadcast(model)  # 8 * 2 ** SLOT_BITS bytes
@@ -228,15 +234,15 @@ def predict(
                 while to < len(texts) and chars < batch_chars:
                     chars += len(texts[to] or "")
                     to += 1
-                names, scores = known.predict(texts[at:to])
+                found, scores = known.predict(texts[at:to])
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(k).slice(at, to - at) for k in range(len(keep))]
-                    + [pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                    names=[f.name for f in kept] + ["lang_pred", "score"],
+                    + [pa.array(found, pa.string()), pa.array(scores, pa.float64())],
+                    names=[*(f.name for f in kept), *names],
                 )
                 at = to
 
-    return df.select(*keep, text_col).mapInArrow(run, f"{schema}lang_pred string, score double")
+    return df.select(*keep, text_col).mapInArrow(run, f"{schema}`{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -264,6 +270,7 @@ def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:
     model = train(df.filter(~held_out()).select("doc_id", "text", "lang"))
     # the verdict rides on the row itself, so no join and no shuffle
     columns = df.columns
-    marked = predict(df, model, keep=[c for c in columns if c != "text"] + ["text"])
-    kept = marked.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least_score))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*columns)
+    own = ("_predicted_language", "_predicted_score")
+    marked = predict(df, model, keep=columns, names=own)
+    kept = marked.filter((F.col(own[0]) != UNKNOWN) & (F.col(own[1]) >= least_score))
+    return kept.withColumn("lang", F.coalesce("lang", own[0])).select(*columns)

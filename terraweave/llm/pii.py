@@ -354,7 +354,7 @@ _FOUND = pa.list_(
 )
 
 
-def replace_entities(df: DataFrame, key: bytes, *, text_col: str = "text", keep: list[str], out_col: str = "text") -> DataFrame:
+def replace_entities(df: DataFrame, key: bytes, *, text_col: str = "text", keep: list[str], out_col: str = "text", list_col: str = "entities") -> DataFrame:
     """The columns `keep`, the text with surrogates, and the list of replacements.
 
     `entities` has, from left to right, the kind, the place in the new text (code
@@ -382,12 +382,12 @@ def replace_entities(df: DataFrame, key: bytes, *, text_col: str = "text", keep:
                 found.append(own)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(k) for k in range(len(keep))] + [pa.array(texts, pa.string()), pa.array(found, _FOUND)],
-                names=[f.name for f in kept] + [out_col, "entities"],
+                names=[f.name for f in kept] + [out_col, list_col],
             )
 
     return df.select(*keep, text_col).mapInArrow(
         run,
-        f"{schema}`{out_col}` string, entities array<struct<kind: string, start: long, surrogate: string, entity: long>>",
+        f"{schema}`{out_col}` string, `{list_col}` array<struct<kind: string, start: long, surrogate: string, entity: long>>",
     )
 
 
@@ -405,7 +405,7 @@ def collisions(replaced: DataFrame) -> DataFrame:
 def replace_in_documents(df: DataFrame, key: bytes) -> DataFrame:
     """All columns of `df`, with surrogates in `text` and n_chars (if there) to match."""
     columns = df.columns
-    out = replace_entities(df, key, keep=[c for c in columns if c != "text"])
+    out = replace_entities(df, key, keep=[c for c in columns if c != "text"], list_col="_replaced_entities")
     if "n_chars" in columns:
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(df.schema["n_chars"].dataType), F.col("n_chars")))
     return out.select(*columns)

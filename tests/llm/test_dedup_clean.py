@@ -340,3 +340,15 @@ def test_pipeline_stages(spark, data):
     want = {d for d, _ in left} - leaking
     out = {r.doc_id: r for r in p.run(spark, data).collect()}
     assert set(out) == want and all(r.n_tokens == len(r.ids) // 4 for r in out.values())
+
+
+def test_stages_with_clashing_columns(spark):
+    rows = [(1, "Lorem ipsum dolor 1.2.3.4", "aa", "x", 0.5, "e", "sig", 3), (2, None, None, None, None, None, None, None)]
+    schema = "doc_id long, text string, lang string, lang_pred string, score double, entities string, sig string, n long"
+    df = spark.createDataFrame(rows, schema)
+    kept = li.drop_unidentified(df)
+    assert kept.columns == df.columns and [r.doc_id for r in kept.collect()] == [1]
+    new = pii.replace_in_documents(df, b"k")
+    assert new.columns == df.columns and new.filter("doc_id = 1").first().entities == "e"
+    bench = spark.createDataFrame([(1, "no match at all in here")], "item_id long, text string")
+    assert de.drop_contaminated(df, bench).columns == df.columns
