@@ -92,8 +92,8 @@ def test_dates(spark):
 
 def test_wiki_values(spark):
     assert table(spark, ["  Q42  ", "Q42;Q1337", "q7", ""], tags.wikidata_id) == ["Q42", "Q42", "7", ""]
-    got = table(spark, ["de:Freiburg im Breisgau", "Freiburg_im_Breisgau", "fr:a:b"], lambda v: tags.wikipedia_iri(v, "qlever"))
+    got = table(spark, ["de:Bremen im Breisgau", "Bremen_im_Breisgau", "fr:a:b"], lambda v: tags.wikipedia_iri(v, "qlever"))
     assert got == [
-        "<https://de.wikipedia.org/wiki/Freiburg%20im%20Breisgau>", "<https://www.wikipedia.org/wiki/Freiburg_im_Breisgau>",
+        "<https://de.wikipedia.org/wiki/Bremen%20im%20Breisgau>", "<https://www.wikipedia.org/wiki/Bremen_im_Breisgau>",
         "<https://fr.wikipedia.org/wiki/a:b>",
     ]
