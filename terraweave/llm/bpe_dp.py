@@ -12,6 +12,7 @@ the full length give the ids.
 from __future__ import annotations
 
 import json
+import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,9 +24,9 @@ from pyspark.sql import DataFrame
 from .textcut import BoundedCache, by_bytes, keys_of, spelled
 
 #: Entries of a worker's caches of segments and of pair tests.
-CACHED_SEGMENTS = 400_000
-CACHED_WORDS = 400_000
-CACHED_PAIRS = 400_000
+CACHED_SEGMENTS = 160_000
+CACHED_WORDS = 300_000
+CACHED_PAIRS = 150_000
 
 
 #: The normaliser and splitter that _latin_pieces stands for.
@@ -58,9 +59,10 @@ def _latin_pieces(text: str) -> list[str]:
 class SuffixAutomaton:
     """The generalised suffix automaton of the vocabulary's symbol strings.
 
-    State 0 is the empty string. `step` follows one more symbol of a text and
-    returns the state of the longest text suffix that occurs in any entry. `ends`
-    lists the entries that are suffixes of what a state spells, longest first.
+    State 0 is the empty string. A text is followed symbol by symbol: while a state
+    has no transition its link leads to a shorter suffix, so the state is always that
+    of the longest text suffix that occurs in any entry. `ends` lists the entries
+    that are suffixes of what a state spells.
     """
 
     def __init__(self, words: list[tuple[tuple[int, ...], int]]):
@@ -77,7 +79,7 @@ class SuffixAutomaton:
             for s in symbols:
                 at = self.next[at][s]
             self.entry[at] = (len(symbols), token)
-        self._ends: dict[int, tuple[tuple[int, int], ...]] = {}
+        self.found: dict[int, tuple[tuple[int, int], ...]] = {}
 
     def _new(self, long: int, like: int | None = None) -> int:
         self.next.append({} if like is None else dict(self.next[like]))
@@ -107,18 +109,9 @@ class SuffixAutomaton:
             self.link[new] = q if self.long[q] == self.long[p] + 1 else self._split(p, q, symbol)
         return new
 
-    def step(self, state: int, long: int, symbol: int) -> tuple[int, int]:
-        """State and matched length after one more symbol."""
-        following, link = self.next, self.link
-        while state and symbol not in following[state]:
-            state = link[state]
-            long = self.long[state]
-        to = following[state].get(symbol)
-        return (0, 0) if to is None else (to, long + 1)
-
-    def ends(self, state: int, long: int) -> tuple[tuple[int, int], ...]:
-        """(length, token) of the entries that end here, of at most `long` symbols."""
-        found = self._ends.get(state)
+    def ends(self, state: int) -> tuple[tuple[int, int], ...]:
+        """(length, token) of the entries that end what a state spells, longest first."""
+        found = self.found.get(state)
         if found is None:
             own = []
             at = state
@@ -126,8 +119,8 @@ class SuffixAutomaton:
                 if at in self.entry:
                     own.append(self.entry[at])
                 at = self.link[at]
-            found = self._ends[state] = tuple(own)
-        return found if not found or found[0][0] <= long else tuple(x for x in found if x[0] <= long)
+            found = self.found[state] = tuple(own)
+        return found
 
 
 class PrefixBpe:
@@ -170,6 +163,8 @@ class PrefixBpe:
         for i, t in self.tokenizer.get_added_tokens_decoder().items():
             self.special[str(t.content)] = i
             self.text[i] = str(t.content)
+        #: What all special strings begin with; nothing, if they have nothing in common.
+        self.special_start = os.path.commonprefix(list(self.special)) if self.special else "\0\0"
 
     def _spell(self, token: int) -> tuple[int, ...]:
         known = self.spelled.get(token)
@@ -235,13 +230,26 @@ class PrefixBpe:
 
     def encode_symbols(self, symbols: list[int]) -> list[int]:
         """The ids of one pre-token, by the last token of each of its prefixes."""
-        step, ends, pairs = self.automaton.step, self.automaton.ends, self.pairs
+        # the automaton's step and ends, spelled out: this loop is the operator's cost
+        machine, pairs = self.automaton, self.pairs
+        following, link, reach, known_ends = machine.next, machine.link, machine.long, machine.found
         last = [-1] * (len(symbols) + 1)
         back = [0] * (len(symbols) + 1)
         state = long = 0
         for i, s in enumerate(symbols, 1):
-            state, long = step(state, long, s)
-            for n, token in ends(state, long):
+            ways = following[state]
+            while state and s not in ways:
+                state = link[state]
+                long = reach[state]
+                ways = following[state]
+            state = ways[s]
+            long += 1
+            ends = known_ends.get(state)
+            if ends is None:
+                ends = machine.ends(state)
+            for n, token in ends:
+                if n > long:
+                    continue
                 if n < i:
                     before = last[i - n]
                     known = pairs.get((before, token))
@@ -289,9 +297,13 @@ class PrefixBpe:
 
     def encode_segment(self, segment: str) -> list[int]:
         """Ids of a segment, whose special strings become their single ids."""
+        if not segment:
+            return []
+        if self.special_start not in segment:
+            return self._plain(segment)
         cut = [(segment.find(s), s) for s in self.special if s in segment]
         if not cut:
-            return self._plain(segment) if segment else []
+            return self._plain(segment)
         # leftmost first; of those that begin there the longest
         at, s = min(cut, key=lambda x: (x[0], -len(x[1])))
         return (
@@ -325,7 +337,7 @@ def encode_text(bpe: PrefixBpe, text: str) -> list[int]:
 def decode_ids(bpe: PrefixBpe, ids: list[int]) -> str:
     """What the library's decode(ids, skip_special_tokens=False) gives."""
     if bpe.tokenizer.decoder is None:
-        return " ".join(bpe.text[i] for i in ids)
+        return " ".join(map(bpe.text.__getitem__, ids))
     return bpe.tokenizer.decode(ids, skip_special_tokens=False)
 
 
@@ -344,25 +356,16 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         cache = segment_cache(path)
-        joined = bpe.tokenizer.decoder is None
 
-        def encoded(texts: list[str | None]) -> Iterator[tuple[bytes, str]]:
-            cut = [keys_of(t or "") for t in texts]
+        def encoded(texts: list[str]) -> Iterator[tuple[bytes, str]]:
+            cut = [keys_of(t) for t in texts]
             wanted: set = set().union(*cut)
             cache.room(len(wanted))
             for key in cache.lacking(wanted):
-                ids = bpe.encode_segment(spelled(key))
-                cache[key] = (
-                    np.asarray(ids, "<u4").tobytes(),
-                    " ".join([bpe.text[i] for i in ids]) if joined else "",
-                )
+                cache[key] = np.asarray(bpe.encode_segment(spelled(key)), "<u4").tobytes()
             for own in cut:
-                found = list(map(cache.__getitem__, own))
-                ids = b"".join([x[0] for x in found])
-                if joined:
-                    yield ids, " ".join([x[1] for x in found if x[1]])
-                else:
-                    yield ids, decode_ids(bpe, np.frombuffer(ids, "<u4").tolist())
+                ids = b"".join(map(cache.__getitem__, own))
+                yield ids, decode_ids(bpe, np.frombuffer(ids, "<u4").tolist())
 
         for batch in batches:
             packed, counts, decoded = [], [], []
