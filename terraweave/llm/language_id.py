@@ -33,6 +33,15 @@ LEAST_SHARE = 2e-6
 LEAST_COUNT = 2
 #: Languages at most (bits of a slot).
 MOST_LANGUAGES = 64
+#: Characters that are looked up at a time.
+BATCH_CHARS = 1 << 18
+#: Thresholds are fitted for so many powers of two of a text's n-grams, below all but
+#: this share of the labelled texts.
+SIZES = 24
+TAIL = 0.01
+#: The fall that TAIL of samples of one n-gram exceed: 2.33 deviations of a share of
+#: 0.95, where 16 n-grams, about a word's, are found or missed as one.
+SPREAD = 2.33 * (0.95 * 0.05 * 16) ** 0.5
 _BLANK = 32
 
 
@@ -112,14 +121,9 @@ class LanguageFilter:
             found = self.slots[at] if found is None else found & self.slots[at]
         return found if found is not None else np.zeros(0, np.uint64)
 
-    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        """The language and score of each text; UNKNOWN and 0 without letters.
-
-        The score is the winner's corrected share of the text's n-grams. Ties go to
-        the first language in alphabetical order.
-        """
-        if not texts:
-            return [], []
+    def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each language's corrected share of each text's n-grams, the number of
+        n-grams of each text, and whether it has letters."""
         codes, owner = letters(texts)
         lettered = np.bincount(owner[codes != _BLANK], minlength=len(texts)) > 0
         n, hits = np.zeros(len(texts)), np.zeros((len(self.languages), len(texts)))
@@ -130,10 +134,20 @@ class LanguageFilter:
             for k in range(len(self.languages)):
                 has = (masks >> np.uint64(k)) & np.uint64(1) != 0
                 hits[k] += np.bincount(own[has], minlength=len(texts))
+        wrong = self.false_rate[:, None]
+        return np.clip((hits / np.maximum(n, 1) - wrong) / (1 - wrong), 0, 1), n, lettered
+
+    def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        """The language and score of each text; UNKNOWN and 0 without letters.
+
+        The score is the winner's corrected share of the text's n-grams. Ties go to
+        the first language in alphabetical order.
+        """
+        if not texts:
+            return [], []
         if not self.languages:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        wrong = self.false_rate[:, None]
-        share = np.clip((hits / np.maximum(n, 1) - wrong) / (1 - wrong), 0, 1)
+        share, _, lettered = self.shares(texts)
         best = share.argmax(axis=0)
         names = [self.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered, strict=True)]
         return names, np.where(lettered, share[best, np.arange(len(texts))], 0.0).tolist()
@@ -216,7 +230,7 @@ def predict(
     *,
     text_col: str = "text",
     keep: list[str],
-    batch_chars: int = 1 << 18,
+    batch_chars: int = BATCH_CHARS,
     names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """The columns `keep` with the prediction and its score, named by `names`."""
@@ -262,15 +276,128 @@ def identify(df: DataFrame) -> DataFrame:
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
 
 
+def evidence(share: np.ndarray, labels: list[int | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each text the language that is claimed (its label's, else the winner), its
+    share, and how far that lies above the best other share (below: negative)."""
+    at = np.arange(share.shape[1])
+    claimed = np.array([b if k is None else k for k, b in zip(labels, share.argmax(axis=0), strict=True)], np.int64)
+    own = share[claimed, at]
+    rest = share.copy()
+    rest[claimed, at] = 0
+    return claimed, own, own - rest.max(axis=0)
+
+
+@dataclass
+class Thresholds:
+    """Least share and margin by language and power of two of a text's n-grams."""
+
+    share: np.ndarray
+    margin: np.ndarray
+
+    def accepts(self, share: np.ndarray, n: np.ndarray, labels: list[int | None]) -> np.ndarray:
+        claimed, own, margin = evidence(share, labels)
+        size = np.log2(np.maximum(n, 1)).astype(np.int64).clip(0, SIZES - 1)
+        return (own > 0) & (own >= self.share[claimed, size]) & (margin >= self.margin[claimed, size])
+
+
+def fit_thresholds(lang: np.ndarray, n: np.ndarray, share: np.ndarray, margin: np.ndarray, languages: int) -> Thresholds:
+    """Thresholds that labelled texts, which the filter has not seen, stay above.
+
+    Around a language's median both measures may fall by twice what all but TAIL of
+    its texts, or of all texts, stay within; so a few bad labels do not count. For
+    sizes below a text's own the spread of a sample is added to its fall; falls of
+    shorter texts hold for longer ones. A margin above 0 is never asked for, as the
+    languages of a corpus may be close. A language without such texts asks for any share.
+    """
+    out = []
+    for value in (share, margin):
+        least = np.full((languages, SIZES), -1.0)
+        middle = np.array([np.median(value[lang == k]) if (lang == k).any() else np.nan for k in range(languages)])
+        fall = np.maximum(middle[lang] - value, 0) if len(lang) else value
+        for size in range(SIZES if len(lang) else 0):
+            spread = SPREAD**2 * np.maximum(2.0**-size - 1 / np.maximum(n, 1), 0)
+            scaled = np.sqrt(fall**2 + spread)
+            of_all = np.quantile(scaled, 1 - TAIL)
+            for k in np.unique(lang):
+                least[k, size] = middle[k] - 2 * max(of_all, np.quantile(scaled[lang == k], 1 - TAIL))
+        out.append(least)
+    return Thresholds(out[0], np.minimum(out[1], 0))
+
+
+def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
+    """Thresholds for `model` from the labelled rows (doc_id, text, lang) it learned from.
+
+    A filter of one half of the rows, by a hash of their ids, measures the other half:
+    a text's own n-grams would flatter it.
+    """
+    half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id").cast("string")), F.lit(2)) == 0
+    named = df.filter(~half).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect() if r["lang"] in model.languages}
+    if not counts:
+        return fit_thresholds(*(np.zeros(0, t) for t in (np.int64, float, float, float)), len(model.languages))
+    known = df.sparkSession.sparkContext.broadcast(train(df.filter(half)))
+    bits = {lang: k for k, lang in enumerate(model.languages)}
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = known.value
+        at = {lang: k for k, lang in enumerate(part.languages)}
+        for batch in batches:
+            rows = [(x, t) for x, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if x in at]
+            for k in range(0, len(rows), 256):
+                langs, texts = zip(*rows[k : k + 256], strict=True)
+                share, n, lettered = part.shares(list(texts))
+                _, own, margin = evidence(share, [at[x] for x in langs])
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([bits[x] for x, ok in zip(langs, lettered, strict=True) if ok], pa.int64()),
+                        *(pa.array(v[lettered], pa.float64()) for v in (n, own, margin)),
+                    ],
+                    names=["lang", "n", "share", "margin"],
+                )
+
+    # three numbers for each of about PER_LANGUAGE texts of a language
+    drawn = _training_rows(named, counts, "text", "lang", "doc_id")
+    found = drawn.mapInArrow(measure, "lang long, n double, share double, margin double").toArrow()
+    return fit_thresholds(*(found[c].to_numpy() for c in ("lang", "n", "share", "margin")), len(model.languages))
+
+
 def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:
-    """The rows whose language is known with at least `least_score`, all columns.
+    """The rows whose language is known, all columns.
 
-    `lang` of a row without label becomes the prediction.
+    A row stays if the share of its label's language (without a known label: of the
+    best) and that share's margin over all others reach what clean texts of its size
+    reach (see `fit_thresholds`), and the share is `least_score` at least. Text of no
+    learned language, gibberish and labels that the text contradicts go. `lang` of a
+    row without label becomes the prediction.
     """
-    model = train(df.filter(~held_out()).select("doc_id", "text", "lang"))
+    training = df.filter(~held_out()).select("doc_id", "text", "lang")
+    model = train(training)
     # the verdict rides on the row itself, so no join and no shuffle
     columns = df.columns
-    own = ("_predicted_language", "_predicted_score")
-    marked = predict(df, model, keep=columns, names=own)
-    kept = marked.filter((F.col(own[0]) != UNKNOWN) & (F.col(own[1]) >= least_score))
-    return kept.withColumn("lang", F.coalesce("lang", own[0])).select(*columns)
+    if not model.languages:
+        return df.limit(0)
+    shared = df.sparkSession.sparkContext.broadcast((model, calibrate(training, model)))
+    text, label, schema = columns.index("text"), columns.index("lang"), df.schema
+    bits = {lang: k for k, lang in enumerate(model.languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, least = shared.value
+        for batch in batches:
+            texts, langs = batch.column(text).to_pylist(), batch.column(label).to_pylist()
+            at = 0
+            while at < len(texts):
+                to, chars = at, 0
+                while to < len(texts) and chars < BATCH_CHARS:
+                    chars += len(texts[to] or "")
+                    to += 1
+                share, n, lettered = known.shares(texts[at:to])
+                own = [bits.get(x) for x in langs[at:to]]
+                claimed, score, _ = evidence(share, own)
+                good = lettered & least.accepts(share, n, own) & (score >= least_score)
+                named = [known.languages[k] if x is None else x for x, k in zip(langs[at:to], claimed, strict=True)]
+                part = batch.slice(at, to - at)
+                part = part.set_column(label, batch.schema.field(label), pa.array(named, batch.schema.field(label).type))
+                yield part.filter(pa.array(good))
+                at = to
+
+    return df.mapInArrow(run, schema)

@@ -3,6 +3,7 @@ brute force or planted cases."""
 
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -212,6 +213,23 @@ def test_languages(spark):
     assert {r.lang_pred for r in li.identify(df.withColumn("lang", df.lang.substr(9, 1).cast("string")).filter("lang = 'x'")).collect()} == set()
 
 
+def test_documents_of_no_language_are_rejected(spark):
+    pools = {"aa": "lorem ipsum dolor sit amet consect".split(), "bb": "krz strz przy chrzan wiesz".split()}
+    rng = random.Random(5)
+    text = lambda lang, n=30: " ".join(rng.choice(pools[lang]) for _ in range(n))
+    rows = [(k, text(lang, 2 + k % 60), lang if k % 7 else None, "s", 0) for k in range(300) for lang in [rng.choice(list(pools))]]
+    junk = "".join(rng.choice("bcdfghjklmnpqrstvwxz0123456789+/ ") for _ in range(400))
+    bad = ["Ωμέγα καλη μερα αλφα " * 8, "漢字仮名交じり文の例文です" * 8, junk, "qjxw"]
+    rows += [(1000 + k, t, lang, "s", 0) for k, (t, lang) in enumerate((t, x) for t in bad for x in (None, "aa"))]
+    rows += [(2000, text("aa"), "bb", "s", 0), (2001, text("aa"), "zz", "s", 0), (2002, text("bb"), None, "s", 0)]
+    # what may not teach: the planted rows are held out
+    ids = iter(i for i in range(10_000, 99_999) if zlib.crc32(str(i).encode()) % 3 == 1)
+    rows = [(next(ids) if r[0] >= 1000 else r[0], *r[1:]) for r in rows]
+    got = {r.doc_id: r for r in li.drop_unidentified(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert set(got) == {r[0] for r in rows[:300]} | {rows[-2][0], rows[-1][0]}
+    assert got[rows[-1][0]].lang == "bb" and got[rows[-2][0]].lang == "zz"
+
+
 def test_held_out_accuracy(spark, data):
     df = spark.read.parquet(f"{data.replace('0.001', '0.01')}/documents.parquet")
     found = li.identify(df).filter("held_out").join(df.select("doc_id", "lang"), "doc_id")
