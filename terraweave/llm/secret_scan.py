@@ -1,13 +1,15 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-Candidates are words whose core is long enough and mixes character kinds, or that a
-key name introduces. The forest looks at length, character transitions, dictionary
+Candidates are all runs of value characters that are long enough and mix character
+kinds or that a key introduces, and all that a key name of secrets introduces. The forest looks at length, character transitions, dictionary
 coverage, path and neighbouring words; it is trained on labelled findings. All steps
 are DataFrame functions and the JVM's tree ensembles.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -60,12 +62,59 @@ FEATURES = [
 _LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 
+_RUN = r"[A-Za-z0-9_+/\-]"
+_QUOTE = r"""\\?["'`]"""
+#: A key and its sign before a value, also within a word: not where a value begins.
+_PAIR = (
+    rf"""(?<![\w.\-=:])(?<![=:]["'`])(?<![=:]\\["'`])([A-Za-z_][\w.\-]*+)(?:{_QUOTE})?[=:]++(?:{_QUOTE})?(?=[^=:;,&"'`)\]}}\\])"""
+)
+_SECRET_KEY = KEY_WORDS.replace("(?i)", "")
+_BLOCK = 256
+
+
+def _bound(value: Column, of: Callable[[Column], Column]) -> Column:
+    """of(value), with the value reckoned once."""
+    return F.get(F.transform(F.array(value), of), 0)
+
+
+def _located(parts: Column) -> Column:
+    """(text, from, at) of each part: how many code points and parts stand before it."""
+    total = lambda xs: F.aggregate(xs, F.lit(0), lambda a, x: a + x)
+    whole = lambda sizes: F.transform(
+        F.sequence(F.lit(0), F.floor(F.size(sizes) / _BLOCK).cast("int")),
+        lambda b: total(F.slice(sizes, b * _BLOCK + 1, _BLOCK)),
+    )
+
+    def place(own: Column, sizes: Column, blocks: Column) -> Column:
+        return F.transform(
+            own,
+            lambda x, i: F.struct(
+                x.alias("text"),
+                (
+                    total(F.slice(blocks, 1, F.floor(i / _BLOCK).cast("int")))
+                    + total(F.slice(sizes, i - i % _BLOCK + 1, i % _BLOCK))
+                ).alias("from"),
+                i.alias("at"),
+            ),
+        )
+
+    return _bound(
+        parts,
+        lambda own: _bound(
+            F.transform(own, lambda x: F.length(x)),
+            lambda sizes: _bound(whole(sizes), lambda blocks: place(own, sizes, blocks)),
+        ),
+    )
+
+
 def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id", path_col: str | None = "source") -> DataFrame:
     """(doc_id, start, value, key, before, after, path): what may be a secret.
 
-    `start` counts code points from 0. Key is the name in front of `=` or `:`, in the
-    same word or the one before. Null and empty texts have none; a missing path
-    column, or a null path, is an empty path.
+    `start` counts code points from 0. Each word is cut at all its key/value pairs,
+    and each run of value characters that is long enough is a candidate with the key
+    in front of it, in the same word or the one before; what a key name of secrets
+    introduces is one whatever its length and marks. Null and empty texts have none; a
+    missing path column, or a null path, is an empty path.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in df.columns else F.lit("")
     cut = df.select(
@@ -73,9 +122,22 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         path.alias("path"),
         F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\s").alias("words"),
     )
+
+    def introduced(word: Column, i: Column) -> Column:
+        """Whether the word holds a key of secrets and its sign, or follows them."""
+        one, two = F.get("words", i - 1), F.get("words", i - 2)
+        return ((word.contains("=") | word.contains(":")) & word.rlike(rf"(?i)(?:{_SECRET_KEY})[\w.\-\\\"'`]*[=:]+.")) | (
+            (one.endswith("=") | one.endswith(":"))
+            & (one.rlike(rf"(?i)(?:{_SECRET_KEY})[\w.\-\\\"'`]*[=:]+$") | (one.rlike("^[=:]+$") & two.rlike(KEY_WORDS)))
+        )
+
     long_enough = F.filter(
         F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
-        lambda x: (F.length(x["word"]) >= SHORTEST) & x["word"].rlike(rf"[A-Za-z0-9_+/\-]{{{SHORTEST}}}"),
+        lambda x: (x["word"] != "")
+        & (
+            ((F.length(x["word"]) >= SHORTEST) & x["word"].rlike(rf"{_RUN}{{{SHORTEST}}}"))
+            | F.coalesce(introduced(x["word"], x["at"]), F.lit(False))
+        ),
     )
     found = cut.withColumn("found", long_enough).filter(F.size("found") > 0)
     near = F.transform(
@@ -90,26 +152,53 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         ),
     )
     rows = found.select("doc_id", "path", F.explode(near).alias("x")).select("doc_id", "path", "x.*")
-    pair = r"""^["'`(\[{]*([A-Za-z_][\w.\-]*)["'`]?[=:]+["'`]?(?=.)"""
-    own_key = F.regexp_extract("word", pair, 1)
-    sign = F.col("one").rlike(r"^[=:]+$")
+    parts = rows.select(
+        "doc_id", "path", "from", "one", "two", "after",
+        F.explode(_located(F.split("word", f"(?={_PAIR})"))).alias("part"),
+    )
+    first = F.col("part.at") == 0
+    sign = first & F.col("one").rlike(r"^[=:]+$")
+    own_key = F.regexp_extract("part.text", f"^{_PAIR}", 1)
+    head = F.regexp_extract("part.text", f"^{_PAIR}", 0)
     key = F.when(own_key != "", own_key).when(sign, F.col("two")).when(
-        F.col("one").rlike(r"[=:]$"), F.regexp_replace("one", r"[=:]+$", "")
+        first & F.col("one").rlike(r"[=:]$"), F.regexp_replace("one", r"[=:]+$", "")
     ).otherwise("")
-    rest = F.when(own_key != "", F.regexp_replace("word", pair, "")).otherwise(F.col("word"))
-    value = F.regexp_extract(rest, rf"([A-Za-z0-9_+/\-]{{{SHORTEST},}}={{0,2}})", 1)
-    shaped = rows.select(
-        "doc_id", "path", "from", "word", key.alias("key"), value.alias("value"),
-        F.when(sign, F.col("two")).otherwise(F.col("one")).alias("before"), "after",
-        (sign | F.col("one").rlike(r"[=:]$") | (own_key != "")).alias("assigned"),
-    ).filter(
-        (F.length("value") >= SHORTEST)
-        & (F.col("assigned") | F.col("value").rlike(r"[0-9]") | (F.length("value") >= 20))
+    keyed = parts.select(
+        "doc_id", "path", key.alias("key"), "after",
+        (F.col("from") + F.col("part.from") + F.length(head)).alias("from"),
+        F.substring("part.text", F.length(head) + 1, F.length("part.text")).alias("rest"),
+        F.regexp_extract(head, r"""(["'`])$""", 1).alias("quote"),
+        F.when(~first, F.lit("")).when(sign, F.col("two")).otherwise(F.col("one")).alias("before"),
+        (sign | (first & F.col("one").rlike(r"[=:]$")) | (own_key != "")).alias("assigned"),
     )
-    start = F.col("from") + F.instr("word", F.col("value")) - 1
-    return shaped.select(
-        "doc_id", start.cast("long").alias("start"), "value", "key", "before", "after", "path", "assigned"
+    # the whole value: to the quote that it began with, else without closing marks
+    opened = F.when(F.col("quote") == "", F.regexp_extract("rest", rf"^(?:{_QUOTE}|[(\[{{])+", 0)).otherwise("")
+    inner = F.substring("rest", F.length(opened) + 1, F.length("rest"))
+    mark = F.when(F.col("quote") != "", F.col("quote")).otherwise(F.regexp_extract(opened, r"""(["'`])$""", 1))
+    value = F.when(
+        (mark != "") & inner.contains(mark), F.regexp_replace(F.split_part(inner, mark, F.lit(1)), r"\\\\$", "")
+    ).otherwise(F.regexp_replace(inner, r"""[;,&"'`)\]}>.:|<\\\\]+$""", ""))
+    runs = F.filter(
+        _located(F.regexp_extract_all("rest", F.lit(rf"{_RUN}+={{0,2}}|[^A-Za-z0-9_+/\-]+"), F.lit(0))),
+        lambda x: x["text"].rlike(rf"^{_RUN}{{{SHORTEST}}}"),
     )
+    each = F.transform(runs, lambda x: F.struct(x["text"].alias("value"), x["from"].alias("at"), F.lit(False).alias("whole")))
+    own = F.struct(value.alias("value"), F.length(opened).alias("at"), F.lit(True).alias("whole"))
+    secret = F.col("assigned") & F.col("key").rlike(KEY_WORDS)
+    both = F.when(secret, F.concat(F.array(own), F.filter(each, lambda x: x["value"] != value))).otherwise(each)
+    return (
+        keyed.withColumn("found", both)
+        .select("doc_id", "path", "key", "before", "after", "assigned", "from", F.explode("found").alias("x"))
+        .filter(
+            F.when(F.col("x.whole"), F.col("x.value") != "").otherwise(
+                F.col("assigned") | F.col("x.value").rlike(r"[0-9]") | (F.length("x.value") >= 20)
+            )
+        )
+        .select(
+            "doc_id", (F.col("from") + F.col("x.at")).cast("long").alias("start"), F.col("x.value").alias("value"),
+            "key", "before", "after", "path", "assigned",
+        )
+    )
 
 
 def with_features(found: DataFrame) -> DataFrame:
@@ -163,6 +252,10 @@ KINDS = (
     (1, "concat('sk_live_', substr(translate(b, '+/=', 'xyz'), 1, 24))", "'api_key'", "w", "x", "p"),
     (1, "substr(b, 1, 32)", "'authorization'", "'bearer'", "x", "p"),
     (1, "substr(a, 1, 32)", "'apikey'", "'apikey'", "x", "p"),
+    (1, "concat(substr(b, 1, 3 + pmod(n, 6)), substr('!$#@%', 1 + pmod(n, 5), 1), substr(a, 1, 2 + pmod(n, 3)))", "'password'", "'password'", "x", "p"),
+    (1, "substr(a, 1, 6 + pmod(n, 6))", "'secret'", "'secret'", "x", "p"),
+    (0, "w", "'password'", "'password'", "x", "p"),
+    (0, "concat('<', w, '>')", "'token'", "'token'", "x", "p"),
     (0, "substr(a, 1, 40)", "''", "'commit'", "x", "p"),
     (0, "substr(a, 1, 32)", "'md5'", "'md5'", "x", "p"),
     (0, "substr(a, 1, 64)", "'sha256'", "'digest'", "x", "p"),
