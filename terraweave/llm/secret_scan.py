@@ -123,20 +123,25 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\s").alias("words"),
     )
 
-    def introduced(word: Column, i: Column) -> Column:
+    def introduced(word: Column, one: Column, two: Column) -> Column:
         """Whether the word holds a key of secrets and its sign, or follows them."""
-        one, two = F.get("words", i - 1), F.get("words", i - 2)
         return ((word.contains("=") | word.contains(":")) & word.rlike(rf"(?i)(?:{_SECRET_KEY})[\w.\-\\\"'`]*[=:]+.")) | (
             (one.endswith("=") | one.endswith(":"))
             & (one.rlike(rf"(?i)(?:{_SECRET_KEY})[\w.\-\\\"'`]*[=:]+$") | (one.rlike("^[=:]+$") & two.rlike(KEY_WORDS)))
         )
 
-    long_enough = F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
-        lambda x: (x["word"] != "")
-        & (
-            ((F.length(x["word"]) >= SHORTEST) & x["word"].rlike(rf"{_RUN}{{{SHORTEST}}}"))
-            | F.coalesce(introduced(x["word"], x["at"]), F.lit(False))
+    # bound, as the optimiser would cut the text again for each word
+    long_enough = _bound(
+        F.col("words"),
+        lambda words: F.filter(
+            F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
+            lambda x: (x["word"] != "")
+            & (
+                ((F.length(x["word"]) >= SHORTEST) & x["word"].rlike(rf"{_RUN}{{{SHORTEST}}}"))
+                | F.coalesce(
+                    introduced(x["word"], F.get(words, x["at"] - 1), F.get(words, x["at"] - 2)), F.lit(False)
+                )
+            ),
         ),
     )
     found = cut.withColumn("found", long_enough).filter(F.size("found") > 0)
