@@ -274,6 +274,11 @@ KINDS: dict[str, tuple[str, Callable[[bytes, str], str]]] = {
     "phone": (r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)|(?<![\w+])\+\d{1,3}(?:[ .-]?\d{2,4}){3,5}(?!\d)", _phone),
     "name": (rf"\b(?:{_TITLED})\.?\s{_WORD}(?:\s(?:{_FAMILY}))?\b|\b(?:{_GIVEN})\s(?:{_FAMILY})\b", _name),
 }
+#: Shortened IPv6 addresses; `::1` and slices like `1::2` have too few digits for one.
+_SHORT_IPV6 = re.compile(r"(?<![\w:])(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?::(?:[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6})?(?![\w:]|\.\d)")
+_LEAST_HEXES = 5
+_IPV6 = re.compile(KINDS["ipv6"][0])
+_COLONS = re.compile(r":[0-9A-Fa-f]{1,4}:")
 _NAME = re.compile(KINDS["name"][0])
 _EMAIL = re.compile(KINDS["email"][0])
 _NUMBERED = [k for k in KINDS if k not in ("name", "email")]
@@ -309,6 +314,14 @@ def entities(text: str | None) -> list[tuple[str, int, int, str]]:
     if "@" in text:
         found += [("email", m.start(), m.end(), m.group()) for m in _EMAIL.finditer(text)]
     found += _numbers(text)
+    if _COLONS.search(text):
+        found += [("ipv6", m.start(), m.end(), m.group()) for m in _IPV6.finditer(text)]
+    if "::" in text:
+        found += [
+            ("ipv6", m.start(), m.end(), m.group())
+            for m in _SHORT_IPV6.finditer(text)
+            if len(m.group().replace(":", "")) >= _LEAST_HEXES and sum(map(bool, m.group().split(":"))) <= 7
+        ]
     if not _NAME_WORDS.isdisjoint(_WORDS.findall(text)):
         # a title before a word without a capital is no evidence
         found += [

@@ -274,6 +274,15 @@ def test_cards_ibans_names():
     assert pii.surrogate(key, "email", "A.b@Ex.org").lower() == pii.surrogate(key, "email", "a.B@ex.org").lower()
 
 
+def test_ipv6_addresses_in_every_form():
+    for t in ("2001:db8::1", "fe80::1ff:fe23:4567:890a", "2001:db8::", "::ffff:c0a8:1", "abcd:efab:cdef:abcd:efab:cdef:abcd:efab"):
+        new = pii.surrogate(b"k", "ipv6", t)
+        for x in (t, new):
+            assert pii.entities(f"from {x}, to") == [("ipv6", 5, 5 + len(x), x)]
+        assert new != t and re.sub("[0-9a-f]", "0", new) == re.sub("[0-9a-f]", "0", t)
+    assert not pii.entities("x[::2] y[1::2] std::vector ::1 1:2:3:4:5:6:7:8::9:10")
+
+
 def test_permutation():
     for n in (2, 3, 10, 97, 1000):
         assert sorted(pii.permuted(b"k", "t", x, n) for x in range(n)) == list(range(n))
