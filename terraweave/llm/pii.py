@@ -156,8 +156,16 @@ def _card(key: bytes, text: str) -> str:
     """Issuer's first digit and length stay; a valid check digit stays valid."""
     digits = _digits(text)
     good = luhn_digit(digits[:-1]) == digits[-1]
-    body = replaced_characters(key, "card" if good else "number", digits[:-1] if good else digits, lambda k: k > 0)
-    return _in_place(text, body + luhn_digit(body) if good else body)
+    if good:
+        body = replaced_characters(key, "card", digits[:-1], lambda k: k > 0)
+        return _in_place(text, body + luhn_digit(body))
+    size = len(digits) - 1
+    spelled = lambda x: f"{digits[0]}{x:0{size}d}"
+    # among numbers without a valid check digit only, so none meets a card's
+    new = replaced_number(
+        key, f"number\x1f{spelled(0)}", int(digits[1:]), 10**size, lambda x: luhn_digit(spelled(x)[:-1]) != spelled(x)[-1]
+    )
+    return _in_place(text, spelled(new))
 
 
 def _ordinary(number: int) -> bool:
@@ -192,12 +200,17 @@ def _ipv6(key: bytes, text: str) -> str:
     return "".join(reversed(out))
 
 
+def _iban_check(country: str, body: str) -> int:
+    return 98 - int("".join(str(int(c, 36)) for c in body + country + "00")) % 97
+
+
 def _iban(key: bytes, text: str) -> str:
-    """Country and length stay; the two check digits are reckoned anew."""
+    """Country and length stay; the two check digits are reckoned anew, and as far
+    from the right ones as they were."""
     plain = re.sub(r"\s", "", text)
-    body = replaced_characters(key, f"iban{plain[:2]}", plain[4:])
-    spelled = "".join(str(int(c, 36)) for c in body + plain[:2] + "00")
-    new = plain[:2] + f"{98 - int(spelled) % 97:02d}" + body
+    country, body = plain[:2], replaced_characters(key, f"iban{plain[:2]}", plain[4:])
+    wrong = int(plain[2:4]) - _iban_check(country, plain[4:])
+    new = country + f"{(_iban_check(country, body) + wrong) % 100:02d}" + body
     left = iter(new)
     return "".join(c if c.isspace() else next(left) for c in text)
 
