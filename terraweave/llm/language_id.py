@@ -46,10 +46,12 @@ _BLANK = 32
 
 
 def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
-    """For the basic plane: lower-cased code points and whether they are letters."""
-    lower = np.arange(0x10000, dtype=np.uint32)
-    letter = np.zeros(0x10000, bool)
-    for c in range(0x10000):
+    """For all code points: lower-cased ones and whether they are letters."""
+    lower = np.arange(0x110000, dtype=np.uint32)
+    letter = np.zeros(0x110000, bool)
+    # ideographs that this Python's tables do not know yet
+    letter[0x20000:0x40000] = True
+    for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
             letter[c] = True
@@ -71,11 +73,7 @@ def letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
     sizes = np.fromiter((0 if t is None else len(t) for t in texts), np.int64, len(texts)) + 1
     owner = np.repeat(np.arange(len(texts)), sizes)
-    low = codes < 0x10000
-    safe = np.where(low, codes, 0)
-    # beyond the basic plane: letters of rare scripts count as letters as they are
-    is_letter = np.where(low, _LETTER[safe], (codes >= 0x20000) & (codes < 0x40000))
-    out = np.where(is_letter, np.where(low, _LOWER[safe], codes), _BLANK).astype(np.uint32)
+    out = np.where(_LETTER[codes], _LOWER[codes], _BLANK).astype(np.uint32)
     blank = out == _BLANK
     keep = ~blank | np.concatenate([[True], ~blank[:-1] | (owner[1:] != owner[:-1])])
     return out[keep], owner[keep]

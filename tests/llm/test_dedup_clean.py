@@ -213,6 +213,13 @@ def test_languages(spark):
     assert {r.lang_pred for r in li.identify(df.withColumn("lang", df.lang.substr(9, 1).cast("string")).filter("lang = 'x'")).collect()} == set()
 
 
+def test_letters_of_all_planes():
+    for c in "aÉяא漢\U00010330\U00010400\U0001e900\U00011103\U0001d4d0\U00020000":
+        codes, _ = li.letters([f"1{c}2"])
+        assert codes.tolist() == [32, ord(c.lower()), 32], c
+    assert li.letters(["\U0001f600 1!"])[0].tolist() == [32]
+
+
 def test_documents_of_no_language_are_rejected(spark):
     pools = {"aa": "lorem ipsum dolor sit amet consect".split(), "bb": "krz strz przy chrzan wiesz".split()}
     rng = random.Random(5)
