@@ -12,31 +12,30 @@ the full length give the ids.
 from __future__ import annotations
 
 import json
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .textcut import BoundedCache, by_bytes, keys_of, spelled
+from .bpe_tables import NEVER, PairTable, PairTest, SuffixAutomaton
+from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, ragged, release
 
-#: Entries of a worker's caches of segments and of pair tests.
-CACHED_SEGMENTS = 160_000
-CACHED_WORDS = 300_000
-CACHED_PAIRS = 150_000
+#: Words encoded side by side at a time; words of more symbols are encoded alone.
+LANES = 1 << 14
+SIDE_BY_SIDE = 64
 
 
-#: The normaliser and splitter that _latin_pieces stands for.
+#: The normaliser and splitter that PrefixBpe.style stands for.
 LATIN_NORMALISER = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
 LATIN_SPLIT = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
 #: Texts of these characters only are split without the library: lower-casing maps
 #: each to one of them, composing changes none, and their classes are plain.
 _LATIN = re.compile("[\x20-\x7e\n\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
-_SMALL = "a-z\u00df-\u00f6\u00f8-\u00ff"
-_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_SMALL}]+|[0-9]|[^ \n{_SMALL}0-9]+")
+_WHITE = re.compile("[ \n]")
 
 
 def _byte_characters() -> list[str]:
@@ -47,85 +46,12 @@ def _byte_characters() -> list[str]:
     return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
-_BYTE = _byte_characters()
-
-
-def _latin_pieces(text: str) -> list[str]:
-    """The pre-tokens of a text that _LATIN matches, in byte characters."""
-    found = _PIECES.findall(text.lower())
-    return [p if p.isascii() else "".join([_BYTE[b] for b in p.encode()]) for p in found]
-
-
-class SuffixAutomaton:
-    """The generalised suffix automaton of the vocabulary's symbol strings.
-
-    State 0 is the empty string. A text is followed symbol by symbol: while a state
-    has no transition its link leads to a shorter suffix, so the state is always that
-    of the longest text suffix that occurs in any entry. `ends` lists the entries
-    that are suffixes of what a state spells.
-    """
-
-    def __init__(self, words: list[tuple[tuple[int, ...], int]]):
-        self.next: list[dict[int, int]] = [{}]
-        self.link: list[int] = [-1]
-        self.long: list[int] = [0]
-        for symbols, _ in words:
-            last = 0
-            for s in symbols:
-                last = self._extend(last, s)
-        self.entry: dict[int, tuple[int, int]] = {}
-        for symbols, token in words:
-            at = 0
-            for s in symbols:
-                at = self.next[at][s]
-            self.entry[at] = (len(symbols), token)
-        self.found: dict[int, tuple[tuple[int, int], ...]] = {}
-
-    def _new(self, long: int, like: int | None = None) -> int:
-        self.next.append({} if like is None else dict(self.next[like]))
-        self.link.append(0 if like is None else self.link[like])
-        self.long.append(long)
-        return len(self.long) - 1
-
-    def _split(self, p: int, q: int, symbol: int) -> int:
-        clone = self._new(self.long[p] + 1, q)
-        self.link[q] = clone
-        while p >= 0 and self.next[p].get(symbol) == q:
-            self.next[p][symbol] = clone
-            p = self.link[p]
-        return clone
-
-    def _extend(self, last: int, symbol: int) -> int:
-        known = self.next[last].get(symbol)
-        if known is not None:
-            return known if self.long[known] == self.long[last] + 1 else self._split(last, known, symbol)
-        new = self._new(self.long[last] + 1)
-        p = last
-        while p >= 0 and symbol not in self.next[p]:
-            self.next[p][symbol] = new
-            p = self.link[p]
-        if p >= 0:
-            q = self.next[p][symbol]
-            self.link[new] = q if self.long[q] == self.long[p] + 1 else self._split(p, q, symbol)
-        return new
-
-    def ends(self, state: int) -> tuple[tuple[int, int], ...]:
-        """(length, token) of the entries that end what a state spells, longest first."""
-        found = self.found.get(state)
-        if found is None:
-            own = []
-            at = state
-            while at > 0:
-                if at in self.entry:
-                    own.append(self.entry[at])
-                at = self.link[at]
-            found = self.found[state] = tuple(own)
-        return found
-
-
 class PrefixBpe:
     """A BPE vocabulary of a tokenizers JSON file, encoded by per-prefix DP."""
 
+    style = {"blank_leads": False, "digits_alone": True}
+    lower = True
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -138,207 +64,286 @@ class PrefixBpe:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.suffix = model.get("end_of_word_suffix") or ""
         vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ", 1)) for m in model["merges"]]
-        self.rank: dict[tuple[int, int], int] = {}
-        self.halves: dict[int, tuple[int, int, int]] = {}
+        rank: dict[tuple[int, int], int] = {}
+        halves: dict[int, tuple[int, int, int]] = {}
         for r, (a, b) in enumerate(merges):
             if a in vocab and b in vocab and a + b in vocab:
-                self.rank.setdefault((vocab[a], vocab[b]), r)
-                self.halves.setdefault(vocab[a + b], (vocab[a], vocab[b], r))
-        self.symbol = {t: i for t, i in vocab.items() if i not in self.halves}
-        self.spelled: dict[int, tuple[int, ...]] = {}
-        words = [(self._spell(i), i) for i in vocab.values()]
-        self.text = {i: t for t, i in vocab.items()}
-        #: Answers of pair tests, and ids of words: those of late, and those before.
-        self.pairs: dict[tuple[int, int], bool] = {}
-        self.words: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        #: The spine test needs that each entry comes from one merge only.
-        self.one_merge = len(self.rank) == len(self.halves)
+                rank.setdefault((vocab[a], vocab[b]), r)
+                halves.setdefault(vocab[a + b], (vocab[a], vocab[b], r))
+        if len(rank) != len(halves):
+            raise ValueError("the pair test needs that each entry comes from one merge only")
+        size = max(vocab.values(), default=-1) + 1
+        self.halves = np.full((size, 3), -1, np.int32)
+        if halves:
+            self.halves[list(halves)] = list(halves.values())
+        pairs = np.array(list(rank), np.int32).reshape(-1, 2)
+        self.rank = PairTable(pairs[:, 0], pairs[:, 1], np.array(list(rank.values()), np.int32))
+        made = [vocab[merges[r][0] + merges[r][1]] for r in rank.values()]
+        self.joined = PairTable(pairs[:, 0], pairs[:, 1], np.array(made, np.int32))
+        self.pair_test = PairTest(self.rank, self.halves)
+        self._name_symbols({t: i for t, i in vocab.items() if i not in halves}, model.get("end_of_word_suffix") or "")
+        self._build_automaton(vocab)
+        self.special = {str(t.content): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        texts = [""] * (max([size - 1, *self.special.values()]) + 1)
+        for t, i in [*vocab.items(), *self.special.items()]:
+            texts[i] = t
+        self.texts = pa.array(texts, pa.string())
+        longest = sorted(self.special, key=len, reverse=True)
+        self.any_special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
+
+    def _name_symbols(self, base: dict[str, int], suffix: str) -> None:
+        """Which entry a character is inside a word and at its end, by code point.
+
+        Where characters stand for bytes, those below 256 that stand for no byte
+        are taken for the byte of their number.
+        """
+        self.symbol = {t: i for t, i in base.items() if len(t) == 1}
+        final = {t[: -len(suffix)]: i for t, i in base.items() if suffix and t.endswith(suffix)} or self.symbol
+        self.inside, self.final = (self._by_code_point(m) for m in (self.symbol, final))
+
+    def _by_code_point(self, symbols: dict[str, int]) -> np.ndarray:
+        out = np.full(max([511, *map(ord, symbols)]) + 1, -1, np.int32)
+        if self.latin:
+            for byte, mark in enumerate(_byte_characters()):
+                out[byte] = symbols.get(mark, -1)
+        for mark, i in symbols.items():
+            out[ord(mark)] = i
+        return out
+
+    def _build_automaton(self, vocab: dict[str, int]) -> None:
+        left, right, rank = self.halves.T
+        base = rank < 0
+        reached = np.ones(len(rank), bool)
+        merged = np.flatnonzero(~base)
         # an entry that merging cannot reach never ends a prefix
-        self.automaton = SuffixAutomaton([(w, i) for w, i in words if self._merged(w) == [i]])
-        self.special = {}
-        for i, t in self.tokenizer.get_added_tokens_decoder().items():
-            self.special[str(t.content)] = i
-            self.text[i] = str(t.content)
-        #: What all special strings begin with; nothing, if they have nothing in common.
-        self.special_start = os.path.commonprefix(list(self.special)) if self.special else "\0\0"
-
-    def _spell(self, token: int) -> tuple[int, ...]:
-        known = self.spelled.get(token)
-        if known is None:
-            half = self.halves.get(token)
-            known = (token,) if half is None else self._spell(half[0]) + self._spell(half[1])
-            self.spelled[token] = known
-        return known
-
-    def _merged(self, symbols: tuple[int, ...]) -> list[int]:
-        """Plain merging of a short symbol string, lowest rank first, leftmost first."""
-        out = list(symbols)
+        reached[merged] = ~self.pair_test.straddled(left[merged], right[merged], before=-1)
+        spelled: dict[int, tuple[int, ...]] = {int(i): (int(i),) for i in np.flatnonzero(base)}
+        later = []
+        for i in merged[np.argsort(rank[merged], kind="stable")].tolist():
+            a, b = int(left[i]), int(right[i])
+            if a not in spelled or b not in spelled:
+                later.append(i)
+                continue
+            spelled[i] = spelled[a] + spelled[b]
+            reached[i] &= reached[a] and reached[b]
+        if later:
+            raise ValueError("a merge comes before its halves: not a BPE vocabulary")
+        #: Symbols of each entry.
+        self.long = np.zeros(len(rank), np.int32)
+        self.long[list(spelled)] = [len(w) for w in spelled.values()]
+        self.automaton = SuffixAutomaton([(spelled[i], i) for i in vocab.values() if reached[i]])
+
+    def spell(self, token: int) -> tuple[int, ...]:
+        """The symbols of an entry."""
+        left, right, rank = self.halves[token].tolist()
+        return (token,) if rank < 0 else self.spell(left) + self.spell(right)
+
+    def merged(self, symbols: list[int]) -> list[int]:
+        """Plain merging of a symbol string, lowest rank first, leftmost first."""
+        out = np.array(symbols, np.int32)
         while len(out) > 1:
-            best = min((self.rank.get(p, 1 << 60), k) for k, p in enumerate(zip(out, out[1:], strict=False)))
-            if best[0] == 1 << 60:
+            rank = self.rank.get(out[:-1], out[1:])
+            rank[rank < 0] = NEVER
+            k = int(rank.argmin())
+            if rank[k] == NEVER:
                 break
-            k = best[1]
-            out[k : k + 2] = [self._joined(out[k], out[k + 1])]
-        return out
-
-    def _joined(self, a: int, b: int) -> int:
-        if not hasattr(self, "_join"):
-            self._join = {}
-            for token, (x, y, _) in self.halves.items():
-                self._join[x, y] = token
-            spelled = {self._spell(t): t for t in self.halves}
-            for x, y in self.rank:
-                self._join.setdefault((x, y), spelled.get(self._spell(x) + self._spell(y), -1))
-        return self._join[a, b]
+            out = np.concatenate([out[:k], self.joined.get(out[k : k + 1], out[k + 1 : k + 2]), out[k + 2 :]])
+        return out.tolist()
 
     def compatible(self, a: int, b: int) -> bool:
         """Whether the symbols of a and b together are encoded as a, b."""
-        known = self.pairs.get((a, b))
-        if known is None:
-            if self.one_merge:
-                known = not self._straddled(a, b)
-            else:
-                known = self._merged(self.spelled[a] + self.spelled[b]) == [a, b]
-            if len(self.pairs) >= CACHED_PAIRS:
-                self.pairs.clear()
-            self.pairs[a, b] = known
-        return known
-
-    def _straddled(self, a: int, b: int) -> bool:
-        """Whether some merge across the border comes before a and b are complete.
-
-        Undo the later of the two inner merges, again and again: what then stands
-        at the border was there until that merge. Of equal merges the leftmost is
-        the first, so one across the border precedes an equal one inside b.
-        """
-        before = 1 << 60
-        while True:
-            rank = self.rank.get((a, b))
-            if rank is not None and rank < before:
-                return True
-            left, right = self.halves.get(a), self.halves.get(b)
-            if left is None and right is None:
-                return False
-            if right is None or (left is not None and left[2] > right[2]):
-                a, before = left[1], left[2]
-            else:
-                b, before = right[0], right[2] + 1
+        return bool(self.pair_test(np.array([a]), np.array([b]))[0])
 
     def encode_symbols(self, symbols: list[int]) -> list[int]:
-        """The ids of one pre-token, by the last token of each of its prefixes."""
-        # the automaton's step and ends, spelled out: this loop is the operator's cost
-        machine, pairs = self.automaton, self.pairs
-        following, link, reach, known_ends = machine.next, machine.link, machine.long, machine.found
-        last = [-1] * (len(symbols) + 1)
-        back = [0] * (len(symbols) + 1)
-        state = long = 0
-        for i, s in enumerate(symbols, 1):
-            ways = following[state]
-            while state and s not in ways:
-                state = link[state]
-                long = reach[state]
-                ways = following[state]
-            state = ways[s]
-            long += 1
-            ends = known_ends.get(state)
-            if ends is None:
-                ends = machine.ends(state)
-            for n, token in ends:
-                if n > long:
-                    continue
-                if n < i:
-                    before = last[i - n]
-                    known = pairs.get((before, token))
-                    if known is None:
-                        known = self.compatible(before, token)
-                    if not known:
-                        continue
-                last[i], back[i] = token, i - n
-                break
-            else:
-                raise ValueError("no token ends this prefix: not a BPE vocabulary")
-        out = []
-        at = len(symbols)
+        """The ids of one symbol string."""
+        ids, _ = self._encode_lanes(np.array(symbols, np.int32), np.zeros(1, np.int64), np.array([len(symbols)]))
+        return ids.tolist()
+
+    def _encode_lanes(
+        self, symbols: np.ndarray, starts: np.ndarray, sizes: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of symbol strings, longest first, by the last token of each prefix.
+
+        All strings advance by one symbol at a time: the automaton names the entries
+        that end there, longest first, and the first that is compatible with the last
+        token of what remains before it is the prefix's own last token.
+        """
+        machine = self.automaton
+        width, lanes = int(sizes[0]) if len(sizes) else 0, len(sizes)
+        last = np.full((width + 1, lanes), -1, np.int32)
+        state, reach = np.zeros(lanes, np.int32), np.zeros(lanes, np.int32)
+        for i in range(1, width + 1):
+            n = int(np.searchsorted(-sizes, -i, side="right"))
+            state, reach = machine.follow(state[:n], reach[:n], symbols[starts[:n] + (i - 1)])
+            entry, open_ = machine.entry[state], np.arange(n)
+            while len(open_):
+                at = entry[open_]
+                if (at < 0).any():
+                    raise ValueError("no token ends this prefix: not a BPE vocabulary")
+                size, token = machine.depth[at], machine.token[at]
+                fine = size <= reach[open_]
+                joins = np.flatnonzero(fine & (size < i))
+                fine[joins] = self.pair_test(last[i - size[joins], open_[joins]], token[joins])
+                last[i, open_[fine]] = token[fine]
+                open_, at = open_[~fine], at[~fine]
+                entry[open_] = machine.shorter[at]
+        # back from each string's end, token by token
+        found, at, lane = [], sizes.astype(np.int64), np.arange(lanes)
+        counts = np.zeros(lanes, np.int64)
+        while len(lane):
+            on = at[lane] > 0
+            lane = lane[on]
+            token = last[at[lane], lane]
+            found.append((lane, token))
+            counts[lane] += 1
+            at[lane] -= self.long[token]
+        ids, place = np.zeros(int(counts.sum()), np.uint32), np.cumsum(counts) - 1
+        for lane, token in found:
+            ids[place[lane]] = token
+            place[lane] -= 1
+        return ids, counts
+
+    def _encode_alone(self, symbols: np.ndarray) -> np.ndarray:
+        """The same for one long string, a symbol at a time."""
+        machine = self.automaton
+        last = np.full(len(symbols) + 1, -1, np.int32)
+        state, reach = np.zeros(1, np.int32), np.zeros(1, np.int32)
+        for i in range(1, len(symbols) + 1):
+            state, reach = machine.follow(state, reach, symbols[i - 1 : i])
+            at = int(machine.entry[state[0]])
+            while True:
+                if at < 0:
+                    raise ValueError("no token ends this prefix: not a BPE vocabulary")
+                size, token = int(machine.depth[at]), int(machine.token[at])
+                if size <= reach[0] and (size == i or self.compatible(int(last[i - size]), token)):
+                    break
+                at = int(machine.shorter[at])
+            last[i] = token
+        out, at = [], len(symbols)
         while at:
             out.append(last[at])
-            at = back[at]
-        return out[::-1]
+            at -= int(self.long[last[at]])
+        return np.array(out[::-1], np.uint32)
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in one array, and how many each has.
+
+        A line feed and a special string are that string; other white space has no
+        ids. Pieces of Latin letters stand for their bytes.
+        """
+        counts = np.zeros(len(pieces), np.int64)
+        special: dict[int, int] = {}
+        words = pieces
+        if self.latin:
+            words = [p if p.isascii() or not _LATIN.fullmatch(p) else p.encode().decode("latin-1") for p in pieces]
+        for k, p in enumerate(pieces):
+            if p[:1] == "\n" and p[1:] in self.special:
+                special[k] = self.special[p[1:]]
+        gone = [k for k, p in enumerate(pieces) if k in special or (self.latin and p[:1] in (" ", "\n"))]
+        if gone:
+            words = words.copy() if words is pieces else words
+            for k in gone:
+                words[k] = ""
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        marks = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
+        symbols = self.inside[marks]
+        ends = np.cumsum(sizes)
+        filled = sizes > 0
+        symbols[ends[filled] - 1] = self.final[marks[ends[filled] - 1]]
+        if (symbols < 0).any():
+            raise ValueError("a character is no symbol of the vocabulary")
+        starts = ends - sizes
+        order = np.argsort(-sizes, kind="stable")
+        long = int(np.searchsorted(-sizes[order], -SIDE_BY_SIDE, side="left"))
+        parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        for k in order[:long].tolist():
+            own = self._encode_alone(symbols[starts[k] : ends[k]])
+            parts.append((np.array([k]), own, np.array([len(own)])))
+        for low in range(long, len(order), LANES):
+            lanes = order[low : low + LANES]
+            parts.append((lanes, *self._encode_lanes(symbols, starts[lanes], sizes[lanes])))
+        for which, _, own in parts:
+            counts[which] = own
+        for k in special:
+            counts[k] = 1
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.uint32)
+        for which, ids, own in parts:
+            out[ragged(begin[which], own)] = ids
+        for k, i in special.items():
+            out[begin[k]] = i
+        return out, counts
+
+    def plain(self, text: str) -> bool:
+        """Whether the text is split without the library; special strings are not."""
+        return self.latin and _LATIN.fullmatch(text) is not None and not self._has_special(text)
+
+    def _has_special(self, text: str) -> bool:
+        return self.any_special is not None and self.any_special.search(text) is not None
+
+    def parts(self, text: str, most: int) -> Iterator[str]:
+        """Parts of about `most` characters: white space separates pieces and is in none."""
+        at = 0
+        while self.latin and len(text) - at > most:
+            found = _WHITE.search(text, at + most)
+            if found is None:
+                break
+            yield text[at : found.start()]
+            at = found.start()
+        yield text[at:]
+
+    def cut(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text.
 
-    def _plain(self, text: str) -> list[int]:
-        """Ids of text without special strings: normalise, pre-tokenise, encode."""
+        Special strings are found before all else, leftmost first and of those that
+        begin together the longest; each is a piece of its own after a line feed.
+        """
+        if self.any_special is None:
+            yield from self._plain(text)
+            return
+        at = 0
+        for found in self.any_special.finditer(text):
+            if found.start() > at:
+                yield from self._plain(text[at : found.start()])
+            yield ["\n" + found.group()]
+            at = found.end()
+        if at < len(text):
+            yield from self._plain(text[at:] if at else text)
+
+    def _plain(self, text: str) -> Iterator[list[str]]:
+        """Pieces of text without special strings: normalise, then pre-tokenise."""
         tk = self.tokenizer
-        out: list[int] = []
-        if self.latin and _LATIN.fullmatch(text):
-            pieces = _latin_pieces(text)
-        else:
-            if tk.normalizer is not None:
-                text = tk.normalizer.normalize_str(text)
-            pieces = [p for p, _ in tk.pre_tokenizer.pre_tokenize_str(text)] if tk.pre_tokenizer is not None else [text]
-        for piece in pieces:
-            ids = self.words.get(piece)
-            if ids is None:
-                ids = self.older.get(piece)
-                if len(self.words) >= CACHED_WORDS // 2:
-                    self.words, self.older = {}, self.words
-                if ids is not None:
-                    self.words[piece] = ids
-            if ids is None:
-                marks = list(piece)
-                if self.suffix:
-                    marks[-1] += self.suffix
-                ids = self.encode_symbols([self.symbol[m] for m in marks])
-                self.words[piece] = ids
-            out += ids
-        return out
+        if tk.normalizer is not None:
+            text = tk.normalizer.normalize_str(text)
+        yield [p for p, _ in tk.pre_tokenizer.pre_tokenize_str(text)] if tk.pre_tokenizer is not None else [text]
 
-    def encode_segment(self, segment: str) -> list[int]:
-        """Ids of a segment, whose special strings become their single ids."""
-        if not segment:
-            return []
-        if self.special_start not in segment:
-            return self._plain(segment)
-        cut = [(segment.find(s), s) for s in self.special if s in segment]
-        if not cut:
-            return self._plain(segment)
-        # leftmost first; of those that begin there the longest
-        at, s = min(cut, key=lambda x: (x[0], -len(x[1])))
-        return (
-            (self._plain(segment[:at]) if at else [])
-            + [self.special[s]]
-            + self.encode_segment(segment[at + len(s) :])
-        )
+    def decoded(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
+        """What the library's decode(ids, skip_special_tokens=False) gives for each text."""
+        ends = np.concatenate([[0], np.cumsum(counts)])
+        if self.tokenizer.decoder is None:
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.texts.take(pa.array(ids)))
+            return pc.binary_join(lists, " ")
+        own = ids.tolist()
+        runs = [own[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        return pa.array(self.tokenizer.decode_batch(runs, skip_special_tokens=False), pa.string())
 
 
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> PrefixBpe:
+    """The vocabulary's flat tables, kept by a worker; pieces' ids go with their task."""
     return PrefixBpe(path)
 
 
-@lru_cache(maxsize=2)
-def segment_cache(path: str) -> BoundedCache:
-    return BoundedCache(CACHED_SEGMENTS)
-
-
 def encode_text(bpe: PrefixBpe, text: str) -> list[int]:
-    """Ids of a whole text.
-
-    Pieces are cut where neither normalising, nor splitting, nor merging looks across.
-    """
-    out: list[int] = []
-    for key in keys_of(text):
-        out += bpe.encode_segment(spelled(key))
-    return out
+    """Ids of a whole text."""
+    return ids_of_texts(PieceTable(bpe.encode_pieces), bpe, [text])[0].tolist()
 
 
 def decode_ids(bpe: PrefixBpe, ids: list[int]) -> str:
-    """What the library's decode(ids, skip_special_tokens=False) gives."""
-    if bpe.tokenizer.decoder is None:
-        return " ".join(map(bpe.text.__getitem__, ids))
-    return bpe.tokenizer.decode(ids, skip_special_tokens=False)
+    """The text of ids, special strings included."""
+    return bpe.decoded(np.array(ids, np.uint32), np.array([len(ids)]))[0].as_py()
 
 
 def encode_documents(
@@ -348,41 +353,30 @@ def encode_documents(
 
     `ids` holds little-endian unsigned 32-bit integers. A null text is empty (no
     ids, decoded ''); null ids, repeated rows and empty tables pass through; other
-    columns are not read. Long texts are encoded whole, segment by segment, and
-    equal segments once per worker while its bounded cache lasts.
+    columns are not read. Long texts are encoded whole, in parts that end at white
+    space, and equal pieces once per task while its bounded table lasts.
     """
     id_type = df.schema[id_col].dataType.simpleString()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        cache = segment_cache(path)
-
-        def encoded(texts: list[str]) -> Iterator[tuple[bytes, str]]:
-            cut = [keys_of(t) for t in texts]
-            wanted: set = set().union(*cut)
-            cache.room(len(wanted))
-            for key in cache.lacking(wanted):
-                cache[key] = np.asarray(bpe.encode_segment(spelled(key)), "<u4").tobytes()
-            for own in cut:
-                ids = b"".join(map(cache.__getitem__, own))
-                yield ids, decode_ids(bpe, np.frombuffer(ids, "<u4").tolist())
-
-        for batch in batches:
-            packed, counts, decoded = [], [], []
-            for _, texts in by_bytes(enumerate(t or "" for t in batch.column(1).to_pylist()), 1 << 20):
-                for ids, text in encoded(texts):
-                    packed.append(ids)
-                    counts.append(len(ids) // 4)
-                    decoded.append(text)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0),
-                    pa.array(packed, pa.binary()),
-                    pa.array(counts, pa.int64()),
-                    pa.array(decoded, pa.string()),
-                ],
-                names=[id_col, "ids", "n_tokens", "decoded"],
-            )
+        table = PieceTable(bpe.encode_pieces)
+        try:
+            for batch in batches:
+                for at, n in byte_slices(batch.column(1)):
+                    ids, counts = ids_of_texts(table, bpe, batch.column(1).slice(at, n).to_pylist())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            batch.column(0).slice(at, n),
+                            binaries(ids, counts, "<u4"),
+                            pa.array(counts, pa.int64()),
+                            bpe.decoded(ids, counts),
+                        ],
+                        names=[id_col, "ids", "n_tokens", "decoded"],
+                    )
+        finally:
+            table.clear()
+            release()
 
     return df.select(id_col, text_col).mapInArrow(
         encode, f"`{id_col}` {id_type}, ids binary, n_tokens long, decoded string"
