@@ -81,6 +81,19 @@ def safe_spans(text: str, limit: int) -> list[str]:
     return out
 
 
+def parts(text: str, most: int) -> Iterator[str]:
+    """The text in parts of about `most` characters; all but the first begin with a
+    lone blank. A part is longer where no lone blank stands before that point."""
+    at = 0
+    while len(text) - at > most:
+        found = _LONE_SPACE.search(text, at + most)
+        if found is None:
+            break
+        yield text[at : found.start()]
+        at = found.start()
+    yield text[at:]
+
+
 def by_bytes(items: Iterable[tuple[int, str]], most: int) -> Iterator[tuple[list[int], list[str]]]:
     """Batches of (key, text) whose texts come to about `most` characters each."""
     keys: list[int] = []

@@ -11,8 +11,11 @@ Spark's committer, so a lost executor leaves no half-written shard.
 from __future__ import annotations
 
 import os
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -21,14 +24,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .textcut import BoundedCache, keys_of, spelled
+from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, ragged, release
+from .textcut import keys_of, spelled
+from .textcut import parts as parts_of
 
 BLOCK_IDS = 1 << 16
-CACHED_SEGMENTS = 800_000
-#: Segments in one call of the library.
+#: Pieces in one call of the library.
 JOINED = 256
-#: Shards of a dataset. Shard bases are broadcast only below this number.
+#: Fixed value: the character that stands for a blank in byte-level vocabularies.
+BLANK = "\u0120"
+#: Texts of a shard in bytes, about; beyond MOST_SHARDS shards they are larger. Shard
+#: bases are broadcast: a row of 16 bytes for each shard, of which RANGES more come at most.
+SHARD_BYTES = 1 << 23
 MOST_SHARDS = 100_000
+#: Estimates from here on mean that the optimizer does not know.
+UNKNOWN_BYTES = 1 << 56
+#: Ranges of ids that are looked for at most; further shards cut them into equal widths.
+RANGES = 1000
 
 BLOCK_SCHEMA = (
     "shard long, block long, bits int, n_ids long, first_doc long, last_doc long, "
@@ -70,60 +82,230 @@ def unpack_bits(payload: bytes, bits: int, n: int, first: int = 0) -> np.ndarray
     return np.packbits(wide, axis=1).view(">u4").reshape(n).astype(np.uint32)
 
 
+def _ranges(chars: list[int]) -> str:
+    """Sorted code points as the inside of a character class."""
+    own = np.array(chars)
+    first = np.concatenate([[True], np.diff(own) > 1])
+    last = np.concatenate([first[1:], [True]])
+    return "".join(f"\\u{a:04x}-\\u{b:04x}" for a, b in zip(own[first], own[last], strict=True))
+
+
+@lru_cache(maxsize=1)
+def _byte_level() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
+    """(texts that are split here, the byte-level splitter over them, a blank and a word).
+
+    Only characters whose major class has been the same since Unicode 3.2 count, so
+    the library's tables, of whatever version, name the same one.
+    """
+    kinds: dict[str, list[int]] = {"L": [], "N": [], "other": []}
+    for c in range(0x10000):
+        kind = unicodedata.category(chr(c))[0]
+        if kind in "LNMPS" and kind == unicodedata.ucd_3_2_0.category(chr(c))[0]:
+            kinds[kind if kind in "LN" else "other"].append(c)
+    letter, number, other = map(_ranges, kinds.values())
+    white = " \\t\\n\\r\\u00a0\\u3000"
+    split = f"'s|'t|'re|'ve|'m|'ll|'d| ?[{letter}]+| ?[{number}]+| ?[{other}]+|[{white}]+(?![{letter}{number}{other}])|[{white}]+"
+    return re.compile(f"[{letter}{number}{other}{white}]*"), re.compile(split), re.compile(f" [{letter}]+")
+
+
+#: Fixed value: characters beyond ASCII that are letters, each from its first byte on.
+_SIMPLE = re.compile("[\x20-\x7e\t\n\r\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u01ff\u0400-\u047f]*")
+
+
+class Library:
+    """The tokenizers library over distinct pieces."""
+
+    style = {"blank_leads": True, "digits_alone": False}
+    lower = False
+
+    def __init__(self, path: str):
+        # a task has one core; the library's own threads would take those of other tasks
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        known = self.tokenizer.get_added_tokens_decoder()
+        self.special = {str(t.content): i for i, t in known.items()}
+        alone = all(t.special and not t.normalized for t in known.values())
+        longest = sorted(self.special, key=len, reverse=True)
+        self.any_special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest and alone else None
+        vocab = self.tokenizer.get_vocab(with_added_tokens=True)
+        #: Whether an id's string begins with a blank.
+        self.blank_led = np.zeros(max(vocab.values(), default=0) + 1, bool)
+        self.blank_led[[i for t, i in vocab.items() if t[:1] == BLANK]] = True
+        #: Whether texts may be split here by _byte_level; else they are cut at blanks only.
+        self.byte_level = (
+            repr(self.tokenizer.pre_tokenizer).replace(" ", "")
+            == "ByteLevel(add_prefix_space=False,trim_offsets=True,use_regex=True)"
+            and self.tokenizer.normalizer is None
+            and (alone or not longest)
+        )
+
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces in one array, and how many each has.
+
+        The library cuts texts at special strings before all else, so one between
+        two pieces parts them, and its id marks where; many pieces go in one call.
+        """
+        mark = next(iter(self.special), None) if self.any_special is not None else None
+        if mark is None:
+            found = self._called(pieces)
+            counts = np.fromiter(map(len, found), np.int64, len(found))
+            return np.concatenate([*found, np.zeros(0, np.uint32)]), counts
+        counts = np.zeros(len(pieces), np.int64)
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+        led = _byte_level()[2].fullmatch if self.byte_level else lambda p: None
+        kinds = np.fromiter((2 if p in self.special else 1 if led(p) else 0 for p in pieces), np.int8, len(pieces))
+        for kind in range(3):
+            which = np.flatnonzero(kinds == kind)
+            own = [pieces[k] for k in which.tolist()]
+            if kind == 2:
+                ids, first = np.array([self.special[p] for p in own], np.uint32), np.arange(len(own))
+            elif kind == 1:
+                # words after a blank part themselves: only their first ids begin with it
+                runs = ["".join(own[k : k + JOINED]) for k in range(0, len(own), JOINED)]
+                ids = np.concatenate([*self._called(runs), np.zeros(0, np.uint32)])
+                first = np.flatnonzero(self.blank_led[ids])
+            else:
+                runs = [mark.join(own[k : k + JOINED]) + mark for k in range(0, len(own), JOINED)]
+                ids = np.concatenate([*self._called(runs), np.zeros(0, np.uint32)])
+                ends = np.flatnonzero(ids == self.special[mark])
+                ids, first = np.delete(ids, ends), np.concatenate([[0], ends[:-1] + 1])[: len(own)] - np.arange(len(own))
+            counts[which] = np.diff(first, append=len(ids))
+            parts.append((which, ids))
+        begin = np.cumsum(counts) - counts
+        out = np.zeros(int(counts.sum()), np.uint32)
+        for which, ids in parts:
+            out[ragged(begin[which], counts[which])] = ids
+        return out, counts
+
+    def _called(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(e.ids, np.uint32) for e in found]
+
+    def plain(self, text: str) -> bool:
+        """Whether the text is split without the library; special strings are not."""
+        return (
+            self.byte_level
+            and _SIMPLE.fullmatch(text) is not None
+            and (self.any_special is None or self.any_special.search(text) is None)
+        )
+
+    def parts(self, text: str, most: int) -> Iterator[str]:
+        """Parts of about `most` characters: no piece goes across a lone blank's left side."""
+        return parts_of(text, most) if self.byte_level else iter([text])
+
+    def cut(self, text: str) -> Iterator[list[str]]:
+        """The pieces of a text."""
+        if self.any_special is None or self.any_special.search(text) is None:
+            yield from self._plain(text)
+            return
+        for part in self.any_special.split(text):
+            if part in self.special:
+                yield [part]
+            elif part:
+                yield from self._plain(part)
+
+    def _plain(self, text: str) -> Iterator[list[str]]:
+        """Pieces of text without special strings, across which the splitter never joins."""
+        if self.byte_level:
+            simple, splitter, _ = _byte_level()
+            yield splitter.findall(text) if simple.fullmatch(text) else list(map(spelled, keys_of(text)))
+        else:
+            yield list(map(spelled, keys_of(text)))
+
+
 @lru_cache(maxsize=2)
-def library(path: str):
-    """(tokenizer, special strings, cache: segment -> ids as little-endian bytes)."""
-    # a task has one core; the library's own threads would take those of other tasks
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    from tokenizers import Tokenizer
+def library(path: str) -> Library:
+    return Library(path)
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.no_truncation()
-    tokenizer.no_padding()
-    special = {str(t.content): i for i, t in tokenizer.get_added_tokens_decoder().items() if t.special}
-    return tokenizer, special, BoundedCache(CACHED_SEGMENTS)
 
+def encode_batch(path: str, texts: list[str | None]) -> list[np.ndarray]:
+    """Ids of each whole text; the library sees each piece once."""
+    own = library(path)
+    ids, counts = ids_of_texts(PieceTable(own.encode_pieces), own, texts)
+    return np.split(ids, np.cumsum(counts)[:-1]) if len(texts) else []
 
-def _encoded(tokenizer, special: dict[str, int], wanted: list[str]) -> Iterator[tuple[str, bytes]]:
-    """Each segment with its ids, many segments to a call.
 
-    The library cuts texts at special strings before all else, so one between two
-    segments parts them; its id marks where. Segments that hold a special string go
-    alone, as do all if the vocabulary has none.
-    """
-    mark = next(iter(special), None)
-    alone = [s for s in wanted if mark is None or any(t in s for t in special)]
-    rest = wanted if not alone else [s for s in wanted if s not in set(alone)]
-    for s, e in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False), strict=True):
-        yield s, np.asarray(e.ids, "<u4").tobytes()
-    runs = [rest[k : k + JOINED] for k in range(0, len(rest), JOINED)]
-    texts = [mark.join(run) for run in runs] if runs else []
-    for run, e in zip(runs, tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True):
-        ids = np.asarray(e.ids, "<u4")
-        packed = ids.tobytes()
-        cuts = (np.flatnonzero(ids == special[mark]) * 4).tolist()
-        for s, low, high in zip(run, [0, *(c + 4 for c in cuts)], [*cuts, len(packed)], strict=True):
-            yield s, packed[low:high]
-
-
-def encode_batch(path: str, texts: list[str]) -> list[np.ndarray]:
-    """Ids of each whole text; the library sees each piece once while it is cached.
-
-    Pieces begin at lone blanks and at sentence marks, across which the library's
-    splitting never joins, so pieces encoded on their own give the ids of the whole.
+@dataclass
+class Dealing:
+    """Which shard a document belongs to: ranges of ids, each cut into equal widths.
+
+    `bounds` are ascending ids between `least` and `most`; a range begins at each. An
+    id that is several bounds fills whole ranges: its rows are dealt among them by a
+    number of their own, so that no shard holds them all.
     """
-    tokenizer, special, cache = library(path)
-    cut = [keys_of(t) for t in texts]
-    wanted: set = set().union(*cut)
-    cache.room(len(wanted))
-    lacking: dict[str, list] = {}
-    for key in cache.lacking(wanted):
-        lacking.setdefault(spelled(key), []).append(key)
-    for text, ids in _encoded(tokenizer, special, list(lacking)):
-        for key in lacking[text]:
-            cache[key] = ids
-    look = cache.__getitem__
-    return [np.frombuffer(b"".join(map(look, own)), "<u4") for own in cut]
+
+    bounds: np.ndarray
+    least: int
+    most: int
+    widths: int
+
+    @property
+    def shards(self) -> int:
+        return (len(self.bounds) + 1) * self.widths
+
+    def shard(self, ids: np.ndarray, known: np.ndarray, tie: np.ndarray) -> np.ndarray:
+        """The shard of each row, `tie` being its number from 0 to below 1; shards are in
+        ascending order of (id, tie), rows without an id come first."""
+        low, high = (np.searchsorted(self.bounds, ids, side=s) for s in ("left", "right"))
+        spread = (high - low) * tie
+        part = np.where(high > low, low + 1 + spread.astype(np.int64), low)
+        first = np.append(self.least, self.bounds).astype(np.float64)[part]
+        last = np.append(self.bounds, self.most + 1).astype(np.float64)[part]
+        inside = np.where(part < high, spread % 1, (ids - first) / np.maximum(last - first, 1))
+        width = (inside.clip(0, 1 - 1e-9) * self.widths).astype(np.int64)
+        return np.where(known, part * self.widths + width, 0)
+
+
+def dealing(df: DataFrame, shards: int, id_col: str) -> Dealing:
+    """Ranges of about equal numbers of rows; only the ids are read."""
+    ranges = min(shards, RANGES)
+    own = F.col(id_col).cast("long")
+    at = [k / ranges for k in range(1, ranges)] or [0.5]
+    bounds, least, most = df.agg(F.percentile_approx(own, at, 20 * RANGES), F.min(own), F.max(own)).first()
+    bounds = np.array(bounds if bounds and ranges > 1 else [], np.int64)
+    return Dealing(bounds, least or 0, most or 0, -(-shards // ranges))
+
+
+def encoded_documents(
+    df: DataFrame, tokenizer_path: str, bits: int, dealt: Dealing, *, text_col: str, id_col: str
+) -> DataFrame:
+    """(shard, doc_id, tie, ids): every row's ids, each of two bytes, of four beyond 16 bits."""
+    dtype = "<u2" if bits <= 16 else "<u4"
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = library(tokenizer_path)
+        table = PieceTable(own.encode_pieces)
+        try:
+            for batch in batches:
+                for at, n in byte_slices(batch.column(1)):
+                    ids, counts = ids_of_texts(table, own, batch.column(1).slice(at, n).to_pylist())
+                    docs, packed = batch.column(0).slice(at, n), binaries(ids, counts, dtype)
+                    tie = np.fromiter((zlib.crc32(x.as_buffer()) for x in packed), np.int64, n)
+                    numbers = docs.fill_null(0).to_numpy(zero_copy_only=False)
+                    known = docs.is_valid().to_numpy(zero_copy_only=False)
+                    shard = dealt.shard(numbers, known, tie / 2**32)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(shard, pa.int32()), docs, pa.array(tie), packed],
+                        names=["shard", "doc_id", "tie", "ids"],
+                    )
+        finally:
+            table.clear()
+            release()
+
+    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return texts.mapInArrow(encode, "shard int, doc_id long, tie long, ids binary")
+
+
+def _text_bytes(df: DataFrame, text_col: str) -> int:
+    """The optimizer's estimate of the table's size; where it has none, a count."""
+    told = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    if told < UNKNOWN_BYTES:
+        return told
+    return df.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
 
 
 def write_token_files(
@@ -139,25 +321,29 @@ def write_token_files(
 ) -> str:
     """Encode `df` and write its token files to the folder `out`; returns `out`.
 
-    Documents are dealt by ranges of their ids, so shards are in ascending order
-    and so are the documents of each. A null text is empty (only the end id); rows
-    with a null id come first; repeated ids stay, ordered by text; an empty table
-    writes an empty dataset. A text of any length is one run of ids.
+    Texts are encoded where they are read; only their ids, two bytes each, are dealt
+    by ranges of document ids, so shards are in ascending order and so are the
+    documents of each. Without `shards` their number follows from the table's size.
+    A null text is empty (only the end id); rows with a null id come first; repeated
+    ids stay, in an order of their own ids; an id that is no whole number raises; an
+    empty table writes an empty dataset. A text of any length is one run of ids.
     """
-    spark = df.sparkSession
-    shards = min(MOST_SHARDS, shards or int(spark.conf.get("spark.sql.shuffle.partitions")))
-
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = library(tokenizer_path)[0]
-        size = max(tokenizer.get_vocab_size(with_added_tokens=True), (end_id or 0) + 1)
-        bits = bits_for(size)
+    size = library(tokenizer_path).tokenizer.get_vocab_size(with_added_tokens=True)
+    bits = bits_for(max(size, (end_id or 0) + 1))
+    dtype = "<u2" if bits <= 16 else "<u4"
+    if shards is None:
+        shards = -(-_text_bytes(df.select(id_col, text_col), text_col) // SHARD_BYTES)
+    dealt = dealing(df, max(1, min(MOST_SHARDS, shards)), id_col)
+    encoded = encoded_documents(df, tokenizer_path, bits, dealt, text_col=text_col, id_col=id_col)
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard = TaskContext.get().partitionId()
         state = {"block": 0, "start": 0}
 
         def block(docs: list[int], ids: list[np.ndarray]) -> pa.RecordBatch:
             lengths = np.fromiter(map(len, ids), np.int64, len(ids))
             starts = state["start"] + np.cumsum(lengths) - lengths
-            flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+            flat = np.concatenate(ids)
             known = [d for d in docs if d is not None]
             row = {
                 "shard": [shard],
@@ -178,31 +364,23 @@ def write_token_files(
         docs: list[int] = []
         ids: list[np.ndarray] = []
         held = 0
-        tail = np.asarray([] if end_id is None else [end_id], np.uint32)
+        tail = np.asarray([] if end_id is None else [end_id], dtype)
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            at = 0
-            while at < len(keys):
-                to, chars = at, 0
-                while to < len(keys) and chars < 1 << 20:
-                    chars += len(texts[to] or "")
-                    to += 1
-                for key, own in zip(keys[at:to], encode_batch(tokenizer_path, [t or "" for t in texts[at:to]]), strict=True):
-                    docs.append(key)
-                    ids.append(np.concatenate([own, tail]))
-                    held += len(ids[-1])
-                    if held >= block_ids:
-                        yield block(docs, ids)
-                        docs, ids, held = [], [], 0
-                at = to
+            for key, own in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                docs.append(key)
+                ids.append(np.concatenate([np.frombuffer(own.as_buffer(), dtype), tail]))
+                held += len(ids[-1])
+                if held >= block_ids:
+                    yield block(docs, ids)
+                    docs, ids, held = [], [], 0
         if docs:
             yield block(docs, ids)
 
     (
-        df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-        .repartitionByRange(shards, F.col("doc_id"))
-        .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(encode, BLOCK_SCHEMA)
+        encoded.repartitionById(dealt.shards, "shard")
+        .sortWithinPartitions("doc_id", "tie", "ids")
+        .select("doc_id", "ids")
+        .mapInArrow(pack, BLOCK_SCHEMA)
         .write.option("parquet.block.size", 8 << 20)
         .option("compression", "uncompressed")
         .parquet(out)
@@ -243,21 +421,26 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: list[int] | None
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for b in batch.to_pylist():
-                keep = [k for k, d in enumerate(b["doc_ids"]) if wanted is None or d in wanted]
-                first = b["doc_starts"][0] if b["doc_starts"] else 0
-                whole = unpack_bits(b["payload"], b["bits"], b["n_ids"]) if wanted is None else None
-                runs = []
-                for k in keep:
-                    at, n = b["doc_starts"][k] - first, b["doc_lengths"][k]
-                    own = whole[at : at + n] if whole is not None else unpack_bits(b["payload"], b["bits"], n, at)
-                    runs.append(own.astype("<u4").tobytes())
+            bits, n_ids = (batch.column(k).to_pylist() for k in (1, 2))
+            for row in range(batch.num_rows):
+                docs, starts, lengths = (batch.column(k)[row].values for k in (3, 4, 5))
+                payload = batch.column(6)[row].as_buffer()
+                counts, local = lengths.to_numpy(), starts.to_numpy()
+                if wanted is None:
+                    ids = unpack_bits(payload, bits[row], n_ids[row])
+                else:
+                    keep = np.flatnonzero([d in wanted for d in docs.to_pylist()])
+                    first = local[0] if len(local) else 0
+                    at = local[keep] - first
+                    docs, counts, local = docs.take(pa.array(keep)), counts[keep], local[keep]
+                    runs = [unpack_bits(payload, bits[row], int(n), int(a)) for a, n in zip(at, counts, strict=True)]
+                    ids = np.concatenate(runs) if runs else np.zeros(0, np.uint32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([b["shard"]] * len(keep), pa.int64()),
-                        pa.array([b["doc_ids"][k] for k in keep], pa.int64()),
-                        pa.array([b["doc_starts"][k] for k in keep], pa.int64()),
-                        pa.array(runs, pa.binary()),
+                        pa.array(np.full(len(counts), batch.column(0)[row].as_py()), pa.int64()),
+                        docs,
+                        pa.array(local, pa.int64()),
+                        binaries(ids, counts, "<u4"),
                     ],
                     names=["shard", "doc_id", "local", "ids"],
                 )

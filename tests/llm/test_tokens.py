@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from terraweave.llm import bpe_dp, queries, textcut, token_counts, token_files
+from terraweave.llm import bpe_dp, pieces, queries, textcut, token_counts, token_files
 
 TEXTS = [
     None, "", " ", "  a  b ", "don't it's <|endoftext|>x <|startoftext|> ΟΔΟΣ Σ İstanbul é é ½ ² 123456 \x85 a b \x1c c",
@@ -50,10 +50,76 @@ def test_each_prefix_has_one_last_token():
     for word in ("understanding", "aaaaaaaa", "xyzzyqwv", "Ġinternationalization"):
         symbols = [own.symbol[c] for c in word]
         for n in range(1, len(symbols) + 1):
-            assert own.encode_symbols(symbols[:n]) == own._merged(tuple(symbols[:n]))
+            assert own.encode_symbols(symbols[:n]) == own.merged(symbols[:n])
         spelled = own.encode_symbols(symbols)
         for a, b in zip(spelled, spelled[1:], strict=False):
-            assert own.compatible(a, b) and own._merged(own.spelled[a] + own.spelled[b]) == [a, b]
+            assert own.compatible(a, b) and own.merged([*own.spell(a), *own.spell(b)]) == [a, b]
+
+
+def test_prefix_dp_of_many_specials_and_long_words():
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, lib = bpe_dp.vocabulary(path), Tokenizer.from_file(path)
+    for t in ("<|startoftext|>" * 100_000, "<|endoftext|>x" * 2000, "ab" * 3000 + "é" * 200 + " " + "日本" * 400):
+        assert bpe_dp.encode_text(own, t) == lib.encode(t, add_special_tokens=False).ids
+
+
+def test_long_texts_are_cut_at_white_space(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    own, lib = bpe_dp.vocabulary(path), Tokenizer.from_file(path)
+    monkeypatch.setattr(pieces, "PART_CHARS", 7)
+    for t in ("One don't\n\nstop   é́ ́x " * 40, "日本語テスト" * 9, "ΟΔΟΣ Σ\tİx \u0301y " * 9):
+        assert bpe_dp.encode_text(own, t) == lib.encode(t, add_special_tokens=False).ids
+
+
+def test_token_file_ids_of_long_and_odd_texts(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    lib = Tokenizer.from_file(path)
+    texts = [*TEXTS[1:], "a  b \n\n c\td 's 'll''ve x's's 12 3½ \r\n", "\x00", "Ж щи, ÷×", "日本語 " * 9]
+    for part in (1 << 20, 9):
+        monkeypatch.setattr(pieces, "PART_CHARS", part)
+        for t, ids in zip(texts, token_files.encode_batch(path, texts), strict=True):
+            assert ids.tolist() == lib.encode(t, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab's'tvrel \n\t.,!1éЖ", max_size=40))
+def test_token_file_ids_of_plain_texts(text):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    ids = token_files.encode_batch(path, [text, None, text + " "])
+    lib = token_files.library(path).tokenizer
+    assert [i.tolist() for i in ids] == [lib.encode(t, add_special_tokens=False).ids for t in (text, "", text + " ")]
+
+
+def test_dealing_keeps_order_and_parts_hot_ids():
+    dealt = token_files.Dealing(np.array([3, 7, 7, 7, 20]), -5, 39, 3)
+    ids = np.repeat(np.arange(-5, 40), 50)
+    tie = np.tile(np.arange(50) / 50, 45)
+    shard = dealt.shard(ids, np.ones(len(ids), bool), tie)
+    assert (np.diff(shard) >= 0).all() and 0 <= shard.min() and shard.max() < dealt.shards
+    assert len(set(shard[ids == 7].tolist())) >= 4
+    assert dealt.shard(ids, np.zeros(len(ids), bool), tie).max() == 0
+
+
+def test_pieces_are_encoded_alike_when_their_table_begins_anew():
+    own = bpe_dp.vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    table = pieces.PieceTable(own.encode_pieces, most=4)
+    texts = [None, "a b c d e f", "f e d c b a a a", "", "xyzzy a"]
+    ids, counts = pieces.ids_of_texts(table, own, texts)
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, ends - counts, ends, strict=True):
+        assert ids[a:b].tolist() == bpe_dp.encode_text(own, t or "")
+
+
+def test_op5_query_equals_library(spark, data):
+    lib = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{data}/documents.parquet").collect()}
+    got = queries.op5_bpe_prefix_dp(spark, data).collect()
+    assert sorted(r.doc_id for r in got) == sorted(texts)
+    for r in got:
+        ids = lib.encode(texts[r.doc_id], add_special_tokens=False).ids
+        told = lib.decode(ids, skip_special_tokens=False).encode()
+        assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest())
+        assert r.decoded_sha256 == hashlib.sha256(told).hexdigest()
 
 
 def test_op5_operator(spark):
@@ -150,10 +216,3 @@ def test_token_counts(spark, name):
         t = texts[r.doc_id] or ""
         assert (r.n_bytes, r.n_tokens, r.over_limit) == (len(t.encode()), count(t), count(t) > 100)
     assert token_counts.count_tokens(df.limit(0), path).count() == 0
-
-
-def test_query_columns(spark, data):
-    got = queries.op5_bpe_prefix_dp(spark, data).filter("doc_id = 0").first()
-    text = spark.read.parquet(f"{data}/documents.parquet").filter("doc_id = 0").first().text
-    ids = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json")).encode(text, add_special_tokens=False).ids
-    assert got.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(ids)}I", *ids)).hexdigest()
