@@ -62,25 +62,6 @@ def spelled(key) -> str:
     return key[1:] if key[:1] == _JOINED_ON else " " + key
 
 
-def safe_spans(text: str, limit: int) -> list[str]:
-    """Parts of at most about `limit` characters, cut at lone spaces only.
-
-    A part is longer than `limit` where no lone space stands before that point.
-    The space at each cut is dropped: `" ".join(safe_spans(t, n)) == t`.
-    """
-    if len(text) <= limit:
-        return [text]
-    out, start = [], 0
-    while len(text) - start > limit:
-        found = _LONE_SPACE.search(text, start + limit)
-        if found is None:
-            break
-        out.append(text[start : found.start()])
-        start = found.end()
-    out.append(text[start:])
-    return out
-
-
 def parts(text: str, most: int) -> Iterator[str]:
     """The text in parts of about `most` characters; all but the first begin with a
     lone blank. A part is longer where no lone blank stands before that point."""
@@ -95,52 +76,16 @@ def parts(text: str, most: int) -> Iterator[str]:
 
 
 def by_bytes(items: Iterable[tuple[int, str]], most: int) -> Iterator[tuple[list[int], list[str]]]:
-    """Batches of (key, text) whose texts come to about `most` characters each."""
+    """Batches of (key, text) whose texts come to about `most` bytes of UTF-8 each."""
     keys: list[int] = []
     texts: list[str] = []
     size = 0
     for key, text in items:
         keys.append(key)
         texts.append(text)
-        size += len(text)
+        size += len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
         if size >= most:
             yield keys, texts
             keys, texts, size = [], [], 0
     if keys:
         yield keys, texts
-
-
-class BoundedCache(dict):
-    """A dict of at most `most` entries in two generations.
-
-    When the young half is full it becomes the old one and the former old one goes.
-    Entries of the old half that are read again move to the young one, so frequent
-    entries stay. `[]` reads both halves; `get` is None for what neither has.
-    """
-
-    def __init__(self, most: int):
-        super().__init__()
-        self.half = max(1, most // 2)
-        self.old: dict = {}
-
-    def __missing__(self, key):
-        value = self.old[key]
-        self[key] = value
-        return value
-
-    def get(self, key, default=None):
-        try:
-            return self[key]
-        except KeyError:
-            return default
-
-    def room(self, wanted: int) -> None:
-        """Make room for `wanted` further entries; call it before adding them."""
-        if len(self) + wanted > self.half:
-            self.old = dict(self)
-            self.clear()
-
-    def lacking(self, keys: set) -> set:
-        """Those of `keys` that neither half has."""
-        old = self.old
-        return {k for k in keys if k not in self and k not in old}

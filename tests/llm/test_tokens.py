@@ -181,23 +181,33 @@ def test_token_files_without_end(spark, tmp_path):
     assert sorted((str(r.doc_id), r.n_tokens) for r in got) == [("2", 0), ("None", 2)]
 
 
-def test_cache_keeps_what_is_used():
-    cache = textcut.BoundedCache(8)
-    for k in range(40):
-        cache.room(1)
-        cache[k] = k
-        assert cache.get(0) == 0
-        assert len(cache) <= 5
-    assert cache.get(3) is None and cache.lacking({0, 3}) == {3}
-
-
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=" ab\n▁", max_size=30), st.integers(1, 6))
 def test_cuts_join_again(text, limit):
-    assert " ".join(textcut.safe_spans(text, limit)) == text
+    assert "".join(textcut.parts(text, limit)) == text
     assert " ".join(textcut.segments(text)) == text
 
 
+def test_batches_are_of_equal_bytes():
+    texts = ["a" * 30, "é" * 30, "漢" * 30] * 5
+    found = list(textcut.by_bytes(enumerate(texts), 100))
+    assert [k for keys, _ in found for k in keys] == list(range(15))
+    assert all(100 <= sum(len(t.encode()) for t in own) < 190 for _, own in found[:-1])
+
+
+@pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_parts_of_unspaced_texts_have_the_tokens_of_the_whole(name):
+    encoder = token_counts.length_encoder(public_tokenizers.path(name))
+    rng = np.random.default_rng(4)
+    chars = list("漢字仮名交じり文の例でした日本語中国語。、！？\n「」a é7") + ["। ", "ا،", "\n\n", "。。"]
+    for n in (50, 400, 3000):
+        text = "".join(rng.choice(chars, n))
+        parts = list(encoder.parts(text, 20))
+        assert sum(encoder.counts([p for p, _ in parts])) - sum(x for _, x in parts) == encoder.counts([text])[0]
+        assert n < 400 or len(parts) > 5
+    unspaced = "漢字仮名交じり文。" * 5000
+    assert max(len(p) for p, _ in encoder.parts(unspaced, 1000)) < 1100
+
 @pytest.mark.parametrize("name", ["piece_bpe_32k.model", "byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_token_counts(spark, name):
     path = public_tokenizers.path(name)
