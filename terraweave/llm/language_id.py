@@ -1,9 +1,10 @@
 """Language ID by language-bitmask n-gram filters.
 
-One bit-sliced Bloom filter serves all languages: each slot is a bitmask, and the
-masks at an n-gram's slots, and-ed, name all languages that contain it. A text's
-n-grams are looked up; per-language popcounts, corrected for the false positives
-that the slots' fill predicts, decide.
+One bit-sliced Bloom filter serves all languages: each slot is a bitmask of one bit a
+language, in as many 64-bit words as there are languages for, and the masks at an
+n-gram's slots, and-ed, name all languages that contain it. A text's n-grams are looked
+up; per-language popcounts, corrected for the false positives that the slots' fill
+predicts, decide. The number of slots follows from the n-grams that were learned.
 """
 
 from __future__ import annotations
@@ -17,13 +18,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shingles import mixed, series
+from .tables import stored
 
 UNKNOWN = "und"
 #: n-gram lengths, in characters of a text's letters with one blank between words.
 LENGTHS = (2, 3, 4, 5)
-#: Slots of the filter and slots per n-gram.
-SLOT_BITS = 21
+#: Slots per n-gram, and slots for each n-gram of the richest language: with these one
+#: n-gram in a hundred is taken for one of a language that lacks it.
 PROBES = 3
+SLOTS_PER_NGRAM = 13
+#: Powers of two of a filter's slots, and bytes of all its words at most. A filter that
+#: would be larger has fewer slots, whose higher false-positive rates are corrected.
+LEAST_BITS = 16
+MOST_BYTES = 1 << 27
 #: Labelled documents per language that the filter is built from, in expectation.
 PER_LANGUAGE = 3000
 _DRAWS = 1 << 24
@@ -31,8 +38,11 @@ _DRAWS = 1 << 24
 #: length, and two occurrences, are it; junk and foreign passages stay below.
 LEAST_SHARE = 2e-6
 LEAST_COUNT = 2
-#: Languages at most (bits of a slot).
-MOST_LANGUAGES = 64
+#: Languages of one word of a slot, and of the part of a word that is counted at once.
+_WORD = 64
+_PART = 4
+#: For each value of such a part, its bits.
+_BITS = (np.arange(1 << _PART)[:, None] >> np.arange(_PART)) & 1
 #: Characters that are looked up at a time.
 BATCH_CHARS = 1 << 18
 #: Thresholds are fitted for so many powers of two of a text's n-grams, below all but
@@ -98,26 +108,34 @@ def ngrams(codes: np.ndarray, owner: np.ndarray, length: int) -> tuple[np.ndarra
     return mixed(h[whole]), owner[:n][whole]
 
 
-def _slots(h: np.ndarray) -> list[np.ndarray]:
-    size = np.uint64((1 << SLOT_BITS) - 1)
+def _slots(h: np.ndarray, bits: int) -> list[np.ndarray]:
+    size = np.uint64((1 << bits) - 1)
     step = (h >> np.uint64(40)) | np.uint64(1)
     return [((h + np.uint64(k) * step) & size).astype(np.int64) for k in range(PROBES)]
 
 
+def _parts(masks: np.ndarray, languages: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(first language, the _PART bits of each mask from there on)."""
+    for first in range(0, languages, _PART):
+        word = masks[:, first // _WORD]
+        yield first, (word >> np.uint64(first % _WORD)).astype(np.int64) & ((1 << _PART) - 1)
+
+
 @dataclass
 class LanguageFilter:
-    """The trained filter: languages in order of their bits, slots, false-positive rates."""
+    """The trained filter: languages in order of their bits, slots of words, false-positive rates."""
 
     languages: list[str]
     slots: np.ndarray
     false_rate: np.ndarray
 
     def masks(self, h: np.ndarray) -> np.ndarray:
-        """For each n-gram the bitmask of the languages that contain it."""
-        found = None
-        for at in _slots(h):
-            found = self.slots[at] if found is None else found & self.slots[at]
-        return found if found is not None else np.zeros(0, np.uint64)
+        """For each n-gram the bitmask (in words) of the languages that contain it."""
+        first, *more = _slots(h, len(self.slots).bit_length() - 1)
+        found = self.slots[first]
+        for at in more:
+            found &= self.slots[at]
+        return found
 
     def shares(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Each language's corrected share of each text's n-grams, the number of
@@ -127,11 +145,11 @@ class LanguageFilter:
         n, hits = np.zeros(len(texts)), np.zeros((len(self.languages), len(texts)))
         for length in LENGTHS:
             h, own = ngrams(codes, owner, length)
-            masks = self.masks(h)
             n += np.bincount(own, minlength=len(texts))
-            for k in range(len(self.languages)):
-                has = (masks >> np.uint64(k)) & np.uint64(1) != 0
-                hits[k] += np.bincount(own[has], minlength=len(texts))
+            for first, part in _parts(self.masks(h), len(self.languages)):
+                # how often each text has each value; its bits are popcounts by language
+                seen = np.bincount(own << _PART | part, minlength=len(texts) << _PART).reshape(-1, 1 << _PART)
+                hits[first : first + _PART] += (seen @ _BITS).T[: len(self.languages) - first]
         wrong = self.false_rate[:, None]
         return np.clip((hits / np.maximum(n, 1) - wrong) / (1 - wrong), 0, 1), n, lettered
 
@@ -157,11 +175,13 @@ def _training_rows(df: DataFrame, counts: dict[str, int], text_col: str, lang_co
     A document is drawn by a hash of its id, so no rows are sorted, counted or moved
     for the drawing and each task decides alone.
     """
+    least = [(lang, min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n))) for lang, n in counts.items()]
+    # a row for each language
+    share = df.sparkSession.createDataFrame(least, "_lang string, _below long")
     draw = F.pmod(F.xxhash64(id_col), F.lit(_DRAWS))
-    chosen = F.lit(False)
-    for lang, n in counts.items():
-        chosen |= (F.col(lang_col) == lang) & (draw < min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n)))
-    return df.filter(F.col(id_col).isNotNull() & chosen).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    known = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
+    drawn = known.join(F.broadcast(share), F.col(lang_col) == F.col("_lang")).filter(draw < F.col("_below"))
+    return drawn.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
 
 def _counts(rows: DataFrame) -> DataFrame:
@@ -193,32 +213,48 @@ def _counts(rows: DataFrame) -> DataFrame:
 def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> LanguageFilter:
     """A filter from about PER_LANGUAGE labelled documents of each language.
 
-    Rows with a null text, language or id teach nothing; of more than MOST_LANGUAGES
-    languages those with the most documents are learned. Without labelled rows the
-    filter knows no language and predicts UNKNOWN.
+    Rows with a null text, language or id teach nothing. Every other label is learned,
+    however many there are. Without labelled rows the filter knows no language and
+    predicts UNKNOWN.
     """
+    # a row for each language
     named = df.groupBy(F.col(lang_col).alias("lang")).count().filter("lang is not null")
-    top = {r["lang"]: r["count"] for r in named.orderBy(F.desc("count"), "lang").limit(MOST_LANGUAGES).collect()}
+    top = {r["lang"]: r["count"] for r in named.collect()}
     languages = sorted(top)
-    slots = np.zeros(1 << SLOT_BITS, np.uint64)
     if not languages:
-        return LanguageFilter([], slots, np.zeros(0))
+        return LanguageFilter([], np.zeros((1, 1), np.uint64), np.zeros(0))
     rows = _training_rows(df, top, text_col, lang_col, id_col)
     counted = _counts(rows)
     totals = counted.groupBy("lang", "length").agg(F.sum("n").alias("total"))
-    held = (
+    spark = df.sparkSession
+    order = spark.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    held = stored(
         counted.join(F.broadcast(totals), ["lang", "length"])  # a row for each language and length
         .filter((F.col("n") >= LEAST_COUNT) & (F.col("n") >= F.col("total") * LEAST_SHARE))
-        .withColumn("bit", F.array_position(F.array(*map(F.lit, languages)), F.col("lang")) - 1)
-        .groupBy("h")
-        .agg(F.expr("bit_or(shiftleft(1L, int(bit)))").alias("mask"))
+        .join(F.broadcast(order), "lang")
+        .select("h", "place"),
+        "ngrams",
+    )
+    richest = held.groupBy("place").count().agg(F.max("count")).first()[0] or 0
+    words = -(-len(languages) // _WORD)
+    bits = max(LEAST_BITS, (SLOTS_PER_NGRAM * richest).bit_length())
+    bits = min(bits, (MOST_BYTES // (8 * words)).bit_length() - 1)
+    # slots are or-ed where the n-grams are; at most all of the filter's words come here
+    size = F.lit((1 << bits) - 1).cast("long")
+    step = F.shiftrightunsigned("h", 40).bitwiseOR(F.lit(1).cast("long")).bitwiseAND(size)
+    at = F.array(*((F.col("h").bitwiseAND(size) + step * k).bitwiseAND(size) for k in range(PROBES)))
+    found = (
+        held.select(F.explode(at).alias("slot"), "place")
+        .groupBy("slot", F.floor(F.col("place") / _WORD).cast("int").alias("word"))
+        .agg(F.expr(f"bit_or(shiftleft(1L, place % {_WORD}))").alias("mask"))
+        .toArrow()
     )
-    # the vocabulary of a bounded sample under a least share: bounded as well
-    found = held.toArrow()
-    h, masks = (found[c].to_numpy().view(np.uint64) for c in ("h", "mask"))
-    for at in _slots(h):
-        np.bitwise_or.at(slots, at, masks)
-    fill = np.array([((slots >> np.uint64(k)) & np.uint64(1)).mean() for k in range(len(languages))])
+    slots = np.zeros((1 << bits, words), np.uint64)
+    slots[found["slot"].to_numpy(), found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    fill = np.zeros(len(languages))
+    for first, part in _parts(slots, len(languages)):
+        own = np.bincount(part, minlength=1 << _PART) @ _BITS / len(slots)
+        fill[first : first + _PART] = own[: len(languages) - first]
     return LanguageFilter(languages, slots, np.minimum(fill**PROBES, 0.99))
 
 
@@ -234,7 +270,7 @@ def predict(
     """The columns `keep` with the prediction and its score, named by `names`."""
     kept = [df.schema[c] for c in keep]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # 8 * 2 ** SLOT_BITS bytes
+    shared = df.sparkSession.sparkContext.broadcast(model)  # MOST_BYTES at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
