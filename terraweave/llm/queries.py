@@ -50,7 +50,7 @@ SURROGATE_KEY = b"terraweave query key"
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced, and what replaced it."""
-    return pii.replace_entities(table(spark, sf_dir, "documents"), SURROGATE_KEY, keep=["doc_id"])
+    return pii.replace_checked(table(spark, sf_dir, "documents"), SURROGATE_KEY, keep=["doc_id"])
 
 
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
