@@ -4,6 +4,10 @@ Fixed masks pick token positions of a window and ignore the others, so a hash
 survives substitutions at ignored positions. Hashes of benchmark windows are joined
 to those of documents; around each hit the document and the item are compared word
 by word on the hit's alignment, and a span with enough equal words is a leak.
+
+A document is read once and never moved: every word position meets the broadcast
+seeds where it is read, and a hit takes along only the words around it. What is
+shuffled is one number for each hit stretch of a document, the equal words in it.
 """
 
 from __future__ import annotations
@@ -16,51 +20,54 @@ from pyspark.sql import functions as F
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7, 8))
 WEIGHT = 6
 #: A leak is a span of SPAN aligned words of which LEAST at least are equal. Items of
-#: fewer words leak only whole; items of fewer than WEIGHT words are never looked for.
+#: fewer words leak only whole, those under ALONE words only if a document is nothing else.
 SPAN = 13
 LEAST = 11
-#: Seed rows that are broadcast at most (about 40 bytes each); beyond, a shuffle join.
+ALONE = 3
+#: Seeds that are broadcast at a time (about 50 bytes each); more are joined in as many
+#: passes over the documents. Words of items that are broadcast; beyond, a shuffle join.
 BROADCAST_SEEDS = 2_000_000
-BROADCAST_IDS = 1_000_000
+BROADCAST_WORDS = 4_000_000
+#: Words on each side of a hit that a span through it can reach.
+REACH = SPAN - 1
+#: Equal words are bits of a 64-bit number that begins at every STEP-th word of an item.
+STEP = 32
+
+#: Scripts that are written without blanks; each character is a word.
+UNSPACED = (
+    r"[\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{31F0}-\x{31FF}"
+    r"\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}\x{20000}-\x{3FFFF}]"
+)
 
 
 def words(text: Column) -> Column:
-    """Lower-cased runs of letters and digits; of null: none."""
-    cut = F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}\p{N}]+")
-    return F.filter(cut, lambda w: w != "")
+    """Lower-cased runs of letters and digits, of UNSPACED scripts single ones; of null: none."""
+    low = F.lower(F.coalesce(text.cast("string"), F.lit("")))
+    apart = F.when(F.rlike(low, F.lit(UNSPACED)), F.regexp_replace(low, f"({UNSPACED})", " $1 ")).otherwise(low)
+    return F.array_remove(F.split(apart, r"[^\p{L}\p{N}]+"), "")
 
 
 def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes: Column) -> Column:
-    """For each position the hash of each mask there, all in one array.
+def _seeded(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
+    """(keys, hashes, at, seed): each mask at each position, and whole runs of `lengths`.
 
-    Entry p is mask p % len(MASKS) at position p div len(MASKS). A mask that reads
-    beyond the end is null.
+    A mask that reads beyond the end has no seed. Runs of fewer than ALONE words count
+    only where they are the whole text.
     """
-    size = F.size(hashes)
-
-    def at(i: Column) -> Column:
-        return F.array(
-            *(
-                F.when(
-                    i + mask[-1] < size, F.xxhash64(F.lit(k), *(F.get(hashes, i + o) for o in mask))
-                )
-                for k, mask in enumerate(MASKS)
-            )
-        )
+    placed = df.select(*keys, "hashes", F.posexplode("hashes").alias("at", "word"))
+    size, at = F.size("hashes"), F.col("at")
 
-    places = F.when(size >= WEIGHT, F.sequence(F.lit(0), size - WEIGHT)).otherwise(F.array().cast("array<int>"))
-    return F.flatten(F.transform(places, at))
+    def seed(kind: int, places: tuple[int, ...]) -> Column:
+        return F.xxhash64(F.lit(kind), "word", *(F.get("hashes", at + o) for o in places[1:]))
 
-
-def _seeded(df: DataFrame, key: str, text_col: str) -> DataFrame:
-    """(key, at, seed): a row for each mask at each position of each text."""
-    hashed = df.select(F.col(key), word_hashes(F.col(text_col)).alias("hashes"))
-    every = hashed.select(key, F.posexplode(seeds(F.col("hashes"))).alias("place", "seed"))
-    return every.filter("seed is not null").select(key, F.floor(F.col("place") / len(MASKS)).cast("int").alias("at"), "seed")
+    every = [F.when(at + m[-1] < size, seed(k, m)) for k, m in enumerate(MASKS)]
+    for n in lengths:
+        there = (at == 0) & (size == n) if n < ALONE else at + n <= size
+        every.append(F.when(there, seed(len(MASKS) + n, tuple(range(n)))))
+    return placed.select(*keys, "hashes", "at", F.explode(F.array(*every)).alias("seed")).filter("seed is not null")
 
 
 def leaks(
@@ -74,49 +81,91 @@ def leaks(
 ) -> DataFrame:
     """(doc_id, item_id, matched_words): the benchmark items that documents contain.
 
-    `matched_words` is the most equal words in one span. Null and empty texts, null
-    ids, and items of fewer than WEIGHT words match nothing; equal rows count once;
-    texts of any length are searched whole; empty tables give an empty result;
-    further columns are not read.
+    `matched_words` is the most equal words in one span. An item of fewer than SPAN
+    words must be there whole; one of fewer than ALONE words must be all the document
+    has. Null and empty texts, texts without words and null ids match nothing; equal
+    rows count once; texts of any length are searched whole; empty tables give an
+    empty result; further columns are not read.
     """
-    docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null")
-    bench = items.select(F.col(item_col).alias("item_id"), F.col(item_text_col).alias("text")).filter("item_id is not null")
-    probes = _seeded(bench, "item_id", "text").select("item_id", F.col("at").alias("item_at"), "seed").distinct()
-    small = probes.limit(BROADCAST_SEEDS + 1).count() <= BROADCAST_SEEDS
-    hits = (
-        _seeded(docs, "doc_id", "text")
-        .join(F.broadcast(probes) if small else probes, "seed")
-        .groupBy("doc_id")
-        .agg(F.collect_set(F.struct("item_id", (F.col("at") - F.col("item_at")).alias("shift"))).alias("hits"))
-    )
-    known = bench.select("item_id", word_hashes(F.col("text")).alias("item_words")).distinct()
-    texts = docs.select("doc_id", word_hashes(F.col("text")).alias("doc_words"))
-    near = texts.join(hits, "doc_id").select("doc_id", "doc_words", F.explode("hits").alias("hit"))
-    # what lies around the hit: the document's words beside the item's
-    aligned = near.select("doc_id", "doc_words", "hit.item_id", "hit.shift").join(
-        F.broadcast(known) if small else known, "item_id"
+    cut = df.select(F.col(id_col).alias("doc_id"), word_hashes(F.col(text_col)).alias("hashes")).filter("doc_id is not null")
+    # rows that share an id are texts of their own
+    docs = cut.select("doc_id", F.xxhash64("hashes").alias("text_version"), "hashes")
+    known = (
+        items.select(F.col(item_col).alias("item_id"), word_hashes(F.col(item_text_col)).alias("hashes"))
+        .filter(F.col("item_id").isNotNull() & (F.size("hashes") > 0))
+        .select("item_id", F.xxhash64("hashes").alias("version"), "hashes")
+        .dropDuplicates(["item_id", "version"])
     )
-    size = F.size("item_words")
-    equal = F.transform(
-        F.sequence(F.lit(0), size - 1),
-        lambda j: F.when(
-            (j + F.col("shift") >= 0) & (F.get("item_words", j) == F.get("doc_words", j + F.col("shift"))), 1
-        ).otherwise(0),
+    # what decides the plan: how much the benchmark holds, and the lengths of short items
+    size = F.size("hashes")
+    total, lengths = known.agg(F.sum(size), F.sort_array(F.collect_set(F.when(size < WEIGHT, size)))).first()
+    passes = max(1, -(-(total or 0) * len(MASKS) // BROADCAST_SEEDS))
+    probes = _probes(known, lengths)
+    placed = _seeded(docs, ["doc_id", "text_version"], lengths)
+    found = None
+    for k in range(passes):
+        own = probes if passes == 1 else probes.filter(F.pmod("seed", F.lit(passes)) == k)
+        hits = _hits(placed, own)
+        found = hits if found is None else found.unionAll(hits)
+    wide = (total or 0) > BROADCAST_WORDS
+    beside = found.join(known if wide else F.broadcast(known), ["item_id", "version"])
+    return _matched(beside)
+
+
+def _probes(known: DataFrame, lengths: list[int]) -> DataFrame:
+    """(item_id, version, item_at, seed): the masks of items, of short ones the whole run."""
+    size = F.size("hashes")
+    long = _seeded(known.filter(size >= WEIGHT), ["item_id", "version"], [])
+    out = long.select("item_id", "version", F.col("at").alias("item_at"), "seed")
+    for n in lengths:
+        whole = F.xxhash64(F.lit(len(MASKS) + n), *(F.get("hashes", F.lit(o)) for o in range(n)))
+        short = known.filter(size == n)
+        out = out.unionAll(short.select("item_id", "version", F.lit(0).alias("item_at"), whole.alias("seed")))
+    return out
+
+
+def _hits(placed: DataFrame, probes: DataFrame) -> DataFrame:
+    """Meetings of seeds, with the document's words within REACH of each."""
+    lead = F.least(F.col("at"), F.lit(REACH))
+    return placed.join(F.broadcast(probes), "seed").select(
+        "doc_id",
+        "text_version",
+        "item_id",
+        "version",
+        "item_at",
+        (F.col("at") - F.col("item_at")).alias("shift"),
+        lead.alias("lead"),
+        F.slice("hashes", F.col("at") - lead + 1, lead + 1 + REACH).alias("near"),
     )
-    span = F.least(F.lit(SPAN), size)
-    best = F.array_max(
-        F.transform(
-            F.sequence(F.lit(0), size - span),
-            lambda j: F.aggregate(F.slice(F.col("equal"), j + 1, span), F.lit(0), lambda a, x: a + x),
-        )
+
+
+def _matched(hits: DataFrame) -> DataFrame:
+    """(doc_id, item_id, matched_words) of the hits whose surroundings make a leak.
+
+    The words around a hit that equal the item's are bits, by their place in the item;
+    the bits of all hits of an alignment are joined, and spans are counted in them.
+    """
+    item, at = F.col("hashes"), F.col("item_at")
+    first = (F.floor((at - REACH) / STEP) * STEP).cast("int")
+
+    def bit(o: Column) -> Column:
+        one = F.call_function("shiftleft", F.lit(1).cast("long"), at + o - first)
+        return F.when(F.get("near", F.col("lead") + o) == F.get(item, at + o), one).otherwise(F.lit(0).cast("long"))
+
+    around = F.sequence(F.lit(-REACH), F.lit(REACH))
+    bits = F.aggregate(around, F.lit(0).cast("long"), lambda acc, o: acc.bitwiseOR(bit(o)))
+    joined = (
+        hits.select("doc_id", "text_version", "item_id", "version", "shift", F.size(item).alias("n"), first.alias("first"), bits.alias("bits"))
+        .groupBy("doc_id", "text_version", "item_id", "version", "n", "shift", "first")
+        .agg(F.bit_or("bits").alias("bits"))
     )
-    scored = (
-        aligned.filter(size >= WEIGHT)
-        .withColumn("equal", equal)
-        .select("doc_id", "item_id", best.alias("matched"), F.when(size >= SPAN, LEAST).otherwise(size).alias("least"))
+    span = F.lit((1 << SPAN) - 1).cast("long")
+    most = F.greatest(*(F.bit_count(F.shiftrightunsigned("bits", j).bitwiseAND(span)) for j in range(64 - SPAN + 1)))
+    scored = joined.select(
+        "doc_id", "item_id", "n", F.when(F.col("n") >= SPAN, most).otherwise(F.bit_count("bits")).alias("matched")
     )
     return (
-        scored.filter("matched >= least")
+        scored.filter(F.col("matched") >= F.when(F.col("n") >= SPAN, LEAST).otherwise(F.col("n")))
         .groupBy("doc_id", "item_id")
         .agg(F.max("matched").cast("long").alias("matched_words"))
     )
@@ -128,19 +177,23 @@ def drop_contaminated(df: DataFrame, items: DataFrame) -> DataFrame:
     return df.join(found, "doc_id", "left_anti").select(*df.columns)
 
 
+def _sql_words(table: str, key: str) -> str:
+    apart = f"regexp_replace(lower(text), '({UNSPACED})', ' \\1 ', 'g')"
+    return f"""SELECT {key}, list_filter(string_split_regex({apart}, '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws
+    FROM {table} WHERE {key} IS NOT NULL AND text IS NOT NULL"""
+
+
 #: DuckDB SQL for leaks(documents, benchmark): every alignment of equal words, no seeds.
 LEAKS_SQL = f"""
 WITH dw AS (
-  SELECT doc_id, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS at FROM (
-    SELECT doc_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws
-    FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL)
+  SELECT doc_id, len(ws) AS dn, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS at
+  FROM ({_sql_words('documents', 'doc_id')})
 ), iw AS (
-  SELECT item_id, len(ws) AS n, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS item_at FROM (
-    SELECT item_id, list_filter(string_split_regex(lower(text), '[^\\p{{L}}\\p{{N}}]+'), lambda x: x <> '') AS ws
-    FROM benchmark WHERE item_id IS NOT NULL AND text IS NOT NULL)
+  SELECT item_id, len(ws) AS n, unnest(ws) AS word, CAST(generate_subscripts(ws, 1) AS BIGINT) AS item_at
+  FROM ({_sql_words('benchmark', 'item_id')})
 ), eq AS (
   SELECT DISTINCT d.doc_id, i.item_id, i.n, d.at - i.item_at AS shift, i.item_at
-  FROM dw d JOIN iw i ON d.word = i.word WHERE i.n >= {WEIGHT}
+  FROM dw d JOIN iw i ON d.word = i.word WHERE i.n >= {ALONE} OR d.dn = i.n
 ), enough AS (
   SELECT *, count(*) OVER (PARTITION BY doc_id, item_id, shift) AS c FROM eq
 ), spans AS (
