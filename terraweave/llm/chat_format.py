@@ -8,18 +8,29 @@ A conversation becomes one or more windows. Prefix sums of turn tokens choose
 spans of whole turns that fit the budget; each window repeats the leading system
 turn and as much of the turns before it as the history budget holds; repeated
 turns are outside the loss mask, so each target is learned once.
+
+The prefix sums of tokens and of written characters are made by one window function,
+so the work grows with the turns and the windows, not with their product: a window
+carries only the turns that it shows, and positions are differences of prefix sums.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Characters that control strings use, and their entities.
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&lsqb;"), ("]", "&rsqb;"))
 OPEN, MIDDLE, CLOSE = "<turn:", ">", "</turn>"
+MARKS = len(OPEN) + len(MIDDLE) + len(CLOSE)
 TARGET_ROLE = "assistant"
 SYSTEM_ROLE = "system"
+#: A token as budgets count it: a character of a script without blanks, or a run of up
+#: to eight other characters that are not white space. It stands in for a tokenizer.
+TOKEN = (
+    r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]"
+    r"|[^\s\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]{1,8}"
+)
 
 
 def escaped(text: Column) -> Column:
@@ -36,34 +47,24 @@ def unescaped(text: Column) -> Column:
 
 
 def turn_tokens(text: Column) -> Column:
-    """Tokens of a turn as the budget counts them: words, and one for the marks."""
-    return F.size(F.split(F.trim(text), r"\s+")) + 1
+    """Tokens of a turn as the budget counts them: those of TOKEN, and one for the marks."""
+    return F.regexp_count(text, F.lit(TOKEN)).cast("long") + 1
 
 
-def window_starts(tokens: Column, budget: Column) -> Column:
-    """For an array of turn tokens, the index of the first turn of each turn's window.
+def window_starts(turns: Column, room: Column) -> Column:
+    """The index of the first turn of each window, from turns with their prefix sums.
 
-    The prefix sums of the window's first turn and of this turn tell whether the
-    span still fits; a turn longer than the budget has a window of its own.
+    A turn begins a window if the span from the window's first turn through it holds
+    more than `room`; a turn longer than that has a window of its own.
     """
-    step = F.aggregate(
-        tokens,
-        F.struct(
-            F.lit(0).alias("at"), F.lit(0).alias("first"), F.lit(0).cast("long").alias("before"),
-            F.lit(0).cast("long").alias("total"), F.array().cast("array<int>").alias("starts"),
-        ),
-        lambda acc, n: F.struct(
-            (acc["at"] + 1).alias("at"),
-            F.when(acc["total"] + n - acc["before"] > budget, acc["at"]).otherwise(acc["first"]).alias("first"),
-            F.when(acc["total"] + n - acc["before"] > budget, acc["total"]).otherwise(acc["before"]).alias("before"),
-            (acc["total"] + n).alias("total"),
-            F.concat(
-                acc["starts"],
-                F.array(F.when(acc["total"] + n - acc["before"] > budget, acc["at"]).otherwise(acc["first"])),
-            ).alias("starts"),
-        ),
-    )
-    return step["starts"]
+    start = F.struct(F.lit(0).cast("long").alias("before"), F.array(F.lit(0)).alias("starts"))
+
+    def step(acc: Column, t: Column) -> Column:
+        full = (t["before"] > acc["before"]) & (t["before"] + t["tokens"] - acc["before"] > room)
+        begun = F.struct(t["before"].alias("before"), F.concat(acc["starts"], F.array(t["k"])).alias("starts"))
+        return F.when(full, begun).otherwise(acc)
+
+    return F.aggregate(turns, start, step)["starts"]
 
 
 def format_conversations(
@@ -71,6 +72,7 @@ def format_conversations(
     *,
     budget: int = 2048,
     history: int = 256,
+    tokens: Column | None = None,
     conv_col: str = "conv_id",
     turn_col: str = "turn",
     role_col: str = "role",
@@ -82,8 +84,9 @@ def format_conversations(
     start and length of its escaped role and text in `formatted` (code points, from
     0), whether it is repeated, and whether its text is under the loss mask.
 
-    Turns are ordered by turn (nulls first), then role, then text. Null texts and
-    roles are empty; rows with a null conversation id form one conversation; equal
+    `tokens` is a column of `df` with real token counts of the texts (null: none), to
+    which one is added for the marks; without it they are reckoned by TOKEN. Turns are
+    ordered by turn (nulls first), role, text. Null texts and roles are empty; rows with a null conversation id form one conversation; equal
     rows are turns of their own; other columns are not read; an empty table gives no
     windows. A conversation is one training document, so its turns share a row.
     """
@@ -92,79 +95,76 @@ def format_conversations(
         F.col(turn_col).alias("turn"),
         F.coalesce(F.col(role_col).cast("string"), F.lit("")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        (F.lit(None) if tokens is None else tokens).cast("long").alias("told"),
     )
-    whole = turns.groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct(F.col("turn").isNotNull().alias("known"), "turn", "role", "text"))).alias("turns")
-    )
-    has_system = F.coalesce(F.get("turns", F.lit(0))["role"] == SYSTEM_ROLE, F.lit(False))
-    sized = whole.withColumn("tokens", F.transform("turns", lambda t: turn_tokens(t["text"])))
-    led = sized.withColumn("lead", F.when(has_system, 1).otherwise(0))
-    # the system turn and the history leave this much for new turns
-    room = F.greatest(F.lit(1), F.lit(budget - history) - F.when(F.col("lead") == 1, F.get("tokens", F.lit(0))).otherwise(0))
-    cut = led.withColumn("starts", window_starts(F.col("tokens"), room))
-    firsts = cut.withColumn("firsts", F.array_sort(F.array_distinct("starts")))
-    windows = firsts.select(
-        "conv_id", "turns", "tokens", "lead", "firsts", F.posexplode("firsts").alias("window", "first")
+    reckoned = turn_tokens(F.col("text")) if tokens is None else F.coalesce(F.col("told"), F.lit(0)) + 1
+    counted = turns.select(
+        "*",
+        F.greatest(reckoned, F.lit(1)).cast("long").alias("tokens"),
+        (F.length(escaped(F.col("role"))) + F.length(escaped(F.col("text"))) + MARKS).cast("long").alias("chars"),
     )
-    placed = windows.withColumn("end", F.coalesce(F.get("firsts", F.col("window") + 1), F.size("turns")))
-    # turns before the window, the nearest first, while their sum fits the history
-    earlier = F.filter(
-        F.sequence(F.lit(0), F.size("turns") - 1),
-        lambda k: (k >= F.col("lead"))
-        & (k < F.col("first"))
-        & (
-            F.aggregate(F.slice("tokens", k + 1, F.col("first") - k), F.lit(0), lambda a, n: a + n) <= history
-        ),
-    )
-    system = F.when((F.col("lead") == 1) & (F.col("first") > 0), F.array(F.lit(0))).otherwise(F.array().cast("array<int>"))
-    shown = placed.withColumn("repeated", F.concat(system, earlier)).withColumn(
-        "shown", F.concat("repeated", F.sequence(F.col("first"), F.col("end") - 1))
+    order = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    through = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = counted.select(
+        "conv_id",
+        (F.row_number().over(order) - 1).alias("k"),
+        escaped(F.col("role")).alias("role"),
+        escaped(F.col("text")).alias("text"),
+        (F.col("role") == TARGET_ROLE).alias("target"),
+        "tokens",
+        "chars",
+        (F.sum("tokens").over(through) - F.col("tokens")).alias("before"),
+        (F.sum("chars").over(through) - F.col("chars")).alias("at"),
     )
-    pieces = shown.withColumn(
-        "pieces",
-        F.transform(
-            "shown",
-            lambda k: F.struct(
-                k.alias("turn"),
-                escaped(F.get("turns", k)["role"]).alias("role"),
-                escaped(F.get("turns", k)["text"]).alias("text"),
-                (k < F.col("first")).alias("repeated"),
-                ((k >= F.col("first")) & (F.get("turns", k)["role"] == TARGET_ROLE)).alias("loss"),
-            ),
-        ),
+    turn = F.struct("k", "role", "text", "target", "tokens", "chars", "before", "at")
+    whole = summed.groupBy("conv_id").agg(F.array_sort(F.collect_list(turn)).alias("turns"))
+    first_turn = F.get("turns", F.lit(0))
+    lead = F.when(first_turn["role"] == SYSTEM_ROLE, 1).otherwise(0)
+    # the system turn and the history leave this much for new turns
+    room = F.greatest(F.lit(1), F.lit(budget - history) - F.when(lead == 1, first_turn["tokens"]).otherwise(0))
+    cut = whole.select("conv_id", "turns", lead.alias("lead"), window_starts(F.col("turns"), room).alias("starts"))
+
+    def shown(start: Column, window: Column) -> Column:
+        """What a window holds: the system turn apart, history and new turns as one slice."""
+        end = F.coalesce(F.get("starts", window + 1), F.size("turns"))
+        limit = F.get("turns", start)["before"] - history
+        # a turn has one token at least, so the history has no more turns than tokens
+        low = F.greatest(F.col("lead"), start - history)
+        near = F.when(start > low, F.slice("turns", low + 1, start - low)).otherwise(F.slice("turns", 1, 0))
+        head = start - F.size(F.filter(near, lambda t: t["before"] >= limit))
+        return F.struct(
+            window.alias("window"),
+            start.alias("first"),
+            F.when((F.col("lead") == 1) & (start > 0), F.slice("turns", 1, 1)).otherwise(F.slice("turns", 1, 0)).alias("led"),
+            F.slice("turns", head + 1, end - head).alias("own"),
+        )
+
+    windows = cut.select("conv_id", F.explode(F.transform("starts", shown)).alias("w")).select("conv_id", "w.*")
+    head = F.coalesce(F.get("led", F.lit(0))["chars"], F.lit(0).cast("long"))
+    base = F.get("own", F.lit(0))["at"]
+
+    def span(t: Column, at: Column) -> Column:
+        again = t["k"] < F.col("first")
+        role, text = F.length(t["role"]).cast("long"), F.length(t["text"]).cast("long")
+        return F.struct(
+            t["k"].alias("turn"),
+            (at + len(OPEN)).alias("role_start"),
+            role.alias("role_length"),
+            (at + len(OPEN) + role + len(MIDDLE)).alias("text_start"),
+            text.alias("text_length"),
+            again.alias("repeated"),
+            (~again & t["target"]).alias("loss"),
+        )
+
+    spans = F.concat(
+        F.transform("led", lambda t: span(t, F.lit(0).cast("long"))),
+        F.transform("own", lambda t: span(t, t["at"] - base + head)),
     )
-    marks = len(OPEN) + len(MIDDLE) + len(CLOSE)
-    spans = F.aggregate(
-        "pieces",
-        F.struct(
-            F.lit(0).cast("long").alias("at"),
-            F.array().cast(
-                "array<struct<turn: int, role_start: bigint, role_length: bigint, text_start: bigint, "
-                "text_length: bigint, repeated: boolean, loss: boolean>>"
-            ).alias("spans"),
-        ),
-        lambda acc, p: F.struct(
-            (acc["at"] + F.length(p["role"]) + F.length(p["text"]) + marks).cast("long").alias("at"),
-            F.concat(
-                acc["spans"],
-                F.array(
-                    F.struct(
-                        p["turn"].alias("turn"),
-                        (acc["at"] + len(OPEN)).alias("role_start"),
-                        F.length(p["role"]).cast("long").alias("role_length"),
-                        (acc["at"] + len(OPEN) + F.length(p["role"]) + len(MIDDLE)).alias("text_start"),
-                        F.length(p["text"]).cast("long").alias("text_length"),
-                        p["repeated"].alias("repeated"),
-                        p["loss"].alias("loss"),
-                    )
-                ),
-            ).alias("spans"),
-        ),
-    )["spans"]
-    formatted = F.array_join(
-        F.transform("pieces", lambda p: F.concat(F.lit(OPEN), p["role"], F.lit(MIDDLE), p["text"], F.lit(CLOSE))), ""
+    written = F.transform(
+        F.concat("led", "own"),
+        lambda t: F.concat(F.lit(OPEN), t["role"], F.lit(MIDDLE), t["text"], F.lit(CLOSE)),
     )
-    return pieces.select("conv_id", "window", formatted.alias("formatted"), spans.alias("spans"))
+    return windows.select("conv_id", "window", F.array_join(written, "").alias("formatted"), spans.alias("spans"))
 
 
 def read_back(windows: DataFrame) -> DataFrame:

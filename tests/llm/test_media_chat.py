@@ -4,6 +4,7 @@ import random
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from terraweave.llm import chat_format as chat
 from terraweave.llm import transport_stream as ts
@@ -110,3 +111,18 @@ def test_windows_fit_and_repeat(spark):
             before = new[0] - len(old)
             assert before <= 0 or sum(sizes[k] for k in old[1:]) + sizes[before] > 35
     assert seen == list(range(40))
+
+
+def test_long_conversations_take_linear_time(spark):
+    rows = [(1, k, ("user", "assistant")[k % 2], f"turn {k} " + "word " * 20) for k in range(8000)]
+    rows += [(2, 0, "system", "漢" * 3000), (2, 1, "assistant", "字" * 3000)]
+    windows = check(spark, rows, budget=512, history=64)
+    assert len([w for w in windows if w.conv_id == 2]) == 2 and len([w for w in windows if w.conv_id == 1]) > 300
+
+
+def test_real_token_counts_choose_windows(spark):
+    rows = [(1, k, "user", "x") for k in range(10)]
+    df = talk_rows(spark, rows).withColumn("n", F.lit(9)).withColumn("window", F.lit("clash"))
+    windows = chat.format_conversations(df, budget=30, history=10, tokens=F.col("n")).collect()
+    assert sorted(len([s for s in w.spans if not s.repeated]) for w in windows) == [2] * 5
+    assert sorted(len([s for s in w.spans if s.repeated]) for w in windows) == [0, 1, 1, 1, 1]
