@@ -14,10 +14,6 @@ PREFIXES = {
     "ohmrel": "https://www.openhistoricalmap.org/relation/",
     "ohmway": "https://www.openhistoricalmap.org/way/",
     "osm": "https://www.openstreetmap.org/",
-    "osm2rdf": "https://osm2rdf.cs.uni-freiburg.de/rdf#",
-    "osm2rdfgeom": "https://osm2rdf.cs.uni-freiburg.de/rdf/geom#",
-    "osm2rdfkey": "https://osm2rdf.cs.uni-freiburg.de/rdf/key#",
-    "osm2rdfmeta": "https://osm2rdf.cs.uni-freiburg.de/rdf/meta#",
     "osmchangeset": "https://www.openstreetmap.org/changeset/",
     "osmkey": "https://www.openstreetmap.org/wiki/Key:",
     "osmmeta": "https://www.openstreetmap.org/meta/",
@@ -27,12 +23,16 @@ PREFIXES = {
     "osmrel": "https://www.openstreetmap.org/relation/",
     "osmway": "https://www.openstreetmap.org/way/",
     "rdf": "http://www.w3.org/1999/02/22-rdf-syntax-ns#",
+    "weave": "https://terraweave.example/rdf#",
+    "weavegeom": "https://terraweave.example/rdf/geom#",
+    "weavekey": "https://terraweave.example/rdf/key#",
+    "weavemeta": "https://terraweave.example/rdf/meta#",
     "wd": "http://www.wikidata.org/entity/",
     "xsd": "http://www.w3.org/2001/XMLSchema#",
 }
 
-#: Prefixes of the project's own terms, by role.
-FACT, GEOM, KEYLINK, INFO = "osm2rdf", "osm2rdfgeom", "osm2rdfkey", "osm2rdfmeta"
+#: Prefixes of the engine's own terms, by role.
+FACT, GEOM, KEYLINK, INFO = "weave", "weavegeom", "weavekey", "weavemeta"
 KEY, META, OBJECT = "osmkey", "osmmeta", "osm"
 
 #: Predicates as (prefix, local name).
