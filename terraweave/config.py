@@ -13,6 +13,7 @@ SUCCESS, FAILURE, UNKNOWN_FORMAT = 0, 1, 1
 INPUT_MISSING, INPUT_NOT_EXISTS, INPUT_IS_DIRECTORY = 2, 10, 11
 OUTPUT_IS_DIRECTORY, CACHE_NOT_EXISTS, CACHE_NOT_DIRECTORY = 12, 21, 22
 COMPRESSIONS = ("none", "bz2", "gz")
+MERGES = ("none", "concatenate")
 
 
 @dataclass(frozen=True)
@@ -24,6 +25,9 @@ class Config:
     output_format: str = "qlever"
     output_compression: str = "bz2"
     output_keep_files: bool = False
+    #: How parts become the output: "none" leaves them as they are, which is the way for
+    #: large outputs; "concatenate" joins them byte by byte through the driver.
+    output_merge: str = "concatenate"
     cache: str = "/tmp"
     store_locations: str = "mem-flex"
     source_dataset: str = "OSM"
@@ -189,7 +193,7 @@ def parse(argv: list[str]) -> Config:
         raise ConfigError(CACHE_NOT_DIRECTORY)
     if seen["output"] and os.path.isdir(seen["output"]):
         raise ConfigError(OUTPUT_IS_DIRECTORY)
-    if seen["output_format"] not in FORMATS or seen["output_compression"] not in COMPRESSIONS:
+    if seen["output_format"] not in FORMATS or seen["output_compression"] not in COMPRESSIONS or seen["output_merge"] not in MERGES:
         raise ConfigError(UNKNOWN_FORMAT)
     if seen["source_dataset"] not in ("OSM", "OHM") or seen["write_ogc_geo_triples"] not in ("full", "none"):
         raise ConfigError(FAILURE)

@@ -187,6 +187,56 @@ def with_simplified(df: DataFrame, more_than: int, deviation: float, source: str
     )
 
 
+def simplified_lines(lines: Sequence[Sequence[Point]], deviation: float, closed: bool) -> list[list[Point]]:
+    """All lines of one geometry with the tolerance that its whole length gives.
+
+    A ring that would lose its surface stays as it is.
+    """
+    size = sum(math.hypot(b[0] - a[0], b[1] - a[1]) for line in lines for a, b in zip(line, line[1:], strict=False))
+    out = [simplified(line, SIMPLIFICATION * size * deviation) for line in lines]
+    return [list(o) if closed and len(n) < 4 else n for o, n in zip(lines, out, strict=True)]
+
+
+def with_simplified_geometry(df: DataFrame, more_than: int, deviation: float, source: str, target: str, *, closed: bool) -> DataFrame:
+    """`df` with `target`: the geometry `source`, lists of lines of any depth, simplified
+    where it has more than `more_than` points; null of null."""
+    kind = df.schema[source].dataType.simpleString()
+    schema = f"{', '.join(f'`{c.name}` {c.dataType.simpleString()}' for c in df.schema)}, `{target}` {kind}"
+    place = df.columns.index(source)
+
+    def lines_of(geometry) -> Iterator[list]:
+        for part in geometry:
+            if part and isinstance(part[0], dict):
+                yield part
+            elif not part or isinstance(part[0], list):
+                yield from lines_of(part)
+
+    def rebuilt(geometry, made: Iterator[list[Point]]):
+        out = []
+        for part in geometry:
+            if part and isinstance(part[0], dict):
+                out.append([{"x": x, "y": y} for x, y in next(made)])
+            else:
+                out.append(rebuilt(part, made))
+        return out
+
+    def one(geometry):
+        if geometry is None:
+            return None
+        lines = [_pairs(line) for line in lines_of(geometry)]
+        if not 0 < more_than < sum(map(len, lines)):
+            return geometry
+        return rebuilt(geometry, iter(simplified_lines(lines, deviation, closed)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(place)
+            made = pa.array([one(g) for g in column.to_pylist()], column.type)
+            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, target])
+
+    return df.mapInArrow(run, schema)
+
+
 def with_area_centroid(df: DataFrame, source: str = "polygons", target: str = "centroid") -> DataFrame:
     """`df` with the centroid, an array of one point, of multipolygons."""
     schema = f"{', '.join(f'`{c.name}` {c.dataType.simpleString()}' for c in df.schema)}, `{target}` array<struct<x: double, y: double>>"

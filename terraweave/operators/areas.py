@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -85,23 +86,28 @@ def rings_of(lines: list[list[Point]]) -> list[list[Point]] | None:
     return rings
 
 
-def _crossing(a: Point, b: Point, c: Point, d: Point) -> bool:
-    def side(o: Point, p: Point, q: Point) -> float:
-        return (p[0] - o[0]) * (q[1] - o[1]) - (p[1] - o[1]) * (q[0] - o[0])
-
-    s1, s2, s3, s4 = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
-    return s1 * s2 < 0 and s3 * s4 < 0
-
-
 def crosses_itself(rings: list[list[Point]]) -> bool:
-    """Whether two segments cross, by a sweep over x."""
-    segments = sorted((min(a, b), max(a, b)) for r in rings for a, b in zip(r, r[1:], strict=False))
-    open_: list[tuple[Point, Point]] = []
-    for a, b in segments:
-        open_ = [s for s in open_ if s[1][0] >= a[0]]
-        if any(_crossing(a, b, c, d) for c, d in open_):
+    """Whether two segments cross: each is held against those that begin, from left to
+    right, before it ends, and whose heights meet its own."""
+    own = np.array([(*min(a, b), *max(a, b)) for r in rings for a, b in zip(r, r[1:], strict=False)])
+    own = own[np.argsort(own[:, 0], kind="stable")]
+    x1, y1, x2, y2 = own.T
+    low, high = np.minimum(y1, y2), np.maximum(y1, y2)
+    last = np.searchsorted(x1, x2, side="right")
+
+    def side(ox, oy, px, py, qx, qy):
+        return (px - ox) * (qy - oy) - (py - oy) * (qx - ox)
+
+    for k in range(len(own)):
+        near = slice(k + 1, last[k])
+        at = k + 1 + np.flatnonzero((low[near] <= high[k]) & (high[near] >= low[k]))
+        if not len(at):
+            continue
+        a, b = (x1[k], y1[k]), (x2[k], y2[k])
+        s1, s2 = side(*a, *b, x1[at], y1[at]), side(*a, *b, x2[at], y2[at])
+        s3, s4 = side(x1[at], y1[at], x2[at], y2[at], *a), side(x1[at], y1[at], x2[at], y2[at], *b)
+        if ((s1 * s2 < 0) & (s3 * s4 < 0)).any():
             return True
-        open_.append((a, b))
     return False
 
 
@@ -114,7 +120,15 @@ def polygons_of(rings: list[list[Point]]) -> list[list[list[Point]]]:
     def surface(r: list[Point]) -> float:
         return abs(sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(r, r[1:], strict=False)))
 
-    holders = [[k for k, other in enumerate(rings) if k != at and inside(middle(r), other)] for at, r in enumerate(rings)]
+    boxes = np.array([(*map(min, zip(*r, strict=True)), *map(max, zip(*r, strict=True))) for r in rings]).reshape(-1, 4)
+
+    def around(at: int) -> list[int]:
+        """The rings that the ring `at` lies in; only those whose boxes hold it are walked."""
+        low, high = boxes[at, :2], boxes[at, 2:]
+        held = (boxes[:, :2] <= low).all(axis=1) & (boxes[:, 2:] >= high).all(axis=1)
+        return [k for k in np.flatnonzero(held).tolist() if k != at and inside(middle(rings[at]), rings[k])]
+
+    holders = [around(at) for at in range(len(rings))]
     out: dict[int, list[list[Point]]] = {k: [rings[k]] for k, h in enumerate(holders) if len(h) % 2 == 0}
     for k, h in enumerate(holders):
         if len(h) % 2:

@@ -275,6 +275,9 @@ class Facts:
             df = kernels.with_area_centroid(df) if polygons else kernels.with_line_centroid(df, "outline")
         if self.c.add_hasconvexhull:
             df = kernels.with_hull(df, "outline")
+            if self.c.simplify_wkt > 0:
+                df = kernels.with_simplified(df, self.c.simplify_wkt, self.c.simplify_wkt_deviation, "hull", "shown_hull")
+                df = df.withColumn("hull", F.when(F.size("shown_hull") >= 4, F.col("shown_hull")).otherwise(F.col("hull"))).drop("shown_hull")
         if self.c.add_hasobb:
             df = kernels.with_oriented_box(df, "outline")
         return df
@@ -346,6 +349,12 @@ class Facts:
         plain = exploded(kept, *self.object_facts(s, "relation"), self.relation_members(s))
         shown = geometries.join(kept.select("id"), "id", "left_semi")
         shown = self.with_shapes(shown.withColumn("outline", F.flatten(F.transform("parts", lambda p: p["points"]))))
+        if self.c.simplify_wkt > 0:
+            lines = shown.withColumn("lines", F.transform("parts", lambda p: p["points"]))
+            lines = kernels.with_simplified_geometry(
+                lines, self.c.simplify_wkt, self.c.simplify_wkt_deviation, "lines", "shown", closed=False
+            )
+            shown = lines.withColumn("parts", F.transform("parts", lambda p, k: p.withField("points", F.get("shown", k))))
         return plain.unionByName(exploded(shown, *self.relation_geometry(s)))
 
     # -- areas ------------------------------------------------------------------------
@@ -358,11 +367,17 @@ class Facts:
         number = F.col("obj_id")
         shape = F.when(F.col("from_way"), self.geometry_iri("way_", number)).otherwise(self.geometry_iri("rel_", number))
         shown = self.with_shapes(areas.withColumn("outline", G.outer_points(F.col("polygons"))), polygons=True)
+        polygons = "polygons"
+        if self.c.simplify_wkt > 0:
+            polygons = "shown"
+            shown = kernels.with_simplified_geometry(
+                shown, self.c.simplify_wkt, self.c.simplify_wkt_deviation, "polygons", polygons, closed=True
+            )
         size = T.trimmed(G.multipolygon_area(F.col("polygons")), V.AREA_DIGITS)
         own = [
             F.array(
                 triple(s, self.term(V.HAS_GEOMETRY), shape),
-                triple(shape, self.term(V.AS_WKT), self.wkt(G.area_wkt(F.col("polygons"), self.digits))),
+                triple(shape, self.term(V.AS_WKT), self.wkt(G.area_wkt(F.col(polygons), self.digits))),
                 triple(s, self.term(V.AREA), T.typed(size, "double", self.fmt)),
             ),
             when_true(~F.col("from_way"), triple(s, self.term(V.COMPLETE), T.boolean(F.lit(True), self.fmt))),

@@ -16,20 +16,19 @@ def add_edges(edges: DataFrame, *more: tuple[int, int]) -> DataFrame:
 def closure(edges: DataFrame, most_rounds: int = 64) -> DataFrame:
     """(src, dst) of every path, each pair once.
 
-    Paths double with each round, so a graph of depth d takes log2(d) rounds; each
-    round is a written table, so no lineage builds up.
+    A round joins the pairs that the last one found with all that are known, so paths
+    double in length and a graph of depth d takes log2(d) rounds; no pair is found
+    from two old ones again. Each round is a written table, so no lineage builds up.
     """
-    known = stored(edges.select("src", "dst").distinct(), "closure")
-    size = known.count()
+    known = new = stored(edges.select("src", "dst").distinct(), "closure")
     for _ in range(most_rounds):
-        further = known.alias("a").join(known.alias("b"), F.col("a.dst") == F.col("b.src")).select(
+        further = new.alias("a").join(known.alias("b"), F.col("a.dst") == F.col("b.src")).select(
             F.col("a.src").alias("src"), F.col("b.dst").alias("dst")
         )
-        known = stored(known.unionByName(further).distinct(), "closure")
-        grown = known.count()
-        if grown == size:
+        new = stored(further.distinct().join(known, ["src", "dst"], "left_anti"), "closure")
+        if new.limit(1).count() == 0:
             return known
-        size = grown
+        known = known.unionByName(new)
     raise RuntimeError("closure did not settle")
 
 
@@ -46,10 +45,13 @@ class Successors:
 
     def of(self, source: int) -> list[int]:
         """All that can be reached from `source`, without it, in ascending order."""
+        return [r.dst for r in self.rows(source).orderBy("dst").toLocalIterator()]
+
+    def rows(self, source: int) -> DataFrame:
+        """The same as a table (dst), for sources that reach many."""
         if self._paths is None:
             raise RuntimeError("prepare() first")
-        found = self._paths.filter((F.col("src") == source) & (F.col("dst") != source))
-        return [r.dst for r in found.select("dst").orderBy("dst").collect()]
+        return self._paths.filter((F.col("src") == source) & (F.col("dst") != source)).select("dst")
 
 
 def successors(edges: DataFrame) -> DataFrame:

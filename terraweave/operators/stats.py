@@ -67,10 +67,26 @@ def count_and_max(kinds: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
-def required_ids(ways: DataFrame, relations: DataFrame, *, exact: bool = True) -> DataFrame:
-    """(kind, required): distinct objects that others refer to."""
+def geometry_counts(kinds: dict[str, DataFrame]) -> DataFrame:
+    """(kind, geometries) per kind: tables of what has a geometry."""
+    out = None
+    for kind, df in kinds.items():
+        row = df.agg(F.count("*").alias("geometries")).select(F.lit(kind).alias("kind"), "geometries")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+def required_ids(
+    ways: DataFrame, relations: DataFrame, *, areas: DataFrame | None = None, exact: bool = True
+) -> DataFrame:
+    """(kind, required): distinct objects that others refer to.
+
+    `areas` (nds) are references of rings: nodes that areas need beside the ways'.
+    """
     members = relations.select(F.explode("members").alias("m")).select(F.col("m.type").alias("kind"), F.abs("m.ref").alias("ref"))
     refs = ways.select(F.lit("node").alias("kind"), F.explode("nds").alias("ref")).unionByName(members)
+    if areas is not None:
+        refs = refs.unionByName(areas.select(F.lit("node").alias("kind"), F.explode("nds").alias("ref")))
     if not exact:
         return refs.groupBy("kind").agg(F.approx_count_distinct("ref").alias("required"))
     # distinct first, so that no task holds the ids of a kind

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from ..operators import areas, joins, spatial
 from ..operators.facts import Facts, all_of
 from ..sinks import triples as sink
 from ..sources import formats
+from ..sources.stored import remove_stored, shared_path, stored
 
 
 @dataclass
@@ -33,11 +35,13 @@ class Entities:
 class Dump:
     """Plans of one run. Branches that are switched off are never built."""
 
-    def __init__(self, entities: Entities, config: Config):
+    def __init__(self, entities: Entities, config: Config, dumped: datetime | None = None):
         self.e = entities
+        self.dumped = dumped
         self.c = config.normalised()
         self.facts = Facts(self.c)
-        self.shaped = joins.shape_ways(joins.locate_ways(entities.ways, entities.locations))
+        # read by ways, areas, relations and the spatial join: located once
+        self.shaped = stored(joins.shape_ways(joins.locate_ways(entities.ways, entities.locations)), "located-ways")
 
     def areas(self) -> DataFrame:
         found = areas.of_ways(self.shaped).unionByName(areas.of_relations(self.e.relations, self.shaped))
@@ -97,7 +101,7 @@ class Dump:
         shapes = self.geometries()
         if shapes is None:
             return None
-        found = spatial.relations(shapes)
+        found = stored(spatial.relations(shapes), "relations")
         if not self.c.no_relation_geometric_relations:
             found = found.unionByName(spatial.of_collections(found, self.members()))
         return spatial.triples(found, self.c.output_format)
@@ -105,7 +109,7 @@ class Dump:
     def triples(self) -> DataFrame:
         """Options, facts and spatial relations; without the header."""
         spark: SparkSession = self.e.nodes.sparkSession
-        parts = [sink.metadata(spark, self.c), self.fact_triples(), self.spatial_triples()]
+        parts = [sink.metadata(spark, self.c, dumped=self.dumped), self.fact_triples(), self.spatial_triples()]
         return all_of([p for p in parts if p is not None])
 
 
@@ -113,9 +117,17 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
     """The command line: read, plan, write; returns the exit code."""
     c = parse(argv)
     spark = spark or SparkSession.builder.appName("terraweave").config("spark.sql.session.timeZone", "UTC").getOrCreate()
-    kinds = [formats.read_entities(spark, c.input, k) for k in ("node", "way", "relation")]
+    try:
+        return _run(spark, c)
+    finally:
+        remove_stored(spark)
+
+
+def _run(spark: SparkSession, c: Config) -> int:
+    # the dump is parsed once, into tables that all branches read
+    kinds = formats.to_bronze(spark, c.input, shared_path(spark, "bronze")).values()
     auxiliary = formats.read_wkt(spark, *c.aux_geo_files) if c.aux_geo_files else None
-    dump = Dump(Entities(*kinds, auxiliary), c).triples()
+    dump = Dump(Entities(*kinds, auxiliary), c, datetime.now(timezone.utc)).triples()
     top = sink.header(spark, c.output_format, c)
     if not c.output:
         for row in (*sink.to_stdout(top), *sink.to_stdout(dump)):
@@ -123,8 +135,11 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
         return 0
     target = sink.with_ending(c.output, c.output_compression)
     sink.write(top.coalesce(1), f"{target}.header", compression=c.output_compression)
-    sink.write(dump, f"{target}.parts", compression=c.output_compression)
     if c.write_rdf_statistics:
+        # written and counted from the same table
+        dump = stored(dump, "triples")
         sink.write_statistics(dump, c.output, 0 if c.output_format == "nt" else top.count())
-    sink.merge(spark, f"{target}.parts", target, keep=c.output_keep_files, first=f"{target}.header")
+    sink.write(dump, f"{target}.parts", compression=c.output_compression)
+    if c.output_merge == "concatenate":
+        sink.merge(spark, f"{target}.parts", target, keep=c.output_keep_files, first=f"{target}.header")
     return 0

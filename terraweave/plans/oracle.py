@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from .. import vocabulary as V
 from ..functions.text import name
+from ..sinks.triples import VERSION
 from ..sources.tables import FIRST_SECOND, REGION_BASE, SUPPLIER_BASE
-from .queries import CONFIG, FMT, INPUTS, OPTIONS
+from .queries import CONFIG, FMT, INPUTS, LINE_BASE, OPTIONS
 
 DAY = "strftime(to_timestamp({s}) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S')"
 
@@ -279,6 +280,12 @@ def haversine(x1: str, y1: str, x2: str, y2: str, radius: float, pi: str) -> str
 ORACLE_SQL["way_next_node"] = f"""SELECT id, pos, next, CAST(round({haversine('lon', 'lat', 'lon1', 'lat1', V.RADIUS_NEXT, str(V.PI_NEXT))}) AS BIGINT) AS metres
  FROM (SELECT id, pos, lon, lat, lead(ref) OVER w AS next, lead(lon) OVER w AS lon1, lead(lat) OVER w AS lat1 FROM {LOCATED}
  WINDOW w AS (PARTITION BY id ORDER BY pos)) WHERE lon IS NOT NULL AND lon1 IS NOT NULL"""
+ORACLE_SQL["way_next_node_triples"] = f"""SELECT '_:way_' || id || '_' || pos AS s, {t(V.NEXT_NODE)} AS p, 'osmnode:' || next AS o
+ FROM ({ORACLE_SQL['way_next_node']})"""
+ORACLE_SQL["member_namespaces"] = f"""SELECT {_way_node} AS s, {t(V.WAY_MEMBER_ID)} AS p,
+ CASE WHEN coalesce(n.tagged, false) THEN 'osmnode_tagged:' || ref ELSE 'osmnode_untagged:' || ref END AS o
+ FROM (SELECT r.*, (SELECT bool_or(tagged) FROM {NODES} n WHERE n.id = r.ref AND n.id % 17 <> 0) AS tagged FROM {REFS} r) n"""
+ORACLE_SQL["node_lines"] = f"SELECT s || ' ' || p || ' ' || o || ' .' AS line FROM ({ORACLE_SQL['node_facts']})"
 ORACLE_SQL["way_length"] = f"""SELECT o_orderkey AS id, CAST(round(coalesce(metres, 0) / 10) AS BIGINT) AS decametres FROM orders LEFT JOIN (
  SELECT id, sum({haversine('lon0', 'lat0', 'lon', 'lat', V.RADIUS_LENGTH, 'pi()')}) AS metres FROM {SHAPED} WHERE lon0 IS NOT NULL GROUP BY id)
  ON id = o_orderkey"""
@@ -420,8 +427,68 @@ ORACLE_SQL["spatial_triples"] = union(
     f"SELECT {_b}, 'ogc:sfTouches', {_p} {_joined} AND NOT ({_in})",
     f"SELECT {_p}, 'ogc:sfTouches', {_b} {_joined} AND NOT ({_in})",
 )
-ORACLE_SQL["spatial_relation_members"] = f"""SELECT DISTINCT s_nationkey::BIGINT AS a, predicate, b FROM ({BOX_PAIRS}) r
- JOIN supplier ON s_suppkey + {SUPPLIER_BASE} = r.a WHERE predicate IN ('Intersects', 'Covers', 'Contains')"""
+
+
+def lifted(base: str, members: str, once: bool = False) -> str:
+    """Relations (a, predicate, b) of collections from those of their members."""
+    any_of = lambda n: f"bool_or(coalesce(forth = '{n}', false))"
+    to = {
+        "Intersects": any_of("Intersects"), "Contains": any_of("Contains"), "Covers": any_of("Covers"),
+        "Touches": "meet > 0 AND touch = meet", "Equals": f"{any_of('Equals')} AND covered = size",
+        "Overlaps": f"{any_of('Overlaps')} AND NOT {any_of('Covers')} AND covered < size", "Crosses": any_of("Crosses"),
+    }
+    of = {**to, "Contains": "covered = size AND bool_or(coalesce(back = 'Contains', false))", "Covers": "covered = size"}
+    both = f"""(SELECT m.c, r.b AS other, r.predicate AS forth, NULL AS back FROM ({base}) r JOIN {members} m ON r.a = m.m
+     UNION ALL SELECT m.c, r.a, NULL, r.predicate FROM ({base}) r JOIN {members} m ON r.b = m.m)"""
+    told = f"""(SELECT j.*, count(*) FILTER (forth = 'Intersects') OVER w AS meet, count(*) FILTER (forth = 'Touches') OVER w AS touch,
+     count(*) FILTER (back = 'Covers') OVER w AS covered, n.size FROM {both} j JOIN (SELECT c, count(*) AS size FROM {members} GROUP BY c) n USING (c)
+     {'WHERE j.c < j.other' if once else ''} WINDOW w AS (PARTITION BY j.c, j.other))"""
+    grouped = "GROUP BY c, other, meet, touch, covered, size"
+    rows = [f"SELECT c AS a, '{n}' AS predicate, other AS b FROM {told} {grouped} HAVING {x}" for n, x in to.items()]
+    rows += [f"SELECT other, '{n}', c FROM {told} {grouped} HAVING {x}" for n, x in of.items()]
+    return union(*rows)
+
+
+_nation_members = f"(SELECT DISTINCT s_nationkey::BIGINT AS c, s_suppkey + {SUPPLIER_BASE} AS m FROM supplier)"
+_itself = " UNION ALL ".join(f"SELECT m, '{n}', m FROM {_nation_members}" for n in ("Intersects", "Contains", "Covers", "Equals"))
+ORACLE_SQL["spatial_relation_members"] = f"""WITH base AS MATERIALIZED (SELECT a, predicate, b FROM ({BOX_PAIRS}) UNION ALL {_itself}),
+ single AS MATERIALIZED ({lifted('SELECT * FROM base', _nation_members)})
+ SELECT * FROM single UNION ALL ({lifted('SELECT * FROM single', _nation_members, once=True)})"""
+_lines = f"""(SELECT obj_id + {LINE_BASE} AS id, CASE WHEN obj_id % 3 = 0 THEN maxy ELSE (miny + maxy) / 2 END AS y,
+ minx - CASE WHEN obj_id % 2 = 0 THEN 0.5 ELSE -0.25 END AS x0, maxx + CASE WHEN obj_id % 2 = 0 THEN 0.5 ELSE -0.25 END AS x1 FROM {BOXES})"""
+_line_meets = "y BETWEEN miny AND maxy AND x0 <= maxx AND x1 >= minx"
+_line_deep = "y > miny AND y < maxy AND x0 < maxx AND x1 > minx"
+_line_held = "y BETWEEN miny AND maxy AND x0 >= minx AND x1 <= maxx"
+_line_out = "(x0 < minx OR x1 > maxx)"
+ORACLE_SQL["spatial_line_relations"] = union(
+    *(
+        f"SELECT {a} AS a, '{n}' AS predicate, {b} AS b FROM {_lines} l JOIN {BOXES} b ON {c}"
+        for n, ways, c in (
+            ("Intersects", 2, _line_meets),
+            ("Contains", 1, f"{_line_held} AND {_line_deep}"),
+            ("Covers", 1, _line_held),
+            ("Touches", 2, f"{_line_meets} AND NOT ({_line_deep})"),
+            ("Crosses", 2, f"{_line_deep} AND {_line_out}"),
+        )
+        for a, b in (("obj_id", "id"), ("id", "obj_id"))[:ways]
+    )
+)
+_whole = "obj_id % 5 <> 0"
+ORACLE_SQL["relation_areas"] = f"""SELECT obj_id * 2 + 1 AS area_id, obj_id, false AS from_way, 2::BIGINT AS rings,
+ round((maxx - minx) * (maxy - miny), 6) AS outer_square, round((maxx - minx) * (maxy - miny) / 4, 6) AS hole_square,
+ 'POLYGON((' || {corner()} || '))' AS extent FROM {BOXES} WHERE {_whole}"""
+_rim = f"(SELECT obj_id, obj_id * 10 + 1 + {LINE_BASE} AS rim, obj_id * 10 + 2 + {LINE_BASE} AS edge FROM {BOXES} WHERE {_whole})"
+ORACLE_SQL["area_relation_relations"] = union(
+    f"SELECT obj_id AS a, 'Intersects' AS predicate, rim AS b FROM {_rim}",
+    f"SELECT rim, 'Intersects', obj_id FROM {_rim}",
+    f"SELECT obj_id, 'Contains', rim FROM {_rim}",
+    f"SELECT obj_id, 'Covers', rim FROM {_rim}",
+    f"SELECT obj_id, 'Intersects', edge FROM {_rim}",
+    f"SELECT edge, 'Intersects', obj_id FROM {_rim}",
+    f"SELECT obj_id, 'Covers', edge FROM {_rim}",
+    f"SELECT obj_id, 'Touches', edge FROM {_rim}",
+    f"SELECT edge, 'Touches', obj_id FROM {_rim}",
+)
 
 # -- statistics, header, graph -------------------------------------------------------
 
@@ -439,6 +506,14 @@ ORACLE_SQL["stats_max_id"] = f"""SELECT kind, n AS count, m AS max_id, {_width}
  UNION ALL SELECT 'relation', (SELECT count(*) FROM customer) + count(*), max(r_regionkey) + {REGION_BASE} FROM region)"""
 ORACLE_SQL["stats_required_ids"] = """SELECT 'node' AS kind, count(*) AS required FROM (SELECT l_partkey FROM lineitem UNION SELECT c_nationkey FROM customer)
  UNION ALL SELECT 'way', count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'relation', count(DISTINCT n_nationkey) FROM nation"""
+ORACLE_SQL["stats_with_areas"] = f"""SELECT kind, n AS count, m AS max_id, {_width} AS width, g AS geometries FROM (
+ SELECT 'node' AS kind, count(*) AS n, max(p_partkey) AS m, (SELECT count(*) FROM {NODES}) AS g FROM part
+ UNION ALL SELECT 'area', count(*), max(CASE WHEN from_way THEN obj_id * 2 ELSE obj_id * 2 + 1 END), count(*) FROM {BOXES})"""
+ORACLE_SQL["stats_required_by_areas"] = f"""SELECT 'node' AS kind, count(*) AS required FROM (SELECT l_partkey FROM lineitem UNION SELECT c_nationkey FROM customer
+ UNION SELECT s_suppkey + {SUPPLIER_BASE} FROM supplier UNION SELECT 0)
+ UNION ALL SELECT 'way', count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'relation', count(DISTINCT n_nationkey) FROM nation"""
+ORACLE_SQL["dump_information"] = f"""SELECT {t((V.INFO, 'info'))} AS s, '{V.INFO}:version' AS p, '"{VERSION}"' AS o
+ UNION ALL SELECT {t((V.INFO, 'info'))}, '{V.INFO}:dateDumped', {typed(lit('2020-02-29T12:34:56'), 'dateTime')}"""
 _own = dict(V.PREFIXES)
 ORACLE_SQL["prefix_header"] = "SELECT * FROM (VALUES " + ", ".join(f"('@prefix', '{p}:', '<{i}>')" for p, i in _own.items()) + ") v(s, p, o)"
 _value = lambda text, kind: lit('"' + text + '"' + (f"^^{name(('xsd', kind), FMT)}" if kind else ""))

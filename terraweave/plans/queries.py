@@ -7,6 +7,7 @@ any engine reads, in INPUTS, so that the checking SQL works on the same ones.
 from __future__ import annotations
 
 from dataclasses import replace
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from ..config import Config, option_rows
 from ..functions import geometry as G
 from ..functions import kernels, tags
 from ..functions import text as T
-from ..operators import graph, joins, spatial, stats
+from ..operators import areas, graph, joins, spatial, stats
 from ..operators.facts import Facts, all_of, exploded
 from ..sinks import triples as sink
 from ..sources import tables as A
@@ -330,6 +331,28 @@ def simplified_polylines(spark, d):
     return shown.select("vec_id", F.size("shown").cast("long").alias("n_points"), G.line_wkt(F.col("shown"), DIGITS).alias("wkt"))
 
 
+@query
+def way_next_node_triples(spark, d):
+    """The links from one member node to the next, as written."""
+    f = facts(add_way_node_spatial_metadata=True)
+    found = exploded(shaped_ways(spark, d), f.way_members(f.subject("way")))
+    return found.filter(F.col("p") == T.name(V.NEXT_NODE, FMT))
+
+
+@query
+def member_namespaces(spark, d):
+    """Member references of ways, where untagged nodes have a namespace of their own."""
+    f = facts(iri_prefix_for_untagged_nodes="http://example.org/untagged/")
+    found = exploded(shaped_ways(spark, d), f.way_members(f.subject("way")))
+    return found.filter(F.col("p") == T.name(V.WAY_MEMBER_ID, FMT))
+
+
+@query
+def node_lines(spark, d):
+    """All facts of nodes as lines of the output."""
+    return node_facts(spark, d).select(T.line().alias("line"))
+
+
 # -- relations -------------------------------------------------------------------------
 
 
@@ -441,6 +464,89 @@ def spatial_relation_members(spark, d):
     return spatial.of_collections(spatial.relations(shapes), members)
 
 
+LINE_BASE = 10_000_000_000
+
+
+@query
+def spatial_line_relations(spark, d):
+    """Level lines through the suppliers' boxes, half of them longer than the box: how
+    lines and boxes lie to each other, both ways."""
+    boxes = A.areas(spark, d)
+    outline = G.box(G.outer_points(F.col("polygons")))
+    b = boxes.select("obj_id", outline.alias("b")).select("obj_id", "b.*")
+    y = F.when(F.col("obj_id") % 3 == 0, F.col("maxy")).otherwise((F.col("miny") + F.col("maxy")) / 2)
+    reach = F.when(F.col("obj_id") % 2 == 0, 0.5).otherwise(-0.25)
+    line = F.array(*(F.struct(x.alias("x"), y.alias("y")) for x in (F.col("minx") - reach, F.col("maxx") + reach)))
+    lines = b.select((F.col("obj_id") + LINE_BASE).alias("id"), spatial.shape(lines=F.array(line)).alias("shape"))
+    shapes = boxes.select(F.col("obj_id").alias("id"), spatial.shape(polygons=F.col("polygons")).alias("shape"))
+    found = spatial.relations(shapes.unionByName(lines))
+    return found.filter((F.col("a") >= LINE_BASE) != (F.col("b") >= LINE_BASE))
+
+
+def supplier_rings(spark, d) -> tuple[DataFrame, DataFrame]:
+    """(relations, shaped ways): each supplier's box as two open lines around a hole in
+    its middle; every fifth relation lacks its second line."""
+    b = A.areas(spark, d).select("obj_id", G.box(G.outer_points(F.col("polygons"))).alias("b")).select("obj_id", "b.*")
+    x0, y0, x1, y1 = (F.col(c) for c in ("minx", "miny", "maxx", "maxy"))
+    w, h = (x1 - x0) / 4, (y1 - y0) / 4
+    at = lambda *ps: F.array(*(F.struct(x.alias("x"), y.alias("y")) for x, y in ps))
+    lines = F.array(
+        at((x0, y0), (x1, y0), (x1, y1)),
+        at((x1, y1), (x0, y1), (x0, y0)),
+        at((x0 + w, y0 + h), (x1 - w, y0 + h), (x1 - w, y1 - h), (x0 + w, y1 - h), (x0 + w, y0 + h)),
+    )
+    ways = b.select("obj_id", F.posexplode(lines).alias("k", "points")).filter("k <> 1 or obj_id % 5 <> 0")
+    shaped = ways.select(
+        (F.col("obj_id") * 10 + F.col("k")).alias("id"), "points", F.transform("points", lambda p, k: k.cast("long")).alias("nds")
+    )
+    member = lambda k, role: F.struct(F.lit("way").alias("type"), (F.col("obj_id") * 10 + k).alias("ref"), F.lit(role).alias("role"))
+    relations = b.select(
+        F.col("obj_id").alias("id"),
+        F.array(member(0, "outer"), member(1, "outer"), member(2, "inner")).alias("members"),
+        A.tag_list(("type", F.lit("multipolygon"))).alias("tags"),
+    )
+    return relations, shaped
+
+
+@query
+def relation_areas(spark, d):
+    """Areas assembled from open lines, with holes: rings, surface and extent."""
+    found = areas.of_relations(*supplier_rings(spark, d))
+    rings = F.aggregate("polygons", F.lit(0).cast("long"), lambda n, g: n + F.size(g))
+    square = lambda r: F.abs(
+        F.aggregate(
+            F.sequence(F.lit(0), F.size(r) - 2), F.lit(0.0),
+            lambda acc, k: acc + F.get(r, k)["x"] * F.get(r, k + 1)["y"] - F.get(r, k + 1)["x"] * F.get(r, k)["y"],
+        )
+    ) / 2
+    first = F.get("polygons", F.lit(0))
+    return found.select(
+        "area_id", "obj_id", "from_way", rings.alias("rings"),
+        F.round(square(F.get(first, F.lit(0))), 6).alias("outer_square"),
+        F.round(square(F.get(first, F.lit(1))), 6).alias("hole_square"),
+        G.box_wkt(G.box(G.outer_points(F.col("polygons"))), 6).alias("extent"),
+    )
+
+
+@query
+def area_relation_relations(spark, d):
+    """How boxes with holes lie to points in their middle and in their rim."""
+    rings = areas.of_relations(*supplier_rings(spark, d))
+    holed = rings.select(F.col("obj_id").alias("id"), spatial.shape(polygons=F.col("polygons")).alias("shape"))
+    b = A.areas(spark, d).select("obj_id", G.box(G.outer_points(F.col("polygons"))).alias("b")).select("obj_id", "b.*")
+    place = F.array(*(
+        F.struct((F.col("minx") + (F.col("maxx") - F.col("minx")) * t).alias("x"), (F.col("miny") + (F.col("maxy") - F.col("miny")) * t).alias("y"))
+        for t in (0.5, 0.125, 0.0)
+    ))
+    points = b.select("obj_id", F.posexplode(place).alias("k", "p")).select(
+        (F.col("obj_id") * 10 + F.col("k") + LINE_BASE).alias("id"), spatial.shape(points=F.array("p")).alias("shape")
+    )
+    found = spatial.relations(holed.unionByName(points))
+    # of a supplier's own points and area, as areas and points of others meet as well
+    own = F.floor((F.greatest("a", "b") - LINE_BASE) / 10) == F.least("a", "b")
+    return found.filter(own)
+
+
 # -- statistics, header, switches --------------------------------------------------------
 
 
@@ -469,6 +575,32 @@ def stats_required_ids(spark, d):
     return stats.required_ids(A.ways(spark, d), A.relations(spark, d))
 
 
+@query
+def stats_with_areas(spark, d):
+    """Counts, largest ids and geometries per kind, areas included."""
+    own = A.areas(spark, d).select(F.col("area_id").alias("id"), "polygons")
+    kinds = {"node": A.nodes(spark, d), "area": own}
+    shaped = {
+        "node": A.nodes(spark, d).filter(G.valid(F.col("lon"), F.col("lat"))),
+        "area": own.filter(F.size("polygons") > 0),
+    }
+    return stats.count_and_max(kinds).join(stats.geometry_counts(shaped), "kind")
+
+
+@query
+def stats_required_by_areas(spark, d):
+    """Required ids where rings refer to nodes that no way has."""
+    rings = A.table(spark, d, "supplier").select(F.array((F.col("s_suppkey") + A.SUPPLIER_BASE).cast("long"), F.lit(0).cast("long")).alias("nds"))
+    return stats.required_ids(A.ways(spark, d), A.relations(spark, d), areas=rings)
+
+
+@query
+def dump_information(spark, d):
+    """The engine's version and when the output was made."""
+    told = sink.metadata(spark, CONFIG, dumped=datetime(2020, 2, 29, 12, 34, 56))
+    return told.filter(F.col("s") == T.name((V.INFO, "info"), FMT))
+
+
 @query
 def prefix_header(spark, d):
     return sink.header(spark, FMT)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,11 @@ from ..config import Config, option_rows
 from ..functions import text as T
 from ..operators.stats import output_statistics
 
+#: The engine's version, as the output tells it.
+VERSION = "0.2"
 CODECS = {"none": "none", "bz2": "bzip2", "gz": "gzip"}
+#: Fixed value: the part buffer that a line of the standard output must fit.
+LONGEST_LINE = 30 * 1024 * 1024
 ENDINGS = {"none": "", "bz2": ".bz2", "gz": ".gz"}
 
 
@@ -26,15 +31,22 @@ def header(spark: SparkSession, fmt: str, config: Config | None = None) -> DataF
     return spark.createDataFrame(rows, "s string, p string, o string")
 
 
-def metadata(spark: SparkSession, config: Config) -> DataFrame:
-    """(s, p, o) of the options in effect."""
+def metadata(spark: SparkSession, config: Config, *, dumped: datetime | None = None) -> DataFrame:
+    """(s, p, o) of the options in effect; with `dumped` also the engine's version and
+    when the output was made."""
     fmt = config.output_format
     rows = spark.createDataFrame(option_rows(config), "name string, text string, kind string")
     value = T.string_literal("text")
     for kind in ("boolean", "integer", "double"):
         value = F.when(F.col("kind") == kind, T.typed(F.col("text"), kind, fmt)).otherwise(value)
     option = T.iri(V.INFO, F.col("name"), "nt") if fmt == "nt" else F.concat(F.lit(f"{V.INFO}:"), "name")
-    return rows.select(T.term((V.INFO, "option"), fmt).alias("s"), option.alias("p"), value.alias("o"))
+    told = rows.select(T.term((V.INFO, "option"), fmt).alias("s"), option.alias("p"), value.alias("o"))
+    if dumped is None:
+        return told
+    own = spark.createDataFrame([("version", VERSION, None), ("dateDumped", dumped.strftime("%Y-%m-%dT%H:%M:%S"), "dateTime")], "name string, text string, kind string")
+    name = T.iri(V.INFO, F.col("name"), "nt") if fmt == "nt" else F.concat(F.lit(f"{V.INFO}:"), "name")
+    text = F.when(F.col("kind") == "dateTime", T.typed(F.col("text"), "dateTime", fmt)).otherwise(T.string_literal("text"))
+    return own.select(T.term((V.INFO, "info"), fmt).alias("s"), name.alias("p"), text.alias("o")).unionByName(told)
 
 
 def with_ending(path: str, compression: str) -> str:
@@ -80,9 +92,11 @@ def merge(spark: SparkSession, folder: str, target: str, *, keep: bool = False,
     return target
 
 
-def to_stdout(triples: DataFrame) -> Iterator[str]:
-    """The lines one partition at a time, for printing."""
+def to_stdout(triples: DataFrame, longest: int = LONGEST_LINE) -> Iterator[str]:
+    """The lines one partition at a time, for printing; one of more characters raises."""
     for row in triples.select(T.line().alias("value")).toLocalIterator():
+        if len(row.value) > longest:
+            raise ValueError(f"a line of {len(row.value)} characters does not fit the output buffer")
         yield row.value
 
 

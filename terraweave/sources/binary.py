@@ -1,7 +1,7 @@
 """Binary dumps as data sources: blocks of protocol buffers, and delta-coded streams.
 
-A partition is a run of blocks (or what stands between two resets), so a file is
-read in parallel and a lost task reads its run again. Files are opened through
+A partition is a run of blocks, or of sections from a reset on, so a file is read in
+parallel and a lost task reads its run again; a compressed delta stream is one run. Files are opened through
 Arrow's file systems, by path or URI.
 """
 
@@ -292,13 +292,38 @@ class O5mReader(DataSourceReader):
     def __init__(self, path: str, kind: str):
         self.path, self.kind = path, kind
 
-    def _data(self) -> bytes:
+    def partitions(self) -> list[Run]:
+        """Runs that begin at resets, found by stepping over sections by their sizes.
+
+        A compressed file is one run, as its bytes have no places of their own.
+        """
+        if self.path.endswith(".bz2"):
+            return [Run(0, -1)]
+        runs, first, at = [], 0, 0
+        with _open(self.path) as f:
+            end = f.size()
+            while at < end:
+                f.seek(at)
+                head = f.read(11)
+                if head[0] == RESET and at - first >= PART_BYTES:
+                    runs.append(Run(first, at))
+                    first = at
+                if head[0] >= ALONE:
+                    at += 1
+                    continue
+                size, used = varint(head, 1)
+                at += used + size
+        return [*runs, Run(first, end)]
+
+    def _data(self, run: Run) -> bytes:
         with _open(self.path) as f:
-            data = f.read()
-        return bz2.decompress(data) if self.path.endswith(".bz2") else data
+            if run.end < 0:
+                return bz2.decompress(f.read())
+            f.seek(run.start)
+            return f.read(run.end - run.start)
 
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        data, at, stream = self._data(), 0, DeltaStream()
+    def read(self, partition: Run) -> Iterator[tuple]:
+        data, at, stream = self._data(partition), 0, DeltaStream()
         while at < len(data):
             mark = data[at]
             at += 1

@@ -1,7 +1,7 @@
 """Entity tables from files: XML and line-based dumps, WKT lists, and their bronze form.
 
 Compressed files (.bz2, .gz) are read by the codecs of Hadoop. The schema is given,
-never inferred, so a file is read once.
+never inferred, so a file is parsed once for each kind; the bronze form keeps the result.
 """
 
 from __future__ import annotations

@@ -7,16 +7,48 @@ import os
 import shutil
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where no shared folder is set; goes with the process.
+#: Used only by a local master where no shared folder is set; goes with the process.
 LOCAL_FOLDER = f"/tmp/checkpoints/run-{os.getpid()}"
 atexit.register(shutil.rmtree, LOCAL_FOLDER, ignore_errors=True)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Without that setting only a local master has one, as its executors are the driver.
+    """
+    told = spark.conf.get("spark.checkpoint.dir", None)
+    if told:
+        return told
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return LOCAL_FOLDER
+
+
+#: Folders that this process wrote and has not removed.
+_written: list[str] = []
+
+
+def shared_path(spark: SparkSession, purpose: str) -> str:
+    """A new path below the shared folder, which remove_stored forgets."""
+    path = f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """`df`, written below spark.checkpoint.dir (a local folder where unset) and reread."""
+    """`df`, written below the shared folder and reread."""
     spark = df.sparkSession
-    path = f"{spark.conf.get('spark.checkpoint.dir', None) or LOCAL_FOLDER}/{purpose}-{uuid.uuid4().hex}"
+    path = shared_path(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_stored(spark: SparkSession) -> None:
+    """Remove the tables of finished work; what was read from them is no longer usable."""
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

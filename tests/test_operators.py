@@ -237,7 +237,9 @@ def test_files_and_whole_run(spark, tmp_path):
     out = tmp_path / "out.ttl"
     assert main([str(tmp_path / "a.osm"), "-o", str(out), "--output-format", "ttl", "--wkt-precision", "1", "--write-rdf-statistics"], spark) == 0
     written = bz2.decompress((tmp_path / "out.ttl.bz2").read_bytes()).decode().splitlines()
-    assert {short(x.removesuffix(" .")) for x in written if not x.startswith("@prefix")} == got
+    told = {short(x.removesuffix(" .")) for x in written if not x.startswith("@prefix")}
+    made = {x for x in told if x.startswith("weavemeta:info ")}
+    assert len(made) == 2 and 'weavemeta:info weavemeta:version "0.2"' in made and told - made == got
     assert sum(x.startswith("@prefix") for x in written) == 25
     assert (tmp_path / "out.ttl.stats.json").exists()
 
@@ -287,3 +289,82 @@ def test_streaming(spark, data, tmp_path):
     q = S.write_stream(S.meta_triples(found, Facts(config())), str(tmp_path / "out"), str(tmp_path / "check"))
     q.awaitTermination(120)
     assert spark.read.text(str(tmp_path / "out")).count() == S.meta_triples(batch, Facts(config())).count()
+
+
+def test_queries_of_facts_together_are_the_whole_dump(spark, data):
+    import duckdb
+
+    from terraweave.plans import oracle, queries
+    from terraweave.sources import tables as A
+
+    own = duckdb.connect()
+    for name in ("part", "orders", "customer", "nation", "region", "supplier", "lineitem"):
+        own.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{data}/{name}.parquet')")
+    parts = ("config_metadata", "node_facts", "way_facts", "relation_facts")
+    sql = " UNION ALL ".join(f"SELECT s, p, o FROM ({oracle.ORACLE_SQL[n]})" for n in parts)
+    want = sorted(own.execute(sql).fetchall())
+    # the adapter's areas: each has a geometry, its literal, its measure, and wholeness
+    rows = [tuple(r) for r in queries.QUERIES["full_dump"](spark, data).collect()]
+    number = lambda s: int(s.split(":")[-1].split("_")[-1]) if s[-1].isdigit() else 0
+    shaped = {r[0] for r in rows if A.SUPPLIER_BASE <= number(r[0]) < A.REGION_BASE}
+    assert sorted(r for r in rows if r[0] not in shaped) == want
+    boxes = own.execute("SELECT count(*), count(*) FILTER (s_suppkey % 4 = 0) FROM supplier").fetchone()
+    assert len(rows) - len(want) == 3 * boxes[0] + boxes[1]
+
+
+def test_geometries_are_simplified_by_their_whole_length(spark):
+    from terraweave.functions import kernels
+
+    bent = [(0.0, 0.0), (0.0, 80.0), (100.0, 1000.0)]
+    ring = [(0.0, 0.0), (50.0, 0.001), (100.0, 0.0), (100.0, 100.0), (0.0, 100.0), (0.0, 0.0)]
+    tiny = [(1.0, 1.0), (1.01, 1.0), (1.01, 1.01), (1.0, 1.0)]
+    as_points = lambda line: [{"x": x, "y": y} for x, y in line]
+    kind = "array<array<struct<x: double, y: double>>>"
+    df = spark.createDataFrame([(1, [as_points(bent)]), (2, None), (3, [])], f"id int, lines {kind}")
+    shown = {r.id: r.shown for r in kernels.with_simplified_geometry(df, 2, 5.0, "lines", "shown", closed=False).collect()}
+    assert [(p.x, p.y) for p in shown[1][0]] == bent and shown[2] is None and shown[3] == []
+    wide = kernels.with_simplified_geometry(df, 2, 80.0, "lines", "shown", closed=False).filter("id = 1").first().shown
+    assert [(p.x, p.y) for p in wide[0]] == [bent[0], bent[2]]
+    polygons = spark.createDataFrame([(1, [[as_points(ring), as_points(tiny)]])], f"id int, polygons array<{kind}>")
+    got = kernels.with_simplified_geometry(polygons, 3, 5.0, "polygons", "shown", closed=True).first().shown
+    assert [(p.x, p.y) for p in got[0][0]] == [ring[0], *ring[2:]] and [(p.x, p.y) for p in got[0][1]] == tiny
+    kept = kernels.with_simplified_geometry(polygons, 99, 5.0, "polygons", "shown", closed=True).first()
+    assert kept.shown == kept.polygons
+
+
+def test_parts_stay_apart_without_merge(spark, tmp_path):
+    (tmp_path / "a.osm").write_text(XML)
+    out = tmp_path / "out.ttl"
+    assert main([str(tmp_path / "a.osm"), "-o", str(out), "--output-format", "ttl", "--output-merge", "none"], spark) == 0
+    folder = tmp_path / "out.ttl.bz2.parts"
+    assert not (tmp_path / "out.ttl.bz2").exists() and list(folder.glob("part-*.bz2"))
+
+
+def test_a_line_must_fit_the_buffer(spark):
+    from terraweave.sinks import triples
+
+    rows = spark.createDataFrame([("s", "p", '"' + "x" * 100 + '"')], "s string, p string, o string")
+    assert len(list(triples.to_stdout(rows))) == 1
+    with pytest.raises(ValueError):
+        list(triples.to_stdout(rows, longest=50))
+
+
+def test_shared_folder_must_be_named_on_a_cluster(spark):
+    from terraweave.sources import stored
+
+    class Conf:
+        def __init__(self, **told):
+            self.told = told
+
+        def get(self, key, default=None):
+            return self.told.get(key, default)
+
+    class Session:
+        def __init__(self, **told):
+            self.conf = Conf(**{k.replace("_", "."): v for k, v in told.items()})
+
+    assert stored.shared_folder(Session(spark_checkpoint_dir="/shared")) == "/shared"
+    assert stored.shared_folder(Session(spark_master="local[4]")) == stored.LOCAL_FOLDER
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(RuntimeError):
+            stored.shared_folder(Session(spark_master=master))
