@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .tables import stored
+from .tables import remove_table, stored
 
 #: Rounds end by themselves when no label moves; more than this means a fault.
 MOST_ROUNDS = 60
@@ -40,7 +40,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
             ),
             "labels",
         )
+        settled = moved.filter("was <> component").limit(1).count() == 0
+        # this round's table holds all that the next one reads
+        remove_table(labels)
         labels = moved.select("id", "component")
-        if moved.filter("was <> component").limit(1).count() == 0:
+        if settled:
+            remove_table(both)
             return labels
     raise RuntimeError("components did not settle")

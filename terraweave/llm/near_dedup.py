@@ -15,6 +15,9 @@ bucket mates is lost:
   their differences share. Blocks of strays meet blocks of members, one row for a
   pair of blocks, and all overlaps of two blocks are one matrix product; only links
   leave the task.
+
+Groups and buckets of more than HOT rows are never gathered in a task: what is known of
+such a group is broadcast to its rows, and pairs of its blocks are dealt by block.
 """
 
 from __future__ import annotations
@@ -28,8 +31,9 @@ from pyspark.sql import functions as F
 
 from . import hyperminhash as hm
 from .components import connected_components
+from .pieces import byte_slices, given_back
 from .shingles import shingle_sets
-from .tables import stored
+from .tables import remove_table, stored
 
 #: Similarity in hundredths, as in 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
@@ -37,22 +41,31 @@ SMALL_GROUP = 48
 #: Members in a block of a larger group, on average, and matrix columns at a time.
 BLOCK = 192
 COLUMNS = 8192
-#: Ids broadcast at most (8 bytes each); beyond that the join shuffles.
+#: Ids broadcast at most (8 bytes each), and rows of hot groups (about 32 bytes each);
+#: beyond that the join shuffles.
 BROADCAST_IDS = 1_000_000
-BATCH_CHARS = 1 << 20
+#: A group of more rows than this is joined by broadcast.
+HOT = 1000
+BATCH_BYTES = 1 << 20
+
+
+def _with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """`rows` with their group's columns; `groups` has a stored row (key, size, ...) for each.
+
+    Rows of hot groups stay where they are: there are fewer such groups than rows by
+    HOT times, and their rows of `groups` are broadcast.
+    """
+    hot = groups.filter(F.col(size) > HOT)
+    if not 0 < hot.count() <= BROADCAST_IDS:
+        return rows.join(groups, key)
+    cold = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(groups.filter(F.col(size) <= HOT), key)
+    return cold.unionByName(rows.join(F.broadcast(hot), key).select(*cold.columns))
 
 
 def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[int, list[str | None]]]:
-    """Runs of a batch's texts (column 1) of about BATCH_CHARS characters."""
-    texts = batch.column(1).to_pylist()
-    at = 0
-    while at < len(texts):
-        to, chars = at, 0
-        while to < len(texts) and chars < BATCH_CHARS:
-            chars += len(texts[to] or "")
-            to += 1
-        yield at, texts[at:to]
-        at = to
+    """Runs of a batch's texts (column 1) of about BATCH_BYTES bytes."""
+    for at, n in byte_slices(batch.column(1), BATCH_BYTES):
+        yield at, batch.column(1).slice(at, n).to_pylist()
 
 
 def sketches(df: DataFrame, words: int, *, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -76,7 +89,7 @@ def sketches(df: DataFrame, words: int, *, text_col: str = "text", id_col: str =
                 )
 
     return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        sketch, "doc_id long, n long, sig binary, bands array<long>"
+        given_back(sketch), "doc_id long, n long, sig binary, bands array<long>"
     )
 
 
@@ -96,7 +109,7 @@ def _sets_of(df: DataFrame, ids: DataFrame, words: int, text_col: str, id_col: s
                 )
 
     # repeated ids stand for one document; the class's representative is any of them
-    return wanted.mapInArrow(build, "id long, elements binary")
+    return wanted.mapInArrow(given_back(build), "id long, elements binary")
 
 
 def _may_link(a: str, b: str, similarity: int) -> F.Column:
@@ -130,7 +143,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFra
             )
 
     return known.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(
-        keep, "a long, b long, n_a long, n_b long"
+        given_back(keep), "a long, b long, n_a long, n_b long"
     )
 
 
@@ -152,7 +165,7 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 keep.append(100 * common >= similarity * (len(one) + len(two) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, sets).mapInArrow(check, "a long, b long")
+    return _with_sets(pairs, sets).mapInArrow(given_back(check), "a long, b long")
 
 
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -175,7 +188,7 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
             )
 
     return _with_sets(pairs, sets).mapInArrow(
-        build, "a long, b long, n long, lacks long, n_b long, elements binary"
+        given_back(build), "a long, b long, n long, lacks long, n_b long, elements binary"
     )
 
 
@@ -201,13 +214,15 @@ def _block_links(members: DataFrame, told: DataFrame, similarity: int) -> DataFr
     entry = F.struct(F.col("a").alias("id"), F.col("of_a").alias("of"), "n", "lacks", "elements")
 
     def blocks(rows: DataFrame, total: str, name: str) -> DataFrame:
-        part = F.pmod(F.xxhash64("a"), F.ceil(F.col(total) / BLOCK))
+        part = F.pmod(F.xxhash64("a"), F.ceil(F.col(total) / BLOCK)).cast("int")
         return rows.groupBy("b", part.alias(f"{name}_block")).agg(
-            F.collect_list(entry).alias(name), F.first("n_b").alias(f"{name}_head")
+            F.collect_list(entry).alias(name), F.first("n_b").alias(f"{name}_head"), F.first("size").alias(f"{name}_of")
         )
 
-    strays = blocks(known.filter("of_a <> most"), "strays", "one")
-    met = strays.join(blocks(known, "size", "two"), "b").select("one", "two", F.col("one_head").alias("n_b"))
+    # each block of strays goes to every block of members, wherever that is
+    last = F.ceil(F.col("one_of") / BLOCK).cast("int") - 1
+    strays = blocks(known.filter("of_a <> most"), "strays", "one").withColumn("two_block", F.explode(F.sequence(F.lit(0), last)))
+    met = strays.join(blocks(known, "size", "two"), ["b", "two_block"]).select("one", "two", F.col("one_head").alias("n_b"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -229,7 +244,7 @@ def _block_links(members: DataFrame, told: DataFrame, similarity: int) -> DataFr
                     names=["a", "b"],
                 )
 
-    return met.mapInArrow(compare, "a long, b long")
+    return met.mapInArrow(given_back(compare), "a long, b long")
 
 
 def near_duplicates(
@@ -270,50 +285,54 @@ def _class_components(
     rows = classes.select("id", F.posexplode("bands").alias("band", "key")).select(
         "id", F.xxhash64("band", "key").alias("bucket")
     )
-    shared = rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1")
-    mates = stored(rows.join(shared, "bucket"), "mates")
+    shared = stored(rows.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "shared")
+    mates = stored(_with_group(rows, shared, "bucket", "members"), "mates")
     met = mates.groupBy("id").agg(F.sum(F.col("members") - 1).alias("met"))
-    ranked = mates.select("id", "bucket").join(met, "id")
-    heads = (
+    ranked = stored(mates.join(met, "id"), "ranked")
+    heads = stored(
         ranked.groupBy("bucket")
-        .agg(F.max(F.struct("met", (-F.col("id")).alias("minus"))).alias("most"))
-        .select("bucket", (-F.col("most.minus")).alias("b"))
+        .agg(F.max(F.struct("met", (-F.col("id")).alias("minus"))).alias("most"), F.first("members").alias("members"))
+        .select("bucket", (-F.col("most.minus")).alias("b"), "members"),
+        "heads",
     )
     stars = stored(
-        ranked.select(F.col("id").alias("a"), "bucket").join(heads, "bucket").filter("a <> b").select("a", "b").distinct(),
+        _with_group(ranked.select(F.col("id").alias("a"), "bucket"), heads, "bucket", "members")
+        .filter("a <> b").select("a", "b").distinct(),
         "stars",
     )
-    likely = stored(_estimated(stars, classes, similarity), "likely")
-    first_sets = stored(_sets_of(df, _ends(likely), words, text_col, id_col), "sets")
-    links = stored(_links(likely.select("a", "b"), first_sets, similarity), "links")
+    for done in (shared, mates, ranked, heads):
+        remove_table(done)
+    # every set that either round compares, made once
+    sets = stored(_sets_of(df, _ends(stars), words, text_col, id_col), "sets")
+    likely = _estimated(stars, classes, similarity)
+    links = stored(_links(likely.select("a", "b"), sets, similarity), "links")
     component = connected_components(links)
 
     # the second round: members outside their group's largest component
     named = component.select("id", "component")
-    of_a = stars.join(named.withColumnRenamed("id", "a"), "a", "left").select(
-        "a", "b", F.coalesce("component", "a").alias("of_a")
+    of_a = stored(
+        stars.join(named.withColumnRenamed("id", "a"), "a", "left").select("a", "b", F.coalesce("component", "a").alias("of_a")),
+        "placed",
     )
-    placed = of_a.join(named.withColumnRenamed("id", "b"), "b", "left").select(
-        "a", "b", "of_a", F.coalesce("component", "b").alias("of_b")
-    )
-    largest = (
-        placed.groupBy("b", "of_a").agg(F.count("*").alias("n"))
-        .groupBy("b")
+    parts = stored(of_a.groupBy("b", "of_a").agg(F.count("*").alias("n")), "parts")
+    largest = stored(
+        parts.groupBy("b")
         .agg(F.sum("n").alias("size"), F.max(F.struct("n", "of_a")).alias("top"))
         .select("b", "size", F.col("top.of_a").alias("most"), (F.col("size") - F.col("top.n")).alias("strays"))
-        .filter("strays > 0")
+        .filter("strays > 0"),
+        "largest",
     )
-    members = stored(placed.join(largest, "b"), "members")
+    members = stored(_with_group(of_a, largest, "b", "size"), "members")
     pairs = _mates_of_strays(members.filter(F.col("size") <= SMALL_GROUP))
-    likely = stored(_estimated(pairs, classes, similarity), "likely")
-    sets = stored(_sets_of(df, _ends(likely), words, text_col, id_col), "sets")
-    further = _links(likely.select("a", "b"), sets, similarity)
+    further = _links(_estimated(pairs, classes, similarity).select("a", "b"), sets, similarity)
     large = members.filter(F.col("size") > SMALL_GROUP)
     if large.limit(1).count():
-        sets = stored(_sets_of(df, _ends(large), words, text_col, id_col), "sets")
         told = stored(_differences(large.select("a", "b"), sets), "differences")
         further = further.union(_block_links(large, told, similarity))
-    return connected_components(links.union(further))
+    out = connected_components(links.union(further))
+    for done in (stars, sets, links, of_a, parts, largest, members):
+        remove_table(done)
+    return out
 
 
 def _ends(pairs: DataFrame) -> DataFrame:
@@ -335,3 +354,26 @@ def drop_near_duplicates(df: DataFrame, *, words: int = 5, similarity: int = SIM
     found = near_duplicates(df, words=words, similarity=similarity)
     gone = found.filter("not kept").select("doc_id").distinct()
     return df.join(gone, "doc_id", "left_anti").select(*df.columns)
+
+
+#: DuckDB SQL for near_duplicates(documents, words=2): all pairs that share a shingle.
+NEAR_DUPLICATES_SQL = f"""
+WITH RECURSIVE cut AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < 2 THEN ws ELSE list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1]) END) AS s
+  FROM cut
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN sizes x ON x.doc_id = a.doc_id JOIN sizes y ON y.doc_id = b.doc_id
+  WHERE 100 * least(x.n, y.n) >= {SIMILARITY} * greatest(x.n, y.n)
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= {SIMILARITY} * (x.n + y.n - count(*))
+), reach AS (SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+least_of AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT c.doc_id, coalesce(n, 0) AS n_shingles, least(c.doc_id, coalesce(l.b, c.doc_id)) AS component_id,
+  c.doc_id = least(c.doc_id, coalesce(l.b, c.doc_id)) AS kept
+FROM cut c LEFT JOIN sizes z ON z.doc_id = c.doc_id LEFT JOIN least_of l ON l.a = c.doc_id
+"""

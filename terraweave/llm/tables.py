@@ -21,8 +21,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, from spark.checkpoint.dir."""
-    return spark.conf.get("spark.checkpoint.dir", None) or LOCAL_CHECKPOINTS
+    """The folder that driver and executors share, from spark.checkpoint.dir.
+
+    Without that setting only a local master has one, as its executors are the driver.
+    """
+    told = spark.conf.get("spark.checkpoint.dir", None)
+    if told:
+        return told
+    master = spark.conf.get("spark.master", "")
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return LOCAL_CHECKPOINTS
 
 
 def shared_path(spark: SparkSession, purpose: str) -> str:
@@ -30,6 +39,15 @@ def shared_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove_table(df: DataFrame) -> None:
+    """Remove the folder of a table from `stored` that nothing reads any more."""
+    spark = df.sparkSession
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, purpose: str) -> DataFrame:
     """`df` written as Parquet to the shared folder and read again.
 
