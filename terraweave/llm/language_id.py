@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pieces import byte_slices, given_back
 from .shingles import mixed, series
 from .tables import stored
 
@@ -43,8 +44,8 @@ _WORD = 64
 _PART = 4
 #: For each value of such a part, its bits.
 _BITS = (np.arange(1 << _PART)[:, None] >> np.arange(_PART)) & 1
-#: Characters that are looked up at a time.
-BATCH_CHARS = 1 << 18
+#: Bytes of texts that are looked up at a time.
+BATCH_BYTES = 1 << 18
 #: Thresholds are fitted for so many powers of two of a text's n-grams, below all but
 #: this share of the labelled texts.
 SIZES = 24
@@ -206,7 +207,7 @@ def _counts(rows: DataFrame) -> DataFrame:
                             names=["lang", "length", "h", "n"],
                         )
 
-    pieces = rows.select("lang", "text").mapInArrow(count, "lang string, length int, h long, n long")
+    pieces = rows.select("lang", "text").mapInArrow(given_back(count), "lang string, length int, h long, n long")
     return pieces.groupBy("lang", "length", "h").agg(F.sum("n").alias("n"))
 
 
@@ -264,7 +265,7 @@ def predict(
     *,
     text_col: str = "text",
     keep: list[str],
-    batch_chars: int = BATCH_CHARS,
+    batch_bytes: int = BATCH_BYTES,
     names: tuple[str, str] = ("lang_pred", "score"),
 ) -> DataFrame:
     """The columns `keep` with the prediction and its score, named by `names`."""
@@ -275,22 +276,16 @@ def predict(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for batch in batches:
-            texts = batch.column(len(keep)).to_pylist()
-            at = 0
-            while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and chars < batch_chars:
-                    chars += len(texts[to] or "")
-                    to += 1
-                found, scores = known.predict(texts[at:to])
+            texts = batch.column(len(keep))
+            for at, n in byte_slices(texts, batch_bytes):
+                found, scores = known.predict(texts.slice(at, n).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(k).slice(at, to - at) for k in range(len(keep))]
+                    [batch.column(k).slice(at, n) for k in range(len(keep))]
                     + [pa.array(found, pa.string()), pa.array(scores, pa.float64())],
                     names=[*(f.name for f in kept), *names],
                 )
-                at = to
 
-    return df.select(*keep, text_col).mapInArrow(run, f"{schema}`{names[0]}` string, `{names[1]}` double")
+    return df.select(*keep, text_col).mapInArrow(given_back(run), f"{schema}`{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -391,7 +386,7 @@ def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
 
     # three numbers for each of about PER_LANGUAGE texts of a language
     drawn = _training_rows(named, counts, "text", "lang", "doc_id")
-    found = drawn.mapInArrow(measure, "lang long, n double, share double, margin double").toArrow()
+    found = drawn.mapInArrow(given_back(measure), "lang long, n double, share double, margin double").toArrow()
     return fit_thresholds(*(found[c].to_numpy() for c in ("lang", "n", "share", "margin")), len(model.languages))
 
 
@@ -417,21 +412,15 @@ def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, least = shared.value
         for batch in batches:
-            texts, langs = batch.column(text).to_pylist(), batch.column(label).to_pylist()
-            at = 0
-            while at < len(texts):
-                to, chars = at, 0
-                while to < len(texts) and chars < BATCH_CHARS:
-                    chars += len(texts[to] or "")
-                    to += 1
-                share, n, lettered = known.shares(texts[at:to])
-                own = [bits.get(x) for x in langs[at:to]]
+            langs = batch.column(label).to_pylist()
+            for at, size in byte_slices(batch.column(text), BATCH_BYTES):
+                part, labels = batch.slice(at, size), langs[at : at + size]
+                share, n, lettered = known.shares(part.column(text).to_pylist())
+                own = [bits.get(x) for x in labels]
                 claimed, score, _ = evidence(share, own)
                 good = lettered & least.accepts(share, n, own) & (score >= least_score)
-                named = [known.languages[k] if x is None else x for x, k in zip(langs[at:to], claimed, strict=True)]
-                part = batch.slice(at, to - at)
+                named = [known.languages[k] if x is None else x for x, k in zip(labels, claimed, strict=True)]
                 part = part.set_column(label, batch.schema.field(label), pa.array(named, batch.schema.field(label).type))
                 yield part.filter(pa.array(good))
-                at = to
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(given_back(run), schema)
