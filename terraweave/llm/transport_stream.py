@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .pieces import byte_slices, given_back
+
 PACKET = 188
 SYNC = 0x47
 PAT_PID = 0
@@ -303,9 +305,8 @@ def store_texts(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id"
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for at in range(0, len(texts), 256):
-                own = texts[at : at + 256]
+            for at, n in byte_slices(batch.column(1)):
+                own = batch.column(1).slice(at, n).to_pylist()
                 sizes = [len((t or "").encode("utf-8", "surrogatepass")) for t in own]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -316,7 +317,7 @@ def store_texts(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id"
                     names=[id_col, "n_bytes", "media"],
                 )
 
-    return df.select(id_col, text_col).mapInArrow(write, f"`{id_col}` {id_type}, n_bytes long, media binary")
+    return df.select(id_col, text_col).mapInArrow(given_back(write), f"`{id_col}` {id_type}, n_bytes long, media binary")
 
 
 _STREAMS = pa.list_(
@@ -344,8 +345,8 @@ def parse_streams(df: DataFrame, *, media_col: str = "media", keep: list[str]) -
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
+            for at, n in byte_slices(batch.column(len(keep))):
+                part = batch.slice(at, n)
                 found = [demux(m.as_py()) for m in part.column(len(keep))]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(k) for k in range(len(keep))]
@@ -360,7 +361,7 @@ def parse_streams(df: DataFrame, *, media_col: str = "media", keep: list[str]) -
                     + ["lost_sync_bytes", "streams", "feature"],
                 )
 
-    return df.select(*keep, media_col).mapInArrow(read, f"{schema}, {PARSED}" if schema else PARSED)
+    return df.select(*keep, media_col).mapInArrow(given_back(read), f"{schema}, {PARSED}" if schema else PARSED)
 
 
 def _streams(found: Demuxed) -> list[dict]:
