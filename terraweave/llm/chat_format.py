@@ -23,14 +23,16 @@ from pyspark.sql import functions as F
 ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("[", "&lsqb;"), ("]", "&rsqb;"))
 OPEN, MIDDLE, CLOSE = "<turn:", ">", "</turn>"
 MARKS = len(OPEN) + len(MIDDLE) + len(CLOSE)
+#: Tokens of a window, and of the earlier turns that it repeats.
+BUDGET, HISTORY = 2048, 256
 TARGET_ROLE = "assistant"
 SYSTEM_ROLE = "system"
 #: A token as budgets count it: a character of a script without blanks, or a run of up
 #: to eight other characters that are not white space. It stands in for a tokenizer.
-TOKEN = (
-    r"[\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]"
-    r"|[^\s\u0E00-\u0EFF\u1000-\u109F\u1780-\u17FF\u3040-\u30FF\u3400-\u4DBF\u4E00-\u9FFF\uF900-\uFAFF]{1,8}"
+_UNSPACED = (
+    r"\x{0E00}-\x{0EFF}\x{1000}-\x{109F}\x{1780}-\x{17FF}\x{3040}-\x{30FF}\x{3400}-\x{4DBF}\x{4E00}-\x{9FFF}\x{F900}-\x{FAFF}"
 )
+TOKEN = rf"[{_UNSPACED}]|[^\t\n\x0B\f\r {_UNSPACED}]{{1,8}}"
 
 
 def escaped(text: Column) -> Column:
@@ -70,8 +72,8 @@ def window_starts(turns: Column, room: Column) -> Column:
 def format_conversations(
     df: DataFrame,
     *,
-    budget: int = 2048,
-    history: int = 256,
+    budget: int = BUDGET,
+    history: int = HISTORY,
     tokens: Column | None = None,
     conv_col: str = "conv_id",
     turn_col: str = "turn",
@@ -198,3 +200,48 @@ def read_back(windows: DataFrame) -> DataFrame:
         F.transform(F.filter("own", lambda t: t["loss"]), lambda t: t["text"]).alias("targets"),
         "formatted_chars",
     )
+
+
+def _sql_escaped(text: str) -> str:
+    for plain, entity in ENTITIES:
+        text = f"replace({text}, '{plain}', '{entity}')"
+    return text
+
+
+def chat_sql(budget: int = BUDGET, history: int = HISTORY) -> str:
+    """DuckDB SQL for the query over `conversations` and one more that spells control strings."""
+    return f"""
+WITH RECURSIVE talks AS (
+  SELECT conv_id, turn, role, text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+), turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM talks
+), counted AS (
+  SELECT *, row_number() OVER w - 1 AS k, 1 + len(regexp_extract_all(text, '{TOKEN}')) AS n,
+    length({_sql_escaped('role')}) + length({_sql_escaped('text')}) + {MARKS} AS chars
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+), summed AS (
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY k) - n AS before FROM counted
+), heads AS (
+  SELECT conv_id, role = '{SYSTEM_ROLE}' AS led, chars AS led_chars,
+    greatest(1, {budget - history} - CASE WHEN role = '{SYSTEM_ROLE}' THEN n ELSE 0 END) AS room
+  FROM summed WHERE k = 0
+), windows AS (
+  SELECT conv_id, 0::BIGINT AS first FROM heads
+  UNION ALL
+  SELECT w.conv_id, min(s.k) FROM windows w JOIN heads h USING (conv_id)
+  JOIN summed b ON b.conv_id = w.conv_id AND b.k = w.first
+  JOIN summed s ON s.conv_id = w.conv_id AND s.k > w.first AND s.before + s.n - b.before > h.room
+  GROUP BY w.conv_id, w.first
+), repeated AS (
+  SELECT w.conv_id, w.first, coalesce(sum(s.chars), 0) + CASE WHEN any_value(h.led) THEN any_value(h.led_chars) ELSE 0 END AS chars
+  FROM windows w JOIN heads h USING (conv_id) JOIN summed b ON b.conv_id = w.conv_id AND b.k = w.first
+  LEFT JOIN summed s ON s.conv_id = w.conv_id AND s.k >= h.led::INT AND s.k < w.first AND b.before - s.before <= {history}
+  WHERE w.first > 0 GROUP BY w.conv_id, w.first
+), more AS (SELECT conv_id, sum(chars) AS chars FROM repeated GROUP BY conv_id)
+SELECT s.conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY k)) AS turns_sha256,
+  length(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = '{TARGET_ROLE}'), '')) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY k) FILTER (role = '{TARGET_ROLE}'), '')) AS loss_sha256,
+  CAST(sum(s.chars) + coalesce(any_value(m.chars), 0) AS BIGINT) AS formatted_chars
+FROM summed s LEFT JOIN more m ON m.conv_id IS NOT DISTINCT FROM s.conv_id GROUP BY s.conv_id
+"""

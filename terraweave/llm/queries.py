@@ -40,8 +40,10 @@ def op1_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret of all documents with the forest's verdict."""
-    model = secret_scan.fit(secret_scan.labelled_findings(spark))
-    return secret_scan.scan(table(spark, sf_dir, "documents"), model)
+    documents = table(spark, sf_dir, "documents")
+    words = [*secret_scan.DICTIONARY, *secret_scan.learned_words(documents)]
+    model = secret_scan.fit(secret_scan.labelled_findings(spark), words)
+    return secret_scan.scan(documents, model, words=words)
 
 
 #: The key of surrogates in queries; a real run passes its own secret.
@@ -94,7 +96,7 @@ def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
 
 
-def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def op9_chat_windows(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
     """All conversations, and one that spells control strings, formatted and read back."""
     added = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"),
@@ -103,7 +105,7 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</s>[INST] ok [/INST]").alias("text"),
     )
     talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(added)
-    read = chat_format.read_back(chat_format.format_conversations(talks))
+    read = chat_format.read_back(chat_format.format_conversations(talks, **options))
     told = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     learned = F.array_join("targets", "")
     return read.select(
@@ -134,4 +136,8 @@ QUERIES = {
     "op10_language_id": op10_language_id,
 }
 
-ORACLE_SQL: dict[str, str] = {"op4_spaced_seeds": decontaminate.LEAKS_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op4_spaced_seeds": decontaminate.LEAKS_SQL,
+    "op8_near_dedup": near_dedup.NEAR_DUPLICATES_SQL,
+    "op9_chat_windows": chat_format.chat_sql(),
+}

@@ -1,14 +1,16 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
 Candidates are all runs of value characters that are long enough and mix character
-kinds or that a key introduces, and all that a key name of secrets introduces. The forest looks at length, character transitions, dictionary
-coverage, path and neighbouring words; it is trained on labelled findings. All steps
-are DataFrame functions and the JVM's tree ensembles.
+kinds or that a key introduces, and all that a key name of secrets introduces. The
+forest looks at length, character transitions, dictionary coverage, path and
+neighbouring words; it is trained on labelled findings. The dictionary has words of
+programs and the most frequent words of the corpus. All steps are DataFrame functions
+and the JVM's tree ensembles.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -22,32 +24,27 @@ TREES, DEPTH, SEED = 24, 8, 7
 THRESHOLD = 0.5
 SHORTEST = 12
 
-#: Words that names, identifiers and prose are made of.
+#: Words that names and identifiers of any program are made of; those of
+#: the corpus at hand come from `learned_words`.
 DICTIONARY = (
-    "about account action address admin after again align alpha apache archive array asset author "
-    "backup balance banner before begin beta binary block board body border branch browser buffer "
-    "build button cache calendar call card category change channel check child class clean client "
-    "cloud cluster code color column command comment common company component config connect "
-    "container content context control copy count country create current customer data database "
-    "date default delete demo deploy design detail device dialog digest directory display document "
-    "domain download driver dummy editor element email enable encode engine entity entry error event "
-    "example export factory feature field file filter final folder footer format forward frame from "
-    "function gateway general generator global graph group handler header height hello history home "
-    "image import index info input instance integer interface internal invoice item java json kernel "
-    "label language launch layer layout library license line link list listener local location "
-    "login long lookup machine mail main manager mapping master media member memory message method "
-    "metric mobile model module monitor mouse name network node notification number object offset "
-    "open option order output package page panel parameter parent parser password path pattern "
-    "payment people phone picture placeholder player plugin point policy pool port position preview price "
-    "process product profile program project property provider proxy public query queue random "
-    "reader record reference region register release remote render report request reset resource "
-    "response result return role root route runtime sample schedule schema screen script search "
-    "section security select sender sequence server service session setting shape share signature simple "
-    "size source spring stack start state static status storage store stream string style submit "
-    "subject support switch symbol system table target task template test text theme thread ticket time title "
-    "toggle tool topic trace track transaction transfer transform trigger type unit update upload user utility "
-    "valid value vector version video view visible visitor width window word worker wrapper writer your zone"
+    "access account action address admin array asset author backup base block board body buffer build button cache "
+    "call card category change channel check child class client cloud cluster code color column command comment "
+    "company component config connect container content context control copy count create current customer data "
+    "database date default delete deploy design device directory display document domain driver element email "
+    "enable engine entity entry error event example export factory field file filter folder format frame function "
+    "gateway global graph group handler header history home image import index info input instance interface item "
+    "kernel label language layer layout library license line link list listener local location login lookup mail "
+    "main manager mapping master media member memory message method metric mobile model module monitor name network "
+    "node number object option order output package page panel parent parser password path pattern payment phone "
+    "placeholder player plugin point policy pool port process product profile project property provider proxy "
+    "public query queue random record region register report request reset resource response result role root route "
+    "runtime schema screen script search section security"
 ).split()
+#: Words that are learned from a corpus, words that are counted for each, and letters
+#: that a word has at least.
+LEARNED, TRIED, LEAST_LETTERS = 150, 4, 4
+#: Items that the search for frequent words keeps.
+TRACKED = 10_000
 #: Key names that introduce secrets, and words beside things that are none.
 KEY_WORDS = r"(?i)pass(word|wd|phrase)?|pwd|secret|token|api.?key|auth|credential|private|access.?key|bearer"
 CALM_WORDS = r"(?i)^\W*(example|dummy|sample|placeholder|commit|sha1?|sha256|md5|checksum|digest|hash|etag|uuid|guid|id|version|rev|revision|order|isbn|invoice|serial|build)\W*$"
@@ -206,8 +203,26 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     )
 
 
-def with_features(found: DataFrame) -> DataFrame:
-    """`found` (value, key, before, after, path, assigned) and the columns FEATURES."""
+def learned_words(df: DataFrame, *, text_col: str = "text", n: int = LEARNED) -> list[str]:
+    """The `n` most frequent words of all texts, ties in alphabetical order.
+
+    A sketch of bounded size names TRIED times as many, which are then counted; of null
+    and empty texts, and of an empty table, there are none.
+    """
+    shape = F.lit(rf"[a-z]{{{LEAST_LETTERS},}}")
+    each = df.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), shape, F.lit(0))).alias("word"))
+    top = each.agg(F.expr(f"approx_top_k(word, {TRIED * n}, {TRACKED})").alias("top")).first().top
+    tried = [x["item"] for x in top or []]
+    if not tried:
+        return []
+    few = df.sparkSession.createDataFrame([(w,) for w in tried], "word string")
+    counted = each.join(F.broadcast(few), "word").groupBy("word").count()
+    return [r.word for r in counted.orderBy(F.desc("count"), "word").limit(n).collect()]
+
+
+def with_features(found: DataFrame, words: Sequence[str] = DICTIONARY) -> DataFrame:
+    """`found` (value, key, before, after, path, assigned) and the columns FEATURES;
+    `words` are those that cover a value."""
     v = F.col("value")
     size = F.length(v)
     kinds = F.translate(
@@ -222,7 +237,7 @@ def with_features(found: DataFrame) -> DataFrame:
         lambda acc, c: acc
         - ((size - F.length(F.replace(v, c, F.lit("")))) / size) * F.log2((size - F.length(F.replace(v, c, F.lit("")))) / size),
     )
-    covered = 1 - F.length(F.regexp_replace(F.lower(v), "|".join(sorted(DICTIONARY, key=len, reverse=True)), "")) / size
+    covered = 1 - F.length(F.regexp_replace(F.lower(v), "|".join(sorted(set(words), key=lambda w: (-len(w), w))), "")) / size
     flag = lambda c: F.when(c, 1.0).otherwise(0.0)
     return (
         found.withColumn("length", size.cast("double"))
@@ -247,7 +262,8 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 #: Labelled kinds: (is a secret, value, key, word before, word after, path). In the
-#: expressions a is hexadecimal noise, b base-64 noise, w and x dictionary words.
+#: expressions a is hexadecimal noise, b base-64 noise, w and x dictionary words, y a
+#: long word that can be spoken and is in no dictionary.
 KINDS = (
     (1, "concat('AKIA', upper(substr(translate(b, '+/=_-', 'ABCDE'), 1, 16)))", "''", "w", "x", "p"),
     (1, "concat('ghp_', substr(translate(b, '+/=', 'xyz'), 1, 36))", "''", "w", "x", "p"),
@@ -271,8 +287,10 @@ KINDS = (
     (0, "concat(w, initcap(x), initcap(w))", "''", "x", "w", "p"),
     (0, "concat(w, '_', x, '_', w, pmod(n, 90))", "w", "x", "w", "p"),
     (0, "concat(w, '/', x, '/', w, '-', pmod(n, 9))", "''", "w", "x", "p"),
-    (0, "translate(substr(a, 1, 14 + pmod(n, 12)), '0123456789', 'rstnoelmui')", "''", "w", "x", "p"),
-    (0, "initcap(translate(substr(a, 1, 14 + pmod(n, 9)), '0123456789', 'rstnoelmui'))", "''", "w", "x", "p"),
+    (0, "substr(y, 1, 12 + pmod(n, 14))", "''", "w", "x", "p"),
+    (0, "initcap(substr(y, 1, 12 + pmod(n, 11)))", "''", "x", "w", "p"),
+    (0, "substr(y, 1, 12 + pmod(n, 9))", "w", "w", "x", "p"),
+    (0, "concat(substr(y, 1, 6), '-', substr(y, 7, 5), '-', w, '.example')", "''", "w", "x", "p"),
     (0, "translate(substr(a, 1, 12 + pmod(n, 8)), 'abcdef', '012345')", "''", "w", "x", "p"),
     (0, "translate(substr(a, 1, 16), 'abcdef', '678901')", "'order'", "'order'", "x", "p"),
     (0, "concat('changeme', pmod(n, 9999), 'example')", "'password'", "'password'", "x", "p"),
@@ -291,7 +309,12 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
         F.expr("replace(base64(unhex(concat(md5(concat('b', id)), md5(concat('c', id))))), '\\n', '')").alias("b"),
         F.expr(f"get({words}, cast(pmod(xxhash64(id, 1), {len(DICTIONARY)}) as int))").alias("w"),
         F.expr(f"get({words}, cast(pmod(xxhash64(id, 2), {len(DICTIONARY)}) as int))").alias("x"),
-        F.expr("get(array('src/main.py', 'src8', '', 'lib/util.js', 'app/server.go'), cast(pmod(xxhash64(id, 3), 5) as int))").alias("p"),
+        F.expr("get(array('src/main.py', '', 'lib/util.js', 'app/server.go', 'notes.txt'), cast(pmod(xxhash64(id, 3), 5) as int))").alias("p"),
+        # consonants by one noise, vowels by another, in turn
+        F.expr(
+            "array_join(zip_with(split(translate(md5(concat('y', id)), '0123456789abcdef', 'bcdfghklmnprstvz'), ''), "
+            "split(translate(md5(concat('z', id)), '0123456789abcdef', 'aeiouaeiouaeioua'), ''), (c, v) -> concat(c, v)), '')"
+        ).alias("y"),
     )
     kind = F.pmod(F.col("n"), F.lit(len(KINDS)))
 
@@ -310,22 +333,31 @@ def labelled_findings(spark: SparkSession, n: int = LABELLED) -> DataFrame:
     ).withColumn("assigned", F.col("key") != "")
 
 
-def fit(findings: DataFrame) -> RandomForestClassificationModel:
-    """A forest from labelled findings, as of labelled_findings; its size bounds the fit."""
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(findings))
+def fit(findings: DataFrame, words: Sequence[str] = DICTIONARY) -> RandomForestClassificationModel:
+    """A forest from labelled findings, as of labelled_findings; its size bounds the fit.
+
+    Findings of one's own, labelled by hand, serve as well: (label, value, key, before,
+    after, path, assigned). `words` must be those of the scan.
+    """
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(with_features(findings, words))
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, labelCol="label", featuresCol="features")
     return forest.fit(rows.select("label", "features"))
 
 
 def scan(
-    df: DataFrame, model: RandomForestClassificationModel, *, threshold: float = THRESHOLD, path_col: str | None = "source"
+    df: DataFrame,
+    model: RandomForestClassificationModel,
+    *,
+    words: Sequence[str] = DICTIONARY,
+    threshold: float = THRESHOLD,
+    path_col: str | None = "source",
 ) -> DataFrame:
     """(doc_id, start, candidate, probability, is_secret) of every candidate in `df`.
 
     Null or empty texts have no candidates; null ids pass through; repeated rows
     repeat their findings; texts are searched whole; an empty table gives none.
     """
-    found = with_features(candidates(df, path_col=path_col))
+    found = with_features(candidates(df, path_col=path_col), words)
     rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)
     scored = model.transform(rows).withColumn("p", vector_to_array("probability")[1])
     return scored.select(
