@@ -154,3 +154,19 @@ def box_wkt(b: Column, digits: int) -> Column:
 
 def collection_wkt(parts: Column) -> Column:
     return F.concat(F.lit("GEOMETRYCOLLECTION("), F.array_join(parts, ","), F.lit(")"))
+
+
+#: Fixed value: half the width of the web mercator map in metres.
+MERCATOR_HALF = 20037508.34
+#: Fixed value: the latitude where the map ends.
+MERCATOR_EDGE = 85.05112877980659
+
+
+def mercator(x: Column, y: Column, per_metre: int = 10) -> Column:
+    """A point in degrees on the web mercator map, in whole steps of 1 / per_metre metres,
+    cut towards zero. The map has no place for the poles: points beyond its edge go to it."""
+    east = x * MERCATOR_HALF / 180
+    y = F.least(F.lit(MERCATOR_EDGE), F.greatest(F.lit(-MERCATOR_EDGE), y))
+    north = F.log(F.tan((y + 90) * math.pi / 360)) / (math.pi / 180) * MERCATOR_HALF / 180
+    whole = lambda v: (v * per_metre).cast("long").cast("double")
+    return F.struct(whole(east).alias("x"), whole(north).alias("y"))

@@ -194,3 +194,13 @@ def valid_prefix_name(text: str) -> str:
         if not good:
             raise ValueError(f"no prefix name: {text!r}")
     return text
+
+
+def utf8_length(value: Column) -> Column:
+    """Code points of a text; of bytes that are no UTF-8: null."""
+    return F.when(F.is_valid_utf8(value), F.length(value))
+
+
+def first_codepoint(value: Column) -> Column:
+    """The number of a text's first code point; of the empty text: null."""
+    return F.when(F.length(value) > 0, F.ascii(value))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import functions as F
 from ..config import Config, parse
 from ..functions import geometry as G
 from ..functions import text as T
-from ..operators import areas, joins, spatial
+from ..operators import areas, joins, spatial, stats
 from ..operators.facts import Facts, all_of
 from ..sinks import triples as sink
 from ..sources import formats
@@ -40,8 +41,27 @@ class Dump:
         self.dumped = dumped
         self.c = config.normalised()
         self.facts = Facts(self.c)
-        # read by ways, areas, relations and the spatial join: located once
-        self.shaped = stored(joins.shape_ways(joins.locate_ways(entities.ways, entities.locations)), "located-ways")
+
+    @cached_property
+    def shaped(self) -> DataFrame:
+        """Located ways, made once for ways, areas and the spatial join."""
+        return stored(joins.shape_ways(joins.locate_ways(self.e.ways, self.e.locations)), "located-ways")
+
+    def counters(self) -> DataFrame:
+        """(kind, seen, dumped, geometries) of the four kinds."""
+        own = {"node": self.e.nodes, "way": self.e.ways, "relation": self.e.relations}
+        drop = {"node": self.c.no_untagged_nodes, "way": self.c.no_untagged_ways, "relation": self.c.no_untagged_relations}
+        found = self.areas()
+        # untagged areas are out of areas() already
+        rows = stats.kind_counts({**{k: (df, drop[k]) for k, df in own.items()}, "area": (found.withColumn("tags", F.array()), False)})
+        shapes = joins.relation_geometries(self.e.relations, self.e.ways, self.e.locations)
+        shaped = {
+            "node": self.e.nodes.filter(G.valid(F.col("lon"), F.col("lat"))),
+            "way": self.shaped.filter(F.size("points") > 0),
+            "relation": shapes.filter(F.size("parts") > 0),
+            "area": found,
+        }
+        return rows.join(stats.geometry_counts(shaped), "kind")
 
     def areas(self) -> DataFrame:
         found = areas.of_ways(self.shaped).unionByName(areas.of_relations(self.e.relations, self.shaped))

@@ -7,6 +7,7 @@ rows, replace chains from the vocabulary's fixed values.
 from __future__ import annotations
 
 from .. import vocabulary as V
+from ..functions.geometry import MERCATOR_EDGE
 from ..functions.text import name
 from ..sinks.triples import VERSION
 from ..sources.tables import FIRST_SECOND, REGION_BASE, SUPPLIER_BASE
@@ -506,6 +507,17 @@ ORACLE_SQL["stats_max_id"] = f"""SELECT kind, n AS count, m AS max_id, {_width}
  UNION ALL SELECT 'relation', (SELECT count(*) FROM customer) + count(*), max(r_regionkey) + {REGION_BASE} FROM region)"""
 ORACLE_SQL["stats_required_ids"] = """SELECT 'node' AS kind, count(*) AS required FROM (SELECT l_partkey FROM lineitem UNION SELECT c_nationkey FROM customer)
  UNION ALL SELECT 'way', count(DISTINCT o_orderkey) FROM orders UNION ALL SELECT 'relation', count(DISTINCT n_nationkey) FROM nation"""
+_placed_nodes = f"(SELECT * FROM ({ORACLE_SQL['node_facts']}) WHERE NOT (regexp_matches(s, '^(osmnode:|{V.GEOM}:osmnode_)') AND CAST(regexp_extract(s, '[0-9]+$') AS BIGINT) % 17 = 0))"
+ORACLE_SQL["facts_without_ways"] = union(f"SELECT s, p, o FROM {_placed_nodes}", f"SELECT s, p, o FROM ({ORACLE_SQL['relation_facts']})")
+ORACLE_SQL["dump_counters"] = f"""SELECT 'node' AS kind, count(*) AS seen, count(*) AS dumped, count(*) AS geometries FROM part WHERE p_partkey % 17 <> 0
+ UNION ALL SELECT 'way', count(*), count(*) FILTER (tagged), count(*) FILTER (n_points > 0) FROM {FLAGS}
+ UNION ALL SELECT 'relation', (SELECT count(*) FROM customer) + (SELECT count(*) FROM region),
+  (SELECT count(*) FROM customer) + (SELECT count(*) FROM region), count(*) FILTER (parts > 0) FROM ({ORACLE_SQL['relation_geometry']})"""
+_east = "20037508.34 / 180"
+ORACLE_SQL["mercator_points"] = f"""SELECT id, CAST(round(trunc(lon * {_east} * 10) / 100) AS BIGINT) AS x,
+ CAST(round(trunc(ln(tan((least({MERCATOR_EDGE}, greatest(-{MERCATOR_EDGE}, lat)) + 90) * pi() / 360)) / (pi() / 180) * {_east} * 10) / 100) AS BIGINT) AS y FROM {NODES}"""
+ORACLE_SQL["projected_area_relations"] = BOX_PAIRS
+ORACLE_SQL["utf8_lengths"] = """SELECT doc_id, length(text) AS n, CASE WHEN length(text) > 0 THEN unicode(text) END AS first FROM documents"""
 ORACLE_SQL["stats_with_areas"] = f"""SELECT kind, n AS count, m AS max_id, {_width} AS width, g AS geometries FROM (
  SELECT 'node' AS kind, count(*) AS n, max(p_partkey) AS m, (SELECT count(*) FROM {NODES}) AS g FROM part
  UNION ALL SELECT 'area', count(*), max(CASE WHEN from_way THEN obj_id * 2 ELSE obj_id * 2 + 1 END), count(*) FROM {BOXES})"""

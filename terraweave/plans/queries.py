@@ -22,6 +22,7 @@ from ..operators.facts import Facts, all_of, exploded
 from ..sinks import triples as sink
 from ..sources import tables as A
 from ..streaming import events as stream
+from .dump import Dump, Entities
 
 FMT = "ttl"
 CONFIG = Config(output_format=FMT).normalised()
@@ -575,6 +576,47 @@ def stats_required_ids(spark, d):
     return stats.required_ids(A.ways(spark, d), A.relations(spark, d))
 
 
+def adapter_dump(spark, d, **options) -> Dump:
+    """A whole run over the adapter's entities, locations as the adapter knows them."""
+    nodes = A.nodes(spark, d).filter(F.col("id") % 17 != 0)
+    return Dump(Entities(nodes, A.ways(spark, d), A.relations(spark, d)), replace(CONFIG, **options))
+
+
+@query
+def facts_without_ways(spark, d):
+    """Whole runs without ways and areas have facts of nodes and relations only."""
+    return adapter_dump(spark, d, no_ways=True, no_areas=True).fact_triples()
+
+
+@query
+def dump_counters(spark, d):
+    """What a run sees, writes and has geometries of, per kind."""
+    return adapter_dump(spark, d, no_untagged_ways=True).counters().filter("kind <> 'area'")
+
+
+@query
+def mercator_points(spark, d):
+    """Nodes on the projected map, in whole decimetres."""
+    return A.nodes(spark, d).select("id", G.mercator(F.col("lon"), F.col("lat")).alias("p")).select(
+        "id", F.round(F.col("p.x") / 100).cast("long").alias("x"), F.round(F.col("p.y") / 100).cast("long").alias("y")
+    )
+
+
+@query
+def projected_area_relations(spark, d):
+    """The suppliers' boxes on the projected map lie to each other as in degrees."""
+    shapes = A.areas(spark, d).select(F.col("obj_id").alias("id"), spatial.shape(polygons=F.col("polygons")).alias("shape"))
+    return spatial.relations(shapes, per_metre=10)
+
+
+@query
+def utf8_lengths(spark, d):
+    """Code points of documents, and the first one's number."""
+    return A.table(spark, d, "documents").select(
+        "doc_id", T.utf8_length(F.col("text")).cast("long").alias("n"), T.first_codepoint(F.col("text")).cast("long").alias("first")
+    )
+
+
 @query
 def stats_with_areas(spark, d):
     """Counts, largest ids and geometries per kind, areas included."""
