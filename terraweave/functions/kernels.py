@@ -143,48 +143,106 @@ def simplified_wkt_line(line: Sequence[Point], deviation: float) -> list[Point]:
             return out
 
 
-_POINTS = pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))
+_POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+_POINTS = pa.list_(_POINT)
 
 
 def _pairs(points) -> list[Point]:
     return [(p["x"], p["y"]) for p in points or ()]
 
 
-def with_line(df: DataFrame, source: str, target: str, f: Callable[[list[Point]], Sequence[Point]]) -> DataFrame:
-    """`df` with the line `target` made by f from the points of `source`; null of null."""
-    schema = f"{', '.join(f'`{c.name}` {c.dataType.simpleString()}' for c in df.schema)}, `{target}` array<struct<x: double, y: double>>"
-    place = df.columns.index(source)
+def read_points(column: pa.Array) -> list:
+    """Python values of points and of lists of them, of any depth: tuples for points."""
+    if pa.types.is_struct(column.type):
+        x, y = (column.field(k).to_numpy(zero_copy_only=False).tolist() for k in (0, 1))
+        return list(zip(x, y, strict=True))
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    starts = column.offsets.to_numpy()
+    inner = read_points(column.values)
+    known = column.is_valid().to_pylist()
+    return [inner[a:b] if ok else None for a, b, ok in zip(starts[:-1].tolist(), starts[1:].tolist(), known, strict=True)]
+
+
+def points_array(lines: Sequence[Sequence[Point] | None]) -> pa.Array:
+    """Lines, null ones included, as a column."""
+    sizes = np.fromiter((0 if line is None else len(line) for line in lines), np.int64, len(lines))
+    flat = np.array([p for line in lines if line is not None for p in line], np.float64).reshape(-1, 2)
+    ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+    null = pa.array([line is None for line in lines], pa.bool_())
+    inner = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], fields=list(_POINT))
+    return pa.ListArray.from_arrays(ends, inner, type=_POINTS, mask=null)
+
+
+#: What makes a line: the column it reads, the column it makes, and the function.
+Maker = tuple[str, str, Callable[[list], Sequence[Point]]]
+
+
+def with_lines(df: DataFrame, makers: Sequence[Maker]) -> DataFrame:
+    """`df` with the lines that all `makers` make, in one pass; null of null."""
+    if not makers:
+        return df
+    made_of = "".join(f", `{target}` array<struct<x: double, y: double>>" for _, target, _ in makers)
+    schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in df.schema) + made_of
+    places = {source: df.columns.index(source) for source, _, _ in makers}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [
-                None if line is None else [{"x": x, "y": y} for x, y in f(_pairs(line))]
-                for line in batch.column(place).to_pylist()
-            ]
+            read = {source: read_points(batch.column(at)) for source, at in places.items()}
+            made = [points_array([None if g is None else f(g) for g in read[source]]) for source, _, f in makers]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(made, _POINTS)], names=[*batch.schema.names, target]
+                [*batch.columns, *made], names=[*batch.schema.names, *(target for _, target, _ in makers)]
             )
 
     return df.mapInArrow(run, schema)
 
 
+def hull_maker(source: str = "points", target: str = "hull", more_than: int = 0, deviation: float = 0.0) -> Maker:
+    """Hulls, simplified where they have more than `more_than` (> 0) points and stay rings."""
+
+    def make(points: list[Point]) -> list[Point]:
+        ring = convex_hull(points)
+        if not 0 < more_than < len(ring):
+            return ring
+        shown = simplified_wkt_line(ring, deviation)
+        return shown if len(shown) >= 4 else ring
+
+    return source, target, make
+
+
+def oriented_box_maker(source: str = "points", target: str = "obb") -> Maker:
+    return source, target, oriented_box
+
+
+def line_centroid_maker(source: str = "points", target: str = "centroid") -> Maker:
+    return source, target, lambda p: [line_centroid(p)] if p else []
+
+
+def area_centroid_maker(source: str = "polygons", target: str = "centroid") -> Maker:
+    """An array of one point for each multipolygon; of none: empty."""
+    return source, target, lambda g: [polygons_centroid(g)] if g else []
+
+
 def with_hull(df: DataFrame, source: str = "points", target: str = "hull") -> DataFrame:
-    return with_line(df, source, target, convex_hull)
+    return with_lines(df, [hull_maker(source, target)])
 
 
 def with_oriented_box(df: DataFrame, source: str = "points", target: str = "obb") -> DataFrame:
-    return with_line(df, source, target, oriented_box)
+    return with_lines(df, [oriented_box_maker(source, target)])
 
 
 def with_line_centroid(df: DataFrame, source: str = "points", target: str = "centroid") -> DataFrame:
-    return with_line(df, source, target, lambda p: [line_centroid(p)] if p else [])
+    return with_lines(df, [line_centroid_maker(source, target)])
+
+
+def with_area_centroid(df: DataFrame, source: str = "polygons", target: str = "centroid") -> DataFrame:
+    return with_lines(df, [area_centroid_maker(source, target)])
 
 
 def with_simplified(df: DataFrame, more_than: int, deviation: float, source: str = "points", target: str = "shown") -> DataFrame:
     """Lines of more than `more_than` (> 0) points simplified, others as they are."""
-    return with_line(
-        df, source, target, lambda p: simplified_wkt_line(p, deviation) if 0 < more_than < len(p) else p
-    )
+    shown = lambda p: simplified_wkt_line(p, deviation) if 0 < more_than < len(p) else p
+    return with_lines(df, [(source, target, shown)])
 
 
 def simplified_lines(lines: Sequence[Sequence[Point]], deviation: float, closed: bool) -> list[list[Point]]:
@@ -235,22 +293,3 @@ def with_simplified_geometry(df: DataFrame, more_than: int, deviation: float, so
             yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, target])
 
     return df.mapInArrow(run, schema)
-
-
-def with_area_centroid(df: DataFrame, source: str = "polygons", target: str = "centroid") -> DataFrame:
-    """`df` with the centroid, an array of one point, of multipolygons."""
-    schema = f"{', '.join(f'`{c.name}` {c.dataType.simpleString()}' for c in df.schema)}, `{target}` array<struct<x: double, y: double>>"
-    place = df.columns.index(source)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for polygons in batch.column(place).to_pylist():
-                if not polygons:
-                    made.append(None if polygons is None else [])
-                    continue
-                x, y = polygons_centroid([[_pairs(r) for r in g] for g in polygons])
-                made.append([{"x": x, "y": y}])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(made, _POINTS)], names=[*batch.schema.names, target])
-
-    return df.mapInArrow(run, schema)

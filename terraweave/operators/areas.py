@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
+from ..functions.kernels import read_points
 from .joins import is_area_relation
 
 Point = tuple[float, float]
@@ -169,8 +170,8 @@ def of_relations(relations: DataFrame, shaped: DataFrame) -> DataFrame:
         kind = pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())]))))
         for batch in batches:
             ids, made = [], []
-            for number, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found = assemble([[(p["x"], p["y"]) for p in line] for line in lines])
+            for number, lines in zip(batch.column(0).to_pylist(), read_points(batch.column(1)), strict=True):
+                found = assemble(lines)
                 if found:
                     ids.append(number)
                     made.append([[[{"x": x, "y": y} for x, y in r] for r in g] for g in found])

@@ -271,16 +271,14 @@ class Facts:
 
     def with_shapes(self, df: DataFrame, polygons: bool = False) -> DataFrame:
         """`df` (outline, and polygons for areas) with the shapes that are switched on."""
+        makers = []
         if self.c.add_hascentroid:
-            df = kernels.with_area_centroid(df) if polygons else kernels.with_line_centroid(df, "outline")
+            makers.append(kernels.area_centroid_maker() if polygons else kernels.line_centroid_maker("outline"))
         if self.c.add_hasconvexhull:
-            df = kernels.with_hull(df, "outline")
-            if self.c.simplify_wkt > 0:
-                df = kernels.with_simplified(df, self.c.simplify_wkt, self.c.simplify_wkt_deviation, "hull", "shown_hull")
-                df = df.withColumn("hull", F.when(F.size("shown_hull") >= 4, F.col("shown_hull")).otherwise(F.col("hull"))).drop("shown_hull")
+            makers.append(kernels.hull_maker("outline", "hull", self.c.simplify_wkt, self.c.simplify_wkt_deviation))
         if self.c.add_hasobb:
-            df = kernels.with_oriented_box(df, "outline")
-        return df
+            makers.append(kernels.oriented_box_maker("outline"))
+        return kernels.with_lines(df, makers)
 
     def ways(self, shaped: DataFrame) -> DataFrame:
         """All facts of shaped ways (see joins.shape_ways)."""

@@ -11,7 +11,9 @@ import bz2
 import zlib
 from collections import deque
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 TAGS = "array<struct<k: string, v: string>>"
@@ -166,6 +168,30 @@ class Block:
             yield (number, *place, tags, *meta)
 
 
+_TEXT_PAIRS = pa.list_(pa.struct([("k", pa.string()), ("v", pa.string())]))
+_META_FIELDS = [
+    ("tags", _TEXT_PAIRS), ("changeset", pa.int64()), ("seconds", pa.int64()), ("user", pa.string()), ("uid", pa.int64()),
+    ("version", pa.int64()), ("visible", pa.bool_()),
+]
+_MEMBERS = pa.list_(pa.struct([("type", pa.string()), ("ref", pa.int64()), ("role", pa.string())]))
+#: The Arrow form of SCHEMAS.
+ARROW_SCHEMAS = {
+    "node": pa.schema([("id", pa.int64()), ("lon", pa.float64()), ("lat", pa.float64()), *_META_FIELDS]),
+    "way": pa.schema([("id", pa.int64()), ("nds", pa.list_(pa.int64())), *_META_FIELDS]),
+    "relation": pa.schema([("id", pa.int64()), ("members", _MEMBERS), *_META_FIELDS]),
+}
+#: Rows that leave a reader together.
+BATCH_ROWS = 4096
+
+
+def in_batches(rows: Iterator[tuple], kind: str) -> Iterator[pa.RecordBatch]:
+    """Rows of a kind as Arrow batches, which the engine takes over whole."""
+    schema = ARROW_SCHEMAS[kind]
+    while held := list(islice(rows, BATCH_ROWS)):
+        columns = zip(*held, strict=True)
+        yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
 class Run(InputPartition):
     """Bytes from `start` to `end` of a file."""
 
@@ -193,7 +219,10 @@ class PbfReader(DataSourceReader):
                     first = at
         return runs or [Run(0, 0)]
 
-    def read(self, partition: Run) -> Iterator[tuple]:
+    def read(self, partition: Run) -> Iterator[pa.RecordBatch]:
+        return in_batches(self._rows(partition), self.kind)
+
+    def _rows(self, partition: Run) -> Iterator[tuple]:
         with _open(self.path) as f:
             at = partition.start
             while at < partition.end:
@@ -322,7 +351,10 @@ class O5mReader(DataSourceReader):
             f.seek(run.start)
             return f.read(run.end - run.start)
 
-    def read(self, partition: Run) -> Iterator[tuple]:
+    def read(self, partition: Run) -> Iterator[pa.RecordBatch]:
+        return in_batches(self._rows(partition), self.kind)
+
+    def _rows(self, partition: Run) -> Iterator[tuple]:
         data, at, stream = self._data(partition), 0, DeltaStream()
         while at < len(data):
             mark = data[at]
