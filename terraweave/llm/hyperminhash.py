@@ -26,9 +26,6 @@ BANDS = BUCKETS // BAND
 #: their leading zeros; their mantissas then agree once in 2 ** MANTISSA_BITS.
 SAME_ZEROS = 0.4
 CHANCE = SAME_ZEROS / (1 << MANTISSA_BITS)
-#: From so many elements on, few enough registers are filled in to trust estimates.
-ESTIMATED_FROM = 512
-
 _EDGES = np.arange(BUCKETS, dtype=np.uint64) << np.uint64(REST_BITS)
 #: For each bucket, all buckets in a fixed pseudo-random order that begins with it.
 _ORDER = np.argsort(series(5, BUCKETS * BUCKETS).reshape(BUCKETS, BUCKETS), axis=1, kind="stable")
@@ -67,9 +64,3 @@ def estimate(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Jaccard estimates, corrected for chance agreement, of two arrays of bands."""
     same = (a.view(np.uint16).reshape(-1, BUCKETS) == b.view(np.uint16).reshape(-1, BUCKETS)).mean(axis=1)
     return np.clip((same - CHANCE) / (1 - CHANCE), 0, 1)
-
-
-def estimate_floor(similarity: float) -> float:
-    """Estimates below this belong, but for one pair in a thousand million, to
-    pairs under `similarity`: six standard deviations of the registers' mean."""
-    return similarity - 6 * (similarity * (1 - similarity) / BUCKETS) ** 0.5

@@ -523,6 +523,16 @@ def test_forest_on_findings_it_was_not_made_from(spark):
     assert len(found) - caught <= 1, sorted(found)
 
 
+def test_secrets_beside_columns_of_any_name(spark):
+    hexed = "9f8a7c6b5d4e3f2a1b0c"
+    df = spark.createDataFrame([(1, f"password={hexed}", "a.env"), (None, None, None)], "doc_id long, text string, source string")
+    clash = ("words", "value", "key", "path", "found", "length", "p", "features", "probability", "start")
+    wide = df.selectExpr("*", *(f"'x' AS {c}" for c in clash))
+    model = secret_scan.fit(secret_scan.labelled_findings(spark))
+    got = secret_scan.scan(wide, model).collect()
+    assert [(r.doc_id, r.candidate, r.is_secret) for r in got] == [(1, hexed, True)]
+
+
 def test_secrets_within_words(spark):
     hexed, other = "9f8a7c6b5d4e3f2a1b0c", "4d5e6f708192a3b4c5d6e7f8"
     texts = [
