@@ -15,6 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .tables import without_ids
+
 #: Masks by the positions they read. Together they meet every SPAN of words with at
 #: most SPAN - LEAST substitutions (tests try all of them).
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7, 8))
@@ -173,8 +175,7 @@ def _matched(hits: DataFrame) -> DataFrame:
 
 def drop_contaminated(df: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `df` without leaks, all their columns; rows with a null id stay."""
-    found = leaks(df, items).select("doc_id").distinct()
-    return df.join(found, "doc_id", "left_anti").select(*df.columns)
+    return without_ids(df, leaks(df, items).select("doc_id").distinct(), "doc_id")
 
 
 def _sql_words(table: str, key: str) -> str:

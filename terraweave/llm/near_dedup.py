@@ -33,17 +33,14 @@ from . import hyperminhash as hm
 from .components import connected_components
 from .pieces import byte_slices, given_back
 from .shingles import shingle_sets
-from .tables import remove_table, stored
+from .tables import BROADCAST_IDS, remove_table, stored, without_ids
 
 #: Similarity in hundredths, as in 100 * intersection >= SIMILARITY * union.
 SIMILARITY = 80
 SMALL_GROUP = 48
 #: Members in a block of a larger group, on average, and matrix columns at a time.
-BLOCK = 192
+BLOCK = 96
 COLUMNS = 8192
-#: Ids broadcast at most (8 bytes each), and rows of hot groups (about 32 bytes each);
-#: beyond that the join shuffles.
-BROADCAST_IDS = 1_000_000
 #: A group of more rows than this is joined by broadcast.
 HOT = 1000
 BATCH_BYTES = 1 << 20
@@ -53,7 +50,8 @@ def _with_group(rows: DataFrame, groups: DataFrame, key: str, size: str) -> Data
     """`rows` with their group's columns; `groups` has a stored row (key, size, ...) for each.
 
     Rows of hot groups stay where they are: there are fewer such groups than rows by
-    HOT times, and their rows of `groups` are broadcast.
+    HOT times, and their rows of `groups` are broadcast, BROADCAST_IDS at most; beyond
+    that the join shuffles.
     """
     hot = groups.filter(F.col(size) > HOT)
     if not 0 < hot.count() <= BROADCAST_IDS:
@@ -352,8 +350,7 @@ def _mates_of_strays(members: DataFrame) -> DataFrame:
 def drop_near_duplicates(df: DataFrame, *, words: int = 5, similarity: int = SIMILARITY) -> DataFrame:
     """The rows of `df` that near_duplicates keeps, all their columns; null ids stay."""
     found = near_duplicates(df, words=words, similarity=similarity)
-    gone = found.filter("not kept").select("doc_id").distinct()
-    return df.join(gone, "doc_id", "left_anti").select(*df.columns)
+    return without_ids(df, found.filter("not kept").select("doc_id").distinct(), "doc_id")
 
 
 #: DuckDB SQL for near_duplicates(documents, words=2): all pairs that share a shingle.

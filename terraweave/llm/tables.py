@@ -8,6 +8,7 @@ import shutil
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Used only where the session names no shared folder (tests and local runs); such a
 #: run's tables go with its process.
@@ -57,3 +58,17 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_path(df.sparkSession, purpose)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Ids that are broadcast at most (8 bytes each); beyond, the join shuffles.
+BROADCAST_IDS = 1_000_000
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """The rows of `df` whose `column` is not among the distinct `ids` (column); nulls stay.
+
+    The ids are written and counted first, so rows need not move where few go.
+    """
+    gone = stored(ids, "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return df.join(F.broadcast(gone) if few else gone, column, "left_anti").select(*df.columns)
