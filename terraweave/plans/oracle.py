@@ -536,6 +536,8 @@ ORACLE_SQL["config_metadata"] = (
 )
 ORACLE_SQL["triple_statistics"] = f"""SELECT 0::BIGINT AS "blankNodes", 25::BIGINT AS header, count(*) + 25 AS lines, count(*) AS triples
  FROM ({ORACLE_SQL['node_facts']})"""
+ORACLE_SQL["blank_node_statistics"] = f"""SELECT count(DISTINCT s) FILTER (s LIKE '\\_:%' ESCAPE '\\') AS "blankNodes", 0::BIGINT AS header,
+ count(*) AS lines, count(*) AS triples FROM ({ORACLE_SQL['relation_member_triples']})"""
 EDGES = """(SELECT n_regionkey + 1 AS src, n_nationkey + 100 AS dst FROM nation
  UNION ALL SELECT c_nationkey + 100, c_custkey + 1000000 FROM customer UNION ALL SELECT s_nationkey + 100, s_suppkey + 2000000 FROM supplier
  UNION ALL SELECT n_regionkey + 1, s_suppkey + 2000000 FROM supplier JOIN nation ON s_nationkey = n_nationkey)"""
@@ -547,6 +549,22 @@ ORACLE_SQL["graph_edge_counts"] = f"""SELECT count(*) AS num_edges, (SELECT coun
 _reduced = f"{CLOSURE} SELECT src, dst FROM c EXCEPT SELECT a.src, b.dst FROM c a JOIN c b ON a.dst = b.src"
 ORACLE_SQL["graph_reduce"] = _reduced
 ORACLE_SQL["graph_reduce_maximal"] = _reduced
+ORACLE_SQL["graph_dot"] = f"""SELECT 0 AS at, 'digraph G {{' AS line UNION ALL SELECT 3, '}}'
+ UNION ALL SELECT 1, '  ' || v || ' [label="' || (v // 2) || '", shape=' || CASE WHEN v % 2 = 1 THEN 'ellipse' ELSE 'box' END || '];'
+ FROM (SELECT src AS v FROM {EDGES} UNION SELECT dst FROM {EDGES})
+ UNION ALL SELECT 2, '  ' || src || ' -> ' || dst || ';' FROM {EDGES}"""
+_meta = 'changeset, seconds, "user", uid, version, visible'
+_placed = "CAST(round(lon * 1e7) AS BIGINT) AS lon7, CAST(round(lat * 1e7) AS BIGINT) AS lat7"
+ORACLE_SQL["opl_nodes"] = ORACLE_SQL["xml_nodes"] = f"""SELECT id, {_placed}, CASE WHEN tagged THEN 4 ELSE 0 END::BIGINT AS n_tags,
+ CASE WHEN tagged THEN 'name' END AS k, CASE WHEN tagged THEN p_name END AS v, {_meta} FROM {NODES}"""
+ORACLE_SQL["opl_ways"] = f"""SELECT w.id, coalesce(nds, '') AS nds, CASE WHEN w.id % 6 <> 0 THEN 2 ELSE 0 END::BIGINT AS n_tags,
+ CASE WHEN w.id % 6 <> 0 THEN 'status' END AS k, CASE WHEN w.id % 6 <> 0 THEN o_orderstatus END AS v, changeset, seconds, "user", uid, version::BIGINT AS version, visible
+ FROM {_way_rows} w LEFT JOIN (SELECT id, string_agg(ref, ',' ORDER BY pos) AS nds FROM {REFS} GROUP BY id) r ON r.id = w.id"""
+_e7 = lambda c, n: f"CAST(round({c} * 1e7) AS BIGINT) AS {n}"
+ORACLE_SQL["wkt_geometries"] = f"""SELECT 'a' || obj_id AS id, 2::BIGINT AS dimension, {', '.join(_e7(c, c) for c in ('minx', 'miny', 'maxx', 'maxy'))} FROM {BOXES}
+ UNION ALL SELECT 'n' || id, 0, {_e7('lon', 'a')}, {_e7('lat', 'b')}, {_e7('lon', 'c')}, {_e7('lat', 'd')} FROM {NODES}"""
+ORACLE_SQL["written_lines"] = ORACLE_SQL["node_lines"]
+ORACLE_SQL["merged_lines"] = f"SELECT s || ' ' || p || ' ' || o || ' .' AS line FROM ({ORACLE_SQL['node_type_triples']})"
 ORACLE_SQL["event_windows"] = """SELECT CAST(epoch(date_trunc('hour', ts)) AS BIGINT) AS start, event_type, count(*) AS n FROM events GROUP BY ALL"""
 
 assert CONFIG.output_format == FMT

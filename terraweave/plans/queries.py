@@ -20,7 +20,9 @@ from ..functions import text as T
 from ..operators import areas, graph, joins, spatial, stats
 from ..operators.facts import Facts, all_of, exploded
 from ..sinks import triples as sink
+from ..sources import formats
 from ..sources import tables as A
+from ..sources.stored import shared_path
 from ..streaming import events as stream
 from .dump import Dump, Entities
 
@@ -658,6 +660,12 @@ def triple_statistics(spark, d):
     return stats.output_statistics(QUERIES["node_facts"](spark, d), 25)
 
 
+@query
+def blank_node_statistics(spark, d):
+    """Counts of an output whose members are blank nodes."""
+    return stats.output_statistics(QUERIES["relation_member_triples"](spark, d), 0)
+
+
 # -- graph ---------------------------------------------------------------------------------
 
 
@@ -693,6 +701,101 @@ def graph_reduce_maximal(spark, d):
     return graph.reduce_closed_dag(graph.closure(geo_edges(spark, d)))
 
 
+@query
+def graph_dot(spark, d):
+    """The graph as lines of DOT, vertices first."""
+    return graph.dot(geo_edges(spark, d), object_ids=True)
+
+
+# -- files: written, then read back ----------------------------------------------------------
+
+
+def _opl_text(value: F.Column) -> F.Column:
+    """Text as the line-based format escapes it."""
+    for c in "% ,=@":
+        value = F.replace(value, F.lit(c), F.lit(f"%{ord(c):x}%" if c != "%" else "\x00"))
+    return F.replace(value, F.lit("\x00"), F.lit("%25%"))
+
+
+def _opl_lines(rows: DataFrame, letter: str, *own: F.Column) -> DataFrame:
+    tags = F.array_join(F.transform("tags", lambda t: F.concat(_opl_text(t["k"]), F.lit("="), _opl_text(t["v"]))), ",")
+    stamp = F.date_format(F.timestamp_seconds("seconds"), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    seen = F.when(F.col("visible"), "V").otherwise("D")
+    fields = [("", letter, "id"), (" ", "v", "version"), (" ", "c", "changeset"), (" ", "i", "uid")]
+    parts = [F.concat(F.lit(a + b), F.col(c).cast("string")) for a, b, c in fields]
+    return rows.select(
+        F.concat(*parts, F.lit(" d"), seen, F.lit(" t"), stamp, F.lit(" u"), _opl_text(F.col("user")), F.lit(" T"), tags, *own).alias("value")
+    )
+
+
+def _told(rows: DataFrame, *own: F.Column) -> DataFrame:
+    first = F.get("tags", F.lit(0))
+    return rows.select(
+        "id", *own, F.size("tags").cast("long").alias("n_tags"), first["k"].alias("k"), first["v"].alias("v"),
+        "changeset", "seconds", "user", "uid", "version", "visible",
+    )
+
+
+_LON7, _LAT7 = (F.round(F.col(c) * 1e7).cast("long").alias(f"{c}7") for c in ("lon", "lat"))
+
+
+@query
+def opl_nodes(spark, d):
+    """Nodes written as a compressed line-based dump and read back."""
+    path = f"{shared_path(spark, 'dump')}/nodes.opl.bz2"
+    place = (F.lit(" x"), F.col("lon").cast("string"), F.lit(" y"), F.col("lat").cast("string"))
+    _opl_lines(A.nodes(spark, d), "n", *place).write.option("compression", "bzip2").text(path)
+    return _told(formats.read_entities(spark, path, "node"), _LON7, _LAT7)
+
+
+@query
+def opl_ways(spark, d):
+    """Ways written as a line-based dump and read back, references in order."""
+    path = f"{shared_path(spark, 'dump')}/ways.opl"
+    refs = F.array_join(F.transform("nds", lambda n: F.concat(F.lit("n"), n.cast("string"))), ",")
+    _opl_lines(A.ways(spark, d), "w", F.lit(" N"), refs).write.text(path)
+    return _told(formats.read_entities(spark, path, "way"), F.array_join(F.col("nds").cast("array<string>"), ",").alias("nds"))
+
+
+@query
+def xml_nodes(spark, d):
+    """Nodes written as an XML dump and read back."""
+    path = f"{shared_path(spark, 'dump')}/nodes.osm"
+    attributes = [F.col(c).alias(f"_{c}") for c in ("id", "lat", "lon", "version", "changeset", "user", "uid", "visible")]
+    stamp = F.date_format(F.timestamp_seconds("seconds"), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("_timestamp")
+    tag = F.transform("tags", lambda t: F.struct(t["k"].alias("_k"), t["v"].alias("_v"))).alias("tag")
+    rows = A.nodes(spark, d).select(*attributes, stamp, tag)
+    rows.write.format("xml").option("rowTag", "node").option("rootTag", "osm").save(path)
+    return _told(formats.read_entities(spark, path, "node"), _LON7, _LAT7)
+
+
+@query
+def wkt_geometries(spark, d):
+    """Suppliers' boxes and nodes written as auxiliary WKT lines and read back."""
+    path = f"{shared_path(spark, 'wkt')}/aux.tsv"
+    boxes = A.areas(spark, d).select(F.concat(F.lit("a"), F.col("obj_id").cast("string")).alias("id"), G.area_wkt(F.col("polygons"), DIGITS).alias("wkt"))
+    points = A.nodes(spark, d).select(F.concat(F.lit("n"), F.col("id").cast("string")).alias("id"), G.point_wkt(G.point("lon", "lat"), DIGITS).alias("wkt"))
+    boxes.unionByName(points).select(F.concat_ws("\t", "id", "wkt").alias("value")).write.text(path)
+    boxed = spatial.with_box(formats.read_wkt(spark, path))
+    extent = [F.round(F.col(c) * 1e7).cast("long").alias(c) for c in ("minx", "miny", "maxx", "maxy")]
+    return boxed.select("id", F.col("shape.dimension").cast("long").alias("dimension"), *extent)
+
+
+@query
+def written_lines(spark, d):
+    """Facts of nodes through the compressed text sink, read back."""
+    path = sink.write(node_facts(spark, d), f"{shared_path(spark, 'output')}/nodes", compression="gz", parts=3)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def merged_lines(spark, d):
+    """Types of nodes written in parts, which are joined to one file, read back."""
+    folder = shared_path(spark, "output")
+    sink.write(node_type_triples(spark, d), f"{folder}/parts", compression="bz2", parts=3)
+    return spark.read.text(sink.merge(spark, f"{folder}/parts", f"{folder}/whole.ttl.bz2")).select(F.col("value").alias("line"))
+
+
 # -- streams, whole runs ------------------------------------------------------------------
 
 

@@ -2,7 +2,7 @@
 
 import zlib
 
-from terraweave.sources import formats
+from terraweave.sources import binary, formats
 
 
 def vint(n):
@@ -86,6 +86,20 @@ def test_o5m(spark, tmp_path):
     assert r == [(9, [("way", 3, "outer"), ("node", 10, "")], [], 0, 0, "", 0, 0, True)]
 
 
+def test_o5m_is_read_in_runs_from_resets(tmp_path, monkeypatch):
+    path = tmp_path / "a.o5m"
+    path.write_bytes(o5m() * 3)
+    whole = {}
+    for size in (1 << 20, 1):
+        monkeypatch.setattr(binary, "PART_BYTES", size)
+        for kind in binary.KINDS:
+            reader = binary.O5mReader(str(path), kind)
+            runs = reader.partitions()
+            assert len(runs) == (1 if size > 1 else 6) and runs[-1].end == path.stat().st_size
+            rows = [r for run in runs for batch in reader.read(run) for r in batch.to_pylist()]
+            assert whole.setdefault(kind, rows) == rows and len(rows) == (6 if kind == "node" else 3)
+
+
 def test_empty_binary_files(spark, tmp_path):
     (tmp_path / "e.pbf").write_bytes(block(b"OSMHeader", b""))
     (tmp_path / "e.o5m").write_bytes(b"\xff\xe0\x04o5m2\xfe")
