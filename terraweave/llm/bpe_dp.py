@@ -21,7 +21,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .bpe_tables import NEVER, PairTable, PairTest, SuffixAutomaton
+from .bpe_tables import NEVER, PairTable, PairTest, PlainPairTest, SuffixAutomaton
 from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, ragged, release
 
 #: Words encoded side by side at a time; words of more symbols are encoded alone.
@@ -72,8 +72,8 @@ class PrefixBpe:
             if a in vocab and b in vocab and a + b in vocab:
                 rank.setdefault((vocab[a], vocab[b]), r)
                 halves.setdefault(vocab[a + b], (vocab[a], vocab[b], r))
-        if len(rank) != len(halves):
-            raise ValueError("the pair test needs that each entry comes from one merge only")
+        if model.get("ignore_merges") or model.get("continuing_subword_prefix") or model.get("byte_fallback") or model.get("dropout"):
+            raise ValueError("a vocabulary with rules beside its merges")
         size = max(vocab.values(), default=-1) + 1
         self.halves = np.full((size, 3), -1, np.int32)
         if halves:
@@ -82,7 +82,10 @@ class PrefixBpe:
         self.rank = PairTable(pairs[:, 0], pairs[:, 1], np.array(list(rank.values()), np.int32))
         made = [vocab[merges[r][0] + merges[r][1]] for r in rank.values()]
         self.joined = PairTable(pairs[:, 0], pairs[:, 1], np.array(made, np.int32))
-        self.pair_test = PairTest(self.rank, self.halves)
+        if len(rank) == len(halves):
+            self.pair_test = PairTest(self.rank, self.halves)
+        else:
+            self.pair_test = PlainPairTest(self.rank, self.halves, self.merged, self.spell)
         self._name_symbols({t: i for t, i in vocab.items() if i not in halves}, model.get("end_of_word_suffix") or "")
         self._build_automaton(vocab)
         self.special = {str(t.content): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}

@@ -5,6 +5,8 @@ All are numpy arrays that are read for many words at once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 #: An odd multiplier that spreads keys over a hash table's slots.
@@ -144,7 +146,8 @@ class PairTest:
     """Whether two tokens side by side are encoded as those two.
 
     `halves` (token: left, right, rank; -1 where nothing merges to it) must have one
-    merge for each entry. Answers are kept in a table of bounded size.
+    merge for each entry; PlainPairTest serves others. Answers are kept in a table of
+    bounded size.
     """
 
     def __init__(self, rank: PairTable, halves: np.ndarray):
@@ -188,3 +191,21 @@ class PairTest:
             a, b = np.where(undo_a, self.right[a], a), np.where(undo_a, b, self.left[b])
             before = np.where(undo_a, of_a, of_b + 1)
         return out
+
+
+class PlainPairTest(PairTest):
+    """The same for vocabularies in which an entry comes from several merges: `merged`
+    encodes a symbol string by plain merging, `spell` gives an entry's symbols."""
+
+    def __init__(
+        self, rank: PairTable, halves: np.ndarray, merged: Callable[[list[int]], list[int]], spell: Callable[[int], tuple[int, ...]]
+    ):
+        super().__init__(rank, halves)
+        self.merged, self.spell = merged, spell
+
+    def straddled(self, a: np.ndarray, b: np.ndarray, before: int = NEVER) -> np.ndarray:
+        pairs = zip(a.tolist(), b.tolist(), strict=True)
+        if before < 0:
+            # whether the two become one entry, that is, do not stay apart
+            return np.array([len(self.merged([*self.spell(x), *self.spell(y)])) != 1 for x, y in pairs], bool)
+        return np.array([self.merged([*self.spell(x), *self.spell(y)]) != [x, y] for x, y in pairs], bool)

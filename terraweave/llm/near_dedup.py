@@ -253,8 +253,8 @@ def near_duplicates(
     Null texts and texts without words have no shingles, are linked with nothing and
     kept. Rows with equal sets share a component whatever their number; ties go to the
     least doc_id. A null doc_id gives a null component and kept = null. Repeated ids are one
-    document for linking. Other columns of `df` are not read. An empty table gives
-    an empty result.
+    document for linking. Ids are whole numbers; others raise. Other columns of `df`
+    are not read. An empty table gives an empty result.
     """
     drawn = stored(sketches(df, words, text_col=text_col, id_col=id_col), "sketches")
     classes = stored(

@@ -78,6 +78,15 @@ def test_components_equal_brute_force(spark, k):
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())
 
 
+def test_large_groups_equal_brute_force(spark, monkeypatch):
+    """A group of near copies that fills many blocks, and is joined by broadcast."""
+    monkeypatch.setattr(near_dedup, "HOT", 60)
+    monkeypatch.setattr(near_dedup, "BLOCK", 32)
+    rows = corpus(seed=8, group=420)
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), words=2).collect()}
+    assert got == {i: c for i, (_, c) in brute_components(rows, 2).items()}
+
+
 def test_dedup_of_nothing(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert near_dedup.near_duplicates(df).count() == 0
@@ -378,6 +387,17 @@ def test_phone_numbers_of_countries_are_apart():
         assert new[0] == "0" and [x[0] for x in pii.entities(f"call {new} now")] == ["phone"] and new != t
 
 
+def test_mentions_of_one_name_are_no_collision(spark):
+    texts = ["Mr Smith and Dr. Smith; Smith", "MR. SMITH", "Anna Schmidt, later Schmidt", "Frau Schmidt", "Ms. Tanaka met Akira Tanaka"]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    out = pii.replace_entities(df, b"k", keep=["doc_id"])
+    assert pii.collisions(out).count() == 0
+    got = {r.doc_id: r for r in out.collect()}
+    assert len({e.entity for k in (0, 1) for e in got[k].entities}) == 1
+    assert [len(got[k].entities) for k in range(5)] == [3, 1, 2, 1, 2]
+    assert got[2].entities[1].entity == got[3].entities[0].entity and got[2].text.split()[-1] == got[3].text.split()[-1]
+
+
 def test_collisions_lead_to_another_key(spark, monkeypatch):
     df = spark.createDataFrame([(1, "a@ex.org and b@ex.org")], "doc_id long, text string")
     tried = []

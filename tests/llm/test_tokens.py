@@ -63,6 +63,24 @@ def test_prefix_dp_of_many_specials_and_long_words():
         assert bpe_dp.encode_text(own, t) == lib.encode(t, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("twice", [False, True])
+def test_prefix_dp_of_small_vocabularies(tmp_path, twice):
+    """Also where an entry comes from several merges."""
+    from tokenizers import models
+
+    entries = ["a", "b", "c", "ab", "bc", "abc", "ca", "aa", "aab", "cab", "bb"]
+    merges = [("a", "b"), ("b", "c"), ("a", "a"), ("ab", "c"), ("c", "a"), ("b", "b"), ("aa", "b"), ("ca", "b")]
+    if twice:
+        merges += [("a", "bc"), ("a", "ab"), ("c", "ab")]
+    whole = Tokenizer(models.BPE({t: k for k, t in enumerate(entries)}, merges))
+    whole.save(str(tmp_path / "small.json"))
+    own = bpe_dp.PrefixBpe(str(tmp_path / "small.json"))
+    rng = np.random.default_rng(1)
+    for n in range(300):
+        text = "".join(rng.choice(list("abc"), 1 + n % 23))
+        assert bpe_dp.encode_text(own, text) == whole.encode(text).ids
+
+
 def test_long_texts_are_cut_at_white_space(monkeypatch):
     path = public_tokenizers.path("word_bpe_49k.json")
     own, lib = bpe_dp.vocabulary(path), Tokenizer.from_file(path)
