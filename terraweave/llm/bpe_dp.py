@@ -14,7 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from .bpe_tables import NEVER, PairTable, PairTest, PlainPairTest, SuffixAutomaton
-from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, ragged, release
+from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, map_in_arrow, ragged, release
 
 #: Words encoded side by side at a time; words of more symbols are encoded alone.
 LANES = 1 << 14
@@ -61,9 +61,11 @@ class PrefixBpe:
         steps = (whole.get("normalizer") or {}).get("normalizers")
         splits = (whole.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
         self.latin = steps == LATIN_NORMALISER and splits[0].get("pattern") == {"Regex": LATIN_SPLIT}
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
+        # the library only normalises and splits, for which it needs no entries
+        bare = {**whole, "added_tokens": [], "model": {**model, "vocab": {}, "merges": []}, "post_processor": None}
+        self.splitter = Tokenizer.from_str(json.dumps({**bare, "truncation": None, "padding": None}))
+        self.spaced = whole.get("decoder") is None
         vocab: dict[str, int] = model["vocab"]
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ", 1)) for m in model["merges"]]
         rank: dict[tuple[int, int], int] = {}
@@ -88,7 +90,7 @@ class PrefixBpe:
             self.pair_test = PlainPairTest(self.rank, self.halves, self.merged, self.spell)
         self._name_symbols({t: i for t, i in vocab.items() if i not in halves}, model.get("end_of_word_suffix") or "")
         self._build_automaton(vocab)
-        self.special = {str(t.content): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.special = {t["content"]: t["id"] for t in whole.get("added_tokens") or []}
         texts = [""] * (max([size - 1, *self.special.values()]) + 1)
         for t, i in [*vocab.items(), *self.special.items()]:
             texts[i] = t
@@ -96,6 +98,16 @@ class PrefixBpe:
         longest = sorted(self.special, key=len, reverse=True)
         self.any_special = re.compile("(" + "|".join(map(re.escape, longest)) + ")") if longest else None
 
+    @cached_property
+    def tokenizer(self):
+        """The library's whole tokenizer, for vocabularies that it decodes."""
+        from tokenizers import Tokenizer
+
+        own = Tokenizer.from_file(self.path)
+        own.no_truncation()
+        own.no_padding()
+        return own
+
     def _name_symbols(self, base: dict[str, int], suffix: str) -> None:
         """Which entry a character is inside a word and at its end, by code point.
 
@@ -317,7 +329,7 @@ class PrefixBpe:
 
     def _plain(self, text: str) -> Iterator[list[str]]:
         """Pieces of text without special strings: normalise, then pre-tokenise."""
-        tk = self.tokenizer
+        tk = self.splitter
         if tk.normalizer is not None:
             text = tk.normalizer.normalize_str(text)
         yield [p for p, _ in tk.pre_tokenizer.pre_tokenize_str(text)] if tk.pre_tokenizer is not None else [text]
@@ -325,7 +337,7 @@ class PrefixBpe:
     def decoded(self, ids: np.ndarray, counts: np.ndarray) -> pa.Array:
         """What the library's decode(ids, skip_special_tokens=False) gives for each text."""
         ends = np.concatenate([[0], np.cumsum(counts)])
-        if self.tokenizer.decoder is None:
+        if self.spaced:
             lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), self.texts.take(pa.array(ids)))
             return pc.binary_join(lists, " ")
         own = ids.tolist()
@@ -336,7 +348,9 @@ class PrefixBpe:
 @lru_cache(maxsize=2)
 def vocabulary(path: str) -> PrefixBpe:
     """The vocabulary's flat tables, kept by a worker; pieces' ids go with their task."""
-    return PrefixBpe(path)
+    own = PrefixBpe(path)
+    release()
+    return own
 
 
 def encode_text(bpe: PrefixBpe, text: str) -> list[int]:
@@ -364,23 +378,19 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
         table = PieceTable(bpe.encode_pieces)
-        try:
-            for batch in batches:
-                for at, n in byte_slices(batch.column(1)):
-                    ids, counts = ids_of_texts(table, bpe, batch.column(1).slice(at, n).to_pylist())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).slice(at, n),
-                            binaries(ids, counts, "<u4"),
-                            pa.array(counts, pa.int64()),
-                            bpe.decoded(ids, counts),
-                        ],
-                        names=[id_col, "ids", "n_tokens", "decoded"],
-                    )
-        finally:
-            table.clear()
-            release()
-
-    return df.select(id_col, text_col).mapInArrow(
-        encode, f"`{id_col}` {id_type}, ids binary, n_tokens long, decoded string"
+        for batch in batches:
+            for at, n in byte_slices(batch.column(1)):
+                ids, counts = ids_of_texts(table, bpe, batch.column(1).slice(at, n).to_pylist())
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).slice(at, n),
+                        binaries(ids, counts, "<u4"),
+                        pa.array(counts, pa.int64()),
+                        bpe.decoded(ids, counts),
+                    ],
+                    names=[id_col, "ids", "n_tokens", "decoded"],
+                )
+
+    return map_in_arrow(
+        df.select(id_col, text_col), encode, f"`{id_col}` {id_type}, ids binary, n_tokens long, decoded string"
     )

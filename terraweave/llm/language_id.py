@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import byte_slices, given_back
+from .pieces import byte_slices, map_in_arrow
 from .shingles import mixed, series
 from .tables import stored
 
@@ -176,9 +176,9 @@ def _training_rows(df: DataFrame, counts: dict[str, int], text_col: str, lang_co
     A document is drawn by a hash of its id, so no rows are sorted, counted or moved
     for the drawing and each task decides alone.
     """
-    least = [(lang, min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n))) for lang, n in counts.items()]
     # a row for each language
-    share = df.sparkSession.createDataFrame(least, "_lang string, _below long")
+    least = {"_lang": list(counts), "_below": [min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n)) for n in counts.values()]}
+    share = df.sparkSession.createDataFrame(pa.table(least))
     draw = F.pmod(F.xxhash64(id_col), F.lit(_DRAWS))
     known = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
     drawn = known.join(F.broadcast(share), F.col(lang_col) == F.col("_lang")).filter(draw < F.col("_below"))
@@ -207,7 +207,7 @@ def _counts(rows: DataFrame) -> DataFrame:
                             names=["lang", "length", "h", "n"],
                         )
 
-    pieces = rows.select("lang", "text").mapInArrow(given_back(count), "lang string, length int, h long, n long")
+    pieces = map_in_arrow(rows.select("lang", "text"), count, "lang string, length int, h long, n long")
     return pieces.groupBy("lang", "length", "h").agg(F.sum("n").alias("n"))
 
 
@@ -228,7 +228,7 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
     counted = _counts(rows)
     totals = counted.groupBy("lang", "length").agg(F.sum("n").alias("total"))
     spark = df.sparkSession
-    order = spark.createDataFrame(list(enumerate(languages)), "place int, lang string")
+    order = spark.createDataFrame(pa.table({"place": pa.array(range(len(languages)), pa.int32()), "lang": languages}))
     held = stored(
         counted.join(F.broadcast(totals), ["lang", "length"])  # a row for each language and length
         .filter((F.col("n") >= LEAST_COUNT) & (F.col("n") >= F.col("total") * LEAST_SHARE))
@@ -285,7 +285,7 @@ def predict(
                     names=[*(f.name for f in kept), *names],
                 )
 
-    return df.select(*keep, text_col).mapInArrow(given_back(run), f"{schema}`{names[0]}` string, `{names[1]}` double")
+    return map_in_arrow(df.select(*keep, text_col), run, f"{schema}`{names[0]}` string, `{names[1]}` double")
 
 
 def held_out(id_col: str = "doc_id") -> F.Column:
@@ -386,7 +386,7 @@ def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
 
     # three numbers for each of about PER_LANGUAGE texts of a language
     drawn = _training_rows(named, counts, "text", "lang", "doc_id")
-    found = drawn.mapInArrow(given_back(measure), "lang long, n double, share double, margin double").toArrow()
+    found = map_in_arrow(drawn, measure, "lang long, n double, share double, margin double").toArrow()
     return fit_thresholds(*(found[c].to_numpy() for c in ("lang", "n", "share", "margin")), len(model.languages))
 
 
@@ -423,4 +423,4 @@ def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:
                 part = part.set_column(label, batch.schema.field(label), pa.array(named, batch.schema.field(label).type))
                 yield part.filter(pa.array(good))
 
-    return df.mapInArrow(given_back(run), schema)
+    return map_in_arrow(df, run, schema)

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from . import hyperminhash as hm
 from .components import connected_components
-from .pieces import byte_slices, given_back
+from .pieces import byte_slices, map_in_arrow
 from .shingles import shingle_sets
 from .tables import BROADCAST_IDS, remove_table, stored, without_ids
 
@@ -86,9 +86,8 @@ def sketches(df: DataFrame, words: int, *, text_col: str = "text", id_col: str =
                     names=["doc_id", "n", "sig", "bands"],
                 )
 
-    return df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
-        given_back(sketch), "doc_id long, n long, sig binary, bands array<long>"
-    )
+    texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_in_arrow(texts, sketch, "doc_id long, n long, sig binary, bands array<long>")
 
 
 def _sets_of(df: DataFrame, ids: DataFrame, words: int, text_col: str, id_col: str) -> DataFrame:
@@ -107,7 +106,7 @@ def _sets_of(df: DataFrame, ids: DataFrame, words: int, text_col: str, id_col: s
                 )
 
     # repeated ids stand for one document; the class's representative is any of them
-    return wanted.mapInArrow(given_back(build), "id long, elements binary")
+    return map_in_arrow(wanted, build, "id long, elements binary")
 
 
 def _may_link(a: str, b: str, similarity: int) -> F.Column:
@@ -140,9 +139,8 @@ def _estimated(pairs: DataFrame, classes: DataFrame, similarity: int) -> DataFra
                 pa.array(guess >= floor)
             )
 
-    return known.select("a", "b", "n_a", "n_b", "bands_a", "bands_b").mapInArrow(
-        given_back(keep), "a long, b long, n_a long, n_b long"
-    )
+    sketched = known.select("a", "b", "n_a", "n_b", "bands_a", "bands_b")
+    return map_in_arrow(sketched, keep, "a long, b long, n_a long, n_b long")
 
 
 def _with_sets(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,7 +161,7 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: int) -> DataFrame:
                 keep.append(100 * common >= similarity * (len(one) + len(two) - common))
             yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return _with_sets(pairs, sets).mapInArrow(given_back(check), "a long, b long")
+    return map_in_arrow(_with_sets(pairs, sets), check, "a long, b long")
 
 
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -185,8 +183,8 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 names=["a", "b", "n", "lacks", "n_b", "elements"],
             )
 
-    return _with_sets(pairs, sets).mapInArrow(
-        given_back(build), "a long, b long, n long, lacks long, n_b long, elements binary"
+    return map_in_arrow(
+        _with_sets(pairs, sets), build, "a long, b long, n long, lacks long, n_b long, elements binary"
     )
 
 
@@ -242,7 +240,7 @@ def _block_links(members: DataFrame, told: DataFrame, similarity: int) -> DataFr
                     names=["a", "b"],
                 )
 
-    return met.mapInArrow(given_back(compare), "a long, b long")
+    return map_in_arrow(met, compare, "a long, b long")
 
 
 def near_duplicates(

@@ -16,15 +16,16 @@ from typing import Protocol
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 #: Bytes of texts that are cut at a time; a longer text is cut in parts of about that.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 #: Longer texts are encoded in parts of about this many characters.
 PART_CHARS = 1 << 20
 #: Pieces of a batch that are numbered at a time.
-MOST_HELD = 1 << 20
+MOST_HELD = 1 << 19
 #: Pieces that a table keeps at most, beside those of the batch at hand.
-MOST_PIECES = 300_000
+MOST_PIECES = 200_000
 
 
 def byte_slices(column: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
@@ -271,13 +272,28 @@ def release() -> None:
         trim(0)
 
 
-def given_back(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
-    """The Arrow function `work`, which releases its memory when its task ends."""
+#: The setting of bytes in an Arrow batch, Spark's default, and what it becomes.
+BATCH_SETTING, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def map_in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """`df.mapInArrow`, in batches of about BATCH_BYTES, releasing memory when a task ends.
+
+    Executor and worker both hold a batch, some of it several times, outside the heap.
+    Where the session has Spark's default for a batch's bytes it is lowered; a setting
+    of one's own stays.
+    """
+    spark = df.sparkSession
+    if spark.conf.get(BATCH_SETTING, BATCH_DEFAULT) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_SETTING, f"{BATCH_BYTES}b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         try:
-            yield from work(batches)
+            for made in work(batches):
+                yield made
+                # what this batch took is not kept for the next one
+                pa.default_memory_pool().release_unused()
         finally:
             release()
 
-    return run
+    return df.mapInArrow(run, schema)

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .pieces import byte_slices, map_in_arrow
 from .tables import stored
 
 ROUNDS = 6
@@ -503,7 +504,8 @@ def replace_entities(df: DataFrame, key: bytes, *, text_col: str = "text", keep:
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for at, n, batch in ((*at_n, b) for b in batches for at_n in byte_slices(b.column(len(keep)))):
+            batch = batch.slice(at, n)
             texts, found = [], []
             for text in batch.column(len(keep)).to_pylist():
                 new, at, moved, own = [], 0, 0, []
@@ -521,7 +523,8 @@ def replace_entities(df: DataFrame, key: bytes, *, text_col: str = "text", keep:
                 names=[f.name for f in kept] + [out_col, list_col],
             )
 
-    return df.select(*keep, text_col).mapInArrow(
+    return map_in_arrow(
+        df.select(*keep, text_col),
         run,
         f"{schema}`{out_col}` string, `{list_col}` array<struct<kind: string, start: long, surrogate: string, entity: long>>",
     )

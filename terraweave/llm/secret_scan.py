@@ -23,6 +23,8 @@ LABELLED = 8000
 TREES, DEPTH, SEED = 24, 8, 7
 THRESHOLD = 0.5
 SHORTEST = 12
+#: A run without digits that no key introduces has so many characters at least.
+LONG = 20
 
 #: Words that names and identifiers of any program are made of; those of
 #: the corpus at hand come from `learned_words`.
@@ -114,10 +116,13 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
     missing path column, or a null path, is an empty path.
     """
     path = F.coalesce(F.col(path_col).cast("string"), F.lit("")) if path_col in df.columns else F.lit("")
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     cut = df.select(
         F.col(id_col).alias("doc_id"),
         path.alias("path"),
-        F.split(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"\s").alias("words"),
+        # without such a mark no key introduces anything
+        (text.contains("=") | text.contains(":")).alias("signed"),
+        F.split(text, r"\s").alias("words"),
     )
 
     def introduced(word: Column, one: Column, two: Column) -> Column:
@@ -127,21 +132,27 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
             & (one.rlike(rf"(?i)(?:{_SECRET_KEY})[\w.\-\\\"'`]*[=:]+$") | (one.rlike("^[=:]+$") & two.rlike(KEY_WORDS)))
         )
 
-    # bound, as the optimiser would cut the text again for each word
-    long_enough = _bound(
-        F.col("words"),
-        lambda words: F.filter(
-            F.transform(words, lambda w, i: F.struct(i.alias("at"), w.alias("word"))),
-            lambda x: (x["word"] != "")
-            & (
-                ((F.length(x["word"]) >= SHORTEST) & x["word"].rlike(rf"{_RUN}{{{SHORTEST}}}"))
-                | F.coalesce(
-                    introduced(x["word"], F.get(words, x["at"] - 1), F.get(words, x["at"] - 2)), F.lit(False)
+    def looked_at(words: Column, signed: Column, word: Column, at: Column) -> Column:
+        """Whether a word may hold a candidate; what is cheap to tell comes first."""
+        beside = word.contains("=") | word.contains(":") | F.coalesce(F.get(words, at - 1).rlike("[=:]$"), F.lit(False))
+        size = F.length(word)
+        run = (size >= SHORTEST) & ((size >= LONG) | word.rlike("[0-9]") | (signed & beside)) & word.rlike(rf"{_RUN}{{{SHORTEST}}}")
+        return run | (signed & (word != "") & F.coalesce(introduced(word, F.get(words, at - 1), F.get(words, at - 2)), F.lit(False)))
+
+    # bound, as the optimiser would cut and search the text again for each word
+    chosen = _bound(
+        F.col("signed"),
+        lambda signed: _bound(
+            F.col("words"),
+            lambda words: F.array_compact(
+                F.transform(
+                    words,
+                    lambda w, i: F.when(looked_at(words, signed, w, i), F.struct(i.alias("at"), w.alias("word"))),
                 )
             ),
         ),
     )
-    found = cut.withColumn("found", long_enough).filter(F.size("found") > 0)
+    found = cut.withColumn("found", chosen).filter(F.size("found") > 0)
     near = F.transform(
         "found",
         lambda x: F.struct(
@@ -193,7 +204,7 @@ def candidates(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id",
         .select("doc_id", "path", "key", "before", "after", "assigned", "from", F.explode("found").alias("x"))
         .filter(
             F.when(F.col("x.whole"), F.col("x.value") != "").otherwise(
-                F.col("assigned") | F.col("x.value").rlike(r"[0-9]") | (F.length("x.value") >= 20)
+                F.col("assigned") | F.col("x.value").rlike(r"[0-9]") | (F.length("x.value") >= LONG)
             )
         )
         .select(
@@ -215,7 +226,7 @@ def learned_words(df: DataFrame, *, text_col: str = "text", n: int = LEARNED) ->
     tried = [x["item"] for x in top or []]
     if not tried:
         return []
-    few = df.sparkSession.createDataFrame([(w,) for w in tried], "word string")
+    few = df.sparkSession.range(1).select(F.explode(F.array(*map(F.lit, tried))).alias("word"))
     counted = each.join(F.broadcast(few), "word").groupBy("word").count()
     return [r.word for r in counted.orderBy(F.desc("count"), "word").limit(n).collect()]
 

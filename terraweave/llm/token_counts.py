@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .pieces import release
+from .pieces import map_in_arrow
 from .textcut import by_bytes
 
 #: Marks where a text may be cut if the model keeps them apart.
@@ -124,32 +124,29 @@ def count_tokens(
 
     def lengths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = length_encoder(model_path)
-        try:
-            for batch in batches:
-                column = batch.column(1)
-                counts = [0] * batch.num_rows
-
-                def parts(column=column, counts=counts):
-                    for row, text in enumerate(column):
-                        for part, extra in encoder.parts(text.as_py() or "", part_chars):
-                            counts[row] -= extra
-                            yield row, part
-
-                for rows, own in by_bytes(parts(), batch_bytes):
-                    for row, n in zip(rows, encoder.counts(own), strict=True):
-                        counts[row] += n
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0),
-                        pc.fill_null(pc.binary_length(column), 0).cast(pa.int64()),
-                        pa.array(counts, pa.int64()),
-                        pa.array([n > limit for n in counts], pa.bool_()),
-                    ],
-                    names=[id_col, "n_bytes", "n_tokens", "over_limit"],
-                )
-        finally:
-            release()
-
-    return df.select(id_col, text_col).mapInArrow(
-        lengths, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean"
+        for batch in batches:
+            column = batch.column(1)
+            counts = [0] * batch.num_rows
+
+            def parts(column=column, counts=counts):
+                for row, text in enumerate(column):
+                    for part, extra in encoder.parts(text.as_py() or "", part_chars):
+                        counts[row] -= extra
+                        yield row, part
+
+            for rows, own in by_bytes(parts(), batch_bytes):
+                for row, n in zip(rows, encoder.counts(own), strict=True):
+                    counts[row] += n
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pc.fill_null(pc.binary_length(column), 0).cast(pa.int64()),
+                    pa.array(counts, pa.int64()),
+                    pa.array([n > limit for n in counts], pa.bool_()),
+                ],
+                names=[id_col, "n_bytes", "n_tokens", "over_limit"],
+            )
+
+    return map_in_arrow(
+        df.select(id_col, text_col), lengths, f"`{id_col}` {id_type}, n_bytes long, n_tokens long, over_limit boolean"
     )

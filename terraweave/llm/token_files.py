@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, ragged, release
+from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, map_in_arrow, ragged
 from .textcut import keys_of, spelled
 from .textcut import parts as parts_of
 
@@ -279,25 +279,21 @@ def encoded_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = library(tokenizer_path)
         table = PieceTable(own.encode_pieces)
-        try:
-            for batch in batches:
-                for at, n in byte_slices(batch.column(1)):
-                    ids, counts = ids_of_texts(table, own, batch.column(1).slice(at, n).to_pylist())
-                    docs, packed = batch.column(0).slice(at, n), binaries(ids, counts, dtype)
-                    tie = np.fromiter((zlib.crc32(x.as_buffer()) for x in packed), np.int64, n)
-                    numbers = docs.fill_null(0).to_numpy(zero_copy_only=False)
-                    known = docs.is_valid().to_numpy(zero_copy_only=False)
-                    shard = dealt.shard(numbers, known, tie / 2**32)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard, pa.int32()), docs, pa.array(tie), packed],
-                        names=["shard", "doc_id", "tie", "ids"],
-                    )
-        finally:
-            table.clear()
-            release()
+        for batch in batches:
+            for at, n in byte_slices(batch.column(1)):
+                ids, counts = ids_of_texts(table, own, batch.column(1).slice(at, n).to_pylist())
+                docs, packed = batch.column(0).slice(at, n), binaries(ids, counts, dtype)
+                tie = np.fromiter((zlib.crc32(x.as_buffer()) for x in packed), np.int64, n)
+                numbers = docs.fill_null(0).to_numpy(zero_copy_only=False)
+                known = docs.is_valid().to_numpy(zero_copy_only=False)
+                shard = dealt.shard(numbers, known, tie / 2**32)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(shard, pa.int32()), docs, pa.array(tie), packed],
+                    names=["shard", "doc_id", "tie", "ids"],
+                )
 
     texts = df.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return texts.mapInArrow(encode, "shard int, doc_id long, tie long, ids binary")
+    return map_in_arrow(texts, encode, "shard int, doc_id long, tie long, ids binary")
 
 
 def _text_bytes(df: DataFrame, text_col: str) -> int:
@@ -376,15 +372,9 @@ def write_token_files(
         if docs:
             yield block(docs, ids)
 
-    (
-        encoded.repartitionById(dealt.shards, "shard")
-        .sortWithinPartitions("doc_id", "tie", "ids")
-        .select("doc_id", "ids")
-        .mapInArrow(pack, BLOCK_SCHEMA)
-        .write.option("parquet.block.size", 8 << 20)
-        .option("compression", "uncompressed")
-        .parquet(out)
-    )
+    in_order = encoded.repartitionById(dealt.shards, "shard").sortWithinPartitions("doc_id", "tie", "ids").select("doc_id", "ids")
+    blocks = map_in_arrow(in_order, pack, BLOCK_SCHEMA)
+    blocks.write.option("parquet.block.size", 8 << 20).option("compression", "uncompressed").parquet(out)
     return out
 
 
@@ -445,9 +435,8 @@ def read_token_files(spark: SparkSession, folder: str, doc_ids: list[int] | None
                     names=["shard", "doc_id", "local", "ids"],
                 )
 
-    found = blocks.select(
-        "shard", "bits", "n_ids", "doc_ids", "doc_starts", "doc_lengths", "payload"
-    ).mapInArrow(unpack, "shard long, doc_id long, local long, ids binary")
+    packed = blocks.select("shard", "bits", "n_ids", "doc_ids", "doc_starts", "doc_lengths", "payload")
+    found = map_in_arrow(packed, unpack, "shard long, doc_id long, local long, ids binary")
     bases = shard_bases(spark, folder)  # at most MOST_SHARDS rows of 16 bytes
     return found.join(F.broadcast(bases), "shard").select(
         "doc_id", (F.col("local") + F.col("base")).alias("start"), "ids"

@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .pieces import byte_slices, given_back
+from .pieces import byte_slices, map_in_arrow
 
 PACKET = 188
 SYNC = 0x47
@@ -317,7 +317,7 @@ def store_texts(df: DataFrame, *, text_col: str = "text", id_col: str = "doc_id"
                     names=[id_col, "n_bytes", "media"],
                 )
 
-    return df.select(id_col, text_col).mapInArrow(given_back(write), f"`{id_col}` {id_type}, n_bytes long, media binary")
+    return map_in_arrow(df.select(id_col, text_col), write, f"`{id_col}` {id_type}, n_bytes long, media binary")
 
 
 _STREAMS = pa.list_(
@@ -361,7 +361,7 @@ def parse_streams(df: DataFrame, *, media_col: str = "media", keep: list[str]) -
                     + ["lost_sync_bytes", "streams", "feature"],
                 )
 
-    return df.select(*keep, media_col).mapInArrow(given_back(read), f"{schema}, {PARSED}" if schema else PARSED)
+    return map_in_arrow(df.select(*keep, media_col), read, f"{schema}, {PARSED}" if schema else PARSED)
 
 
 def _streams(found: Demuxed) -> list[dict]:
