@@ -736,7 +736,8 @@ def _told(rows: DataFrame, *own: F.Column) -> DataFrame:
     )
 
 
-_LON7, _LAT7 = (F.round(F.col(c) * 1e7).cast("long").alias(f"{c}7") for c in ("lon", "lat"))
+def _place7() -> list[F.Column]:
+    return [F.round(F.col(c) * 1e7).cast("long").alias(f"{c}7") for c in ("lon", "lat")]
 
 
 @query
@@ -745,7 +746,7 @@ def opl_nodes(spark, d):
     path = f"{shared_path(spark, 'dump')}/nodes.opl.bz2"
     place = (F.lit(" x"), F.col("lon").cast("string"), F.lit(" y"), F.col("lat").cast("string"))
     _opl_lines(A.nodes(spark, d), "n", *place).write.option("compression", "bzip2").text(path)
-    return _told(formats.read_entities(spark, path, "node"), _LON7, _LAT7)
+    return _told(formats.read_entities(spark, path, "node"), *_place7())
 
 
 @query
@@ -766,7 +767,7 @@ def xml_nodes(spark, d):
     tag = F.transform("tags", lambda t: F.struct(t["k"].alias("_k"), t["v"].alias("_v"))).alias("tag")
     rows = A.nodes(spark, d).select(*attributes, stamp, tag)
     rows.write.format("xml").option("rowTag", "node").option("rootTag", "osm").save(path)
-    return _told(formats.read_entities(spark, path, "node"), _LON7, _LAT7)
+    return _told(formats.read_entities(spark, path, "node"), *_place7())
 
 
 @query

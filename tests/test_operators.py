@@ -368,3 +368,12 @@ def test_shared_folder_must_be_named_on_a_cluster(spark):
     for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
         with pytest.raises(RuntimeError):
             stored.shared_folder(Session(spark_master=master))
+
+
+def test_entry_is_imported_without_a_session():
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    told = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q) and len(q) > 60"
+    subprocess.run([sys.executable, "-c", told], cwd=Path(__file__).parent.parent, check=True, timeout=120)
