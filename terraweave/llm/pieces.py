@@ -41,6 +41,21 @@ def byte_slices(column: pa.Array, most: int = BATCH_BYTES) -> Iterator[tuple[int
         at = to
 
 
+def gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Batches joined until they come to `most` bytes: the more texts are seen at once, the
+    fewer of their pieces are looked up."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The positions starts[k], starts[k] + 1, ... (counts[k] of them) for all k."""
     ends = np.cumsum(counts)
@@ -226,8 +241,13 @@ def _ids_of_batch(table: PieceTable, splits: Splits, texts: list[str]) -> tuple[
     return np.concatenate(flat)[ragged(starts, counts)], counts
 
 
-def ids_of_texts(table: PieceTable, splits: Splits, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of all texts in one array, and how many each text has; a null has none."""
+def ids_of_texts(
+    table: PieceTable, splits: Splits, texts: list[str | None], most: int = BATCH_BYTES
+) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts in one array, and how many each text has; a null has none.
+
+    About `most` characters are cut at a time.
+    """
     totals = np.zeros(len(texts), np.int64)
     flat: list[np.ndarray] = []
     held: list[str] = []
@@ -238,7 +258,7 @@ def ids_of_texts(table: PieceTable, splits: Splits, texts: list[str | None]) ->
             held.append(part)
             owners.append(k)
             size += len(part)
-            if size >= BATCH_BYTES:
+            if size >= most:
                 ids, counts = _ids_of_batch(table, splits, held)
                 np.add.at(totals, owners, counts)
                 flat.append(ids)

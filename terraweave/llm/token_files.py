@@ -24,13 +24,17 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .pieces import PieceTable, binaries, byte_slices, ids_of_texts, map_in_arrow, ragged
+from .pieces import PieceTable, binaries, byte_slices, gathered, ids_of_texts, map_in_arrow, ragged
 from .textcut import keys_of, spelled
 from .textcut import parts as parts_of
 
 BLOCK_IDS = 1 << 16
 #: Pieces in one call of the library.
 JOINED = 256
+#: Bytes of texts that are encoded at a time, and pieces that a task keeps: the library is
+#: the cost here, so more of both than elsewhere.
+ENCODED_BYTES = 8 << 20
+MOST_PIECES = 400_000
 #: Fixed value: the character that stands for a blank in byte-level vocabularies.
 BLANK = "\u0120"
 #: Texts of a shard in bytes, about; beyond MOST_SHARDS shards they are larger. Shard
@@ -278,10 +282,10 @@ def encoded_documents(
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = library(tokenizer_path)
-        table = PieceTable(own.encode_pieces)
-        for batch in batches:
-            for at, n in byte_slices(batch.column(1)):
-                ids, counts = ids_of_texts(table, own, batch.column(1).slice(at, n).to_pylist())
+        table = PieceTable(own.encode_pieces, MOST_PIECES)
+        for batch in gathered(batches, ENCODED_BYTES):
+            for at, n in byte_slices(batch.column(1), ENCODED_BYTES):
+                ids, counts = ids_of_texts(table, own, batch.column(1).slice(at, n).to_pylist(), ENCODED_BYTES)
                 docs, packed = batch.column(0).slice(at, n), binaries(ids, counts, dtype)
                 tie = np.fromiter((zlib.crc32(x.as_buffer()) for x in packed), np.int64, n)
                 numbers = docs.fill_null(0).to_numpy(zero_copy_only=False)
