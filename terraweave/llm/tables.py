@@ -60,6 +60,16 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """`df` in as many partitions as there are cores, where its scan has fewer.
+
+    One fat file of one row group is one partition; its rows are then dealt out in
+    turn. A table of enough files is read where it lies.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 #: Ids that are broadcast at most (8 bytes each); beyond, the join shuffles.
 BROADCAST_IDS = 1_000_000
 
