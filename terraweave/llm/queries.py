@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, pii, resampling, secret_scan, token_counts, token_files, transport_stream
+from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, packing, pii, resampling, secret_scan, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -128,6 +128,14 @@ def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op13_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document in sequences of 1024 tokens."""
+    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 QUERIES = {
     "op1_transport_streams": op1_transport_streams,
     "op2_secret_scan": op2_secret_scan,
@@ -140,6 +148,7 @@ QUERIES = {
     "op9_chat_windows": op9_chat_windows,
     "op10_language_id": op10_language_id,
     "op12_importance_resampling": op12_importance_resampling,
+    "op13_pack_windows": op13_pack_windows,
 }
 
 ORACLE_SQL: dict[str, str] = {

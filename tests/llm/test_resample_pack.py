@@ -3,13 +3,18 @@
 import hashlib
 import math
 import re
+import struct
 import zlib
 from collections import Counter
 
+import public_tokenizers
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
-from terraweave.llm import queries, resampling
+from terraweave.llm import packing, queries, resampling
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -87,3 +92,78 @@ def test_resample_ties_repeats_and_empty_tables(spark):
     even = even.withColumn("n_features", F.col("n_words")).withColumn("weight", F.col("score"))
     ranks = {r.doc_id: r["rank"] for r in resampling.draw(even, least_words=3, percent=30).collect()}
     assert ranks == {i: i + 1 if i < 15 else None for i in range(50)}
+
+
+def check_pieces(rows, whole, window=1024):
+    """All ids of all documents in one piece each, gapless sequences, no padding to speak of.
+
+    `whole` is the list of (doc_id, ids); rows have doc_id, start, length, ids, doc_tokens, sequence_id, offset.
+    """
+    ids_of = {}
+    for r in sorted(rows, key=lambda r: (repr(r.doc_id), r.start)):
+        held = ids_of.setdefault(r.doc_id, [])
+        assert r.start == len(held) and r.length == len(r.ids) // 4 > 0
+        held.extend(struct.unpack(f"<{r.length}I", r.ids))
+    assert ids_of == dict(whole)
+    assert {r.doc_id: r.doc_tokens for r in rows} == {i: len(x) for i, x in whole}
+    sequences = {}
+    for r in rows:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    padding = 0
+    for own in sequences.values():
+        at = 0
+        for r in sorted(own, key=lambda r: r.offset):
+            assert r.offset == at
+            at += r.length
+        assert at <= window
+        padding += 0 if at.bit_count() == 1 else window - at
+    return padding, sequences
+
+
+def test_op13_whole_table(spark, data):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    docs = spark.read.parquet(f"{data}/documents.parquet").collect()
+    whole = {r.doc_id: [*tokenizer.encode(r.text or "", add_special_tokens=False).ids, 0] for r in docs}
+    pieces = packing.pack_documents(spark.read.parquet(f"{data}/documents.parquet"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    padding, _ = check_pieces(pieces.collect(), list(whole.items()))
+    assert padding == 0
+    for r in queries.op13_pack_windows(spark, data).collect():
+        own = whole[r.doc_id]
+        assert r.doc_tokens == len(own)
+        assert r.ids_crc32 == zlib.crc32(struct.pack(f"<{r.length}I", *own[r.start : r.start + r.length]))
+
+
+def test_pack_odd_rows(spark):
+    rows = [(1, None, 5), (2, "", 6), (3, "word " * 9000, 7), (4, "<|endoftext|> ß 漢", 8), *((10 + k, "a b c " * (k % 7), k) for k in range(60))]
+    df = spark.createDataFrame(rows, "doc_id long, text string, sequence_id int").repartition(2)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tokenizer = Tokenizer.from_file(path)
+    whole = [(i, [*tokenizer.encode(t or "", add_special_tokens=False).ids, 0]) for i, t, _ in rows]
+    for window, pool in ((64, 100), (1024, 50), (100, 1 << 20)):
+        pieces = packing.pack_documents(df, path, end_id=0, window=window, pool_ids=pool)
+        padding, made = check_pieces(pieces.collect(), whole, window)
+        assert padding == 0
+        read = {r.sequence_id: r for r in packing.sequences(pieces, window=window, pad_id=7).collect()}
+        for k, own in made.items():
+            joined = b"".join(r.ids for r in sorted(own, key=lambda r: r.offset))
+            assert read[k].n_tokens * 4 == len(joined) and read[k].ids == joined
+    assert packing.pack_documents(df.limit(0), path, end_id=0).collect() == []
+    same = spark.createDataFrame([(None, "x"), (None, "x"), (1, "x"), (1, "x")], "doc_id long, text string")
+    assert len(packing.pack_documents(same, path, end_id=None).collect()) == 4
+
+
+def test_sequences_are_padded(spark):
+    df = spark.createDataFrame([(1, 0, 3, bytes(range(12))), (2, 0, 4, bytes(16))], "sequence_id long, offset long, length long, ids binary")
+    got = {r.sequence_id: r.ids for r in packing.sequences(df, window=8, pad_id=9).collect()}
+    assert got == {1: bytes(range(12)) + b"\x09\0\0\0" * 5, 2: bytes(16)}
+
+
+@given(st.integers(1, 60), st.dictionaries(st.integers(1, 40), st.integers(1, 5), max_size=6))
+@settings(max_examples=200, deadline=None)
+def test_fill_is_closest(target, counts):
+    sums = {0}
+    for n, k in counts.items():
+        sums = {s + n * j for s in sums for j in range(k + 1)}
+    total, need = packing.fill(target, counts)
+    assert total == max(s for s in sums if s <= target) == sum(n * k for n, k in need.items())
+    assert all(k <= counts[n] for n, k in need.items())
