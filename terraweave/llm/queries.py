@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe_dp, chat_format, decontaminate, language_id, near_dedup, packing, pii, resampling, secret_scan, token_counts, token_files, transport_stream
+from . import bpe_dp, chat_format, collocations, decontaminate, language_id, near_dedup, packing, pii, resampling, secret_scan, token_counts, token_files, transport_stream
 from .tables import shared_path, table
 
 
@@ -123,6 +123,11 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the benchmark's words, with all scores."""
     return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -147,6 +152,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_chat_windows": op9_chat_windows,
     "op10_language_id": op10_language_id,
+    "op11_collocations": op11_collocations,
     "op12_importance_resampling": op12_importance_resampling,
     "op13_pack_windows": op13_pack_windows,
 }
@@ -155,5 +161,6 @@ ORACLE_SQL: dict[str, str] = {
     "op4_spaced_seeds": decontaminate.LEAKS_SQL,
     "op8_near_dedup": near_dedup.NEAR_DUPLICATES_SQL,
     "op9_chat_windows": chat_format.chat_sql(),
+    "op11_collocations": collocations.COLLOCATIONS_SQL,
     "op12_importance_resampling": resampling.RESAMPLE_SQL,
 }

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .pieces import byte_slices, map_in_arrow
 from .tables import spread, stored
+from .wordcut import LOWER, cut_words
 
 BUCKETS = 10_000
 #: The draw's key, the words a document needs, and the percentage drawn of those that have them.
@@ -31,26 +32,8 @@ PERCENT = 10
 #: N-grams whose buckets a task remembers.
 MOST_KNOWN = 500_000
 
-_BYTES = np.arange(256)
-_LOWER = np.where((_BYTES >= 0x41) & (_BYTES <= 0x5A), _BYTES + 32, _BYTES).astype(np.uint8)
 #: Digits, letters and all bytes of characters beyond ASCII make words.
-_INSIDE = ((_LOWER >= 0x30) & (_LOWER <= 0x39)) | ((_LOWER >= 0x61) & (_LOWER <= 0x7A)) | (_LOWER >= 0x80)
-
-
-def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """The words of a run of texts, A-Z lower-cased, and how many each text has; nulls have none."""
-    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    joined = b"\n".join(b"" if t is None else t.encode() for t in texts.to_pylist()) + b"\n"
-    raw = _LOWER[np.frombuffer(joined, np.uint8)]
-    inside = _INSIDE[raw]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
-    # every run is a string, words and what parts them in turn; only words are taken
-    bounds = np.concatenate([[0], edges, [len(raw)]]).astype(np.int32)
-    runs = pa.StringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds), pa.py_buffer(raw.tobytes()))
-    found = runs.take(pa.array(np.arange(1, 2 * len(starts), 2)))
-    last = np.cumsum(sizes + 1)
-    return found, np.diff(np.searchsorted(ends, last), prepend=0)
+INSIDE = ((LOWER >= 0x30) & (LOWER <= 0x39)) | ((LOWER >= 0x61) & (LOWER <= 0x7A)) | (LOWER >= 0x80)
 
 
 def _joined(words: pa.Array, counts: np.ndarray, n: int) -> tuple[pa.Array, np.ndarray]:
@@ -92,7 +75,7 @@ def bucket_counts(df: DataFrame, text_col: str, *, most_words: int, buckets: int
         held, own = np.zeros(buckets, np.int64), Buckets(buckets)
         for batch in batches:
             for at, n in byte_slices(batch.column(0)):
-                words, counts = words_of(batch.column(0).slice(at, n))
+                words, counts, _, _ = cut_words(batch.column(0).slice(at, n), INSIDE)
                 for k in range(1, most_words + 1):
                     grams, _ = _joined(words, counts, k)
                     held += np.bincount(own.of(grams), minlength=buckets)
@@ -122,7 +105,7 @@ def weights(df: DataFrame, gain: np.ndarray, *, id_col: str, text_col: str, most
         own = Buckets(len(gain))
         for batch in batches:
             for at, n in byte_slices(batch.column(1)):
-                words, counts = words_of(batch.column(1).slice(at, n))
+                words, counts, _, _ = cut_words(batch.column(1).slice(at, n), INSIDE)
                 features, total = np.zeros(n, np.int64), np.zeros(n, np.int64)
                 for k in range(1, most_words + 1):
                     grams, each = _joined(words, counts, k)
