@@ -2,11 +2,13 @@
 
 import hashlib
 import math
+import random
 import re
 import struct
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -14,7 +16,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from terraweave.llm import packing, queries, resampling
+from terraweave.llm import collocations, packing, queries, resampling
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -167,3 +169,95 @@ def test_fill_is_closest(target, counts):
     total, need = packing.fill(target, counts)
     assert total == max(s for s in sums if s <= target) == sum(n * k for n, k in need.items())
     assert all(k <= counts[n] for n, k in need.items())
+
+
+def brute_collocations(rows, least, most=5, covered=100, top=2000):
+    """The contract, phrase by phrase, over (lang, text)."""
+    f, n = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered(text)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in range(1, most + 1):
+                for i in range(len(w) - k + 1):
+                    f[lang, tuple(w[i : i + k])] += 1
+    found = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    gone = set()
+    for (lang, longer), b in found.items():
+        for k in range(2, len(longer)):
+            for i in range(len(longer) - k + 1):
+                short = (lang, longer[i : i + k])
+                if short in found and 100 * b >= covered * found[short]:
+                    gone.add(short)
+    scored = {}
+    for (lang, p), a in found.items():
+        if (lang, p) not in gone:
+            cuts = []
+            for k in range(1, len(p)):
+                left, right = f[lang, p[:k]], f[lang, p[k:]]
+                cuts.append((1000 * a * n[lang] // (left * right), k, left, right))
+            s, _, left, right = min(cuts)
+            scored.setdefault(lang, []).append((-s, -a, " ".join(p).encode(), left, right))
+    return {
+        (lang, k + 1, p.decode(), -a, left, right, n[lang], -s)
+        for lang, own in scored.items()
+        for k, (s, a, p, left, right) in enumerate(sorted(own)[:top])
+    }
+
+
+def told(df):
+    return {(r.lang, r["rank"], r.phrase, r.a, r.l, r.r, r.n, r.score) for r in df.collect()}
+
+
+@pytest.mark.parametrize("options", [{}, {"least": 3, "covered": 60, "top": 50}, {"least": 2, "most": 3}, {"least": 4, "most": 2}])
+def test_collocations_of_documents(spark, data, options):
+    df = spark.read.parquet(f"{data}/documents.parquet")
+    least = options.get("least", 8)
+    got = collocations.collocations(
+        df, least_count=least, most_words=options.get("most", 5), covered=options.get("covered", 100), top=options.get("top", 2000), shard_words=9000
+    )
+    rows = [(r.lang, r.text) for r in df.select("lang", "text").collect()]
+    want = brute_collocations(rows, **({"least": least} | options))
+    assert want and told(got) == want
+
+
+def test_collocations_odd_rows(spark):
+    rng = random.Random(4)
+    words = ["the", "The", "of", "ÉT", "ét", "漢字", "\x00", "a-b", "x"]
+    rows = [(None, "a b, a b. a b! A\tB"), ("und", "a b"), ("en", None), ("en", ""), ("en", " . ,;\r\n"), ("x", "b a " * 3000)]
+    rows += [(rng.choice(["en", "de"]), "".join(rng.choice(words) + rng.choice([" ", "  ", "\t", ". ", "\n", " "]) for _ in range(rng.randrange(90)))) for _ in range(60)]
+    df = spark.createDataFrame([(a, b, 1, 2) for a, b in rows], "lang string, text string, shard int, n int").repartition(3)
+    for shard_words in (50, 1 << 20):
+        assert told(collocations.collocations(df, least_count=3, shard_words=shard_words)) == brute_collocations(rows, 3)
+    assert collocations.collocations(df.limit(0)).collect() == []
+    assert collocations.collocations(df.filter("lang = 'en'"), least_count=10**6).collect() == []
+
+
+@given(st.lists(st.integers(0, 700), max_size=300), st.lists(st.integers(0, 700), max_size=300))
+@settings(max_examples=60, deadline=None)
+def test_bitmaps(a, b):
+    span = 800
+    one, two = (collocations.Bitmap.of(span, np.unique(np.array(x, np.int64))) for x in (a, b))
+    assert one.count == len(set(a)) and one.positions().tolist() == sorted(set(a))
+    assert (one & two).positions().tolist() == sorted(set(a) & set(b)) and (one & two).count == len(set(a) & set(b))
+    assert one.shifted().positions().tolist() == sorted(x + 1 for x in set(a))
+
+
+def test_dense_and_sparse_phrases_agree(monkeypatch):
+    rng = np.random.default_rng(5)
+    seq = np.append(rng.choice(6, 3000, p=[0.5, 0.2, 0.1, 0.1, 0.05, 0.05]) - 1, -1).astype(np.int32)
+    there = (seq[:-1] >= 0) & (seq[1:] >= 0)
+    pairs = sorted({(a, b) for a, b in zip(seq[:-1][there].tolist(), seq[1:][there].tolist()) if (a, b) != (1, 2)})
+    first, second = np.array(pairs).T
+    found = []
+    for sparse in (1, 32, 10**6):
+        monkeypatch.setattr(collocations, "SPARSE", sparse)
+        found.append(dict(collocations.Phrases(seq, 5, first, second).all(4)))
+    want = Counter()
+    for k in (3, 4):
+        for i in range(len(seq) - k + 1):
+            run = tuple(seq[i : i + k].tolist())
+            if all(p in set(pairs) for p in zip(run, run[1:])):
+                want[run] += 1
+    assert found[0] == found[1] == found[2] == dict(want)
