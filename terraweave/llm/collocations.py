@@ -1,20 +1,24 @@
 """Collocations: frequent phrases whose words meet more often than chance, by position bitmaps.
 
-The corpus is cut into shards of some million words. A shard keeps one bitmap of
-positions for each word; a phrase's bitmap is that of its beginning, shifted by one, AND
-that of its next word, and its popcount is how often the shard has the phrase. Breaks
-between pieces are positions of no word, so nothing reaches across them. Bitmaps are
-compressed: few positions are a sorted array, many are packed bits.
-
-Counts are sums of popcounts over all shards. Three passes keep what is counted small:
-words; pairs of frequent words; and, depth-first from pairs that are frequent in the
-whole corpus, all longer phrases. What a shard must know of the corpus (the ids of its
-frequent words, its frequent pairs) comes to it by joins on the shard, as large as the
-shard at most; nothing that grows with the corpus is broadcast or collected.
+The corpus is cut into shards of some million words. A shard knows which phrase begins at
+which position, that is, one bitmap of positions for each phrase; a longer phrase's
+bitmap is that of its beginning AND that of its rest shifted by one, and its popcount is
+how often the shard has it. Breaks between pieces are positions of no word, so nothing
+reaches across them. Bitmaps are compressed: few positions are a sorted array, many are
+packed bits.
+
+Counts are sums of popcounts over all shards. Words, pairs and triples are counted over
+the whole corpus before a shard goes deeper, each level only where both shorter phrases
+are frequent; from frequent triples on, a shard goes depth-first. What is counted travels
+as packed keys, dealt to buckets by a hash of the key, and each shard gets back, for its
+keys in their order, a bitmap of those that are frequent, with their numbers. There are as
+many buckets as the corpus has millions of words, so a bucket's keys fit a task; nothing
+that grows with the corpus is broadcast or collected.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,7 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .pieces import byte_slices, map_in_arrow
+from .pieces import byte_slices, map_in_arrow, release
+from .shingles import mixed
 from .tables import remove_table, spread, stored
 from .wordcut import LOWER, cut_words
 
@@ -32,8 +37,11 @@ MOST_WORDS = 5
 TOP = 2000
 #: A candidate goes if a longer one has this share of its count, in a hundred, or more.
 COVERED = 100
-#: Words of a shard.
+#: Words of a shard, and keys of a bucket at most.
 SHARD_WORDS = 1 << 20
+BUCKET_KEYS = 1 << 22
+#: Words of the phrases that are counted in the whole corpus before shards go depth-first.
+LEVELS = 3
 #: A bitmap is packed if one position of so many is set, or more.
 SPARSE = 32
 NO_LANGUAGE = "und"
@@ -43,11 +51,33 @@ _BREAK = np.isin(LOWER, np.frombuffer(b".,;:!?\n\x0b\x0c\r", np.uint8))
 _INSIDE = ~(_BREAK | np.isin(LOWER, np.frombuffer(b" \t", np.uint8)))
 
 
+def pack(values: np.ndarray) -> bytes:
+    """Whole numbers from 0 up, byte by byte of their places, so that they compress well."""
+    width = max(1, -(-int(values.max(initial=0)).bit_length() // 8))
+    planes = np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8)[:, :width].T
+    return bytes([width]) + planes.tobytes()
+
+
+def unpack(raw: pa.Scalar | bytes) -> np.ndarray:
+    held = np.frombuffer(raw if isinstance(raw, bytes) else raw.as_buffer(), np.uint8)
+    planes = held[1:].reshape(int(held[0]), -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view("<i8").reshape(-1)
+
+
+def strings(lengths: np.ndarray, raw: pa.Buffer) -> pa.Array:
+    edges = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+    return pa.StringArray.from_buffers(len(lengths), pa.py_buffer(edges), raw)
+
+
 class Shard:
-    """Words of texts as codes in their order, -1 between pieces; a word is known by its language."""
+    """Words of texts as codes in their order, -1 between pieces; a word's key is its language,
+    a blank and the word."""
 
     def __init__(self) -> None:
-        self.code: dict[tuple[str, str], int] = {}
+        self.code: dict[str, int] = {}
+        self.spoken: dict[str, int] = {}
         self.runs: list[np.ndarray] = []
         self.words = 0
 
@@ -58,10 +88,12 @@ class Shard:
         coded, spoken = words.dictionary_encode(), langs.dictionary_encode()
         distinct, names = coded.dictionary.to_pylist(), spoken.dictionary.to_pylist()
         lang = np.repeat(spoken.indices.to_numpy(zero_copy_only=False).astype(np.int64), counts)
+        for k, n in enumerate(np.bincount(lang, minlength=len(names)).tolist()):
+            self.spoken[names[k]] = self.spoken.get(names[k], 0) + n
         key = lang * len(distinct) + coded.indices.to_numpy(zero_copy_only=False)
         keys, place = np.unique(key, return_inverse=True)
         code = self.code
-        own = [code.setdefault((names[k // len(distinct)], distinct[k % len(distinct)]), len(code)) for k in keys.tolist()]
+        own = [code.setdefault(f"{names[k // len(distinct)]} {distinct[k % len(distinct)]}", len(code)) for k in keys.tolist()]
         piece = np.cumsum(_BREAK[raw])[starts]
         at = np.arange(len(starts)) + np.cumsum(np.diff(piece, prepend=-1) > 0)
         run = np.full(int(at[-1]) + 1, -1, np.int32)
@@ -71,19 +103,21 @@ class Shard:
 
     def row(self, number: int) -> pa.RecordBatch:
         codes = np.concatenate([*self.runs, np.full(1, -1, np.int32)])
-        counts = np.bincount(codes[codes >= 0], minlength=len(self.code))
-        columns = [
-            pa.array([number]),
-            pa.array([[k[0] for k in self.code]], pa.list_(pa.string())),
-            pa.array([[k[1] for k in self.code]], pa.list_(pa.string())),
-            pa.array([counts.tolist()], pa.list_(pa.int64())),
-            pa.array([codes.tobytes()], pa.binary()),
-        ]
-        return pa.RecordBatch.from_arrays(columns, names=["shard", "langs", "words", "counts", "codes"])
+        keys = [k.encode() for k in self.code]
+        columns = {
+            "shard": pa.array([number]),
+            "langs": pa.array([list(self.spoken)], pa.list_(pa.string())),
+            "lang_words": pa.array([list(self.spoken.values())], pa.list_(pa.int64())),
+            "lengths": pa.array([pack(np.fromiter(map(len, keys), np.int64, len(keys)))]),
+            "keys": pa.array([b"".join(keys)], pa.binary()),
+            "counts": pa.array([pack(np.bincount(codes[codes >= 0], minlength=len(keys)))]),
+            "codes": pa.array([pack(codes.astype(np.int64) + 1)]),
+        }
+        return pa.RecordBatch.from_pydict(columns)
 
 
 def shards_of(df: DataFrame, *, lang_col: str, text_col: str, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """(shard, langs, words, counts, codes): the words of a shard, how often it has each, and their order."""
+    """The words of each shard, how often it has each, and their order; words of each language."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held = TaskContext.get().partitionId() << 32, Shard()
@@ -98,57 +132,206 @@ def shards_of(df: DataFrame, *, lang_col: str, text_col: str, shard_words: int =
 
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit(NO_LANGUAGE))
     texts = spread(df.select(lang.alias("lang"), F.col(text_col).cast("string").alias("text")))
-    return map_in_arrow(texts, cut, "shard long, langs array<string>, words array<string>, counts array<long>, codes binary")
+    schema = "shard long, langs array<string>, lang_words array<long>, lengths binary, keys binary, counts binary, codes binary"
+    return map_in_arrow(texts, cut, schema)
 
 
-def _recoded(shards: DataFrame, known: DataFrame) -> DataFrame:
-    """(shard, ids, codes): codes of frequent words only, `ids` the words' ids in ascending order.
+class Keys:
+    """A shard's keys in the order in which they are dealt: by bucket, then as given."""
 
-    Other words are breaks; runs of breaks are one, and words between two breaks, which are
-    in no phrase, are breaks too.
-    """
+    def __init__(self, bucket: np.ndarray, buckets: int):
+        self.order = np.argsort(bucket, kind="stable")
+        self.edges = np.searchsorted(bucket[self.order], np.arange(buckets + 1))
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray]]:
+        for k in np.flatnonzero(np.diff(self.edges)).tolist():
+            yield k, self.order[self.edges[k] : self.edges[k + 1]]
+
+    def answered(self, buckets: pa.Array, masks: pa.Array, numbers: pa.Array) -> np.ndarray:
+        """The number of each key, in the order given; -1 if it is not frequent."""
+        out = np.full(len(self.order), -1, np.int64)
+        for k, mask, ids in zip(buckets.to_pylist(), masks, numbers, strict=True):
+            own = self.order[self.edges[k] : self.edges[k + 1]]
+            frequent = np.unpackbits(np.frombuffer(mask.as_buffer(), np.uint8), count=len(own)).astype(bool)
+            out[own[frequent]] = unpack(ids)
+        return out
+
+
+def _word_keys(lengths: pa.Scalar, raw: pa.Scalar, buckets: int) -> tuple[pa.Array, Keys]:
+    words = strings(unpack(lengths), raw.as_buffer())
+    bucket = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words.to_pylist()), np.int64, len(words))
+    return words, Keys(bucket, buckets)
+
+
+class Pairs:
+    """Neighbours of a sequence of numbered phrases: each is a phrase that is one word longer."""
+
+    def __init__(self, seq: np.ndarray, ids: np.ndarray, buckets: int):
+        self.both = np.flatnonzero((seq[:-1] >= 0) & (seq[1:] >= 0))
+        key = seq[self.both] * max(1, len(ids)) + seq[self.both + 1]
+        # ids ascend, so the keys do by both ids
+        keys, self.place, self.n = np.unique(key, return_inverse=True, return_counts=True)
+        self.first, self.second = (ids[k] for k in np.divmod(keys, max(1, len(ids))))
+        mixing = mixed(self.first.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + self.second.astype(np.uint64))
+        self.keys = Keys((mixing % np.uint64(buckets)).astype(np.int64), buckets)
+
+
+def _compact(seq: np.ndarray) -> np.ndarray:
+    """Without what has no neighbour and is in no longer phrase; runs of breaks are one."""
+    there = np.concatenate([[False], seq >= 0, [False]])
+    joined = there[1:-1] & (there[:-2] | there[2:])
+    seq = np.where(joined, seq, -1)
+    return np.append(seq[joined | np.concatenate([[True], joined[:-1]])], -1)
+
+
+_SEQUENCE = "shard long, ids binary, seq binary"
+
+
+def _sequence(shard: pa.Array, number: np.ndarray, seq: np.ndarray) -> pa.RecordBatch:
+    """One shard's row: its phrases' numbers, ascending, and which is where (0: none)."""
+    ids, place = np.unique(number, return_inverse=True) if len(number) else (number, number)
+    new = np.where(seq >= 0, place[seq] if len(place) else -1, -1)
+    new = _compact(new)
+    columns = [shard, pa.array([pack(np.diff(ids, prepend=0))]), pa.array([pack(new + 1)])]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "ids", "seq"])
+
+
+def _read(ids: pa.Scalar, seq: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    return np.cumsum(unpack(ids)), unpack(seq) - 1
 
-    def recode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _with_answers(df: DataFrame, counted: DataFrame) -> DataFrame:
+    told = counted.filter("shard is not null").groupBy("shard").agg(F.collect_list(F.struct("bucket", "mask", "ids")).alias("told"))
+    return df.join(told.select("shard", F.col("told.bucket").alias("buckets"), F.col("told.mask").alias("masks"), F.col("told.ids").alias("numbers")), "shard")
+
+
+def _words_sent(shards: DataFrame, buckets: int) -> DataFrame:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                words, keys = _word_keys(batch.column(1)[row], batch.column(2)[row], buckets)
+                counts = unpack(batch.column(3)[row])
+                for bucket, own in keys.parts():
+                    held = [w.encode() for w in words.take(pa.array(own)).to_pylist()]
+                    lengths = pack(np.fromiter(map(len, held), np.int64, len(held)))
+                    yield _sent(batch.column(0).slice(row, 1), bucket, lengths, b"".join(held), pack(counts[own]))
+
+    return map_in_arrow(shards.select("shard", "lengths", "keys", "counts"), send, _SENT)
+
+
+_SENT = "shard long, bucket int, first binary, second binary, n binary"
+
+
+def _sent(shard: pa.Array, bucket: int, first: bytes, second: bytes, n: bytes) -> pa.RecordBatch:
+    columns = [shard, pa.array([bucket], pa.int32()), *(pa.array([x], pa.binary()) for x in (first, second, n))]
+    return pa.RecordBatch.from_arrays(columns, names=["shard", "bucket", "first", "second", "n"])
+
+
+def _pairs_sent(sequences: DataFrame, buckets: int) -> DataFrame:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                old = np.frombuffer(batch.column(1)[row].as_buffer(), np.int32)
-                code, word = (batch.column(k)[row].values.to_numpy() for k in (2, 3))
-                order = np.argsort(word)
-                new = np.full(max(int(old.max()), 0) + 2, -1, np.int32)  # the last entry is for breaks
-                new[code[order]] = np.arange(len(order))
-                seq = new[old]
-                there = np.concatenate([[False], seq >= 0, [False]])
-                joined = there[1:-1] & (there[:-2] | there[2:])
-                seq = np.where(joined, seq, -1)
-                seq = seq[joined | np.concatenate([[True], joined[:-1]])]
-                columns = [
-                    batch.column(0).slice(row, 1),
-                    pa.array([word[order]], pa.list_(pa.int64())),
-                    pa.array([seq.astype(np.int32).tobytes()], pa.binary()),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=["shard", "ids", "codes"])
-
-    own = known.groupBy("shard").agg(F.collect_list(F.struct("code", "id")).alias("known"))
-    beside = shards.select("shard", "codes").join(own, "shard")
-    beside = beside.select("shard", "codes", F.col("known.code").alias("code"), F.col("known.id").alias("id"))
-    return map_in_arrow(beside, recode, "shard long, ids array<long>, codes binary")
-
-
-def _pairs(recoded: DataFrame) -> DataFrame:
-    """(shard, first, second, n): words that follow each other: all bitmaps shifted by one and
-    met with all others at once, as positions grouped by both words."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                ids, seq = _read(batch.column(1)[row], batch.column(2)[row])
+                pairs = Pairs(seq, ids, buckets)
+                for bucket, own in pairs.keys.parts():
+                    first, second = np.diff(pairs.first[own], prepend=0), pairs.second[own]
+                    yield _sent(batch.column(0).slice(row, 1), bucket, pack(first), pack(second), pack(pairs.n[own]))
+
+    return map_in_arrow(sequences, send, _SENT)
+
+
+#: Answers to shards (shard, bucket, mask, ids), and frequent keys (id, word or first and second, n).
+_COUNTED = "shard long, bucket int, mask binary, ids binary, id long, word string, first long, second long, n long"
+
+
+def _counted(sent: DataFrame, buckets: int, least: int, of_words: bool) -> DataFrame:
+    """The keys of each bucket, summed over shards. A frequent key's number is its rank times
+    the number of buckets, plus its bucket."""
+
+    def count(table: pa.Table) -> pa.Table:
+        try:
+            return told(table.combine_chunks())
+        finally:
+            release()
+
+    def told(table: pa.Table) -> pa.Table:
+        bucket = table.column("bucket")[0].as_py()
+        n = [unpack(x) for x in table.column("n")]
+        sizes = [len(x) for x in n]
+        if of_words:
+            every = pa.concat_arrays([strings(unpack(a), b.as_buffer()) for a, b in zip(table.column("first"), table.column("second"), strict=True)])
+            coded = every.dictionary_encode()
+            place, words = coded.indices.to_numpy(zero_copy_only=False), coded.dictionary
+            distinct = len(words)
+        else:
+            first = np.concatenate([np.cumsum(unpack(x)) for x in table.column("first")])
+            second = np.concatenate([unpack(x) for x in table.column("second")])
+            order = np.lexsort((second, first))
+            new = np.concatenate([[True], (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)])
+            place = np.empty(len(order), np.int64)
+            place[order] = np.cumsum(new) - 1
+            firsts, seconds = first[order[new]], second[order[new]]
+            distinct = len(firsts)
+        total = np.zeros(distinct, np.int64)
+        np.add.at(total, place, np.concatenate(n))
+        frequent = total >= least
+        number = np.where(frequent, (np.cumsum(frequent) - 1) * buckets + bucket, -1)
+        masks, ids = [], []
+        for part in np.split(number[place], np.cumsum(sizes)[:-1]):
+            masks.append(np.packbits(part >= 0).tobytes())
+            ids.append(pack(part[part >= 0]))
+        there = np.flatnonzero(frequent)
+        size, own = len(sizes), len(there)
+        none = lambda k, kind: pa.nulls(k, kind)
+        answers = [
+            table.column("shard").combine_chunks(), pa.array([bucket] * size, pa.int32()), pa.array(masks, pa.binary()), pa.array(ids, pa.binary()),
+            none(size, pa.int64()), none(size, pa.string()), *(none(size, pa.int64()) for _ in range(3)),
+        ]
+        keys = [words.take(pa.array(there)), *(none(own, pa.int64()) for _ in "ab")] if of_words else [none(own, pa.string()), pa.array(firsts[there]), pa.array(seconds[there])]
+        found = [
+            none(own, pa.int64()), pa.array([bucket] * own, pa.int32()), none(own, pa.binary()), none(own, pa.binary()),
+            pa.array(number[there]), *keys, pa.array(total[there]),
+        ]
+        names = ["shard", "bucket", "mask", "ids", "id", "word", "first", "second", "n"]
+        return pa.concat_tables([pa.Table.from_arrays(answers, names=names), pa.Table.from_arrays(found, names=names)])
+
+    return sent.groupBy("bucket").applyInArrow(count, _COUNTED)
+
+
+def _numbered_words(shards: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
+    """(shard, ids, seq): the numbers of frequent words in the order of the texts."""
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids = batch.column(1)[row].values.to_numpy()
-                seq = np.frombuffer(batch.column(2)[row].as_buffer(), np.int32).astype(np.int64)
-                both = (seq[:-1] >= 0) & (seq[1:] >= 0)
-                keys, n = np.unique(seq[:-1][both] * len(ids) + seq[1:][both], return_counts=True)
-                columns = [np.full(len(keys), batch.column(0)[row].as_py()), ids[keys // len(ids)], ids[keys % len(ids)], n]
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["shard", "first", "second", "n"])
+                _, keys = _word_keys(batch.column(1)[row], batch.column(2)[row], buckets)
+                found = keys.answered(*(batch.column(k)[row].values for k in (4, 5, 6)))
+                yield _renumbered(batch.column(0).slice(row, 1), found, unpack(batch.column(3)[row]) - 1)
+
+    return map_in_arrow(_with_answers(shards.select("shard", "lengths", "keys", "codes"), counted), number, _SEQUENCE)
+
 
-    return map_in_arrow(recoded, count, "shard long, first long, second long, n long")
+def _renumbered(shard: pa.Array, found: np.ndarray, seq: np.ndarray) -> pa.RecordBatch:
+    """A sequence of codes as one of those codes that have a number in `found`."""
+    frequent = found >= 0
+    code = np.append(np.where(frequent, np.cumsum(frequent) - 1, -1), -1)
+    return _sequence(shard, found[frequent], code[seq])
+
+
+def _lengthened(sequences: DataFrame, counted: DataFrame, buckets: int) -> DataFrame:
+    """(shard, ids, seq) of the frequent phrases that are a word longer than those of `sequences`."""
+
+    def lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids, seq = _read(batch.column(1)[row], batch.column(2)[row])
+                pairs = Pairs(seq, ids, buckets)
+                found = pairs.keys.answered(*(batch.column(k)[row].values for k in (3, 4, 5)))
+                longer = np.full(len(seq), -1, np.int64)
+                longer[pairs.both] = pairs.place
+                yield _renumbered(batch.column(0).slice(row, 1), found, longer)
+
+    return map_in_arrow(_with_answers(sequences, counted), lengthen, _SEQUENCE)
 
 
 class Bitmap:
@@ -195,33 +378,31 @@ class Bitmap:
 
 
 class Phrases:
-    """Phrases of a shard, depth-first: from frequent pairs on, as long as each next pair is frequent."""
+    """Longer phrases of a shard, depth-first, as chains of frequent ones that each begin a word
+    after the one before. `seq` tells which of `n` phrases begins where, -1: none."""
 
-    def __init__(self, seq: np.ndarray, n_words: int, first: np.ndarray, second: np.ndarray):
+    def __init__(self, seq: np.ndarray, n: int):
         self.seq, self.span = seq, len(seq)
-        wide = seq.astype(np.int64)
-        frequent = np.sort(first.astype(np.int64) * n_words + second)
-        key = wide[:-1] * n_words + wide[1:]
-        place = np.minimum(np.searchsorted(frequent, key), max(len(frequent) - 1, 0))
-        linked = (wide[:-1] >= 0) & (wide[1:] >= 0) & (frequent[place] == key if len(frequent) else False)
-        #: Positions from which a frequent pair begins.
-        self.linked = Bitmap.of(self.span, np.flatnonzero(linked))
-        order = np.argsort(seq, kind="stable")
-        self.order, self.edges = order, np.searchsorted(seq[order], np.arange(n_words + 1))
-        self.after, self.after_edges = frequent % n_words, np.searchsorted(frequent, np.arange(n_words + 1) * n_words)
+        there = seq >= 0
+        #: Positions from which a chain goes on.
+        self.linked = Bitmap.of(self.span, np.flatnonzero(there[:-1] & there[1:]))
+        self.order = np.argsort(seq, kind="stable")
+        self.edges = np.searchsorted(seq[self.order], np.arange(n + 1))
+        pairs = np.unique(seq[:-1][there[:-1] & there[1:]] * max(1, n) + seq[1:][there[:-1] & there[1:]])
+        self.after, self.after_edges = pairs % max(1, n), np.searchsorted(pairs, np.arange(n + 1) * max(1, n))
         self.maps: dict[int, Bitmap] = {}
 
-    def word(self, code: int) -> Bitmap:
+    def of(self, code: int) -> Bitmap:
         if code not in self.maps:
             self.maps[code] = Bitmap.of(self.span, self.order[self.edges[code] : self.edges[code + 1]])
         return self.maps[code]
 
     def extended(self, last: int, held: Bitmap) -> Iterator[tuple[int, Bitmap]]:
-        """Each word that follows, with the positions where it does.
+        """Each phrase that follows, with the positions where it does.
 
-        `held` are the phrase's last words' positions. A dense bitmap is shifted and met with
-        that of every word that forms a frequent pair; a sparse one with all words at
-        once, by grouping the words at its shifted positions.
+        `held` are the positions of the chain's last phrase. A dense bitmap is shifted and met
+        with that of every phrase that ever follows; a sparse one with all at once, by
+        grouping the phrases at its shifted positions.
         """
         held = held & self.linked
         if not held.count:
@@ -229,42 +410,39 @@ class Phrases:
         moved = held.shifted()
         if moved.bits is not None:
             for code in self.after[self.after_edges[last] : self.after_edges[last + 1]].tolist():
-                met = moved & self.word(code)
+                met = moved & self.of(code)
                 if met.count:
                     yield code, met
             return
-        words = self.seq[moved.at]
-        order = np.argsort(words, kind="stable")
-        words, at = words[order], moved.at[order]
-        cuts = np.flatnonzero(np.diff(words)) + 1
-        for code, own in zip(words[np.concatenate([[0], cuts])].tolist(), np.split(at, cuts), strict=True):
+        found = self.seq[moved.at]
+        order = np.argsort(found, kind="stable")
+        found, at = found[order], moved.at[order]
+        cuts = np.flatnonzero(np.diff(found)) + 1
+        for code, own in zip(found[np.concatenate([[0], cuts])].tolist(), np.split(at, cuts), strict=True):
             yield code, Bitmap(self.span, at=own)
 
-    def longer(self, phrase: tuple[int, ...], held: Bitmap, most: int) -> Iterator[tuple[tuple[int, ...], int]]:
-        """(codes, count) of the phrases of three to `most` words that begin with `phrase`."""
-        for code, met in self.extended(phrase[-1], held):
-            more = (*phrase, code)
-            if len(more) > 2:
-                yield more, met.count
+    def longer(self, chain: tuple[int, ...], held: Bitmap, most: int) -> Iterator[tuple[tuple[int, ...], int]]:
+        """(codes, count) of the chains of up to `most` phrases that begin with `chain`."""
+        for code, met in self.extended(chain[-1], held):
+            more = (*chain, code)
+            yield more, met.count
             if len(more) < most:
                 yield from self.longer(more, met, most)
 
     def all(self, most: int) -> Iterator[tuple[tuple[int, ...], int]]:
         for code in np.flatnonzero(np.diff(self.after_edges)).tolist():
-            yield from self.longer((code,), self.word(code), most)
+            yield from self.longer((code,), self.of(code), most)
 
 
-def _longer(recoded: DataFrame, local: DataFrame, most_words: int) -> DataFrame:
-    """(ids, n): phrases of three words or more of each shard, of which `local` has the frequent pairs."""
+def _chains(sequences: DataFrame, most: int) -> DataFrame:
+    """(ids, n): chains of two to `most` phrases of each shard."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                ids, first, second = (batch.column(k)[row].values.to_numpy() for k in (0, 2, 3))
-                seq = np.frombuffer(batch.column(1)[row].as_buffer(), np.int32)
-                own = Phrases(seq, len(ids), np.searchsorted(ids, first), np.searchsorted(ids, second))
+                ids, seq = _read(batch.column(1)[row], batch.column(2)[row])
                 found: list[tuple[tuple[int, ...], int]] = []
-                for told in own.all(most_words):
+                for told in Phrases(seq, len(ids)).all(most):
                     found.append(told)
                     if len(found) >= 50_000:
                         yield rows(ids, found)
@@ -277,13 +455,16 @@ def _longer(recoded: DataFrame, local: DataFrame, most_words: int) -> DataFrame:
         lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[flat] if len(flat) else flat))
         return pa.RecordBatch.from_arrays([lists, pa.array([n for _, n in found], pa.int64())], names=["ids", "n"])
 
-    own = local.groupBy("shard").agg(F.collect_list(F.struct("first", "second")).alias("pairs"))
-    beside = recoded.join(own, "shard").select("ids", "codes", "pairs.first", "pairs.second")
-    return map_in_arrow(beside, extend, "ids array<long>, n long")
+    return map_in_arrow(sequences, extend, "ids array<long>, n long")
 
 
-def _sum(df: DataFrame, keys: list[str], least: int) -> DataFrame:
-    return df.groupBy(*keys).agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+def _spelled(chains: DataFrame, known: DataFrame) -> DataFrame:
+    """(ids, n): the words of chains of phrases, of which `known` has (id, ids): all of the
+    first one's, then the last of each further one."""
+    linked = chains.select("ids", "n", F.posexplode("ids").alias("at", "id")).join(known.select("id", F.col("ids").alias("words")), "id")
+    own = F.when(F.col("at") == 0, F.col("words")).otherwise(F.array(F.element_at("words", -1)))
+    told = linked.groupBy("ids", "n").agg(F.sort_array(F.collect_list(F.struct("at", own.alias("words")))).alias("parts"))
+    return told.select(F.flatten("parts.words").alias("ids"), "n")
 
 
 def collocations(
@@ -296,6 +477,7 @@ def collocations(
     covered: int = COVERED,
     top: int = TOP,
     shard_words: int = SHARD_WORDS,
+    bucket_keys: int = BUCKET_KEYS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the `top` phrases of each language.
 
@@ -307,26 +489,47 @@ def collocations(
     are not read. The result is a stored table; all others are removed.
     """
     shards = stored(shards_of(df, lang_col=lang_col, text_col=text_col, shard_words=shard_words), "shards")
-    told = shards.select("shard", F.posexplode(F.arrays_zip("langs", "words", "counts")).alias("code", "of"))
-    told = told.select("shard", "code", F.col("of.langs").alias("lang"), F.col("of.words").alias("word"), F.col("of.counts").alias("n"))
-    sizes = stored(told.groupBy("lang").agg(F.sum("n").alias("n")), "language-words")
-    words = stored(_sum(told, ["lang", "word"], least_count).withColumn("id", F.monotonically_increasing_id()), "frequent-words")
-    known = told.drop("n").join(words.select("lang", "word", "id"), ["lang", "word"])
-    recoded = stored(_recoded(shards, known), "recoded-shards")
-    remove_table(shards)
-    pairs = stored(_pairs(recoded), "pairs")
-    frequent = stored(_sum(pairs, ["first", "second"], least_count), "frequent-pairs")
-    phrases = words.select(F.array("id").alias("ids"), "n").unionByName(frequent.select(F.array("first", "second").alias("ids"), "n"))
-    if most_words > 2:
-        local = pairs.join(frequent.select("first", "second"), ["first", "second"])
-        phrases = phrases.unionByName(_sum(_longer(recoded, local, most_words), ["ids"], least_count))
-    phrases = stored(phrases, "phrases")
+    spoken = shards.select(F.explode(F.arrays_zip("langs", "lang_words")).alias("of"))
+    sizes = stored(spoken.groupBy(F.col("of.langs").alias("lang")).agg(F.sum("of.lang_words").alias("n")), "language-words")
+    # no level has more keys than there are words
+    buckets = -(-(sizes.agg(F.sum("n")).first()[0] or 1) // bucket_keys)
+    counted = stored(_counted(_words_sent(shards, buckets), buckets, least_count, of_words=True), "words-counted")
+    split = F.length("word") - F.locate(" ", F.reverse("word")) + 1
+    words = counted.filter("id is not null").select(
+        "id", F.array("id").alias("ids"), "n",
+        F.substring("word", F.lit(1), split - 1).alias("lang"), F.substring("word", split + 1, F.length("word")).alias("word"),
+    )
+    known, done, phrases = words, [counted], words.select("ids", "n")
+    before, sequences = shards, _numbered_words(shards, counted, buckets)
+    for _ in range(1, min(LEVELS, most_words)):
+        sequences = stored(sequences, "sequences")
+        remove_table(before)
+        before = sequences
+        counted = stored(_counted(_pairs_sent(sequences, buckets), buckets, least_count, of_words=False), "phrases-counted")
+        done.append(counted)
+        frequent = counted.filter("id is not null").select("id", F.array("first", "second").alias("pair"), "n")
+        known = stored(_named(frequent, known), "phrases")
+        done.append(known)
+        phrases = phrases.unionByName(known.select("ids", "n"))
+        sequences = _lengthened(sequences, counted, buckets)
+    if most_words > LEVELS:
+        chains = _chains(sequences, most_words - LEVELS + 1).groupBy("ids").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+        phrases = phrases.unionByName(_spelled(chains, known))
+    phrases = stored(phrases, "all-phrases")
     out = stored(_ranked(phrases, words, sizes, covered=covered, top=top), "collocations")
-    for done in (sizes, words, recoded, pairs, frequent, phrases):
-        remove_table(done)
+    for old in (*done, before, sizes, phrases):
+        remove_table(old)
     return out
 
 
+def _named(frequent: DataFrame, known: DataFrame) -> DataFrame:
+    """(id, ids, n): the words of pairs of phrases that `known` has."""
+    first, second = (known.select(F.col("id").alias(f"id{k}"), F.col("ids").alias(f"ids{k}")) for k in "12")
+    pairs = frequent.select("id", "n", F.col("pair")[0].alias("id1"), F.col("pair")[1].alias("id2"))
+    joined = pairs.join(first, "id1").join(second, "id2")
+    return joined.select("id", F.concat("ids1", F.array(F.element_at("ids2", -1))).alias("ids"), "n")
+
+
 def _ranked(phrases: DataFrame, words: DataFrame, sizes: DataFrame, *, covered: int, top: int) -> DataFrame:
     size = F.size("ids")
     # what is one word longer is enough: anything longer still is no more frequent than that
