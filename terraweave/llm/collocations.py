@@ -434,28 +434,54 @@ class Phrases:
             yield from self.longer((code,), self.of(code), most)
 
 
-def _chains(sequences: DataFrame, most: int) -> DataFrame:
-    """(ids, n): chains of two to `most` phrases of each shard."""
+def _chains(sequences: DataFrame, most: int, buckets: int, least: int) -> DataFrame:
+    """(ids, n): chains of two to `most` phrases that are frequent. Those of a shard travel by
+    length and bucket, packed column by column."""
 
     def extend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 ids, seq = _read(batch.column(1)[row], batch.column(2)[row])
-                found: list[tuple[tuple[int, ...], int]] = []
-                for told in Phrases(seq, len(ids)).all(most):
-                    found.append(told)
-                    if len(found) >= 50_000:
-                        yield rows(ids, found)
-                        found = []
-                yield rows(ids, found)
+                codes: list[list[int]] = [[] for _ in range(most + 1)]
+                counts: list[list[int]] = [[] for _ in range(most + 1)]
+                for chain, n in Phrases(seq, len(ids)).all(most):
+                    codes[len(chain)].extend(chain)
+                    counts[len(chain)].append(n)
+                for length in range(2, most + 1):
+                    chains, n = ids[np.array(codes[length], np.int64)].reshape(-1, length), np.array(counts[length], np.int64)
+                    hashes = np.zeros(len(n), np.uint64)
+                    for k in range(length):
+                        hashes = mixed(hashes * np.uint64(0x9E3779B97F4A7C15) + chains[:, k].astype(np.uint64))
+                    for bucket, own in Keys((hashes % np.uint64(buckets)).astype(np.int64), buckets).parts():
+                        held = pa.array([[pack(chains[own, k]) for k in range(length)]], pa.list_(pa.binary()))
+                        columns = [pa.array([bucket], pa.int32()), held, pa.array([pack(n[own])])]
+                        yield pa.RecordBatch.from_arrays(columns, names=["bucket", "chains", "n"])
 
-    def rows(ids: np.ndarray, found: list[tuple[tuple[int, ...], int]]) -> pa.RecordBatch:
-        flat = np.fromiter((c for codes, _ in found for c in codes), np.int64)
-        ends = np.cumsum([0, *(len(codes) for codes, _ in found)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids[flat] if len(flat) else flat))
-        return pa.RecordBatch.from_arrays([lists, pa.array([n for _, n in found], pa.int64())], names=["ids", "n"])
+    def count(table: pa.Table) -> pa.Table:
+        try:
+            return told(table.combine_chunks())
+        finally:
+            release()
 
-    return map_in_arrow(sequences, extend, "ids array<long>, n long")
+    def told(table: pa.Table) -> pa.Table:
+        by_length: dict[int, list[tuple[list[np.ndarray], np.ndarray]]] = {}
+        for held, n in zip(table.column("chains"), table.column("n"), strict=True):
+            by_length.setdefault(len(held.values), []).append(([unpack(x) for x in held.values], unpack(n)))
+        found: list[pa.Table] = []
+        for length, parts in by_length.items():
+            columns = [np.concatenate([p[0][k] for p in parts]) for k in range(length)]
+            order = np.lexsort(columns[::-1])
+            columns = [c[order] for c in columns]
+            new = np.concatenate([[True], np.logical_or.reduce([np.diff(c) != 0 for c in columns])])
+            total = np.add.reduceat(np.concatenate([p[1] for p in parts])[order], np.flatnonzero(new))
+            flat = np.stack([c[new][total >= least] for c in columns], axis=1)
+            ends = np.arange(len(flat) + 1, dtype=np.int32) * length
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.reshape(-1)))
+            found.append(pa.table({"ids": lists, "n": pa.array(total[total >= least])}))
+        return pa.concat_tables(found)
+
+    sent = map_in_arrow(sequences, extend, "bucket int, chains array<binary>, n binary")
+    return sent.groupBy("bucket").applyInArrow(count, "ids array<long>, n long")
 
 
 def _spelled(chains: DataFrame, known: DataFrame) -> DataFrame:
@@ -513,7 +539,7 @@ def collocations(
         phrases = phrases.unionByName(known.select("ids", "n"))
         sequences = _lengthened(sequences, counted, buckets)
     if most_words > LEVELS:
-        chains = _chains(sequences, most_words - LEVELS + 1).groupBy("ids").agg(F.sum("n").alias("n")).filter(F.col("n") >= least_count)
+        chains = _chains(sequences, most_words - LEVELS + 1, buckets, least_count)
         phrases = phrases.unionByName(_spelled(chains, known))
     phrases = stored(phrases, "all-phrases")
     out = stored(_ranked(phrases, words, sizes, covered=covered, top=top), "collocations")
