@@ -121,9 +121,10 @@ class Dump:
         shapes = self.geometries()
         if shapes is None:
             return None
-        found = stored(spatial.relations(shapes), "relations")
-        if not self.c.no_relation_geometric_relations:
-            found = found.unionByName(spatial.of_collections(found, self.members()))
+        if self.c.no_relation_geometric_relations:
+            found = spatial.relations(shapes)
+        else:
+            found = spatial.with_collections(shapes, self.members())
         return spatial.triples(found, self.c.output_format)
 
     def triples(self) -> DataFrame:

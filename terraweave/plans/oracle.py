@@ -11,6 +11,7 @@ from ..functions.geometry import MERCATOR_EDGE
 from ..functions.text import name
 from ..sinks.triples import VERSION
 from ..sources.tables import FIRST_SECOND, REGION_BASE, SUPPLIER_BASE
+from . import lattice
 from .queries import CONFIG, FMT, INPUTS, LINE_BASE, OPTIONS
 
 DAY = "strftime(to_timestamp({s}) AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S')"
@@ -455,6 +456,8 @@ _itself = " UNION ALL ".join(f"SELECT m, '{n}', m FROM {_nation_members}" for n
 ORACLE_SQL["spatial_relation_members"] = f"""WITH base AS MATERIALIZED (SELECT a, predicate, b FROM ({BOX_PAIRS}) UNION ALL {_itself}),
  single AS MATERIALIZED ({lifted('SELECT * FROM base', _nation_members)})
  SELECT * FROM single UNION ALL ({lifted('SELECT * FROM single', _nation_members, once=True)})"""
+ORACLE_SQL["spatial_slanted_relations"] = lattice.RELATIONS_SQL
+ORACLE_SQL["spatial_collection_relations"] = lattice.COLLECTIONS_SQL
 _lines = f"""(SELECT obj_id + {LINE_BASE} AS id, CASE WHEN obj_id % 3 = 0 THEN maxy ELSE (miny + maxy) / 2 END AS y,
  minx - CASE WHEN obj_id % 2 = 0 THEN 0.5 ELSE -0.25 END AS x0, maxx + CASE WHEN obj_id % 2 = 0 THEN 0.5 ELSE -0.25 END AS x1 FROM {BOXES})"""
 _line_meets = "y BETWEEN miny AND maxy AND x0 <= maxx AND x1 >= minx"

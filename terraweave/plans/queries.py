@@ -24,6 +24,7 @@ from ..sources import formats
 from ..sources import tables as A
 from ..sources.stored import shared_path
 from ..streaming import events as stream
+from . import lattice
 from .dump import Dump, Entities
 
 FMT = "ttl"
@@ -464,7 +465,22 @@ def spatial_relation_members(spark, d):
     members = A.table(spark, d, "supplier").select(
         F.col("s_nationkey").cast("long").alias("collection"), (F.col("s_suppkey") + A.SUPPLIER_BASE).alias("member")
     )
-    return spatial.of_collections(spatial.relations(shapes), members)
+    found = spatial.with_collections(shapes, members)
+    return found.filter((F.col("a") < A.SUPPLIER_BASE) | (F.col("b") < A.SUPPLIER_BASE))
+
+
+@query
+def spatial_slanted_relations(spark, d):
+    """Slanted, concave and holed surfaces, lines and points: all relations between them."""
+    return spatial.relations(lattice.shapes(A.table(spark, d, "supplier")))
+
+
+@query
+def spatial_collection_relations(spark, d):
+    """Collections of such shapes of all kinds, to single ones and to each other."""
+    suppliers = A.table(spark, d, "supplier")
+    found = spatial.with_collections(lattice.shapes(suppliers), lattice.collections(suppliers))
+    return found.filter((F.col("a") < 0) | (F.col("b") < 0))
 
 
 LINE_BASE = 10_000_000_000

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from terraweave.functions import geometry as G
 from terraweave.functions import kernels as K
-from terraweave.functions import relate as R
+from tests import plain_relate as R
 from terraweave.functions.wkt import shape_of
 from terraweave.operators import areas
 

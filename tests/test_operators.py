@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from terraweave import config as C
 from terraweave import vocabulary as V
 from terraweave.functions import geometry as G
-from terraweave.functions import relate as R
+from tests import plain_relate as R
 from terraweave.operators import graph, joins, spatial, stats
 from terraweave.operators.facts import Facts
 from terraweave.plans.dump import Dump, Entities, main
@@ -168,6 +168,55 @@ def test_grid_join_equals_all_pairs(spark):
     assert got == want
 
 
+def star(rng, x, y, reach, n):
+    """A closed ring around (x, y), concave and slanted, of whole coordinates."""
+    import math
+
+    ring = []
+    for k in range(n):
+        at, far = 2 * math.pi * k / n, reach * rng.uniform(0.35, 1)
+        ring.append((float(x + round(far * math.cos(at))), float(y + round(far * math.sin(at)))))
+    return [*ring, ring[0]]
+
+
+def test_slanted_shapes_equal_all_pairs(spark):
+    """Stars, some with a square hole, some with corners on others' edges, lines of many points."""
+    import random
+
+    rng = random.Random(11)
+    rows, shapes = [], {}
+    for k in range(36):
+        x, y = rng.randint(-60, 60), rng.randint(-40, 40)
+        if k % 4 == 0:
+            line = [(float(x + 7 * j), float(y + rng.randint(-9, 9))) for j in range(rng.randint(2, 6))]
+            lines = [line, [line[-1], (line[-1][0] + 3, line[-1][1] + 8)]] if k % 8 == 0 else [line]
+            rows.append((k, (1, [], lines, [])))
+            shapes[k] = R.Shape(1, lines)
+        else:
+            g = [star(rng, x, y, 40, 9)]
+            if k % 4 == 1:
+                g.append([(x - 4.0, y - 4.0), (x + 4.0, y - 4.0), (x + 4.0, y + 4.0), (x - 4.0, y + 4.0), (x - 4.0, y - 4.0)])
+            rows.append((k, (2, [], [], [g])))
+            shapes[k] = R.Shape(2, [g])
+    # parts of a shape that is there: a piece of its ring as a line, a ring that shares edges, a far part
+    ring = shapes[2].parts[0][0]
+    extra = [(1, [], [ring[:4]], []), (2, [], [], [[[*ring[:4], ring[0]]]]), (2, [], [], [[ring], [star(rng, 150, 70, 9, 5)]]), (0, [ring[1], (150.0, 70.0)], [], [])]
+    for k, (dim, *kinds) in enumerate(extra, 100):
+        rows.append((k, (dim, *kinds)))
+        shapes[k] = R.Shape(dim, kinds[dim])
+    df = spark.createDataFrame(rows, f"id long, shape {spatial.SHAPE}")
+    found = spatial.relations(df)
+    assert "Python" not in found._jdf.queryExecution().toString()
+    got = {(r.a, r.predicate, r.b) for r in found.collect()}
+    want = set()
+    for a, s in shapes.items():
+        for b, t in shapes.items():
+            if a != b:
+                m = R.relate(s, t)
+                want |= {(a, n, b) for n, v in R.predicates(m, s.dimension, t.dimension).items() if v}
+    assert got == want, (sorted(got - want)[:9], sorted(want - got)[:9])
+
+
 EDGES = [(0, 1), (0, 3), (0, 4), (1, 4), (2, 4), (2, 6), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, 6)]
 
 
