@@ -8,6 +8,11 @@ by word on the hit's alignment, and a span with enough equal words is a leak.
 A document is read once and never moved: every word position meets the broadcast
 seeds where it is read, and a hit takes along only the words around it. What is
 shuffled is one number for each hit stretch of a document, the equal words in it.
+
+A seed that many items share is one probe: items are grouped by the seed and by what a
+hit's alignment implies, and a hit is taken only where another one of the same alignment
+does not imply it, so a run of equal words is one hit at its first word, not one for each
+of its words and masks.
 """
 
 from __future__ import annotations
@@ -18,20 +23,24 @@ from pyspark.sql import functions as F
 from .tables import without_ids
 
 #: Masks by the positions they read. Together they meet every SPAN of words with at
-#: most SPAN - LEAST substitutions (tests try all of them).
+#: most SPAN - LEAST substitutions (tests try all of them). The first one reads a run.
 MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 2, 4, 5, 6), (0, 1, 3, 4, 6, 7), (0, 2, 3, 5, 7, 8))
 WEIGHT = 6
-#: A leak is a span of SPAN aligned words of which LEAST at least are equal. Items of
-#: fewer words leak only whole, those under ALONE words only if a document is nothing else.
+#: A leak is a span of SPAN aligned words of which LEAST at least are equal, or a shorter item
+#: of which the same share is (all of up to six words, all but one of 7 to 12). An item under
+#: ALONE words leaks only if a document is nothing else.
 SPAN = 13
 LEAST = 11
 ALONE = 3
-#: Seeds that are broadcast at a time (about 50 bytes each); more are joined in as many
-#: passes over the documents. Words of items that are broadcast; beyond, a shuffle join.
+#: Words that masks of a shorter item read, at least, if it may lose one.
+FEWEST = 5
+#: Seeds that are broadcast (about 60 bytes each); beyond, documents' seeds are shuffled once.
+#: Words of items that are broadcast; beyond, a shuffle join.
 BROADCAST_SEEDS = 2_000_000
 BROADCAST_WORDS = 4_000_000
-#: Words on each side of a hit that a span through it can reach.
-REACH = SPAN - 1
+#: Words before and after a run's first word that a span through the run can reach.
+BEFORE = SPAN - 1
+AFTER = SPAN - 1 + SPAN - WEIGHT
 #: Equal words are bits of a 64-bit number that begins at every STEP-th word of an item.
 STEP = 32
 
@@ -53,23 +62,65 @@ def word_hashes(text: Column) -> Column:
     return F.transform(words(text), lambda w: F.xxhash64(w))
 
 
-def _seeded(df: DataFrame, keys: list[str], lengths: list[int]) -> DataFrame:
-    """(keys, hashes, at, seed): each mask at each position, and whole runs of `lengths`.
+def least_equal(n: int) -> int:
+    """Equal words that make an item of `n` words a leak: its share of LEAST of SPAN, rounded up."""
+    n = min(n, SPAN)
+    return -(-n * LEAST // SPAN)
+
+
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks of a whole item of `n` < SPAN words: one meets it whichever words it may lose.
+
+    Where one may be lost, the words are cut into blocks, and each mask leaves one out.
+    """
+    if least_equal(n) == n:
+        return [tuple(range(n))]
+    blocks = -(-n // max(1, n - FEWEST))
+    edges = [-(-n * k // blocks) for k in range(blocks + 1)]
+    return [tuple(o for o in range(n) if not edges[k] <= o < edges[k + 1]) for k in range(blocks)]
+
+
+def _pattern(mask: tuple[int, ...]) -> tuple[int, ...]:
+    return tuple(o - mask[0] for o in mask)
+
+
+def _patterns(lengths: list[int]) -> list[tuple[int, ...]]:
+    """All masks in use, from their first word on; those of long items come first."""
+    more = {_pattern(m) for n in lengths for m in short_masks(n)}
+    return [*MASKS, *sorted(more - set(MASKS))]
+
+
+def _seed(kind: int, pattern: tuple[int, ...], at: Column) -> Column:
+    return F.xxhash64(F.lit(kind), *(F.get("hashes", at + o) for o in pattern))
+
+
+def _implied(kind: int, at: Column) -> Column:
+    """What must be equal for another hit to imply this one of a long item: of a run, the word
+    before it; of other masks, the words they ignore, as the run then hits as well."""
+    if kind == 0:
+        return F.get("hashes", F.when(at > 0, at - 1))
+    return F.xxhash64(*(F.get("hashes", at + o) for o in range(MASKS[kind][-1]) if o not in MASKS[kind]))
+
+
+def _probe(kind: int, at: Column, seed: Column, implied: Column) -> Column:
+    return F.struct(seed.alias("seed"), implied.cast("long").alias("implied"), F.lit(kind).alias("kind"), at.cast("int").alias("at"))
+
+
+def _placed(docs: DataFrame, patterns: list[tuple[int, ...]]) -> DataFrame:
+    """(doc_id, text_version, hashes, seed, implied, at): each mask at each word.
 
     A mask that reads beyond the end has no seed. Runs of fewer than ALONE words count
     only where they are the whole text.
     """
-    placed = df.select(*keys, "hashes", F.posexplode("hashes").alias("at", "word"))
+    placed = docs.select("doc_id", "text_version", "hashes", F.posexplode("hashes").alias("at", "word"))
     size, at = F.size("hashes"), F.col("at")
-
-    def seed(kind: int, places: tuple[int, ...]) -> Column:
-        return F.xxhash64(F.lit(kind), "word", *(F.get("hashes", at + o) for o in places[1:]))
-
-    every = [F.when(at + m[-1] < size, seed(k, m)) for k, m in enumerate(MASKS)]
-    for n in lengths:
-        there = (at == 0) & (size == n) if n < ALONE else at + n <= size
-        every.append(F.when(there, seed(len(MASKS) + n, tuple(range(n)))))
-    return placed.select(*keys, "hashes", "at", F.explode(F.array(*every)).alias("seed")).filter("seed is not null")
+    every = []
+    for kind, p in enumerate(patterns):
+        there = (at == 0) & (size == len(p)) if len(p) < ALONE else at + p[-1] < size
+        implied = _implied(kind, at) if kind < len(MASKS) else F.lit(None)
+        every.append(F.when(there, _probe(kind, at, _seed(kind, p, at), implied)))
+    found = placed.select("doc_id", "text_version", "hashes", F.explode(F.array_compact(F.array(*every))).alias("p"))
+    return found.select("doc_id", "text_version", "hashes", "p.seed", "p.implied", "p.at")
 
 
 def leaks(
@@ -84,8 +135,8 @@ def leaks(
     """(doc_id, item_id, matched_words): the benchmark items that documents contain.
 
     `matched_words` is the most equal words in one span. An item of fewer than SPAN
-    words must be there whole; one of fewer than ALONE words must be all the document
-    has. Null and empty texts, texts without words and null ids match nothing; equal
+    words may lose one from seven on (see least_equal); one of fewer than ALONE words must
+    be all the document has. Null and empty texts, texts without words and null ids match nothing; equal
     rows count once; texts of any length are searched whole; empty tables give an
     empty result; further columns are not read.
     """
@@ -100,44 +151,56 @@ def leaks(
     )
     # what decides the plan: how much the benchmark holds, and the lengths of short items
     size = F.size("hashes")
-    total, lengths = known.agg(F.sum(size), F.sort_array(F.collect_set(F.when(size < WEIGHT, size)))).first()
-    passes = max(1, -(-(total or 0) * len(MASKS) // BROADCAST_SEEDS))
-    probes = _probes(known, lengths)
-    placed = _seeded(docs, ["doc_id", "text_version"], lengths)
-    found = None
-    for k in range(passes):
-        own = probes if passes == 1 else probes.filter(F.pmod("seed", F.lit(passes)) == k)
-        hits = _hits(placed, own)
-        found = hits if found is None else found.unionAll(hits)
+    total, lengths = known.agg(F.sum(size), F.sort_array(F.collect_set(F.when(size < SPAN, size)))).first()
+    patterns = _patterns(lengths or [])
+    probes = _probes(known, lengths or [], patterns)
+    few = (total or 0) * len(MASKS) <= BROADCAST_SEEDS
+    found = _hits(docs, _placed(docs, patterns), probes, few)
     wide = (total or 0) > BROADCAST_WORDS
     beside = found.join(known if wide else F.broadcast(known), ["item_id", "version"])
     return _matched(beside)
 
 
-def _probes(known: DataFrame, lengths: list[int]) -> DataFrame:
-    """(item_id, version, item_at, seed): the masks of items, of short ones the whole run."""
+def _probes(known: DataFrame, lengths: list[int], patterns: list[tuple[int, ...]]) -> DataFrame:
+    """(seed, implied, items): the masks of items, those that cannot be told apart in one row."""
     size = F.size("hashes")
-    long = _seeded(known.filter(size >= WEIGHT), ["item_id", "version"], [])
-    out = long.select("item_id", "version", F.col("at").alias("item_at"), "seed")
+    cut = known.filter(size >= SPAN).select("item_id", "version", "hashes", F.posexplode("hashes").alias("at", "word"))
+    at = F.col("at")
+    every = [F.when(at + m[-1] < size, _probe(k, at, _seed(k, m, at), _implied(k, at))) for k, m in enumerate(MASKS)]
+    rows = [cut.select("item_id", "version", F.explode(F.array_compact(F.array(*every))).alias("p"))]
     for n in lengths:
-        whole = F.xxhash64(F.lit(len(MASKS) + n), *(F.get("hashes", F.lit(o)) for o in range(n)))
-        short = known.filter(size == n)
-        out = out.unionAll(short.select("item_id", "version", F.lit(0).alias("item_at"), whole.alias("seed")))
-    return out
+        masks = [(patterns.index(_pattern(m)), m) for m in short_masks(n)]
+        own = [_probe(k, F.lit(m[0]), _seed(k, _pattern(m), F.lit(m[0])), F.lit(None)) for k, m in masks]
+        rows.append(known.filter(size == n).select("item_id", "version", F.explode(F.array(*own)).alias("p")))
+    all_rows = rows[0]
+    for more in rows[1:]:
+        all_rows = all_rows.unionAll(more)
+    told = all_rows.select("p.seed", "p.implied", F.struct("item_id", "version", F.col("p.at").alias("item_at")).alias("item"))
+    return told.groupBy("seed", "implied").agg(F.collect_list("item").alias("items"))
+
 
+def _hits(docs: DataFrame, placed: DataFrame, probes: DataFrame, few: bool) -> DataFrame:
+    """Meetings of seeds that no other one implies, with the document's words around each.
 
-def _hits(placed: DataFrame, probes: DataFrame) -> DataFrame:
-    """Meetings of seeds, with the document's words within REACH of each."""
-    lead = F.least(F.col("at"), F.lit(REACH))
-    return placed.join(F.broadcast(probes), "seed").select(
+    Beyond what can be broadcast, seeds are shuffled without words; documents give the words
+    to the hits afterwards.
+    """
+    p = probes.select("seed", F.col("implied").alias("other"), "items")
+    own = placed if few else placed.drop("hashes")
+    met = own.join(F.broadcast(p) if few else p, "seed").filter("implied is null or other is null or implied <> other")
+    met = met.select("doc_id", "text_version", "at", *(["hashes"] if few else []), F.explode("items").alias("i"))
+    if not few:
+        met = met.join(docs, ["doc_id", "text_version"])
+    lead = F.least(F.col("at"), F.lit(BEFORE))
+    return met.select(
         "doc_id",
         "text_version",
-        "item_id",
-        "version",
-        "item_at",
-        (F.col("at") - F.col("item_at")).alias("shift"),
+        "i.item_id",
+        "i.version",
+        "i.item_at",
+        (F.col("at") - F.col("i.item_at")).alias("shift"),
         lead.alias("lead"),
-        F.slice("hashes", F.col("at") - lead + 1, lead + 1 + REACH).alias("near"),
+        F.slice("hashes", F.col("at") - lead + 1, lead + 1 + AFTER).alias("near"),
     )
 
 
@@ -148,13 +211,13 @@ def _matched(hits: DataFrame) -> DataFrame:
     the bits of all hits of an alignment are joined, and spans are counted in them.
     """
     item, at = F.col("hashes"), F.col("item_at")
-    first = (F.floor((at - REACH) / STEP) * STEP).cast("int")
+    first = (F.floor((at - BEFORE) / STEP) * STEP).cast("int")
 
     def bit(o: Column) -> Column:
         one = F.call_function("shiftleft", F.lit(1).cast("long"), at + o - first)
         return F.when(F.get("near", F.col("lead") + o) == F.get(item, at + o), one).otherwise(F.lit(0).cast("long"))
 
-    around = F.sequence(F.lit(-REACH), F.lit(REACH))
+    around = F.sequence(F.lit(-BEFORE), F.lit(AFTER))
     bits = F.aggregate(around, F.lit(0).cast("long"), lambda acc, o: acc.bitwiseOR(bit(o)))
     joined = (
         hits.select("doc_id", "text_version", "item_id", "version", "shift", F.size(item).alias("n"), first.alias("first"), bits.alias("bits"))
@@ -167,12 +230,17 @@ def _matched(hits: DataFrame) -> DataFrame:
         "doc_id", "item_id", "n", F.when(F.col("n") >= SPAN, most).otherwise(F.bit_count("bits")).alias("matched")
     )
     return (
-        scored.filter(F.col("matched") >= F.when(F.col("n") >= SPAN, LEAST).otherwise(F.col("n")))
+        scored.filter(F.col("matched") >= _enough(F.col("n")))
         .groupBy("doc_id", "item_id")
         .agg(F.max("matched").cast("long").alias("matched_words"))
     )
 
 
+def _enough(n: Column) -> Column:
+    """least_equal as an expression."""
+    return F.ceil(F.least(n, F.lit(SPAN)) * LEAST / SPAN)
+
+
 def drop_contaminated(df: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of `df` without leaks, all their columns; rows with a null id stay."""
     return without_ids(df, leaks(df, items).select("doc_id").distinct(), "doc_id")
@@ -200,9 +268,9 @@ WITH dw AS (
 ), spans AS (
   SELECT doc_id, item_id, n, count(*) OVER (PARTITION BY doc_id, item_id, shift ORDER BY item_at
     RANGE BETWEEN CURRENT ROW AND {SPAN - 1} FOLLOWING) AS matched
-  FROM enough WHERE c >= least(n, {LEAST})
+  FROM enough WHERE c >= (least(n, {SPAN}) * {LEAST} + {SPAN - 1}) // {SPAN}
 )
 SELECT doc_id, item_id, max(matched) AS matched_words FROM spans
-WHERE matched >= CASE WHEN n >= {SPAN} THEN {LEAST} ELSE n END
+WHERE matched >= (least(n, {SPAN}) * {LEAST} + {SPAN - 1}) // {SPAN}
 GROUP BY doc_id, item_id
 """
