@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from .pieces import byte_slices, map_in_arrow
 from .shingles import mixed, series
-from .tables import stored
+from .tables import remove_table, stored
 
 UNKNOWN = "und"
 #: n-gram lengths, in characters of a text's letters with one blank between words.
@@ -28,10 +28,11 @@ LENGTHS = (2, 3, 4, 5)
 #: n-gram in a hundred is taken for one of a language that lacks it.
 PROBES = 3
 SLOTS_PER_NGRAM = 13
-#: Powers of two of a filter's slots, and bytes of all its words at most. A filter that
-#: would be larger has fewer slots, whose higher false-positive rates are corrected.
+#: Power of two of a filter's slots, at least. At most they are 2**25, as LEAST_SHARE leaves
+#: a language half a million n-grams of each length: 256 MiB for up to 64 languages.
 LEAST_BITS = 16
-MOST_BYTES = 1 << 27
+#: Slots that are or-ed into one row before they go to the driver, a power of two.
+BLOCK_BITS = 13
 #: Labelled documents per language that the filter is built from, in expectation.
 PER_LANGUAGE = 3000
 _DRAWS = 1 << 24
@@ -60,8 +61,6 @@ def _letter_tables() -> tuple[np.ndarray, np.ndarray]:
     """For all code points: lower-cased ones and whether they are letters."""
     lower = np.arange(0x110000, dtype=np.uint32)
     letter = np.zeros(0x110000, bool)
-    # ideographs that this Python's tables do not know yet
-    letter[0x20000:0x40000] = True
     for c in range(0x110000):
         s = chr(c)
         if s.isalpha():
@@ -211,6 +210,27 @@ def _counts(rows: DataFrame) -> DataFrame:
     return pieces.groupBy("lang", "length", "h").agg(F.sum("n").alias("n"))
 
 
+def _blocks(held: DataFrame, bits: int) -> DataFrame:
+    """(block, word, masks): the filter's slots of n-grams (h, place), or-ed where the n-grams are,
+    in runs of 2**BLOCK_BITS slots."""
+    size = F.lit((1 << bits) - 1).cast("long")
+    step = F.shiftrightunsigned("h", 40).bitwiseOR(F.lit(1).cast("long")).bitwiseAND(size)
+    at = F.array(*((F.col("h").bitwiseAND(size) + step * k).bitwiseAND(size) for k in range(PROBES)))
+    slots = (
+        held.select(F.explode(at).alias("slot"), "place")
+        .groupBy("slot", F.floor(F.col("place") / _WORD).cast("int").alias("word"))
+        .agg(F.expr(f"bit_or(shiftleft(1L, place % {_WORD}))").alias("mask"))
+    )
+
+    def joined(table: pa.Table) -> pa.Table:
+        masks = np.zeros(1 << BLOCK_BITS, np.int64)
+        masks[table["slot"].to_numpy() & ((1 << BLOCK_BITS) - 1)] = table["mask"].to_numpy()
+        return pa.table({"block": table["block"][:1], "word": table["word"][:1], "masks": pa.array([masks.tobytes()], pa.binary())})
+
+    placed = slots.select(F.shiftright("slot", BLOCK_BITS).alias("block"), "word", "slot", "mask")
+    return placed.groupBy("block", "word").applyInArrow(joined, "block long, word int, masks binary")
+
+
 def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> LanguageFilter:
     """A filter from about PER_LANGUAGE labelled documents of each language.
 
@@ -239,19 +259,11 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
     richest = held.groupBy("place").count().agg(F.max("count")).first()[0] or 0
     words = -(-len(languages) // _WORD)
     bits = max(LEAST_BITS, (SLOTS_PER_NGRAM * richest).bit_length())
-    bits = min(bits, (MOST_BYTES // (8 * words)).bit_length() - 1)
-    # slots are or-ed where the n-grams are; at most all of the filter's words come here
-    size = F.lit((1 << bits) - 1).cast("long")
-    step = F.shiftrightunsigned("h", 40).bitwiseOR(F.lit(1).cast("long")).bitwiseAND(size)
-    at = F.array(*((F.col("h").bitwiseAND(size) + step * k).bitwiseAND(size) for k in range(PROBES)))
-    found = (
-        held.select(F.explode(at).alias("slot"), "place")
-        .groupBy("slot", F.floor(F.col("place") / _WORD).cast("int").alias("word"))
-        .agg(F.expr(f"bit_or(shiftleft(1L, place % {_WORD}))").alias("mask"))
-        .toArrow()
-    )
     slots = np.zeros((1 << bits, words), np.uint64)
-    slots[found["slot"].to_numpy(), found["word"].to_numpy()] = found["mask"].to_numpy().view(np.uint64)
+    for block in _blocks(held, bits).toLocalIterator():
+        first = block.block << BLOCK_BITS
+        slots[first : first + (1 << BLOCK_BITS), block.word] = np.frombuffer(block.masks, np.uint64)
+    remove_table(held)
     fill = np.zeros(len(languages))
     for first, part in _parts(slots, len(languages)):
         own = np.bincount(part, minlength=1 << _PART) @ _BITS / len(slots)
@@ -271,7 +283,7 @@ def predict(
     """The columns `keep` with the prediction and its score, named by `names`."""
     kept = [df.schema[c] for c in keep]
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in kept)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # MOST_BYTES at most
+    shared = df.sparkSession.sparkContext.broadcast(model)  # see LEAST_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -397,14 +409,17 @@ def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:
     best) and that share's margin over all others reach what clean texts of its size
     reach (see `fit_thresholds`), and the share is `least_score` at least. Text of no
     learned language, gibberish and labels that the text contradicts go. `lang` of a
-    row without label becomes the prediction.
+    row without label becomes the prediction. A table in which no row has a label raises,
+    as nothing can be told of its rows; an empty one stays empty.
     """
     training = df.filter(~held_out()).select("doc_id", "text", "lang")
     model = train(training)
     # the verdict rides on the row itself, so no join and no shuffle
     columns = df.columns
     if not model.languages:
-        return df.limit(0)
+        if df.isEmpty():
+            return df
+        raise ValueError("no row has a label to learn from, so no row can be judged")
     shared = df.sparkSession.sparkContext.broadcast((model, calibrate(training, model)))
     text, label, schema = columns.index("text"), columns.index("lang"), df.schema
     bits = {lang: k for k, lang in enumerate(model.languages)}
