@@ -107,7 +107,7 @@ def _probe(kind: int, at: Column, seed: Column, implied: Column) -> Column:
 
 
 def _placed(docs: DataFrame, patterns: list[tuple[int, ...]]) -> DataFrame:
-    """(doc_id, text_version, hashes, seed, implied, at): each mask at each word.
+    """(doc_id, text_version, hashes, at, kind, seed): each mask at each word.
 
     A mask that reads beyond the end has no seed. Runs of fewer than ALONE words count
     only where they are the whole text.
@@ -117,10 +117,17 @@ def _placed(docs: DataFrame, patterns: list[tuple[int, ...]]) -> DataFrame:
     every = []
     for kind, p in enumerate(patterns):
         there = (at == 0) & (size == len(p)) if len(p) < ALONE else at + p[-1] < size
-        implied = _implied(kind, at) if kind < len(MASKS) else F.lit(None)
-        every.append(F.when(there, _probe(kind, at, _seed(kind, p, at), implied)))
-    found = placed.select("doc_id", "text_version", "hashes", F.explode(F.array_compact(F.array(*every))).alias("p"))
-    return found.select("doc_id", "text_version", "hashes", "p.seed", "p.implied", "p.at")
+        every.append(F.when(there, F.xxhash64(F.lit(kind), "word", *(F.get("hashes", at + o) for o in p[1:]))))
+    found = placed.select("doc_id", "text_version", "hashes", "at", F.posexplode(F.array(*every)).alias("kind", "seed"))
+    return found.filter("seed is not null")
+
+
+def _implied_here() -> Column:
+    """_implied of a document's mask of any kind."""
+    out = F.lit(None).cast("long")
+    for kind in range(len(MASKS)):
+        out = F.when(F.col("kind") == kind, _implied(kind, F.col("at"))).otherwise(out)
+    return out
 
 
 def leaks(
@@ -167,7 +174,7 @@ def _probes(known: DataFrame, lengths: list[int], patterns: list[tuple[int, ...]
     cut = known.filter(size >= SPAN).select("item_id", "version", "hashes", F.posexplode("hashes").alias("at", "word"))
     at = F.col("at")
     every = [F.when(at + m[-1] < size, _probe(k, at, _seed(k, m, at), _implied(k, at))) for k, m in enumerate(MASKS)]
-    rows = [cut.select("item_id", "version", F.explode(F.array_compact(F.array(*every))).alias("p"))]
+    rows = [cut.select("item_id", "version", F.explode(F.array(*every)).alias("p")).filter("p is not null")]
     for n in lengths:
         masks = [(patterns.index(_pattern(m)), m) for m in short_masks(n)]
         own = [_probe(k, F.lit(m[0]), _seed(k, _pattern(m), F.lit(m[0])), F.lit(None)) for k, m in masks]
@@ -186,8 +193,11 @@ def _hits(docs: DataFrame, placed: DataFrame, probes: DataFrame, few: bool) -> D
     to the hits afterwards.
     """
     p = probes.select("seed", F.col("implied").alias("other"), "items")
-    own = placed if few else placed.drop("hashes")
-    met = own.join(F.broadcast(p) if few else p, "seed").filter("implied is null or other is null or implied <> other")
+    told = "implied is null or other is null or implied <> other"
+    if few:
+        met = placed.join(F.broadcast(p), "seed").withColumn("implied", F.when(F.col("other").isNotNull(), _implied_here())).filter(told)
+    else:
+        met = placed.withColumn("implied", _implied_here()).drop("hashes").join(p, "seed").filter(told)
     met = met.select("doc_id", "text_version", "at", *(["hashes"] if few else []), F.explode("items").alias("i"))
     if not few:
         met = met.join(docs, ["doc_id", "text_version"])
