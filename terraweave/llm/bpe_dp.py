@@ -220,26 +220,58 @@ class PrefixBpe:
             place[lane] -= 1
         return ids, counts
 
-    def _encode_alone(self, symbols: np.ndarray) -> np.ndarray:
-        """The same for one long string, a symbol at a time."""
+    @cached_property
+    def _single(self) -> tuple[dict[int, int], dict[int, int], list[list[int]]]:
+        """Transitions and merges by pair, and the tables of states and entries, for one string at a
+        time; made when a worker first meets a long one."""
         machine = self.automaton
-        last = np.full(len(symbols) + 1, -1, np.int32)
-        state, reach = np.zeros(1, np.int32), np.zeros(1, np.int32)
-        for i in range(1, len(symbols) + 1):
-            state, reach = machine.follow(state, reach, symbols[i - 1 : i])
-            at = int(machine.entry[state[0]])
-            while True:
-                if at < 0:
-                    raise ValueError("no token ends this prefix: not a BPE vocabulary")
-                size, token = int(machine.depth[at]), int(machine.token[at])
-                if size <= reach[0] and (size == i or self.compatible(int(last[i - size]), token)):
+        tables = (machine.link, machine.depth, machine.entry, machine.shorter, machine.token, *self.halves.T)
+        return machine.transitions.pairs(), self.rank.pairs(), [t.tolist() for t in tables]
+
+    def _apart(self, a: int, b: int) -> bool:
+        """PairTest for one pair: whether no merge across the border precedes both."""
+        _, ranks, (*_, left, right, made) = self._single
+        before = NEVER
+        while True:
+            rank = ranks.get(a << 32 | b)
+            if rank is not None and rank < before:
+                return False
+            of_a, of_b = made[a], made[b]
+            if of_a < 0 and of_b < 0:
+                return True
+            if of_a > of_b:
+                a, before = right[a], of_a
+            else:
+                b, before = left[b], of_b + 1
+
+    def _encode_alone(self, symbols: np.ndarray) -> np.ndarray:
+        """The same for one long string, a symbol at a time, in plain numbers."""
+        moves, _, (link, depth, entry, shorter, token, *_) = self._single
+        apart = self._apart if type(self.pair_test) is PairTest else self.compatible
+        last = [-1] * (len(symbols) + 1)
+        state = reach = 0
+        for i, symbol in enumerate(symbols.tolist(), 1):
+            to = moves.get(state << 32 | symbol)
+            while to is None:
+                state = link[state]
+                if state < 0:
+                    raise ValueError("a symbol is in no entry: not a BPE vocabulary")
+                reach = depth[state]
+                to = moves.get(state << 32 | symbol)
+            state, reach = to, reach + 1
+            at = entry[state]
+            while at >= 0:
+                size = depth[at]
+                if size <= reach and (size == i or apart(last[i - size], token[at])):
                     break
-                at = int(machine.shorter[at])
-            last[i] = token
-        out, at = [], len(symbols)
+                at = shorter[at]
+            if at < 0:
+                raise ValueError("no token ends this prefix: not a BPE vocabulary")
+            last[i] = token[at]
+        long, out, at = self.long, [], len(symbols)
         while at:
             out.append(last[at])
-            at -= int(self.long[last[at]])
+            at -= int(long[last[at]])
         return np.array(out[::-1], np.uint32)
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:

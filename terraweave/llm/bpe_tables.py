@@ -59,6 +59,12 @@ class PairTable:
         return out
 
 
+    def pairs(self) -> dict[int, int]:
+        """The same map by left << 32 | right."""
+        there = self.keys != -1
+        return dict(zip(self.keys[there].tolist(), self.values[there].tolist(), strict=True))
+
+
 class SuffixAutomaton:
     """The generalised suffix automaton of the vocabulary's symbol strings.
 
