@@ -103,7 +103,7 @@ def cleaned(shape: Column) -> Column:
     )
 
 
-def _turn(ring: Column) -> Column:
+def turn_of(ring: Column) -> Column:
     """Twice the signed area of a closed ring, from its first point."""
     zero = F.get(ring, F.lit(0))
     n = F.size(ring)
@@ -135,7 +135,7 @@ def parts_of(boxed: DataFrame) -> DataFrame:
     rings = F.flatten(
         F.transform(
             s["polygons"],
-            lambda g: F.transform(g, lambda r, i: told(r, F.when((_turn(r) > 0) == (i == 0), 1).otherwise(-1), no, no)),
+            lambda g: F.transform(g, lambda r, i: told(r, F.when((turn_of(r) > 0) == (i == 0), 1).otherwise(-1), no, no)),
         )
     )
     every = F.when(dim == 0, points).when(dim == 1, lines).otherwise(rings)
@@ -179,7 +179,7 @@ def segments_of(parts: DataFrame) -> DataFrame:
 # -- meetings of segments ----------------------------------------------------------
 
 
-def _level(df: DataFrame) -> DataFrame:
+def leveled(df: DataFrame) -> DataFrame:
     extent = F.greatest(F.abs(F.col("x2") - F.col("x1")), F.abs(F.col("y2") - F.col("y1")))
     level = F.lit(SEGMENT_LEVELS[-1])
     for n in reversed(SEGMENT_LEVELS[:-1]):
@@ -187,7 +187,7 @@ def _level(df: DataFrame) -> DataFrame:
     return df.withColumn("level", level)
 
 
-def _in_cells(df: DataFrame) -> DataFrame:
+def in_cells(df: DataFrame) -> DataFrame:
     """A row for each cell of the size at level `at` that the segment runs through."""
     size = F.lit(SEGMENT_CELL) * F.pow(F.lit(2.0), F.col("at"))
     slack = F.lit(NEAR) * (F.abs("x1") + F.abs("y1") + F.abs("x2") + F.abs("y2"))
@@ -209,12 +209,12 @@ def meetings(segments: DataFrame) -> DataFrame:
     """Pairs (a_*, b_*) of segments of different shapes that share a point, `met` the places
     (ta, tb) where, `lo` and `hi` (of ta and tb) the stretch they share, `along` whether
     they run the same way there. A pair may come twice, never less than once."""
-    leveled = _level(segments)
-    levels = sorted(r.level for r in leveled.select("level").distinct().collect()) or [0]  # six at most
-    fine = _in_cells(leveled.withColumn("at", F.explode(F.array(*map(F.lit, levels)))).filter("at >= level"))
-    coarse = _in_cells(leveled.withColumn("at", F.col("level")))
-    a = fine.select("at", "cx", "cy", *(F.col(c).alias(f"a_{c}") for c in leveled.columns))
-    b = coarse.select("at", "cx", "cy", *(F.col(c).alias(f"b_{c}") for c in leveled.columns))
+    df = leveled(segments)
+    levels = sorted(r.level for r in df.select("level").distinct().collect()) or [0]  # six at most
+    fine = in_cells(df.withColumn("at", F.explode(F.array(*map(F.lit, levels)))).filter("at >= level"))
+    coarse = in_cells(df.withColumn("at", F.col("level")))
+    a = fine.select("at", "cx", "cy", *(F.col(c).alias(f"a_{c}") for c in df.columns))
+    b = coarse.select("at", "cx", "cy", *(F.col(c).alias(f"b_{c}") for c in df.columns))
     c = F.col
     once = (c("a_id") != c("b_id")) & ((c("a_level") < c("b_level")) | (c("a_id") < c("b_id")))
     once &= c("a_plain").isNull() | c("b_plain").isNull()
@@ -369,24 +369,50 @@ def _standing_for(parts: DataFrame, beside: DataFrame, sides: DataFrame) -> Data
     return left.select("one", "other", "dim", "dim_other", "strips", F.col("p.x").alias("x"), F.col("p.y").alias("y"), "inside", "outside")
 
 
-def _strip(y: Column, strips: Column) -> Column:
+def strip(y: Column, strips: Column) -> Column:
     at = F.floor((y - strips["y"]) / strips["h"] * strips["n"])
     return F.when(strips["h"] > 0, F.greatest(F.lit(0), F.least(at, strips["n"] - 1))).otherwise(0).cast("int")
 
 
+def to_the_right() -> Column:
+    """Whether the segment (x1, y1, x2, y2) is crossed on the way from (x, y) to the right."""
+    c = F.col
+    return ((c("y1") > c("y")) != (c("y2") > c("y"))) & (
+        c("x") < (c("x2") - c("x1")) * (c("y") - c("y1")) / (c("y2") - c("y1")) + c("x1")
+    )
+
+
+def crossing() -> Column:
+    """Whether the segments a and b cross within both, or share a stretch."""
+    c = F.col
+    dx, dy = ({s: c(f"{s}_{v}2") - c(f"{s}_{v}1") for s in "ab"} for v in "xy")
+    largest = F.greatest(*(F.abs(f"{s}_{v}{k}") for s in "ab" for v in "xy" for k in (1, 2)))
+
+    def turn(of: str, k: int, on: str) -> Column:
+        t = dx[on] * (c(f"{of}_y{k}") - c(f"{on}_y1")) - dy[on] * (c(f"{of}_x{k}") - c(f"{on}_x1"))
+        return F.when(F.abs(t) <= TURN * largest * (F.abs(dx[on]) + F.abs(dy[on])), 0.0).otherwise(t)
+
+    def place(k: int) -> Column:
+        t = (c(f"b_x{k}") - c("a_x1")) * dx["a"] + (c(f"b_y{k}") - c("a_y1")) * dy["a"]
+        return t / (dx["a"] * dx["a"] + dy["a"] * dy["a"])
+
+    across = (turn("b", 1, "a") * turn("b", 2, "a") < 0) & (turn("a", 1, "b") * turn("a", 2, "b") < 0)
+    level = (turn("b", 1, "a") == 0) & (turn("b", 2, "a") == 0)
+    shared = F.least(F.lit(1.0), F.greatest(place(1), place(2))) - F.greatest(F.lit(0.0), F.least(place(1), place(2)))
+    return across | (level & (shared > NEAR))
+
+
 def _decided(asked: DataFrame, segments: DataFrame) -> DataFrame:
     """(one, other, marks): what each point says, by whether it is inside the other."""
     surface = F.col("dim_other") == 2
     plain = asked.filter(~surface).select("one", "other", F.col("outside").alias("marks"))
     # parity counts need each point once
-    points = asked.filter(surface).select("one", "other", "x", "y", "inside", "outside", _strip(F.col("y"), F.col("strips")).alias("strip")).distinct()
+    points = asked.filter(surface).select("one", "other", "x", "y", "inside", "outside", strip(F.col("y"), F.col("strips")).alias("strip")).distinct()
     walls = segments.filter("dim = 2 and y1 <> y2")
-    low, high = (_strip(f("y1", "y2"), F.col("strips")) for f in (F.least, F.greatest))
+    low, high = (strip(f("y1", "y2"), F.col("strips")) for f in (F.least, F.greatest))
     walls = walls.select(F.col("id").alias("other"), "x1", "y1", "x2", "y2", F.explode(F.sequence(low, high)).alias("strip"))
-    right = (F.col("y1") > F.col("y")) != (F.col("y2") > F.col("y"))
-    right &= F.col("x") < (F.col("x2") - F.col("x1")) * (F.col("y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     p, w = points.alias("p"), walls.alias("w")
-    on = (F.col("p.other") == F.col("w.other")) & (F.col("p.strip") == F.col("w.strip")) & right
+    on = (F.col("p.other") == F.col("w.other")) & (F.col("p.strip") == F.col("w.strip")) & to_the_right()
     crossed = p.join(w, on, "left").groupBy("p.one", "p.other", "p.x", "p.y", "p.inside", "p.outside").agg(F.count("w.x1").alias("n"))
     marks = F.when(F.col("n") % 2 == 1, F.col("inside")).otherwise(F.col("outside"))
     return plain.unionByName(crossed.select("one", "other", marks.alias("marks")))

@@ -63,7 +63,15 @@ class Dump:
         }
         return rows.join(stats.geometry_counts(shaped), "kind")
 
+    @cached_property
+    def built_areas(self) -> DataFrame:
+        """Areas of ways and relations, made once for facts, counters and the spatial join."""
+        return stored(self._areas(), "areas")
+
     def areas(self) -> DataFrame:
+        return self.built_areas
+
+    def _areas(self) -> DataFrame:
         found = areas.of_ways(self.shaped).unionByName(areas.of_relations(self.e.relations, self.shaped))
         if not self.c.no_untagged_areas:
             return found

@@ -42,6 +42,8 @@ ACROSS, UP = 3, 2
 TILE = len(TEMPLATES) * ACROSS * UP
 #: Degrees of a lattice step, a power of two: all corners are exact.
 STEP = 1 / 512
+#: How much shearing enlarges a cell.
+SHEARED = 7
 
 
 def placed(suppliers: DataFrame) -> DataFrame:
@@ -83,6 +85,40 @@ def collections(suppliers: DataFrame) -> DataFrame:
     return rows.select((-1 - F.col("tile") * 9 - F.col("id") % 9).cast("long").alias("collection"), F.col("id").alias("member"))
 
 
+def _box(x: int, y: int, w: int) -> list[tuple[int, int]]:
+    return [(x, y), (x + w, y), (x + w, y + w), (x, y + w), (x, y)]
+
+
+#: Relations by remainder: their lines, and what they make: polygons, rings and half cells; none if broken.
+RELATIONS = [
+    ([_box(0, 0, 5)[:3], _box(0, 0, 5)[2:], _box(1, 1, 3), _box(2, 2, 1)[::-1]], (2, 3, 34)),
+    ([_box(0, 0, 1)[1:] + [(1, 0)], _box(1, 1, 1)], (2, 2, 4)),
+    ([_box(0, 0, 3), [(0, 0), (2, 1), (1, 2)], [(0, 0), (1, 2)]], (1, 2, 15)),
+    ([_box(0, 0, 1), _box(1, 0, 1)], (1, 1, 4)),
+    ([_box(0, 0, 2), _box(1, 1, 2)], None),
+    ([_box(0, 0, 2)[:4]], None),
+    ([_box(0, 0, 5), _box(1, 1, 1), _box(2, 2, 1)[:3], _box(2, 2, 1)[2:]], (1, 3, 46)),
+    ([[(0, 0), (4, 0), (2, 2), (4, 4)], [(4, 4), (0, 4), (2, 2), (0, 0)]], (2, 2, 16)),
+]
+
+
+def relation_lines(suppliers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(relations, shaped ways): each supplier's lines of RELATIONS, as members."""
+    own = placed(suppliers).select("id", "ox", "oy", "tile", (F.col("id") % len(RELATIONS)).alias("kind"))
+    corner = lambda p: sheared(F.col("ox") + p[0], F.col("oy") + p[1])
+    lines = F.lit(None)
+    for k, (parts, _) in enumerate(RELATIONS):
+        lines = F.when(F.col("kind") == k, F.array(*(F.array(*map(corner, p)) for p in parts))).otherwise(lines)
+    ways = own.select("id", F.posexplode(lines).alias("k", "points"))
+    shaped = ways.select((F.col("id") * 10 + F.col("k")).alias("id"), "points", F.transform("points", lambda p, i: i.cast("long")).alias("nds"))
+    member = F.struct(F.lit("way").alias("type"), (F.col("id") * 10 + F.col("k")).alias("ref"), F.lit("").alias("role"))
+    tags = F.array(F.struct(F.lit("type").alias("k"), F.lit("boundary").alias("v")))
+    return ways.groupBy("id").agg(F.collect_list(member).alias("members")).withColumn("tags", tags), shaped
+
+
+_made = [(k, *made) for k, (_, made) in enumerate(RELATIONS) if made]
+
+
 def _values(rows: list[tuple]) -> str:
     return ", ".join(str(r) for r in rows)
 
@@ -160,3 +196,7 @@ last AS ({_LIFTED.format(table='turned')}),
 double AS (SELECT p.* REPLACE (q.ie AS ei, q.be AS eb) FROM last p JOIN last q ON p.a = q.b AND p.b = q.a),
 every AS (SELECT * FROM single UNION ALL SELECT * FROM turned UNION ALL SELECT * FROM double)
 {_named('every', 'a <> b')}"""
+#: DuckDB SQL of the areas that the relations make.
+AREAS_SQL = f"""SELECT s_suppkey::BIGINT AS obj_id, polygons::BIGINT AS polygons, rings::BIGINT AS rings, half_cells::BIGINT AS half_cells,
+ CASE WHEN polygons > 1 THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS kind
+ FROM supplier JOIN (VALUES {_values(_made)}) m(k, polygons, rings, half_cells) ON s_suppkey % {len(RELATIONS)} = k"""

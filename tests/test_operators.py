@@ -9,7 +9,8 @@ from terraweave import config as C
 from terraweave import vocabulary as V
 from terraweave.functions import geometry as G
 from tests import plain_relate as R
-from terraweave.operators import graph, joins, spatial, stats
+from tests import plain_rings
+from terraweave.operators import areas, graph, joins, spatial, stats
 from terraweave.operators.facts import Facts
 from terraweave.plans.dump import Dump, Entities, main
 from terraweave.sinks import triples as sink
@@ -217,6 +218,79 @@ def test_slanted_shapes_equal_all_pairs(spark):
     assert got == want, (sorted(got - want)[:9], sorted(want - got)[:9])
 
 
+def ring_set(polygons):
+    """Polygons as sets of rings, each turned to its least point and direction."""
+
+    def turned(ring):
+        own = [tuple(p) for p in ring[:-1]]
+        k = own.index(min(own))
+        one, two = own[k:] + own[:k], [own[k]] + (own[:k][::-1] + own[k + 1 :][::-1])
+        return min(tuple(one), tuple(two))
+
+    return {(turned(g[0]), frozenset(turned(r) for r in g[1:])) for g in polygons}
+
+
+def test_rings_of_relations(spark):
+    """Rings cut into lines at random, turned and mixed: holes, islands in holes, rings that touch at
+    a point, inside and outside, doubled segments, crossings and open ends."""
+    import random
+
+    rng = random.Random(21)
+    box = lambda x, y, w, h=None: [(x, y), (x + w, y), (x + w, y + (h or w)), (x, y + (h or w)), (x, y)]
+    cases = {
+        "plain": [box(0, 0, 9)],
+        "hole and island": [box(0, 0, 30), box(5, 5, 20), box(10, 10, 5), box(40, 0, 3)],
+        "holes that touch": [box(0, 0, 30), box(5, 5, 5), box(10, 10, 5)],
+        "outers that touch": [box(0, 0, 5), box(5, 5, 5), box(10, 10, 5)],
+        "hole at the rim": [[(0, 0), (10, 0), (10, 10), (0, 10), (0, 0)], [(0, 0), (4, 2), (2, 4), (0, 0)]],
+        "hole at two places": [box(0, 0, 10), [(0, 0), (9, 5), (10, 10), (5, 9), (0, 0)]],
+        "bow": [[(0, 0), (4, 4), (8, 0), (8, 8), (4, 4), (0, 8), (0, 0)]],
+        "clover": [[(0, 0), (3, 1), (1, 3), (0, 0), (-3, 1), (-1, 3), (0, 0), (-3, -1), (-1, -3), (0, 0)]],
+        "shared side": [box(0, 0, 5), box(5, 0, 5)],
+        "crossing": [box(0, 0, 5), box(2, 2, 5)],
+        "side in part": [box(0, 0, 5), [(2, 0), (3, 0), (3, -2), (2, -2), (2, 0)]],
+        "open": [box(0, 0, 5)[:4]],
+        "spoke": [box(0, 0, 5), [(0, 0), (-3, -3)]],
+    }
+    names, rows, want = {}, [], {}
+    for k, (name, rings) in enumerate((n, r) for n, r in cases.items() for _ in range(3)):
+        lines = []
+        for ring in rings:
+            turn = rng.randrange(len(ring) - 1) if ring[0] == ring[-1] else 0
+            own = ring[turn:-1] + ring[: turn + 1] if turn else list(ring)
+            cuts = sorted({0, len(own) - 1, *(rng.randrange(len(own)) for _ in range(rng.randrange(4)))})
+            parts = [own[a : b + 1] for a, b in zip(cuts, cuts[1:])]
+            lines += [p if rng.random() < 0.5 else p[::-1] for p in parts]
+        rng.shuffle(lines)
+        lines = [[(float(x), float(y)) for x, y in p] for p in lines]
+        rows += [(k, n, p) for n, p in enumerate(lines)]
+        names[k], want[k] = name, plain_rings.assemble(lines)
+    df = spark.createDataFrame(rows, f"id long, line int, points {G.LINE}")
+    built = areas.assembled(df)
+    assert "Python" not in built._jdf.queryExecution().toString()
+    got = {r.id: r.polygons for r in built.collect()}
+    for k, name in names.items():
+        if name == "side in part":
+            assert k not in got
+        elif name == "hole at two places":
+            assert sum(map(len, got[k])) == 2
+        else:
+            assert ring_set(got.get(k, [])) == ring_set(want[k]), (name, got.get(k), want[k])
+
+
+def test_a_ring_of_many_lines(spark):
+    """A ring of 4000 points in 500 lines, as rows all the way."""
+    import math
+
+    n, lines = 4000, 500
+    at = lambda k: (math.cos(2 * math.pi * (k % n) / n), math.sin(2 * math.pi * (k % n) / n))
+    step = n // lines
+    rows = [(1, k, [at(j) for j in range(k * step, (k + 1) * step + 1)][:: 1 if k % 2 else -1]) for k in range(lines)]
+    got = areas.assembled(spark.createDataFrame(rows, f"id long, line int, points {G.LINE}")).collect()
+    assert len(got) == 1 and len(got[0].polygons) == 1 and len(got[0].polygons[0][0]) == n + 1
+    assert {tuple(p) for p in got[0].polygons[0][0]} == {at(k) for k in range(n)}
+
+
 EDGES = [(0, 1), (0, 3), (0, 4), (1, 4), (2, 4), (2, 6), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, 6)]
 
 
