@@ -40,7 +40,10 @@ def exploded(df: DataFrame, *parts: Column) -> DataFrame:
 class Facts:
     """The triple families under one configuration."""
 
-    def __init__(self, config: Config):
+    def __init__(self, config: Config, *, wrap_ids: bool = True):
+        """With `wrap_ids` own ids of ways, relations and areas are 32 bits wide, as the output's
+        readers expect; references to them stay as wide as they are."""
+        self.wrap_ids = wrap_ids
         self.c = config.normalised()
         self.fmt = self.c.output_format
         self.names = V.DATASETS[self.c.dataset]
@@ -64,11 +67,16 @@ class Facts:
             return F.concat(F.lit(f"<{self.c.iri_prefix_for_untagged_nodes}"), number.cast("string"), F.lit(">"))
         return T.id_iri(self._node_prefix("_untagged"), number, self.fmt)
 
-    def subject(self, kind: str) -> Column:
+    def number(self, kind: str, column: str = "id") -> Column:
+        """An entity's own number; of relations without a sign, of ways and relations of 32 bits."""
+        number = F.abs(column) if kind == "relation" else F.col(column)
+        return F.pmod(number, F.lit(1 << 32)) if self.wrap_ids and kind != "node" else number
+
+    def subject(self, kind: str, column: str = "id") -> Column:
         """The subject of an entity row of this kind."""
         if kind == "node":
-            return self.node_iri(F.col("id"), F.size("tags") > 0)
-        return T.id_iri(self.names[kind], F.abs("id") if kind == "relation" else F.col("id"), self.fmt)
+            return self.node_iri(F.col(column), F.size("tags") > 0)
+        return T.id_iri(self.names[kind], self.number(kind, column), self.fmt)
 
     def geometry_iri(self, label: Column | str, number: Column) -> Column:
         local = F.concat(F.lit(self.names["id"]), F.lit(label) if isinstance(label, str) else label, number.cast("string"))
@@ -199,7 +207,7 @@ class Facts:
             return F.array().cast(TRIPLES)
 
         def one(p: Column) -> Column:
-            node = T.blank(F.lit("way"), F.col("id"), p["pos"])
+            node = T.blank(F.lit("way"), self.number("way"), p["pos"])
             rows = [
                 triple(s, self.term(V.WAY_MEMBER), node),
                 triple(node, self.term(V.WAY_MEMBER_ID), self.node_iri(F.abs(p["ref"]), p["is_tagged"])),
@@ -240,7 +248,7 @@ class Facts:
 
     def way_geometry(self, s: Column, shown: str = "points") -> Column:
         """The line, unless the way is an area whose lines are not wanted."""
-        shape = self.geometry_iri("way_", F.col("id"))
+        shape = self.geometry_iri("way_", self.number("way"))
         rows = (
             triple(s, self.term(V.HAS_GEOMETRY), shape),
             triple(shape, self.term(V.AS_WKT), self.wkt(G.line_wkt(F.col(shown), self.digits))),
@@ -290,7 +298,7 @@ class Facts:
         kept = self.with_shapes(kept.withColumn("outline", F.col("points")))
         s = self.subject("way")
         # an area's shapes come from the area
-        shapes = [F.when(~F.col("is_area"), x) for x in self.shapes(s, F.col("id"), "way")]
+        shapes = [F.when(~F.col("is_area"), x) for x in self.shapes(s, self.number("way"), "way")]
         return exploded(
             kept, *self.object_facts(s, "way"), self.way_members(s), self.way_geometry(s, shown), *shapes,
             self.way_metadata(s), self.way_length(s),
@@ -305,7 +313,7 @@ class Facts:
         known = F.filter("members", lambda m: m["type"].isin("node", "way", "relation"))
 
         def one(m: Column, at: Column) -> Column:
-            node = T.blank(F.lit("relation"), F.col("id"), at)
+            node = T.blank(F.lit("relation"), self.number("relation"), at)
             number = F.abs(m["ref"])
             tagged = F.coalesce(F.array_contains(F.col("tagged_members"), number), F.lit(False)) if self.c.separate_untagged else F.lit(True)
             target = (
@@ -325,14 +333,14 @@ class Facts:
 
     def relation_geometry(self, s: Column) -> list[Column]:
         """The collection of member geometries and whether it is whole."""
-        shape = self.geometry_iri("rel_", F.col("id"))
+        shape = self.geometry_iri("rel_", self.number("relation"))
         rows = when_true(
             F.size("parts") > 0,
             triple(s, self.term(V.HAS_GEOMETRY), shape),
             triple(shape, self.term(V.AS_WKT), self.wkt(joins.collection_wkt(self.digits))),
             triple(s, self.term(V.COMPLETE), T.boolean(F.col("complete"), self.fmt)),
         )
-        return [rows, *(F.when(F.size("parts") > 0, x) for x in self.shapes(s, F.col("id"), "relation"))]
+        return [rows, *(F.when(F.size("parts") > 0, x) for x in self.shapes(s, self.number("relation"), "relation"))]
 
     def relations(self, relations: DataFrame, geometries: DataFrame, locations: DataFrame | None = None) -> DataFrame:
         """All facts of relations; geometries as of joins.relation_geometries."""
@@ -359,10 +367,8 @@ class Facts:
 
     def areas(self, areas: DataFrame) -> DataFrame:
         """All facts of areas (area_id, obj_id, from_way, polygons)."""
-        s = F.when(F.col("from_way"), T.id_iri(self.names["way"], "obj_id", self.fmt)).otherwise(
-            T.id_iri(self.names["relation"], "obj_id", self.fmt)
-        )
-        number = F.col("obj_id")
+        s = F.when(F.col("from_way"), self.subject("way", "obj_id")).otherwise(self.subject("relation", "obj_id"))
+        number = self.number("way", "obj_id")
         shape = F.when(F.col("from_way"), self.geometry_iri("way_", number)).otherwise(self.geometry_iri("rel_", number))
         shown = self.with_shapes(areas.withColumn("outline", G.outer_points(F.col("polygons"))), polygons=True)
         polygons = "polygons"

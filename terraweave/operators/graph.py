@@ -59,6 +59,64 @@ def successors(edges: DataFrame) -> DataFrame:
     return closure(edges).filter("src <> dst")
 
 
+def reached(edges: DataFrame, sources: DataFrame, most_rounds: int = 100_000) -> DataFrame:
+    """(word, vertex, mask): whom numbered sources reach, themselves left out even on a cycle.
+
+    `sources` is (number, vertex). Sixty-four sources are the bits of one number, `word` is a
+    number's sixty-fourth part. A round moves only bits that a vertex has not had before along
+    the edges, so paths between vertices that no source reaches are never looked at.
+    """
+    steps = stored(edges.select("src", "dst").distinct(), "edges")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("number", F.lit(64)).cast("int"))
+    told = sources.select(F.floor(F.col("number") / 64).alias("word"), "vertex", bit.alias("mask"))
+    own = stored(told.groupBy("word", "vertex").agg(F.bit_or("mask").alias("mask")), "sources")
+    front, known = own, None
+    for _ in range(most_rounds):
+        moved = front.join(steps, front.vertex == steps.src).groupBy("word", F.col("dst").alias("vertex")).agg(F.bit_or("mask").alias("new"))
+        had = own.withColumnRenamed("mask", "had")
+        if known is not None:
+            had = had.unionByName(known.withColumnRenamed("mask", "had")).groupBy("word", "vertex").agg(F.bit_or("had").alias("had"))
+        fresh = moved.join(had, ["word", "vertex"], "left").select("word", "vertex", F.col("new").bitwiseAND(F.bitwise_not(F.coalesce("had", F.lit(0).cast("long")))).alias("mask"))
+        front = stored(fresh.filter("mask <> 0"), "front")
+        if front.isEmpty():
+            return own.limit(0) if known is None else known
+        known = stored(front if known is None else known.unionByName(front).groupBy("word", "vertex").agg(F.bit_or("mask").alias("mask")), "reached")
+    raise RuntimeError("the search did not end")
+
+
+def successors_of(edges: DataFrame, sources: list[int]) -> DataFrame:
+    """(src, dst): whom each of some vertices reaches, without the closure of all."""
+    spark: SparkSession = edges.sparkSession
+    own = sorted(set(sources))
+    numbered = spark.createDataFrame(list(enumerate(own)), "number long, vertex long")
+    found = reached(edges, numbered)
+    set_bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda k: F.call_function("shiftright", F.col("mask"), k).bitwiseAND(F.lit(1).cast("long")) != 0)
+    each = found.select(F.col("vertex").alias("dst"), "word", F.explode(set_bits).alias("bit"))
+    named = each.select((F.col("word") * 64 + F.col("bit")).alias("number"), "dst")
+    return named.join(numbered.withColumnRenamed("vertex", "src"), "number").select("src", "dst")
+
+
+def levels(edges: DataFrame) -> DataFrame:
+    """(vertex, level): the longest path that leads to each vertex. A cycle raises.
+
+    A round takes away the vertices that nothing leads to any more; if there is none while
+    edges are left, they go round.
+    """
+    left = stored(edges.select("src", "dst").distinct(), "edges")
+    remaining = stored(vertices(left), "vertices")
+    found, level = None, 0
+    while not remaining.isEmpty():
+        first = stored(remaining.join(left.select(F.col("dst").alias("vertex")), "vertex", "left_anti"), "level")
+        if first.isEmpty():
+            raise RuntimeError("the graph has a cycle")
+        told = first.withColumn("level", F.lit(level))
+        found = told if found is None else found.unionByName(told)
+        remaining = stored(remaining.join(first, "vertex", "left_anti"), "vertices")
+        left = stored(left.join(first.withColumnRenamed("vertex", "src"), "src", "left_anti").select("src", "dst"), "edges")
+        level += 1
+    return vertices(edges).withColumn("level", F.lit(0)) if found is None else found
+
+
 def vertices(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("src").alias("vertex")).union(edges.select("dst")).distinct()
 
@@ -70,9 +128,25 @@ def counts(edges: DataFrame) -> DataFrame:
 
 
 def reduce_dag(edges: DataFrame) -> DataFrame:
-    """The transitive reduction: of each vertex the successors that no other gives."""
-    paths = closure(edges)
-    return _direct(paths, paths)
+    """The transitive reduction: of each vertex the successors that no other gives. A cycle raises.
+
+    An edge goes if another successor of its source reaches its target. Only those successors
+    are searched from, sixty-four at a time as bits, whose source has several; only targets
+    with several edges are asked for, and only edges that span more than one level.
+    """
+    own = stored(edges.select("src", "dst").distinct(), "edges")
+    placed = stored(levels(own), "levels")
+    level = lambda c: placed.select(F.col("vertex").alias(c), F.col("level").alias(f"{c}_level"))
+    spans = own.join(level("src"), "src").join(level("dst"), "dst").filter("dst_level - src_level > 1").select("src", "dst")
+    asked = stored(spans, "long-edges")
+    others = own.join(asked.select("src").distinct(), "src", "left_semi")
+    starts = stored(others.select(F.col("dst").alias("vertex")).distinct().withColumn("number", F.monotonically_increasing_id()), "starts")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("number", F.lit(64)).cast("int"))
+    given = others.join(starts.withColumnRenamed("vertex", "dst"), "dst").groupBy("src", F.floor(F.col("number") / 64).alias("word")).agg(F.bit_or(bit).alias("given"))
+    found = reached(own, starts).withColumnRenamed("vertex", "dst")
+    # a vertex does not reach itself, so the edge's own target is no other way
+    meet = asked.join(given, "src").join(found, ["dst", "word"]).filter(F.col("given").bitwiseAND(F.col("mask")) != 0)
+    return own.join(meet.select("src", "dst").distinct(), ["src", "dst"], "left_anti")
 
 
 def reduce_closed_dag(edges: DataFrame) -> DataFrame:

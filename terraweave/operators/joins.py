@@ -6,38 +6,76 @@ splits skewed references; positions travel with the rows and restore the order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geometry as G
-
+from . import registry
+
+#: Ids of a block of the dense location store, a power of two; blocks that hold fewer nodes on
+#: the mean than one in DENSE of their ids are not worth it.
+BLOCK_BITS = 6
+DENSE = 8
+#: The names of location stores, by whether they keep blocks: null decides by the data.
+STORES = {"mem-dense": True, "disk-dense": True, "mem-sparse": False, "disk-sparse": False, "mem-flex": None}
 LOCATED = "array<struct<pos: int, ref: bigint, x: double, y: double, is_tagged: boolean>>"
 
 
-def locate_ways(ways: DataFrame, locations: DataFrame) -> DataFrame:
+def locate_ways(ways: DataFrame, locations: DataFrame, store: str | None = None) -> DataFrame:
     """`ways` with `located`: the references in order, with locations where known.
 
     Missing locations are null, as is is_tagged then false. Ways without references
-    keep an empty array.
+    keep an empty array. `store` is a name of STORES (others are "mem-flex"): dense ones keep blocks of ids, sparse
+    ones (as none at all) a row for each node, "mem-flex" the one that fits the ids.
     """
+    dense = STORES.get(store) if store else False
+    if dense is None:
+        dense = is_dense(locations)
     refs = ways.select("id", F.posexplode("nds").alias("pos", "ref"))
-    found = (
-        refs.join(locations, "ref", "left")
-        .groupBy("id")
-        .agg(
-            F.array_sort(
-                F.collect_list(
-                    F.struct(
-                        "pos", "ref", F.col("lon").alias("x"), F.col("lat").alias("y"),
-                        F.coalesce("is_tagged", F.lit(False)).alias("is_tagged"),
-                    )
-                )
-            ).alias("located")
-        )
-    )
+    found = _from_blocks(refs, locations) if dense else _from_rows(refs, locations)
     return ways.join(found, "id", "left").withColumn("located", F.coalesce("located", F.array().cast(LOCATED)))
 
 
+def is_dense(locations: DataFrame) -> bool:
+    """Whether blocks of ids are full enough on the mean to keep nodes in them."""
+    told = locations.agg(F.count("*").alias("n"), F.approx_count_distinct(F.shiftright("ref", BLOCK_BITS)).alias("blocks")).first()
+    return told.n * DENSE >= told.blocks << BLOCK_BITS
+
+
+def _entry(pos: Column, ref: Column, x: Column, y: Column, tagged: Column) -> Column:
+    return F.struct(pos.alias("pos"), ref.alias("ref"), x.alias("x"), y.alias("y"), F.coalesce(tagged, F.lit(False)).alias("is_tagged"))
+
+
+def _from_rows(refs: DataFrame, locations: DataFrame) -> DataFrame:
+    """(id, located): a row for each reference meets a row for each node."""
+    c = F.col
+    entry = _entry(c("pos"), c("ref"), c("lon"), c("lat"), c("is_tagged"))
+    return refs.join(locations, "ref", "left").groupBy("id").agg(F.array_sort(F.collect_list(entry)).alias("located"))
+
+
+def blocks_of(locations: DataFrame) -> DataFrame:
+    """(block, lon, lat, is_tagged): arrays by the ids' last BLOCK_BITS bits, null where there is no node."""
+    slot = F.col("ref").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    held = locations.groupBy(F.shiftright("ref", BLOCK_BITS).alias("block")).agg(
+        F.map_from_entries(F.collect_list(F.struct(slot.alias("slot"), F.struct("lon", "lat", "is_tagged").alias("place")))).alias("held")
+    )
+    every = F.transform(F.sequence(F.lit(0), F.lit((1 << BLOCK_BITS) - 1)), lambda k: F.try_element_at("held", k))
+    full = held.select("block", every.alias("every"))
+    return full.select("block", *(F.col(f"every.{n}").alias(n) for n in ("lon", "lat", "is_tagged")))
+
+
+def _from_blocks(refs: DataFrame, locations: DataFrame) -> DataFrame:
+    """(id, located): a row for each way and block it refers to meets a row for each block."""
+    slot = F.col("ref").bitwiseAND(F.lit((1 << BLOCK_BITS) - 1)).cast("int")
+    asked = refs.groupBy("id", F.shiftright("ref", BLOCK_BITS).alias("block")).agg(F.collect_list(F.struct("pos", "ref", slot.alias("slot"))).alias("asked"))
+    read = F.transform(
+        "asked",
+        lambda a: _entry(a["pos"], a["ref"], F.get("lon", a["slot"]), F.get("lat", a["slot"]), F.get("is_tagged", a["slot"])),
+    )
+    met = asked.join(blocks_of(locations), "block", "left").select("id", read.alias("part"))
+    return met.groupBy("id").agg(F.array_sort(F.flatten(F.collect_list("part"))).alias("located"))
+
+
 def shape_ways(located: DataFrame) -> DataFrame:
     """Located ways with raw (points as referenced), points, closed and is_area."""
     raw = F.transform("located", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y")))
@@ -62,7 +100,7 @@ def member_ways(ways: DataFrame, relations: DataFrame) -> DataFrame:
         .filter("m.type = 'way'")
         .select(F.abs("m.ref").alias("id"))
     )
-    return ways.join(wanted, "id", "left_semi")
+    return registry.kept(ways, "id", registry.registered(wanted, "id"))
 
 
 def relation_geometries(relations: DataFrame, ways: DataFrame, locations: DataFrame) -> DataFrame:

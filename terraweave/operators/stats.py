@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import registry
+
 #: Unsigned widths an id may need, by the largest id.
 WIDTHS = (("uint8", 2**8), ("uint16", 2**16), ("uint32", 2**32))
 
@@ -89,15 +91,17 @@ def required_ids(
         refs = refs.unionByName(areas.select(F.lit("node").alias("kind"), F.explode("nds").alias("ref")))
     if not exact:
         return refs.groupBy("kind").agg(F.approx_count_distinct("ref").alias("required"))
-    # distinct first, so that no task holds the ids of a kind
-    return refs.distinct().groupBy("kind").agg(F.count("*").alias("required"))
+    # bitmaps are shuffled, not references
+    return registry.counted(registry.registered(refs, "ref", "kind"), "kind").withColumnRenamed("n", "required")
+
+
+def output_counters() -> list[Column]:
+    """Counters of lines as they are written: blankNodes, triples. Every blank node is the object
+    of one line, which makes it."""
+    return [F.count_if(F.startswith("o", F.lit("_:"))).alias("blankNodes"), F.count("*").alias("triples")]
 
 
 def output_statistics(lines: DataFrame, header: int = 0) -> DataFrame:
     """One row of the written (s, p, o): blankNodes, header, lines, triples."""
-    return lines.agg(
-        F.count_distinct(F.when(F.startswith("s", F.lit("_:")), F.col("s"))).alias("blankNodes"),
-        F.lit(header).cast("long").alias("header"),
-        (F.count("*") + header).alias("lines"),
-        F.count("*").alias("triples"),
-    )
+    told = lines.agg(*output_counters())
+    return told.select("blankNodes", F.lit(header).cast("long").alias("header"), (F.col("triples") + header).alias("lines"), "triples")

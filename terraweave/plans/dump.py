@@ -45,7 +45,8 @@ class Dump:
     @cached_property
     def shaped(self) -> DataFrame:
         """Located ways, made once for ways, areas and the spatial join."""
-        return stored(joins.shape_ways(joins.locate_ways(self.e.ways, self.e.locations)), "located-ways")
+        located = joins.locate_ways(self.e.ways, self.e.locations, self.c.store_locations)
+        return stored(joins.shape_ways(located), "located-ways")
 
     def counters(self) -> DataFrame:
         """(kind, seen, dumped, geometries) of the four kinds."""
@@ -107,9 +108,7 @@ class Dump:
             lines = self.shaped.filter(~F.col("is_area") & (F.size("points") > 0))
             parts.append(lines.select(f.subject("way").alias("id"), spatial.shape(lines=F.array("points")).alias("shape")))
         if not c.no_area_geometric_relations:
-            subject = F.when(F.col("from_way"), T.id_iri(f.names["way"], "obj_id", c.output_format)).otherwise(
-                T.id_iri(f.names["relation"], "obj_id", c.output_format)
-            )
+            subject = F.when(F.col("from_way"), f.subject("way", "obj_id")).otherwise(f.subject("relation", "obj_id"))
             parts.append(self.areas().select(subject.alias("id"), spatial.shape(polygons=F.col("polygons")).alias("shape")))
         if self.e.auxiliary is not None and parts:
             parts.append(self.e.auxiliary)
@@ -118,12 +117,11 @@ class Dump:
     def members(self) -> DataFrame:
         """(collection, member) IRIs of relations that are no areas."""
         own = self.e.relations.filter(~joins.is_area_relation()).select("id", F.explode("members").alias("m"))
-        number = F.abs("m.ref")
-        fmt, names = self.c.output_format, self.facts.names
-        target = F.when(F.col("m.type") == "node", T.id_iri(names["node"], number, fmt)).when(
-            F.col("m.type") == "way", T.id_iri(names["way"], number, fmt)
-        )
-        return own.select(T.id_iri(names["relation"], F.abs("id"), fmt).alias("collection"), target.alias("member")).dropna()
+        own = own.select("id", "m.type", F.abs("m.ref").alias("ref"))
+        # members are met by the names that their shapes have
+        node = T.id_iri(self.facts.names["node"], "ref", self.c.output_format)
+        target = F.when(F.col("type") == "node", node).when(F.col("type") == "way", self.facts.subject("way", "ref"))
+        return own.select(self.facts.subject("relation").alias("collection"), target.alias("member")).dropna()
 
     def spatial_triples(self) -> DataFrame | None:
         shapes = self.geometries()

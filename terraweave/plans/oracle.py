@@ -261,6 +261,10 @@ ORACLE_SQL["tagged_node_prefix"] = f"""SELECT '<' || CASE WHEN tagged THEN {lit(
 
 # -- ways ---------------------------------------------------------------------
 
+ORACLE_SQL["way_location_blocks"] = f"""SELECT o_orderkey AS id, count(ref) AS refs, count(lon) AS located,
+ coalesce(string_agg(CAST(ref AS VARCHAR), ',' ORDER BY pos) FILTER (lon IS NOT NULL), '') AS ref_order,
+ coalesce(sum(CAST(round(lon * 1e6) AS BIGINT)), 0)::BIGINT AS sum_x, count(*) FILTER (lon IS NOT NULL AND ref % 5 <> 0) AS tagged
+ FROM orders LEFT JOIN {LOCATED} r ON r.id = o_orderkey GROUP BY o_orderkey"""
 ORACLE_SQL["way_location_join"] = f"""SELECT o_orderkey AS id, count(ref) AS refs, count(lon) AS located
  FROM orders LEFT JOIN {LOCATED} ON id = o_orderkey GROUP BY o_orderkey"""
 IS_AREA = "(refs >= 4 AND closed AND tagged)"
@@ -394,6 +398,18 @@ ORACLE_SQL["area_shapes"] = union(
 ORACLE_SQL["area_oriented_boxes"] = f"""SELECT obj_id, 5::BIGINT AS corners, 'POLYGON((' || {corner()} || '))' AS extent FROM {BOXES}"""
 ORACLE_SQL["area_completeness"] = f"SELECT 'osmrel:' || obj_id AS s, {t(V.COMPLETE)} AS p, {typed(lit('true'), 'boolean')} AS o FROM {BOXES} WHERE NOT from_way"
 
+_wide = "({c} + {c} % 3 * 4294967296 + 7)"
+_wide_way, _wide_rel = f"'osmway:' || {_wide.format(c='o_orderkey')} % 4294967296", f"'osmrel:' || {_wide.format(c='c_custkey')} % 4294967296"
+_wide_node = f"'_:relation_' || {_wide.format(c='c_custkey')} % 4294967296 || '_0'"
+ORACLE_SQL["wide_ids"] = union(
+    f"SELECT {_wide_way} AS s, {t(V.TYPE)} AS p, {t((V.OBJECT, 'way'))} AS o FROM orders",
+    f"SELECT {_wide_rel}, {t(V.TYPE)}, {t((V.OBJECT, 'relation'))} FROM customer",
+    f"SELECT {_wide_rel}, {t(V.REL_MEMBER)}, {_wide_node} FROM customer",
+    f"SELECT {_wide_node}, {t(V.REL_MEMBER_ID)}, 'osmway:' || {_wide.format(c='c_custkey')} FROM customer",
+    f"SELECT {_wide_node}, {t(V.REL_MEMBER_ROLE)}, '\"x\"' FROM customer",
+    f"SELECT {_wide_node}, {t(V.REL_MEMBER_POS)}, {typed('0', 'integer')} FROM customer",
+)
+
 # -- spatial relations -------------------------------------------------------------
 
 ORACLE_SQL["spatial_point_in_area"] = f"""SELECT b.obj_id AS box, n.id AS point, lon > minx AND lon < maxx AND lat > miny AND lat < maxy AS inside
@@ -548,6 +564,7 @@ EDGES = """(SELECT n_regionkey + 1 AS src, n_nationkey + 100 AS dst FROM nation
 CLOSURE = f"""WITH RECURSIVE e AS (SELECT DISTINCT src::BIGINT AS src, dst::BIGINT AS dst FROM {EDGES}),
  c AS (SELECT src, dst FROM e UNION SELECT c.src, e.dst FROM c JOIN e ON c.dst = e.src)"""
 ORACLE_SQL["graph_successors"] = f"{CLOSURE} SELECT src, dst FROM c WHERE src <> dst"
+ORACLE_SQL["graph_reach"] = f"SELECT * FROM ({ORACLE_SQL['graph_successors']}) WHERE src BETWEEN 1 AND 5 OR src BETWEEN 100 AND 114"
 ORACLE_SQL["graph_edge_counts"] = f"""SELECT count(*) AS num_edges, (SELECT count(*) FROM (SELECT src FROM {EDGES} UNION SELECT dst FROM {EDGES})) AS num_vertices
  FROM {EDGES}"""
 _reduced = f"{CLOSURE} SELECT src, dst FROM c EXCEPT SELECT a.src, b.dst FROM c a JOIN c b ON a.dst = b.src"

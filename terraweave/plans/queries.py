@@ -261,6 +261,19 @@ def way_location_join(spark, d):
     return located.select("id", F.size("nds").cast("long").alias("refs"), known.cast("long").alias("located"))
 
 
+@query
+def way_location_blocks(spark, d):
+    """The same from blocks of ids: a row for each way and block, not for each reference."""
+    located = joins.locate_ways(A.ways(spark, d), A.located_nodes(spark, d), "mem-dense")
+    places = F.transform("located", lambda p: F.struct(p["ref"].alias("ref"), F.round(p["x"] * 1e6).cast("long").alias("x"), p["is_tagged"].alias("t")))
+    known = F.filter(places, lambda p: p["x"].isNotNull())
+    return located.select(
+        "id", F.size("nds").cast("long").alias("refs"), F.size(known).cast("long").alias("located"),
+        F.array_join(F.transform(known, lambda p: p["ref"]), ",").alias("ref_order"), F.aggregate(known, F.lit(0).cast("long"), lambda n, p: n + p["x"]).alias("sum_x"),
+        F.size(F.filter(known, lambda p: p["t"])).cast("long").alias("tagged"),
+    )
+
+
 @query
 def way_shape_flags(spark, d):
     return shaped_ways(spark, d).select("id", F.size("points").cast("long").alias("n_points"), "closed", "is_area")
@@ -351,6 +364,18 @@ def member_namespaces(spark, d):
     return found.filter(F.col("p") == T.name(V.WAY_MEMBER_ID, FMT))
 
 
+@query
+def wide_ids(spark, d):
+    """Ways and relations whose ids do not fit 32 bits: their own names do, references to them stay."""
+    f = facts()
+    wide = lambda c: F.col(c) + F.col(c) % 3 * F.lit(1 << 32) + F.lit(7)
+    ways = A.table(spark, d, "orders").select(wide("o_orderkey").alias("id"))
+    member = F.struct(F.lit("way").alias("type"), wide("c_custkey").alias("ref"), F.lit("x").alias("role"))
+    relations = A.table(spark, d, "customer").select((-wide("c_custkey")).alias("id"), F.array(member).alias("members"))
+    s = f.subject("relation")
+    return exploded(ways, f.type_of(f.subject("way"), "way")).unionByName(exploded(relations, f.type_of(s, "relation"), f.relation_members(s)))
+
+
 @query
 def node_lines(spark, d):
     """All facts of nodes as lines of the output."""
@@ -716,6 +741,12 @@ def graph_successors(spark, d):
     return graph.successors(geo_edges(spark, d))
 
 
+@query
+def graph_reach(spark, d):
+    """Whom twenty vertices reach, by a search from them alone."""
+    return graph.successors_of(geo_edges(spark, d), [*range(1, 6), *range(100, 115)])
+
+
 @query
 def graph_edge_counts(spark, d):
     return graph.counts(geo_edges(spark, d))

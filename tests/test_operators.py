@@ -10,7 +10,7 @@ from terraweave import vocabulary as V
 from terraweave.functions import geometry as G
 from tests import plain_relate as R
 from tests import plain_rings
-from terraweave.operators import areas, graph, joins, spatial, stats
+from terraweave.operators import areas, graph, joins, registry, spatial, stats
 from terraweave.operators.facts import Facts
 from terraweave.plans.dump import Dump, Entities, main
 from terraweave.sinks import triples as sink
@@ -309,6 +309,89 @@ def test_graph(spark):
     assert got == {(0, 6), (1, 2), (2, 0), (2, 4), (3, 6), (4, 6), (5, 2), (5, 3)}
 
 
+def plain_reach(edges):
+    out = {}
+    for s, t in edges:
+        out.setdefault(s, set()).add(t)
+
+    def of(v):
+        seen, todo = set(), list(out.get(v, ()))
+        while todo:
+            w = todo.pop()
+            if w not in seen:
+                seen.add(w)
+                todo += out.get(w, ())
+        return seen
+
+    return {v: of(v) for v in {x for e in edges for x in e}}
+
+
+def test_search_from_given_vertices(spark):
+    import random
+
+    rng = random.Random(6)
+    edges = [(rng.randrange(60), rng.randrange(60)) for _ in range(110)]
+    e = spark.createDataFrame(edges, "src long, dst long")
+    reach = plain_reach(edges)
+    asked = [v for v in range(65)]
+    # more sources than a number has bits, some of which have no edge, cycles among them
+    got = {tuple(r) for r in graph.successors_of(e, asked).collect()}
+    assert got == {(v, w) for v in asked for w in reach.get(v, ()) if w != v}
+    assert graph.successors_of(e, []).count() == 0 and graph.successors_of(e.limit(0), [1]).count() == 0
+
+
+def test_reduction_by_levels(spark):
+    import random
+
+    rng = random.Random(8)
+    for seed in range(2):
+        edges = sorted({tuple(sorted(rng.sample(range(90), 2))) for _ in range(260)})
+        e = spark.createDataFrame(edges + edges[:5], "src long, dst long")
+        reach = plain_reach(edges)
+        of = {}
+        for s, t in edges:
+            of.setdefault(s, set()).add(t)
+        want = {(s, t) for s, t in edges if not any(t in reach[w] for w in of[s] if w != t)}
+        assert {tuple(r) for r in graph.reduce_dag(e).collect()} == want
+    with pytest.raises(RuntimeError, match="cycle"):
+        graph.reduce_dag(spark.createDataFrame([(1, 2), (2, 3), (3, 2)], "src long, dst long"))
+    assert graph.reduce_dag(e.limit(0)).count() == 0
+
+
+def test_location_stores_agree(spark):
+    import random
+
+    rng = random.Random(3)
+    near = [(k, float(k % 170), float(k % 80), [("a", "b")] if k % 3 else []) for k in range(-40, 400) if k % 7]
+    far = [(10**12 + 999 * k, 1.0 * k, 2.0, []) for k in range(20)]
+    ids = [n[0] for n in near + far] + [5_000, -7]
+    w = ways(spark, [(k, [rng.choice(ids) for _ in range(rng.randrange(30))], []) for k in range(40)])
+    places = formats.locations(nodes(spark, near + far))
+    told = {s: {r.id: r.located for r in joins.locate_ways(w, places, s).collect()} for s in (None, *joins.STORES, "unknown")}
+    assert all(t == told[None] for t in told.values()) and any(told[None].values())
+    assert joins.is_dense(formats.locations(nodes(spark, near))) and not joins.is_dense(formats.locations(nodes(spark, far)))
+
+
+def test_registries(spark, monkeypatch):
+    ids = [1, 1, 2, 32768, 32769, 2**40, 2**40 + 1, 0, None]
+    df = spark.createDataFrame([("a" if k % 2 else "b", i) for k, i in enumerate(ids)], "kind string, ref long")
+    got = {r.kind: r.n for r in registry.counted(registry.registered(df, "ref", "kind"), "kind").collect()}
+    assert got == {"a": len({ids[k] for k in range(1, 9, 2)}), "b": len({ids[k] for k in range(0, 9, 2)} - {None})}
+    rows = spark.createDataFrame([(i, "x") for i in (1, 2, 3, 32767, 32768, 32769, 2**40, 2**41, 0, None)], "id long, _bits string")
+    for most in (8192, 0):
+        monkeypatch.setattr(registry, "BROADCAST_BITMAPS", most)
+        kept = registry.kept(rows, "id", registry.registered(df, "ref"))
+        assert {r.id for r in kept.collect()} == {1, 2, 32768, 32769, 2**40, 0} and kept.columns == rows.columns
+
+
+def test_wide_ids_can_be_kept(spark):
+    w = spark.createDataFrame([(2**32 + 5,)], "id long")
+    for wrap, number in ((True, 5), (False, 2**32 + 5)):
+        f = Facts(config(), wrap_ids=wrap)
+        assert w.select(f.subject("way").alias("s")).first().s == f"osmway:{number}"
+        assert w.select(f.subject("relation").alias("s")).first().s == f"osmrel:{number}"
+
+
 def test_config(tmp_path):
     f = tmp_path / "in.osm"
     f.write_text("<osm/>")
