@@ -25,9 +25,9 @@ class Config:
     output_format: str = "qlever"
     output_compression: str = "bz2"
     output_keep_files: bool = False
-    #: How parts become the output: "none" leaves them as they are, which is the way for
-    #: large outputs; "concatenate" joins them byte by byte through the driver.
-    output_merge: str = "concatenate"
+    #: How parts become the output: "none" leaves them as they are, in an order that a manifest
+    #: tells; "concatenate" joins them byte by byte through the driver, for small outputs.
+    output_merge: str = "none"
     cache: str = "/tmp"
     store_locations: str = "mem-flex"
     source_dataset: str = "OSM"

@@ -40,6 +40,54 @@ def convex_hull(points: Sequence[Point]) -> list[Point]:
     return [*ring, ring[0]]
 
 
+#: Points of all groups that a task holds before it keeps their hulls only.
+HELD_POINTS = 1 << 18
+
+
+def hulls_of_groups(points: DataFrame) -> DataFrame:
+    """(key, hull): the hull, as a closed ring, of all points (key, x, y) of each key.
+
+    A task keeps the hull of what it has seen of a key; hulls of tasks meet in one group of
+    a key and have a hull again. So a key's points need not stand in one row, or meet in
+    one task, before they are few. Points without a place are left out.
+    """
+    kind = points.schema["key"].dataType.simpleString()
+    told = points.filter("x is not null and y is not null").select("key", "x", "y")
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[object, list[Point]] = {}
+        held, key_type = 0, None
+        for batch in batches:
+            key_type = batch.column(0).type
+            keys, x, y = (c.to_pylist() for c in batch.columns)
+            for k, a, b in zip(keys, x, y, strict=True):
+                seen.setdefault(k, []).append((a, b))
+            held += len(keys)
+            if held >= HELD_POINTS:
+                seen = {k: convex_hull(own) for k, own in seen.items()}
+                held = sum(map(len, seen.values()))
+                if held >= HELD_POINTS // 2:
+                    # many keys, or hulls that take all points: others may join them
+                    yield rows(seen, key_type)
+                    seen, held = {}, 0
+        if seen:
+            yield rows({k: convex_hull(own) for k, own in seen.items()}, key_type)
+
+    def rows(seen: dict[object, list[Point]], key_type: pa.DataType | None) -> pa.RecordBatch:
+        flat = [(k, p) for k, own in seen.items() for p in own]
+        columns = [pa.array([k for k, _ in flat], key_type), pa.array([p[0] for _, p in flat], pa.float64()), pa.array([p[1] for _, p in flat], pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "x", "y"])
+
+    def whole(table: pa.Table) -> pa.Table:
+        ring = convex_hull(list(zip(table["x"].to_pylist(), table["y"].to_pylist(), strict=True)))
+        point = pa.struct([("x", pa.float64()), ("y", pa.float64())])
+        hull = pa.array([[{"x": a, "y": b} for a, b in ring]], pa.list_(point))
+        return pa.Table.from_arrays([table["key"].combine_chunks()[:1], hull], names=["key", "hull"])
+
+    few = told.mapInArrow(partial, f"key {kind}, x double, y double")
+    return few.groupBy("key").applyInArrow(whole, f"key {kind}, hull array<struct<x: double, y: double>>")
+
+
 def oriented_box(points: Sequence[Point]) -> list[Point]:
     """The hull of the smallest-area rectangle around the points, at any angle."""
     hull = convex_hull(points)

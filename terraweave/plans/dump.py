@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import os
 from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import Config, parse
@@ -17,6 +18,10 @@ from ..operators.facts import Facts, all_of
 from ..sinks import triples as sink
 from ..sources import formats
 from ..sources.stored import remove_stored, shared_path, stored
+from ..timing import Timings
+
+#: Of the command line's runs in this process.
+TIMINGS = Timings()
 
 
 @dataclass
@@ -41,6 +46,7 @@ class Dump:
         self.dumped = dumped
         self.c = config.normalised()
         self.facts = Facts(self.c)
+        self._observed: dict[tuple[str, str], Observation] = {}
 
     @cached_property
     def shaped(self) -> DataFrame:
@@ -94,6 +100,46 @@ class Dump:
             parts.append(self.facts.areas(self.areas()))
         return all_of(parts) if parts else None
 
+    def _watched(self, df: DataFrame, kind: str, what: str, *counters: Column) -> DataFrame:
+        """`df`, counted as it passes."""
+        self._observed[kind, what] = Observation(f"{kind} {what}")
+        return df.observe(self._observed[kind, what], *counters)
+
+    def observed_facts(self) -> DataFrame | None:
+        """As fact_triples, of entities that are counted on their way; once it is written, `told`
+        has the counts."""
+        count = lambda c: F.count_if(c).alias("n")
+        every = F.lit(True)
+        seen = lambda drop: [F.count("*").alias("seen"), F.count_if(F.size("tags") > 0 if drop else every).alias("dumped")]
+        parts, c = [], self.c
+        if not c.no_node_facts:
+            valid = F.count_if(G.valid(F.col("lon"), F.col("lat"))).alias("geometries")
+            parts.append(self.facts.nodes(self._watched(self.e.nodes, "node", "seen", *seen(c.no_untagged_nodes), valid)))
+        if not c.no_way_facts:
+            shaped = F.count_if(F.size("points") > 0).alias("geometries")
+            parts.append(self.facts.ways(self._watched(self.shaped, "way", "seen", *seen(c.no_untagged_ways), shaped)))
+        if not c.no_relation_facts:
+            shapes = joins.relation_geometries(self.e.relations, self.e.ways, self.e.locations)
+            shapes = self._watched(shapes, "relation", "geometries", count(F.size("parts") > 0))
+            rows = self._watched(self.e.relations, "relation", "seen", *seen(c.no_untagged_relations))
+            parts.append(self.facts.relations(rows, shapes, self.e.locations))
+        if not c.no_area_facts:
+            parts.append(self.facts.areas(self._watched(self.areas(), "area", "geometries", count(every))))
+        return all_of(parts) if parts else None
+
+    def told(self) -> list[tuple[str, int, int, int]]:
+        """(kind, seen, dumped, geometries) of the run that wrote observed_facts."""
+        out = []
+        for kind in ("node", "way", "relation", "area"):
+            own: dict[str, int] = {}
+            for (k, what), seen in self._observed.items():
+                if k == kind:
+                    own |= seen.get if what == "seen" else {"geometries": seen.get["n"]}
+            if own:
+                made = own["geometries"]
+                out.append((kind, own.get("seen", made), own.get("dumped", made), made))
+        return out
+
     def geometries(self) -> DataFrame | None:
         """(id, shape) of what takes part in the spatial join; ids are IRIs."""
         c, f = self.c, self.facts
@@ -136,7 +182,7 @@ class Dump:
     def triples(self) -> DataFrame:
         """Options, facts and spatial relations; without the header."""
         spark: SparkSession = self.e.nodes.sparkSession
-        parts = [sink.metadata(spark, self.c, dumped=self.dumped), self.fact_triples(), self.spatial_triples()]
+        parts = [sink.metadata(spark, self.c, dumped=self.dumped), self.observed_facts(), self.spatial_triples()]
         return all_of([p for p in parts if p is not None])
 
 
@@ -152,7 +198,8 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
 
 def _run(spark: SparkSession, c: Config) -> int:
     # the dump is parsed once, into tables that all branches read
-    kinds = formats.to_bronze(spark, c.input, shared_path(spark, "bronze")).values()
+    with TIMINGS.of("read"):
+        kinds = formats.to_bronze(spark, c.input, shared_path(spark, "bronze")).values()
     auxiliary = formats.read_wkt(spark, *c.aux_geo_files) if c.aux_geo_files else None
     dump = Dump(Entities(*kinds, auxiliary), c, datetime.now(timezone.utc)).triples()
     top = sink.header(spark, c.output_format, c)
@@ -162,11 +209,14 @@ def _run(spark: SparkSession, c: Config) -> int:
         return 0
     target = sink.with_ending(c.output, c.output_compression)
     sink.write(top.coalesce(1), f"{target}.header", compression=c.output_compression)
+    # lines are counted as they are written
+    counted = Observation("output")
+    with TIMINGS.of("write"):
+        sink.write(dump.observe(counted, *stats.output_counters()), f"{target}.parts", compression=c.output_compression)
     if c.write_rdf_statistics:
-        # written and counted from the same table
-        dump = stored(dump, "triples")
-        sink.write_statistics(dump, c.output, 0 if c.output_format == "nt" else top.count())
-    sink.write(dump, f"{target}.parts", compression=c.output_compression)
-    if c.output_merge == "concatenate":
+        sink.write_statistics(spark, counted.get, c.output, 0 if c.output_format == "nt" else top.count())
+    if c.output_merge == "none":
+        sink.name_parts(spark, f"{target}.parts", os.path.basename(target), first=f"{target}.header")
+    else:
         sink.merge(spark, f"{target}.parts", target, keep=c.output_keep_files, first=f"{target}.header")
     return 0

@@ -533,6 +533,17 @@ ORACLE_SQL["dump_counters"] = f"""SELECT 'node' AS kind, count(*) AS seen, count
  UNION ALL SELECT 'way', count(*), count(*) FILTER (tagged), count(*) FILTER (n_points > 0) FROM {FLAGS}
  UNION ALL SELECT 'relation', (SELECT count(*) FROM customer) + (SELECT count(*) FROM region),
   (SELECT count(*) FROM customer) + (SELECT count(*) FROM region), count(*) FILTER (parts > 0) FROM ({ORACLE_SQL['relation_geometry']})"""
+ORACLE_SQL["run_counters"] = ORACLE_SQL["dump_counters"]
+# an edge of the hull has all other points to its left, or on it
+_cloud = f"(SELECT id, CAST(floor(lon * 1e4) AS BIGINT) AS x, CAST(floor(lat * 1e4) AS BIGINT) AS y, p_size AS size FROM {NODES})"
+_turn = "(x1 - x0) * (o.y - y0) - (y1 - y0) * (o.x - x0)"
+ORACLE_SQL["node_cloud_hulls"] = f"""WITH c AS MATERIALIZED (SELECT DISTINCT size, x, y FROM {_cloud}),
+ pairs AS (SELECT a.size, a.x AS x0, a.y AS y0, b.x AS x1, b.y AS y1 FROM c a JOIN c b ON a.size = b.size AND (a.x <> b.x OR a.y <> b.y)),
+ edges AS (SELECT * FROM pairs p WHERE NOT EXISTS (SELECT 1 FROM c o WHERE o.size = p.size
+  AND ({_turn} < 0 OR ({_turn} = 0 AND (o.x - x0) * (o.x - x1) + (o.y - y0) * (o.y - y1) > 0)))),
+ boxes AS (SELECT size, min(x) AS minx, min(y) AS miny, max(x) AS maxx, max(y) AS maxy FROM c GROUP BY size)
+ SELECT size::BIGINT AS size, count(*) AS corners, CAST(sum(x0 * y1 - x1 * y0) AS BIGINT) AS twice_area, minx, miny, maxx, maxy
+ FROM edges JOIN boxes USING (size) GROUP BY size, minx, miny, maxx, maxy"""
 _east = "20037508.34 / 180"
 ORACLE_SQL["mercator_points"] = f"""SELECT id, CAST(round(trunc(lon * {_east} * 10) / 100) AS BIGINT) AS x,
  CAST(round(trunc(ln(tan((least({MERCATOR_EDGE}, greatest(-{MERCATOR_EDGE}, lat)) + 90) * pi() / 360)) / (pi() / 180) * {_east} * 10) / 100) AS BIGINT) AS y FROM {NODES}"""

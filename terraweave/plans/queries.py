@@ -441,6 +441,19 @@ def area_shapes(spark, d):
     return exploded(rows.withColumn("id", F.col("obj_id")), *f.shapes(s, F.col("obj_id"), "way"))
 
 
+@query
+def node_cloud_hulls(spark, d):
+    """Hulls of the nodes of each size, whose points are spread over tasks: corners, area, extent."""
+    points = A.nodes(spark, d).join(A.table(spark, d, "part").select(F.col("p_partkey").alias("id"), F.col("p_size").cast("long").alias("key")), "id")
+    whole = lambda c: F.floor(F.col(c) * 1e4).cast("double")
+    found = kernels.hulls_of_groups(points.select("key", whole("lon").alias("x"), whole("lat").alias("y")))
+    box = G.box(F.col("hull"))
+    return found.select(
+        F.col("key").alias("size"), (F.size("hull") - 1).cast("long").alias("corners"), matrix.turn_of(F.col("hull")).cast("long").alias("twice_area"),
+        *(box[c].cast("long").alias(c) for c in ("minx", "miny", "maxx", "maxy")),
+    )
+
+
 @query
 def area_oriented_boxes(spark, d):
     """Corners of the oriented boxes, which are the boxes themselves."""
@@ -651,6 +664,14 @@ def dump_counters(spark, d):
     return adapter_dump(spark, d, no_untagged_ways=True).counters().filter("kind <> 'area'")
 
 
+@query
+def run_counters(spark, d):
+    """The same, told by the run that writes, without a job of its own."""
+    run = adapter_dump(spark, d, no_untagged_ways=True, no_areas=True)
+    run.observed_facts().write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(run.told(), "kind string, seen long, dumped long, geometries long")
+
+
 @query
 def mercator_points(spark, d):
     """Nodes on the projected map, in whole decimetres."""

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from .. import vocabulary as V
 from ..config import Config, option_rows
 from ..functions import text as T
-from ..operators.stats import output_statistics
 
 #: The engine's version, as the output tells it.
 VERSION = "0.2"
@@ -105,13 +104,38 @@ def statistics_path(output: str) -> str:
     return f"{output}.stats.json"
 
 
-def write_statistics(triples: DataFrame, output: str, header_lines: int) -> dict:
-    """Counts of what was written, as JSON beside the output."""
-    found = output_statistics(triples, header_lines).first().asDict()
-    spark = triples.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(statistics_path(output))
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(path, True)
-    out.write(bytearray(json.dumps(found).encode()))
+def _written(spark: SparkSession, path: str, text: str) -> None:
+    """A small file of this text."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path, True)
+    out.write(bytearray(text.encode()))
     out.close()
+
+
+def name_parts(spark: SparkSession, folder: str, prefix: str, *, first: str | None = None) -> list[str]:
+    """Parts below `folder` under the names of `part_name`, and the order in which they make one
+    output in `folder`/MANIFEST, those of `first` before; nothing is copied."""
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path_of(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def parts(where: str) -> list[str]:
+        return sorted(s.getPath().getName() for s in fs.listStatus(path_of(where)) if s.getPath().getName().startswith("part-"))
+
+    found = [(where, name) for where in (first, folder) if where for name in parts(where)]
+    names = []
+    for number, (where, name) in enumerate(found):
+        names.append(part_name(prefix, number, len(found)))
+        if not fs.rename(path_of(f"{where}/{name}"), path_of(f"{folder}/{names[-1]}")):
+            raise OSError(f"cannot name {where}/{name}")
+    if first:
+        fs.delete(path_of(first), True)
+    _written(spark, f"{folder}/MANIFEST", "".join(f"{n}\n" for n in names))
+    return names
+
+
+def write_statistics(spark: SparkSession, counted: dict[str, int], output: str, header_lines: int) -> dict:
+    """The counters of what was written (stats.output_counters), as JSON beside the output."""
+    triples = counted["triples"]
+    found = {"blankNodes": counted["blankNodes"], "header": header_lines, "lines": triples + header_lines, "triples": triples}
+    _written(spark, statistics_path(output), json.dumps(found))
     return found

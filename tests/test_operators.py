@@ -1,6 +1,7 @@
 """Facts, joins, spatial relations, graphs, configuration, files: on small inputs."""
 
 import bz2
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +13,11 @@ from tests import plain_relate as R
 from tests import plain_rings
 from terraweave.operators import areas, graph, joins, registry, spatial, stats
 from terraweave.operators.facts import Facts
-from terraweave.plans.dump import Dump, Entities, main
+from terraweave.plans.dump import TIMINGS, Dump, Entities, main
 from terraweave.sinks import triples as sink
 from terraweave.sources import formats
 from terraweave.sources.tables import TAGS
+from terraweave.timing import Timings
 
 META = "changeset long, seconds long, user string, uid long, version long, visible boolean"
 NONE = (0, 0, "", 0, 0, True)
@@ -541,9 +543,52 @@ def test_geometries_are_simplified_by_their_whole_length(spark):
 def test_parts_stay_apart_without_merge(spark, tmp_path):
     (tmp_path / "a.osm").write_text(XML)
     out = tmp_path / "out.ttl"
-    assert main([str(tmp_path / "a.osm"), "-o", str(out), "--output-format", "ttl", "--output-merge", "none"], spark) == 0
+    told = TIMINGS.steps.get("write")
+    before = told.count if told else 0
+    for _ in range(2):
+        assert main([str(tmp_path / "a.osm"), "-o", str(out), "--output-format", "ttl", "--write-rdf-statistics"], spark) == 0
     folder = tmp_path / "out.ttl.bz2.parts"
-    assert not (tmp_path / "out.ttl.bz2").exists() and list(folder.glob("part-*.bz2"))
+    names = (folder / "MANIFEST").read_text().split()
+    assert not (tmp_path / "out.ttl.bz2").exists() and not (tmp_path / "out.ttl.bz2.header").exists()
+    assert sorted(p.name for p in folder.glob("out*")) == sorted(names) == names and names[0] == sink.part_name("out.ttl.bz2", 0, len(names))
+    lines = b"".join(bz2.decompress((folder / n).read_bytes()) for n in names).decode().splitlines()
+    assert lines[0].startswith("@prefix") and not any(x.startswith("@prefix") for x in lines[-5:])
+    # the counters of the one run that wrote
+    found = json.loads((tmp_path / "out.ttl.stats.json").read_text())
+    header = sum(x.startswith("@prefix") for x in lines)
+    made = {x.split(" ")[2] for x in lines if " _:" in x}
+    assert found == {"blankNodes": len(made), "header": header, "lines": len(lines), "triples": len(lines) - header}
+    step = TIMINGS.steps["write"]
+    assert step.count == before + 2 and 0 < step.least <= step.mean <= step.most
+
+
+def test_timings():
+    t = Timings()
+    for _ in range(2):
+        with t.of("a"):
+            pass
+    with pytest.raises(ValueError), t.of("b"):
+        raise ValueError
+    assert [(r[0], r[1]) for r in t.rows()] == [("a", 2), ("b", 1)] and all(0 <= r[2] <= r[3] <= r[4] for r in t.rows())
+    t.steps["a"].add(5.0)
+    assert t.steps["a"].most == 5.0 and t.steps["a"].count == 3 and Timings().rows() == []
+
+
+def test_hulls_of_many_tasks(spark, monkeypatch):
+    import random
+
+    from terraweave.functions import kernels
+
+    rng = random.Random(4)
+    points = {k: [(float(rng.randint(-50, 50)), float(rng.randint(-50, 50))) for _ in range(n)] for k, n in enumerate((1, 2, 5, 400, 1000))}
+    points[9] = [(float(x), 0.0) for x in range(30)]
+    rows = [(k, *p) for k, own in points.items() for p in own] + [(0, None, 1.0), (3, 2.0, None)]
+    rng.shuffle(rows)
+    monkeypatch.setattr(kernels, "HELD_POINTS", 64)
+    df = spark.createDataFrame(rows, "key long, x double, y double").repartition(5)
+    got = {r.key: [tuple(p) for p in r.hull] for r in kernels.hulls_of_groups(df).collect()}
+    assert got == {k: kernels.convex_hull(own) for k, own in points.items()}
+    assert kernels.hulls_of_groups(df.limit(0)).count() == 0
 
 
 def test_a_line_must_fit_the_buffer(spark):
