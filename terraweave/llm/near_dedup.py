@@ -322,11 +322,12 @@ def _class_components(
     pairs = _mates_of_strays(members.filter(F.col("size") <= SMALL_GROUP))
     further = _links(_estimated(pairs, classes, similarity).select("a", "b"), sets, similarity)
     large = members.filter(F.col("size") > SMALL_GROUP)
+    told = None
     if large.limit(1).count():
         told = stored(_differences(large.select("a", "b"), sets), "differences")
         further = further.union(_block_links(large, told, similarity))
     out = connected_components(links.union(further))
-    for done in (stars, sets, links, of_a, parts, largest, members):
+    for done in (stars, sets, links, of_a, parts, largest, members, *([] if told is None else [told])):
         remove_table(done)
     return out
 

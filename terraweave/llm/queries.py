@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe_dp, chat_format, collocations, decontaminate, language_id, near_dedup, packing, pii, resampling, secret_scan, token_counts, token_files, transport_stream
-from .tables import shared_path, table
+from .tables import shared_path, spread, table
 
 
 def tokenizer_file(name: str) -> str:
@@ -16,9 +16,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents; those of one fat file are dealt to all cores."""
+    return spread(table(spark, sf_dir, "documents"))
+
+
 def op1_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text as a transport stream, read back."""
-    streams = transport_stream.store_texts(table(spark, sf_dir, "documents"))
+    streams = transport_stream.store_texts(documents(spark, sf_dir))
     parsed = transport_stream.parse_streams(
         streams.withColumn("media_bytes", F.length("media").cast("long")).withColumn(
             "media_sha256", F.sha2("media", 256)
@@ -40,10 +45,10 @@ def op1_transport_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret of all documents with the forest's verdict."""
-    documents = table(spark, sf_dir, "documents")
-    words = [*secret_scan.DICTIONARY, *secret_scan.learned_words(documents)]
+    docs = documents(spark, sf_dir)
+    words = [*secret_scan.DICTIONARY, *secret_scan.learned_words(docs)]
     model = secret_scan.fit(secret_scan.labelled_findings(spark), words)
-    return secret_scan.scan(documents, model, words=words)
+    return secret_scan.scan(docs, model, words=words)
 
 
 #: The key of surrogates in queries; a real run passes its own secret.
@@ -52,18 +57,18 @@ SURROGATE_KEY = b"terraweave query key"
 
 def op3_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its personal data replaced, and what replaced it."""
-    return pii.replace_checked(table(spark, sf_dir, "documents"), SURROGATE_KEY, keep=["doc_id"])
+    return pii.replace_checked(documents(spark, sf_dir), SURROGATE_KEY, keep=["doc_id"])
 
 
 def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items that each document contains."""
-    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     encoded = bpe_dp.encode_documents(
-        table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json")
+        documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json")
     )
     return encoded.select(
         "doc_id",
@@ -76,7 +81,7 @@ def op5_bpe_prefix_dp(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of all documents, written, then read back."""
     folder = token_files.write_token_files(
-        table(spark, sf_dir, "documents"),
+        documents(spark, sf_dir),
         shared_path(spark, "token-files"),
         tokenizer_file("byte_bpe_50k.json"),
         end_id=2,
@@ -87,13 +92,13 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts.count_tokens(
-        table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"), limit=4096
+        documents(spark, sf_dir), tokenizer_file("piece_bpe_32k.model"), limit=4096
     )
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of documents that are similar on two-word shingles."""
-    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=2, similarity=80)
+    return near_dedup.near_duplicates(documents(spark, sf_dir), words=2, similarity=80)
 
 
 def op9_chat_windows(spark: SparkSession, sf_dir: str, **options: int) -> DataFrame:
@@ -120,22 +125,22 @@ def op9_chat_windows(spark: SparkSession, sf_dir: str, **options: int) -> DataFr
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from two thirds of the labelled ones."""
-    return language_id.identify(table(spark, sf_dir, "documents"))
+    return language_id.identify(documents(spark, sf_dir))
 
 
 def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 phrases of each language."""
-    return collocations.collocations(table(spark, sf_dir, "documents"))
+    return collocations.collocations(documents(spark, sf_dir))
 
 
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tenth of the documents, drawn towards the benchmark's words, with all scores."""
-    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return resampling.resample(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
 def op13_pack_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document in sequences of 1024 tokens."""
-    pieces = packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    pieces = packing.pack_documents(documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), end_id=0)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
