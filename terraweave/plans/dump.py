@@ -17,7 +17,7 @@ from ..operators import areas, joins, spatial, stats
 from ..operators.facts import Facts, all_of
 from ..sinks import triples as sink
 from ..sources import formats
-from ..sources.stored import remove_stored, shared_path, stored
+from ..sources.stored import remove_stored, stored
 from ..timing import Timings
 
 #: Of the command line's runs in this process.
@@ -199,7 +199,7 @@ def main(argv: list[str], spark: SparkSession | None = None) -> int:
 def _run(spark: SparkSession, c: Config) -> int:
     # the dump is parsed once, into tables that all branches read
     with TIMINGS.of("read"):
-        kinds = formats.to_bronze(spark, c.input, shared_path(spark, "bronze")).values()
+        kinds = formats.to_bronze(spark, c.input).values()
     auxiliary = formats.read_wkt(spark, *c.aux_geo_files) if c.aux_geo_files else None
     dump = Dump(Entities(*kinds, auxiliary), c, datetime.now(timezone.utc)).triples()
     top = sink.header(spark, c.output_format, c)

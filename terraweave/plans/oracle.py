@@ -268,6 +268,7 @@ ORACLE_SQL["way_location_blocks"] = f"""SELECT o_orderkey AS id, count(ref) AS r
 ORACLE_SQL["way_location_join"] = f"""SELECT o_orderkey AS id, count(ref) AS refs, count(lon) AS located
  FROM orders LEFT JOIN {LOCATED} ON id = o_orderkey GROUP BY o_orderkey"""
 IS_AREA = "(refs >= 4 AND closed AND tagged)"
+ORACLE_SQL["way_location_buckets"] = ORACLE_SQL["way_location_join"]
 ORACLE_SQL["way_shape_flags"] = f"SELECT id, n_points, closed, {IS_AREA} AS is_area FROM {FLAGS}"
 _way_node = "'_:way_' || id || '_' || pos"
 WAY_MEMBERS = union(

@@ -22,7 +22,7 @@ from ..operators.facts import Facts, all_of, exploded
 from ..sinks import triples as sink
 from ..sources import formats
 from ..sources import tables as A
-from ..sources.stored import shared_path
+from ..sources.stored import bucketed, shared_path
 from ..streaming import events as stream
 from . import lattice
 from .dump import Dump, Entities
@@ -274,6 +274,16 @@ def way_location_blocks(spark, d):
     )
 
 
+@query
+def way_location_buckets(spark, d):
+    """References and locations from tables in buckets of ids: only references are shuffled."""
+    nodes = bucketed(A.nodes(spark, d).filter(F.col("id") % 17 != 0), "nodes", "id")
+    ways = bucketed(A.ways(spark, d), "ways", "id")
+    located = joins.locate_ways(ways, formats.locations(nodes))
+    known = F.size(F.filter("located", lambda p: p["x"].isNotNull()))
+    return located.select("id", F.size("nds").cast("long").alias("refs"), known.cast("long").alias("located"))
+
+
 @query
 def way_shape_flags(spark, d):
     return shaped_ways(spark, d).select("id", F.size("points").cast("long").alias("n_points"), "closed", "is_area")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.wkt import parse_wkt
+from .stored import bucketed
 from .tables import TAGS
 
 _META = (
@@ -146,14 +147,10 @@ def read_entities(spark: SparkSession, path: str, kind: str) -> DataFrame:
     raise ValueError(f"unknown file format: {path}")
 
 
-def to_bronze(spark: SparkSession, path: str, out: str) -> dict[str, DataFrame]:
-    """The three kinds of a dump as Parquet tables below `out`: later reads prune columns."""
-    tables = {}
-    for kind in ("node", "way", "relation"):
-        target = f"{out}/{kind}s"
-        read_entities(spark, path, kind).write.mode("overwrite").parquet(target)
-        tables[kind] = spark.read.parquet(target)
-    return tables
+def to_bronze(spark: SparkSession, path: str) -> dict[str, DataFrame]:
+    """The three kinds of a dump as Parquet tables in buckets of their ids: later reads prune columns,
+    and joins on ids, of references with nodes above all, leave them where they are."""
+    return {kind: bucketed(read_entities(spark, path, kind), f"{kind}s", "id") for kind in ("node", "way", "relation")}
 
 
 def locations(nodes: DataFrame) -> DataFrame:

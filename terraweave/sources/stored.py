@@ -47,8 +47,29 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bucketed tables that this process made and has not dropped.
+_named: list[str] = []
+
+
+def bucketed(df: DataFrame, purpose: str, column: str) -> DataFrame:
+    """`df`, written below the shared folder in buckets of `column`, sorted by it, and reread.
+
+    A join on the column leaves the table where it is; there are as many buckets as shuffles
+    have partitions, so the other side is dealt to them.
+    """
+    spark = df.sparkSession
+    path = shared_path(spark, purpose)
+    name = f"{purpose}_{uuid.uuid4().hex}".replace("-", "_")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.option("path", path).bucketBy(buckets, column).sortBy(column).saveAsTable(name)
+    _named.append(name)
+    return spark.table(name)
+
+
 def remove_stored(spark: SparkSession) -> None:
     """Remove the tables of finished work; what was read from them is no longer usable."""
+    while _named:
+        spark.sql(f"DROP TABLE IF EXISTS {_named.pop()}")
     while _written:
         path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
