@@ -104,12 +104,10 @@ RELATIONS = [
 
 def relation_lines(suppliers: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(relations, shaped ways): each supplier's lines of RELATIONS, as members."""
-    own = placed(suppliers).select("id", "ox", "oy", "tile", (F.col("id") % len(RELATIONS)).alias("kind"))
-    corner = lambda p: sheared(F.col("ox") + p[0], F.col("oy") + p[1])
-    lines = F.lit(None)
-    for k, (parts, _) in enumerate(RELATIONS):
-        lines = F.when(F.col("kind") == k, F.array(*(F.array(*map(corner, p)) for p in parts))).otherwise(lines)
-    ways = own.select("id", F.posexplode(lines).alias("k", "points"))
+    own = placed(suppliers).select("id", "ox", "oy", "tile", (F.col("id") % len(RELATIONS)).cast("int").alias("kind"))
+    drawn = [(kind, k, points) for kind, (parts, _) in enumerate(RELATIONS) for k, points in enumerate(parts)]
+    lines = suppliers.sparkSession.createDataFrame(drawn, "kind int, k int, drawn array<struct<x: int, y: int>>")  # some twenty rows
+    ways = own.join(F.broadcast(lines), "kind").withColumn("points", F.transform("drawn", lambda p: sheared(F.col("ox") + p["x"], F.col("oy") + p["y"])))
     shaped = ways.select((F.col("id") * 10 + F.col("k")).alias("id"), "points", F.transform("points", lambda p, i: i.cast("long")).alias("nds"))
     member = F.struct(F.lit("way").alias("type"), (F.col("id") * 10 + F.col("k")).alias("ref"), F.lit("").alias("role"))
     tags = F.array(F.struct(F.lit("type").alias("k"), F.lit("boundary").alias("v")))
