@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 Point = tuple[float, float]
 
@@ -222,27 +223,32 @@ def points_array(lines: Sequence[Sequence[Point] | None]) -> pa.Array:
     return pa.ListArray.from_arrays(ends, inner, type=_POINTS, mask=null)
 
 
+#: What is made, until it is taken apart.
+_MADE = "_made_lines"
 #: What makes a line: the column it reads, the column it makes, and the function.
 Maker = tuple[str, str, Callable[[list], Sequence[Point]]]
 
 
 def with_lines(df: DataFrame, makers: Sequence[Maker]) -> DataFrame:
-    """`df` with the lines that all `makers` make, in one pass; null of null."""
+    """`df` with the lines that all `makers` make, in one pass; null of null.
+
+    Only the columns that are read travel to Python.
+    """
     if not makers:
         return df
-    made_of = "".join(f", `{target}` array<struct<x: double, y: double>>" for _, target, _ in makers)
-    schema = ", ".join(f"`{c.name}` {c.dataType.simpleString()}" for c in df.schema) + made_of
-    places = {source: df.columns.index(source) for source, _, _ in makers}
+    sources = list(dict.fromkeys(source for source, _, _ in makers))
+    line = "array<struct<x: double, y: double>>"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            read = {source: read_points(batch.column(at)) for source, at in places.items()}
-            made = [points_array([None if g is None else f(g) for g in read[source]]) for source, _, f in makers]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, *made], names=[*batch.schema.names, *(target for _, target, _ in makers)]
-            )
+    def make(*columns: pa.Array) -> pa.Array:
+        read = {source: read_points(column) for source, column in zip(sources, columns, strict=True)}
+        made = [points_array([None if g is None else f(g) for g in read[source]]) for source, _, f in makers]
+        return pa.StructArray.from_arrays(made, names=[target for _, target, _ in makers])
 
-    return df.mapInArrow(run, schema)
+    made = F.arrow_udf(make, ", ".join(f"`{target}` {line}" for _, target, _ in makers))
+    told = df.withColumn(_MADE, made(*(F.col(f"`{s}`") for s in sources)))
+    for _, target, _ in makers:
+        told = told.withColumn(target, F.col(_MADE)[target])
+    return told.drop(_MADE)
 
 
 def hull_maker(source: str = "points", target: str = "hull", more_than: int = 0, deviation: float = 0.0) -> Maker:
@@ -307,8 +313,6 @@ def with_simplified_geometry(df: DataFrame, more_than: int, deviation: float, so
     """`df` with `target`: the geometry `source`, lists of lines of any depth, simplified
     where it has more than `more_than` points; null of null."""
     kind = df.schema[source].dataType.simpleString()
-    schema = f"{', '.join(f'`{c.name}` {c.dataType.simpleString()}' for c in df.schema)}, `{target}` {kind}"
-    place = df.columns.index(source)
 
     def lines_of(geometry) -> Iterator[list]:
         for part in geometry:
@@ -334,10 +338,7 @@ def with_simplified_geometry(df: DataFrame, more_than: int, deviation: float, so
             return geometry
         return rebuilt(geometry, iter(simplified_lines(lines, deviation, closed)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column(place)
-            made = pa.array([one(g) for g in column.to_pylist()], column.type)
-            yield pa.RecordBatch.from_arrays([*batch.columns, made], names=[*batch.schema.names, target])
+    def make(column: pa.Array) -> pa.Array:
+        return pa.array([one(g) for g in column.to_pylist()], column.type)
 
-    return df.mapInArrow(run, schema)
+    return df.withColumn(target, F.arrow_udf(make, kind)(F.col(f"`{source}`")))
