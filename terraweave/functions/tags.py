@@ -61,7 +61,8 @@ def date(value: Column) -> Column:
     # behind the leading hyphen an empty year counts as 0
     shape = r"^(?=.*[0-9])(-?)([0-9]*)(?:-([0-9]+))?(?:-([0-9]+))?$"
     part = [F.regexp_extract(value, shape, k) for k in range(5)]
-    year = F.concat(part[1], F.lpad(F.when(part[2] == "", 0).otherwise(F.coalesce(part[2].try_cast("int"), F.lit(2**31 - 1))).cast("string"), 4, "0"))
+    # by its digits, as a year may have more of them than a number holds
+    year = F.concat(part[1], F.lpad(F.regexp_replace(part[2], "^0+", ""), 4, "0"))
     month, day = part[3].try_cast("int"), part[4].try_cast("int")
     two = lambda n: F.lpad(n.cast("string"), 2, "0")
     good_month, good_day = month.between(1, 12), day.between(1, 31)

@@ -90,6 +90,12 @@ def test_dates(spark):
     ]
 
 
+def test_years_of_many_digits(spark):
+    values = ["20201199995", "-99999999999999999999-5", "000000000000000012", "00000"]
+    got = table(spark, values, lambda v: F.concat_ws(" ", tags.date(v)["kind"], tags.date(v)["text"]))
+    assert got == ["gYear 2020", "gYearMonth -9999-05", "gYear 0012", "gYear 0000"]
+
+
 def test_wiki_values(spark):
     assert table(spark, ["  Q42  ", "Q42;Q1337", "q7", ""], tags.wikidata_id) == ["Q42", "Q42", "7", ""]
     got = table(spark, ["de:Bremen im Breisgau", "Bremen_im_Breisgau", "fr:a:b"], lambda v: tags.wikipedia_iri(v, "qlever"))
