@@ -13,6 +13,7 @@ from tests import plain_relate as R
 from tests import plain_rings
 from terraweave.operators import areas, graph, joins, registry, spatial, stats
 from terraweave.operators.facts import Facts
+from terraweave.plans import lattice
 from terraweave.plans.dump import TIMINGS, Dump, Entities, main
 from terraweave.sinks import triples as sink
 from terraweave.sources import formats
@@ -296,6 +297,13 @@ def test_a_ring_of_many_lines(spark):
 EDGES = [(0, 1), (0, 3), (0, 4), (1, 4), (2, 4), (2, 6), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, 6)]
 
 
+def test_pairs_and_rings_pass_nothing_whole_through_the_driver(spark, data):
+    suppliers = spark.read.parquet(f"{data}/supplier.parquet")
+    for found in (spatial.relations(lattice.shapes(suppliers)), areas.of_relations(*lattice.relation_lines(suppliers))):
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_graph(spark):
     e = spark.createDataFrame(EDGES, "src long, dst long")
     want = {(0, 1), (0, 3), (1, 4), (2, 4), (2, 6), (5, 0), (5, 2)}
