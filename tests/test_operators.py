@@ -297,6 +297,21 @@ def test_a_ring_of_many_lines(spark):
 EDGES = [(0, 1), (0, 3), (0, 4), (1, 4), (2, 4), (2, 6), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, 6)]
 
 
+def test_a_collection_may_overlap_by_members_only(spark):
+    box = lambda x, y, w, h: [[[(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]]]
+    # 2 lies in 1 and 3 apart from it; 5 overlaps 1
+    boxes = [(1, box(0.0, 0.0, 4.0, 4.0)), (2, box(1.0, 1.0, 1.0, 1.0)), (3, box(9.0, 9.0, 1.0, 1.0)), (5, box(3.0, 3.0, 2.0, 2.0))]
+    rows = spark.createDataFrame(boxes, f"id long, polygons {G.MULTIPOLYGON}")
+    shapes = rows.select("id", spatial.shape(polygons=F.col("polygons")).alias("shape"))
+    members = spark.createDataFrame([(-1, 2), (-1, 3), (-2, 5), (-2, 3), (-3, 1), (-3, 3)], "collection long, member long")
+    told = {}
+    for by_member in (False, True):
+        found = spatial.with_collections(shapes, members, by_member=by_member).filter("predicate = 'Overlaps' and (a < 0 or b < 0)")
+        told[by_member] = {(r.a, r.b) for r in found.collect()}
+    assert (-1, 1) in told[False] and {(-1, 1), (1, -1)}.isdisjoint(told[True])
+    assert {(-2, 1), (1, -2), (-3, -2), (-2, -3), (-3, 5), (5, -3)} <= told[True] <= told[False]
+
+
 def test_pairs_and_rings_pass_nothing_whole_through_the_driver(spark, data):
     suppliers = spark.read.parquet(f"{data}/supplier.parquet")
     for found in (spatial.relations(lattice.shapes(suppliers)), areas.of_relations(*lattice.relation_lines(suppliers))):
