@@ -13,7 +13,7 @@ from tests import plain_relate as R
 from tests import plain_rings
 from terraweave.operators import areas, graph, joins, registry, spatial, stats
 from terraweave.operators.facts import Facts
-from terraweave.plans import lattice
+from terraweave.plans import lattice, queries
 from terraweave.plans.dump import TIMINGS, Dump, Entities, main
 from terraweave.sinks import triples as sink
 from terraweave.sources import formats
@@ -297,6 +297,13 @@ def test_a_ring_of_many_lines(spark):
 EDGES = [(0, 1), (0, 3), (0, 4), (1, 4), (2, 4), (2, 6), (5, 0), (5, 1), (5, 2), (5, 3), (5, 4), (5, 6)]
 
 
+def test_xml_files_are_bounded(spark, data, monkeypatch):
+    monkeypatch.setattr(queries, "XML_ROWS", 10)
+    found = queries.QUERIES["xml_nodes"](spark, data)
+    n = spark.read.parquet(f"{data}/part.parquet").count()
+    assert len(found.inputFiles()) >= n / 10 and found.count() == found.select("id").distinct().count() == n
+
+
 def test_a_collection_may_overlap_by_members_only(spark):
     box = lambda x, y, w, h: [[[(x, y), (x + w, y), (x + w, y + h), (x, y + h), (x, y)]]]
     # 2 lies in 1 and 3 apart from it; 5 overlaps 1
