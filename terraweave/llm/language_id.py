@@ -9,12 +9,13 @@ predicts, decide. The number of slots follows from the n-grams that were learned
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .pieces import byte_slices, map_in_arrow
@@ -33,9 +34,9 @@ SLOTS_PER_NGRAM = 13
 LEAST_BITS = 16
 #: Slots that are or-ed into one row before they go to the driver, a power of two.
 BLOCK_BITS = 13
-#: Labelled documents per language that the filter is built from, in expectation.
-PER_LANGUAGE = 3000
-_DRAWS = 1 << 24
+#: Different words, and code points of texts, that a task counts before it hands them on.
+HELD_WORDS = 200_000
+HELD_CODES = 1 << 23
 #: An n-gram belongs to a language if at least this share of its n-grams of that
 #: length, and two occurrences, are it; junk and foreign passages stay below.
 LEAST_SHARE = 2e-6
@@ -51,6 +52,9 @@ BATCH_BYTES = 1 << 18
 #: this share of the labelled texts.
 SIZES = 24
 TAIL = 0.01
+#: Steps of 1 that measures are counted in, so that quantiles of any number of texts are exact
+#: within a step and come from at most some ten thousand counts.
+STEPS = 10_000
 #: The fall that TAIL of samples of one n-gram exceed: 2.33 deviations of a share of
 #: 0.95, where 16 n-grams, about a word's, are found or missed as one.
 SPREAD = 2.33 * (0.95 * 0.05 * 16) ** 0.5
@@ -79,9 +83,9 @@ def letters(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
     Every other run of characters is one blank; each text begins and ends with one.
     """
-    raw = " ".join("" if t is None else t.replace("\x00", " ") for t in texts) + " "
+    raw = "".join(" " if t is None else f" {t} " for t in texts)
     codes = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), np.uint32)
-    sizes = np.fromiter((0 if t is None else len(t) for t in texts), np.int64, len(texts)) + 1
+    sizes = np.fromiter((1 if t is None else len(t) + 2 for t in texts), np.int64, len(texts))
     owner = np.repeat(np.arange(len(texts)), sizes)
     out = np.where(_LETTER[codes], _LOWER[codes], _BLANK).astype(np.uint32)
     blank = out == _BLANK
@@ -169,44 +173,71 @@ class LanguageFilter:
         return names, np.where(lettered, share[best, np.arange(len(texts))], 0.0).tolist()
 
 
-def _training_rows(df: DataFrame, counts: dict[str, int], text_col: str, lang_col: str, id_col: str) -> DataFrame:
-    """About PER_LANGUAGE documents of each language, or all of a smaller one.
+def _words(rows: DataFrame) -> DataFrame:
+    """(lang, word, n): how often the texts of a language have each word, of all (lang, text).
 
-    A document is drawn by a hash of its id, so no rows are sorted, counted or moved
-    for the drawing and each task decides alone.
+    No n-gram reaches beyond a word and the blanks around it, so words and their counts
+    hold all that n-grams are counted from, and there are far fewer of them.
     """
-    # a row for each language
-    least = {"_lang": list(counts), "_below": [min(_DRAWS, -(-_DRAWS * PER_LANGUAGE // n)) for n in counts.values()]}
-    share = df.sparkSession.createDataFrame(pa.table(least))
-    draw = F.pmod(F.xxhash64(id_col), F.lit(_DRAWS))
-    known = df.filter(F.col(id_col).isNotNull() & F.col(text_col).isNotNull())
-    drawn = known.join(F.broadcast(share), F.col(lang_col) == F.col("_lang")).filter(draw < F.col("_below"))
-    return drawn.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, Counter] = {}
+        read = 0
+
+        def told() -> Iterator[pa.RecordBatch]:
+            for lang, words in held.items():
+                words.pop("", None)
+                columns = [pa.array([lang] * len(words), pa.string()), pa.array(list(words), pa.string()), pa.array(list(words.values()), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+            held.clear()
+
+        for batch in batches:
+            named = batch.column(0).to_pylist()
+            for at, size in byte_slices(batch.column(1), BATCH_BYTES):
+                langs, texts = named[at : at + size], batch.column(1).slice(at, size).to_pylist()
+                for lang in sorted(set(langs)):
+                    codes, _ = letters([t for t, x in zip(texts, langs, strict=True) if x == lang])
+                    held.setdefault(lang, Counter()).update(codes.tobytes().decode("utf-32-le").split(" "))
+                    read += len(codes)
+                if read > HELD_CODES or sum(map(len, held.values())) > HELD_WORDS:
+                    yield from told()
+                    read = 0
+        yield from told()
+
+    pieces = map_in_arrow(rows.select("lang", "text"), count, "lang string, word string, n long")
+    return pieces.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
-def _counts(rows: DataFrame) -> DataFrame:
-    """(lang, length, h, n): n-gram counts of each language's training texts."""
+
+def _counts(words: DataFrame) -> DataFrame:
+    """(lang, length, h, n): n-gram counts of each language, from those of its words."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for lang in sorted(set(langs)):
-                own = [t for t, x in zip(texts, langs, strict=True) if x == lang]
-                for at in range(0, len(own), 256):
-                    codes, owner = letters(own[at : at + 256])
+            named = batch.column(0).to_pylist()
+            for at, size in byte_slices(batch.column(1), BATCH_BYTES):
+                langs, texts = np.array(named[at : at + size], object), batch.column(1).slice(at, size).to_pylist()
+                times = batch.column(2).slice(at, size).to_numpy()
+                for lang in sorted(set(langs)):
+                    mine = np.flatnonzero(langs == lang)
+                    codes, owner = letters([texts[k] for k in mine])
                     for length in LENGTHS:
-                        h, n = np.unique(ngrams(codes, owner, length)[0], return_counts=True)
+                        h, own = ngrams(codes, owner, length)
+                        if not len(h):
+                            continue
+                        order = np.argsort(h)
+                        h, n = h[order], times[mine][own[order]]
+                        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
                         yield pa.RecordBatch.from_arrays(
                             [
-                                pa.array([lang] * len(h), pa.string()),
-                                pa.array([length] * len(h), pa.int32()),
-                                pa.array(h.view(np.int64), pa.int64()),
-                                pa.array(n, pa.int64()),
+                                pa.array([lang] * len(first), pa.string()),
+                                pa.array([length] * len(first), pa.int32()),
+                                pa.array(h[first].view(np.int64), pa.int64()),
+                                pa.array(np.add.reduceat(n, first), pa.int64()),
                             ],
                             names=["lang", "length", "h", "n"],
                         )
 
-    pieces = map_in_arrow(rows.select("lang", "text"), count, "lang string, length int, h long, n long")
+    pieces = map_in_arrow(words.select("lang", "word", "n"), count, "lang string, length int, h long, n long")
     return pieces.groupBy("lang", "length", "h").agg(F.sum("n").alias("n"))
 
 
@@ -232,20 +263,19 @@ def _blocks(held: DataFrame, bits: int) -> DataFrame:
 
 
 def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> LanguageFilter:
-    """A filter from about PER_LANGUAGE labelled documents of each language.
+    """A filter from all labelled documents.
 
     Rows with a null text, language or id teach nothing. Every other label is learned,
     however many there are. Without labelled rows the filter knows no language and
     predicts UNKNOWN.
     """
     # a row for each language
-    named = df.groupBy(F.col(lang_col).alias("lang")).count().filter("lang is not null")
-    top = {r["lang"]: r["count"] for r in named.collect()}
-    languages = sorted(top)
+    named = df.select(F.col(lang_col).alias("lang")).filter("lang is not null").distinct()
+    languages = sorted(r["lang"] for r in named.collect())
     if not languages:
         return LanguageFilter([], np.zeros((1, 1), np.uint64), np.zeros(0))
-    rows = _training_rows(df, top, text_col, lang_col, id_col)
-    counted = _counts(rows)
+    told = df.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id")).dropna()
+    counted = stored(_counts(_words(told)), "counts")
     totals = counted.groupBy("lang", "length").agg(F.sum("n").alias("total"))
     spark = df.sparkSession
     order = spark.createDataFrame(pa.table({"place": pa.array(range(len(languages)), pa.int32()), "lang": languages}))
@@ -264,6 +294,7 @@ def train(df: DataFrame, *, text_col: str = "text", lang_col: str = "lang", id_c
         first = block.block << BLOCK_BITS
         slots[first : first + (1 << BLOCK_BITS), block.word] = np.frombuffer(block.masks, np.uint64)
     remove_table(held)
+    remove_table(counted)
     fill = np.zeros(len(languages))
     for first, part in _parts(slots, len(languages)):
         own = np.bincount(part, minlength=1 << _PART) @ _BITS / len(slots)
@@ -341,8 +372,21 @@ class Thresholds:
         return (own > 0) & (own >= self.share[claimed, size]) & (margin >= self.margin[claimed, size])
 
 
-def fit_thresholds(lang: np.ndarray, n: np.ndarray, share: np.ndarray, margin: np.ndarray, languages: int) -> Thresholds:
-    """Thresholds that labelled texts, which the filter has not seen, stay above.
+def _quantiles(counted: DataFrame, keys: list[str], share: float) -> DataFrame:
+    """(keys, value): the quantile of each group of (keys, value, n), between ranks in proportion.
+
+    Values are whole steps, so a group has few rows however many texts it counts.
+    """
+    of = Window.partitionBy(*keys)
+    rank = (F.sum("n").over(of) - 1) * share
+    placed = counted.withColumn("rank", rank).withColumn("upto", F.sum("n").over(of.orderBy("value")))
+    below, above = (F.min(F.when(F.col("upto") > f("rank"), F.col("value"))) for f in (F.floor, F.ceil))
+    part = F.first(F.col("rank") - F.floor("rank"))
+    return placed.groupBy(*keys).agg((below + (above - below) * part).alias("value"))
+
+
+def fit_thresholds(measured: DataFrame, languages: int) -> Thresholds:
+    """Thresholds that labelled texts (lang, n, share, margin), which the filter has not seen, stay above.
 
     Around a language's median both measures may fall by twice what all but TAIL of
     its texts, or of all texts, stay within; so a few bad labels do not count. For
@@ -350,18 +394,26 @@ def fit_thresholds(lang: np.ndarray, n: np.ndarray, share: np.ndarray, margin: n
     shorter texts hold for longer ones. A margin above 0 is never asked for, as the
     languages of a corpus may be close. A language without such texts asks for any share.
     """
-    out = []
-    for value in (share, margin):
-        least = np.full((languages, SIZES), -1.0)
-        middle = np.array([np.median(value[lang == k]) if (lang == k).any() else np.nan for k in range(languages)])
-        fall = np.maximum(middle[lang] - value, 0) if len(lang) else value
-        for size in range(SIZES if len(lang) else 0):
-            spread = SPREAD**2 * np.maximum(2.0**-size - 1 / np.maximum(n, 1), 0)
-            scaled = np.sqrt(fall**2 + spread)
-            of_all = np.quantile(scaled, 1 - TAIL)
-            for k in np.unique(lang):
-                least[k, size] = middle[k] - 2 * max(of_all, np.quantile(scaled[lang == k], 1 - TAIL))
-        out.append(least)
+    spark = measured.sparkSession
+    step = lambda c: F.round(c * STEPS).cast("long")
+    kinds = F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), step(F.col(c)).alias("value")) for k, c in enumerate(("share", "margin")))))
+    valued = measured.select("lang", "n", kinds.alias("m")).select("lang", "n", "m.*")
+    # two rows for each language
+    middle = _quantiles(valued.groupBy("kind", "lang", "value").agg(F.count("*").alias("n")), ["kind", "lang"], 0.5).toArrow()
+    middles = F.broadcast(spark.createDataFrame(middle.rename_columns(["kind", "lang", "middle"])))
+    spread = SPREAD**2 * F.greatest(F.pow(F.lit(2.0), -F.col("size")) - 1 / F.greatest("n", F.lit(1.0)), F.lit(0.0))
+    fall = F.greatest(F.col("middle") - F.col("value"), F.lit(0.0)) / STEPS
+    sized = valued.join(middles, ["kind", "lang"]).withColumn("size", F.explode(F.sequence(F.lit(0), F.lit(SIZES - 1))))
+    falls = sized.groupBy("kind", "size", "lang", step(F.sqrt(fall * fall + spread)).alias("value")).agg(F.count("*").alias("n"))
+    # -1: all languages together
+    both = falls.select("kind", "size", F.explode(F.array("lang", F.lit(-1).cast("long"))).alias("lang"), "value", "n")
+    groups = both.groupBy("kind", "size", "lang", "value").agg(F.sum("n").alias("n"))
+    # SIZES rows for each language and measure
+    tails = {(r.kind, r.size, r.lang): r.value for r in _quantiles(groups, ["kind", "size", "lang"], 1 - TAIL).collect()}
+    out = np.full((2, languages, SIZES), -1.0)
+    for kind, lang, half in zip(*(middle[c].to_pylist() for c in middle.column_names), strict=True):
+        for size in range(SIZES):
+            out[kind, lang, size] = (half - 2 * max(tails[kind, size, -1], tails[kind, size, lang])) / STEPS
     return Thresholds(out[0], np.minimum(out[1], 0))
 
 
@@ -372,10 +424,7 @@ def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
     a text's own n-grams would flatter it.
     """
     half = F.pmod(F.xxhash64(F.lit("half"), F.col("doc_id").cast("string")), F.lit(2)) == 0
-    named = df.filter(~half).filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["count"] for r in named.groupBy("lang").count().collect() if r["lang"] in model.languages}
-    if not counts:
-        return fit_thresholds(*(np.zeros(0, t) for t in (np.int64, float, float, float)), len(model.languages))
+    named = df.filter(~half).dropna(subset=["doc_id", "text", "lang"])
     known = df.sparkSession.sparkContext.broadcast(train(df.filter(half)))
     bits = {lang: k for k, lang in enumerate(model.languages)}
 
@@ -383,9 +432,13 @@ def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
         part = known.value
         at = {lang: k for k, lang in enumerate(part.languages)}
         for batch in batches:
-            rows = [(x, t) for x, t in zip(*(c.to_pylist() for c in batch.columns), strict=True) if x in at]
-            for k in range(0, len(rows), 256):
-                langs, texts = zip(*rows[k : k + 256], strict=True)
+            labels = batch.column(0).to_pylist()
+            for start, size in byte_slices(batch.column(1), BATCH_BYTES):
+                rows = zip(labels[start : start + size], batch.column(1).slice(start, size).to_pylist(), strict=True)
+                rows = [(x, t) for x, t in rows if x in at]
+                if not rows:
+                    continue
+                langs, texts = zip(*rows, strict=True)
                 share, n, lettered = part.shares(list(texts))
                 _, own, margin = evidence(share, [at[x] for x in langs])
                 yield pa.RecordBatch.from_arrays(
@@ -396,10 +449,11 @@ def calibrate(df: DataFrame, model: LanguageFilter) -> Thresholds:
                     names=["lang", "n", "share", "margin"],
                 )
 
-    # three numbers for each of about PER_LANGUAGE texts of a language
-    drawn = _training_rows(named, counts, "text", "lang", "doc_id")
-    found = map_in_arrow(drawn, measure, "lang long, n double, share double, margin double").toArrow()
-    return fit_thresholds(*(found[c].to_numpy() for c in ("lang", "n", "share", "margin")), len(model.languages))
+    found = map_in_arrow(named.select("lang", "text"), measure, "lang long, n double, share double, margin double")
+    measured = stored(found, "measures")
+    fitted = fit_thresholds(measured, len(model.languages))
+    remove_table(measured)
+    return fitted
 
 
 def drop_unidentified(df: DataFrame, *, least_score: float = 0.0) -> DataFrame:

@@ -705,6 +705,50 @@ def test_pipeline_stages(spark, data):
     assert set(out) == want and all(r.n_tokens == len(r.ids) // 4 for r in out.values())
 
 
+def test_languages_learn_from_every_document(spark):
+    letters = "bcdfghjklmnpqrstvwxz"
+    marks = [f"q{a}{b}{a}v{b}" for a in letters for b in letters[:4]]
+    rows = [(i, "a ti on", "aa", "s", 0) for i in range(12_000)]
+    rows += [(20_000 + i, f"{m} {m}", "aa", "s", 0) for i, m in enumerate(marks)]
+    rows += [(30_000, "uo uo uo", "bb", "s", 0)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    model = li.train(df)
+    names, scores = model.predict(marks)
+    assert set(names) == {"aa"} and min(scores) > 0.9
+    # each n-gram as often as the texts have it
+    want = {}
+    for _, text, lang, *_ in rows:
+        codes, owner = li.letters([text])
+        for length in li.LENGTHS:
+            for h in li.ngrams(codes, owner, length)[0].view(np.int64).tolist():
+                want[lang, length, h] = want.get((lang, length, h), 0) + 1
+    got = li._counts(li._words(df.select("lang", "text"))).collect()
+    assert {(r.lang, r.length, r.h): r.n for r in got} == want and len(got) == len(want)
+
+
+def test_words_begin_alike_everywhere():
+    first, _ = li.letters(["one two"])
+    both, owner = li.letters(["x", "one two", None, "y"])
+    assert bytes(first.astype(np.uint8)) == b" one two " == bytes(both[owner == 1].astype(np.uint8))
+
+
+def test_thresholds_of_all_texts(spark):
+    rng = np.random.default_rng(5)
+    lang = np.array([0] * 4001 + [2] * 700)
+    n, share, margin = rng.integers(0, 5000, len(lang)).astype(float), rng.random(len(lang)), rng.random(len(lang)) * 2 - 1
+    rows = [(int(a), *map(float, b)) for a, *b in zip(lang, n, share, margin, strict=True)]
+    got = li.fit_thresholds(spark.createDataFrame(rows, "lang long, n double, share double, margin double").repartition(3), 3)
+    for value, least in ((share, got.share), (margin, got.margin)):
+        middle = np.array([np.median(value[lang == k]) if (lang == k).any() else 0 for k in range(3)])
+        fall = np.maximum(middle[lang] - value, 0)
+        for size in range(li.SIZES):
+            scaled = np.sqrt(fall**2 + li.SPREAD**2 * np.maximum(2.0**-size - 1 / np.maximum(n, 1), 0))
+            for k in (0, 2):
+                want = middle[k] - 2 * max(np.quantile(scaled, 1 - li.TAIL), np.quantile(scaled[lang == k], 1 - li.TAIL))
+                assert abs(least[k, size] - (want if least is got.share else min(want, 0))) < 5e-4
+            assert least[1, size] == -1
+
+
 def test_stages_with_clashing_columns(spark):
     rows = [(1, "Lorem ipsum dolor 1.2.3.4", "aa", "x", 0.5, "e", "sig", 3), (2, None, None, None, None, None, None, None)]
     schema = "doc_id long, text string, lang string, lang_pred string, score double, entities string, sig string, n long"
