@@ -79,8 +79,8 @@ def date_time(seconds: Column | str, fmt: str) -> Column:
 def trimmed(number: Column, digits: int) -> Column:
     """Fixed point with `digits` decimals, then without trailing zeros and point."""
     text = number.cast(f"decimal(30,{digits})").cast("string")
-    text = F.regexp_replace(text, r"(\.\d*?)0+$", "$1") if digits else text
-    text = F.regexp_replace(text, r"\.$", "")
+    # a number with decimals has a point, where the zeros end
+    text = F.rtrim(F.rtrim(text, F.lit("0")), F.lit(".")) if digits else text
     return F.when(text == "-0", "0").otherwise(text)
 
 

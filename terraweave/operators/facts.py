@@ -19,6 +19,8 @@ from ..functions import text as T
 from . import joins
 
 TRIPLES = "array<struct<s: string, p: string, o: string>>"
+#: A relation's member with its place.
+RELATION_ITEM = "struct<at: int, type: string, ref: bigint, role: string, tagged: boolean>"
 
 
 def triple(s: Column, p: Column, o: Column) -> Column:
@@ -34,7 +36,25 @@ def exploded(df: DataFrame, *parts: Column) -> DataFrame:
     """All triples of each row."""
     if not parts:
         return df.sparkSession.createDataFrame([], "s string, p string, o string")
-    return df.select(F.explode(F.concat(*(F.coalesce(p, F.array().cast(TRIPLES)) for p in parts))).alias("t")).select("t.*")
+    return df.select(F.explode(_joined(parts)).alias("t")).select("t.*")
+
+
+def _joined(parts) -> Column:
+    return F.concat(*(F.coalesce(p, F.array().cast(TRIPLES)) for p in parts))
+
+
+def exploded_items(df: DataFrame, own: list[Column], items: Column, kind: str, s: Column, number: Column, one) -> DataFrame:
+    """All triples of each row's `own` and, by one(s, number, item), of its items (structs of type `kind`).
+
+    Items become rows before their triples are made, so the texts are made by compiled code; a
+    row of an item carries the subject and nothing else of its entity.
+    """
+    first = F.struct(_joined(own).alias("own"), F.lit(None).cast(kind).alias("item"))
+    rest = F.transform(items, lambda m: F.struct(F.lit(None).cast(TRIPLES).alias("own"), m.cast(kind).alias("item")))
+    rows = df.select(s.alias("s"), number.alias("number"), F.concat(F.array(first), rest).alias("rows"))
+    rows = rows.select("s", "number", F.explode("rows").alias("row")).select("s", "number", "row.own", "row.item")
+    triples = F.coalesce("own", one(F.col("s"), F.col("number"), F.col("item")))
+    return rows.select(F.explode(triples).alias("t")).select("t.*")
 
 
 class Facts:
@@ -310,26 +330,30 @@ class Facts:
         """Members in order; those of no known type take no position."""
         if self.c.no_member_triples:
             return F.array().cast(TRIPLES)
-        known = F.filter("members", lambda m: m["type"].isin("node", "way", "relation"))
+        return F.flatten(F.transform(self._relation_items(), lambda m: self._relation_member(s, self.number("relation"), m)))
 
-        def one(m: Column, at: Column) -> Column:
-            node = T.blank(F.lit("relation"), self.number("relation"), at)
-            number = F.abs(m["ref"])
-            tagged = F.coalesce(F.array_contains(F.col("tagged_members"), number), F.lit(False)) if self.c.separate_untagged else F.lit(True)
-            target = (
-                F.when(m["type"] == "node", self.node_iri(number, tagged))
-                .when(m["type"] == "way", T.id_iri(self.names["way"], number, self.fmt))
-                .otherwise(T.id_iri(self.names["relation"], number, self.fmt))
-            )
-            role = F.when(F.coalesce(m["role"], F.lit("")) == "", "member").otherwise(m["role"])
-            return F.array(
-                triple(s, self.term(V.REL_MEMBER), node),
-                triple(node, self.term(V.REL_MEMBER_ID), target),
-                triple(node, self.term(V.REL_MEMBER_ROLE), T.string_literal(role)),
-                triple(node, self.term(V.REL_MEMBER_POS), T.integer(at, self.fmt)),
-            )
+    def _relation_items(self) -> Column:
+        known = F.filter("members", lambda m: m["type"].isin("node", "way", "relation"))
+        tagged = lambda n: F.coalesce(F.array_contains(F.col("tagged_members"), n), F.lit(False)) if self.c.separate_untagged else F.lit(True)
+        return F.transform(
+            known,
+            lambda m, at: F.struct(at.alias("at"), m["type"].alias("type"), F.abs(m["ref"]).alias("ref"), m["role"].alias("role"), tagged(F.abs(m["ref"])).alias("tagged")),
+        )
 
-        return F.flatten(F.transform(known, one))
+    def _relation_member(self, s: Column, number: Column, m: Column) -> Column:
+        node = T.blank(F.lit("relation"), number, m["at"])
+        target = (
+            F.when(m["type"] == "node", self.node_iri(m["ref"], m["tagged"]))
+            .when(m["type"] == "way", T.id_iri(self.names["way"], m["ref"], self.fmt))
+            .otherwise(T.id_iri(self.names["relation"], m["ref"], self.fmt))
+        )
+        role = F.when(F.coalesce(m["role"], F.lit("")) == "", "member").otherwise(m["role"])
+        return F.array(
+            triple(s, self.term(V.REL_MEMBER), node),
+            triple(node, self.term(V.REL_MEMBER_ID), target),
+            triple(node, self.term(V.REL_MEMBER_ROLE), T.string_literal(role)),
+            triple(node, self.term(V.REL_MEMBER_POS), T.integer(m["at"], self.fmt)),
+        )
 
     def relation_geometry(self, s: Column) -> list[Column]:
         """The collection of member geometries and whether it is whole."""
@@ -352,7 +376,11 @@ class Facts:
             tagged = refs.join(locations.filter("is_tagged").select("ref"), "ref").groupBy("id").agg(F.collect_set("ref").alias("tagged_members"))
             kept = kept.join(tagged, "id", "left")
         s = self.subject("relation")
-        plain = exploded(kept, *self.object_facts(s, "relation"), self.relation_members(s))
+        own = self.object_facts(s, "relation")
+        if self.c.no_member_triples:
+            plain = exploded(kept, *own)
+        else:
+            plain = exploded_items(kept, own, self._relation_items(), RELATION_ITEM, s, self.number("relation"), self._relation_member)
         shown = geometries.join(kept.select("id"), "id", "left_semi")
         shown = self.with_shapes(shown.withColumn("outline", F.flatten(F.transform("parts", lambda p: p["points"]))))
         if self.c.simplify_wkt > 0:

@@ -676,3 +676,17 @@ def test_entry_is_imported_without_a_session():
 
     told = "import __spark_entry__ as e; q, o = e.queries(), e.oracle_sql(); assert set(o) <= set(q) and len(q) > 60"
     subprocess.run([sys.executable, "-c", told], cwd=Path(__file__).parent.parent, check=True, timeout=120)
+
+
+def test_facts_of_relations_hold_each_member_once(spark):
+    from terraweave.operators.facts import exploded
+    from terraweave.plans import queries as q
+    from terraweave.sources import tables as A
+
+    f, d = q.facts(), "/root/testdata/sf0.001"
+    s = f.subject("relation")
+    rows = A.relations(spark, d)
+    none = spark.createDataFrame([], "id long, parts array<struct<pos: int, type: string, points: array<struct<x: double, y: double>>>>, complete boolean")
+    want = exploded(rows, *f.object_facts(s, "relation"), f.relation_members(s))
+    got = f.relations(rows, none)
+    assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
