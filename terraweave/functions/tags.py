@@ -15,7 +15,7 @@ DATE_KEYS = ("start_date", "end_date")
 
 def clean_key(key: Column) -> Column:
     """White space of ASCII becomes underscores."""
-    return F.regexp_replace(key, r"[ \t\n\x0B\f\r]", "_")
+    return F.translate(key, " \t\n\x0b\f\r", "______")
 
 
 def pieces(key: Column, value: Column, split_keys: list[str]) -> Column:

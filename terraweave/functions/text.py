@@ -156,7 +156,7 @@ def id_iri(prefix: str, number: Column | str, fmt: str) -> Column:
     n = _as_column(number).cast("string")
     if fmt == "nt":
         return F.concat(F.lit(f"<{V.PREFIXES[prefix]}"), n, F.lit(">"))
-    return F.concat(F.lit(f"{prefix}:"), F.regexp_replace(n, "^-", r"\\-"))
+    return F.concat(F.lit(f"{prefix}:"), F.when(F.startswith(n, F.lit("-")), F.concat(F.lit("\\"), n)).otherwise(n))
 
 
 def blank(*parts: Column | str) -> Column:

@@ -19,6 +19,8 @@ from ..functions import text as T
 from . import joins
 
 TRIPLES = "array<struct<s: string, p: string, o: string>>"
+#: A way's located reference and, if it is wanted, the next one.
+WAY_ITEM = f"struct<p: {joins.PLACED}, q: {joins.PLACED}>"
 #: A relation's member with its place.
 RELATION_ITEM = "struct<at: int, type: string, ref: bigint, role: string, tagged: boolean>"
 
@@ -36,7 +38,14 @@ def exploded(df: DataFrame, *parts: Column) -> DataFrame:
     """All triples of each row."""
     if not parts:
         return df.sparkSession.createDataFrame([], "s string, p string, o string")
-    return df.select(F.explode(_joined(parts)).alias("t")).select("t.*")
+    # made in a projection, whose code is compiled; a generator that holds a lambda is interpreted as a whole
+    return _rows_of(df.select(_joined(parts).alias("rows")), F.col("rows"))
+
+
+def _rows_of(df: DataFrame, triples: Column) -> DataFrame:
+    """A row of each triple. An inner explode would have all triples made twice, as Spark filters
+    by the arrays' sizes before it."""
+    return df.select(F.explode_outer(triples).alias("t")).filter(F.col("t").isNotNull()).select("t.*")
 
 
 def _joined(parts) -> Column:
@@ -47,14 +56,16 @@ def exploded_items(df: DataFrame, own: list[Column], items: Column, kind: str, s
     """All triples of each row's `own` and, by one(s, number, item), of its items (structs of type `kind`).
 
     Items become rows before their triples are made, so the texts are made by compiled code; a
-    row of an item carries the subject and nothing else of its entity.
+    row of an item carries the subject and nothing else of its entity. `own` and the rows are made
+    in a projection, as in `exploded`.
     """
-    first = F.struct(_joined(own).alias("own"), F.lit(None).cast(kind).alias("item"))
-    rest = F.transform(items, lambda m: F.struct(F.lit(None).cast(TRIPLES).alias("own"), m.cast(kind).alias("item")))
-    rows = df.select(s.alias("s"), number.alias("number"), F.concat(F.array(first), rest).alias("rows"))
-    rows = rows.select("s", "number", F.explode("rows").alias("row")).select("s", "number", "row.own", "row.item")
-    triples = F.coalesce("own", one(F.col("s"), F.col("number"), F.col("item")))
-    return rows.select(F.explode(triples).alias("t")).select("t.*")
+    row = f"array<struct<own: {TRIPLES}, item: {kind}>>"
+    first = F.array(F.struct(_joined(own).alias("own"), F.lit(None).cast(kind).alias("item")))
+    rest = F.arrays_zip(F.array().cast(f"array<{TRIPLES}>"), items)
+    rows = df.select(s.alias("s"), number.alias("number"), F.concat(first.cast(row), rest.cast(row)).alias("rows"))
+    # there is one row at least
+    rows = rows.select("s", "number", F.explode_outer("rows").alias("row")).select("s", "number", "row.own", "row.item")
+    return _rows_of(rows, F.coalesce("own", one(F.col("s"), F.col("number"), F.col("item"))))
 
 
 class Facts:
@@ -98,6 +109,10 @@ class Facts:
             return self.node_iri(F.col(column), F.size("tags") > 0)
         return T.id_iri(self.names[kind], self.number(kind, column), self.fmt)
 
+    def named(self, df: DataFrame, kind: str) -> tuple[DataFrame, Column]:
+        """`df` with its subjects in a column, as lambdas would make them anew each time, and that column."""
+        return df.withColumn("_subject", self.subject(kind)), F.col("_subject")
+
     def geometry_iri(self, label: Column | str, number: Column) -> Column:
         local = F.concat(F.lit(self.names["id"]), F.lit(label) if isinstance(label, str) else label, number.cast("string"))
         if self.fmt == "nt":
@@ -131,12 +146,13 @@ class Facts:
 
     def tag_facts(self, s: Column) -> Column:
         """All triples of the column `tags`, without the count."""
-        return F.flatten(F.transform("tags", lambda t, i: self._tag(s, t["k"], t["v"], i)))
+        # keys are cleaned and classified once each
+        clean = F.transform("tags", lambda t: F.struct(tags.clean_key(t["k"]).alias("k"), t["v"].alias("v")))
+        told = F.transform(clean, lambda t: F.struct(t["k"].alias("k"), t["v"].alias("v"), T.key_class(t["k"]).alias("kind")))
+        return F.flatten(F.transform(told, lambda t, i: self._tag(s, t["k"], t["v"], t["kind"], i)))
 
-    def _tag(self, s: Column, key: Column, value: Column, at: Column) -> Column:
+    def _tag(self, s: Column, key: Column, value: Column, kind: Column, at: Column) -> Column:
         fmt = self.fmt
-        key = tags.clean_key(key)
-        kind = T.key_class(key)
         raw = F.transform(
             tags.pieces(key, value, list(self.c.split_tag_key_by_semicolon)),
             lambda v: triple(s, T.iri(V.KEY, key, fmt), T.string_literal(v)),
@@ -167,9 +183,11 @@ class Facts:
         """Tag triples that count: pieces and links; dates do not, unnamed tags once."""
 
         def one(t: Column) -> Column:
-            key, value = tags.clean_key(t["k"]), t["v"]
-            n = F.size(tags.pieces(key, value, list(self.c.split_tag_key_by_semicolon)))
-            n = F.when((T.key_class(key) == 2) | ((key == tags.ADMIN_LEVEL) & tags.admin_level(value).isNotNull()), 1).otherwise(n)
+            key, value, split = tags.clean_key(t["k"]), t["v"], list(self.c.split_tag_key_by_semicolon)
+            n = F.lit(1)
+            if split:
+                whole = (T.key_class(key) == 2) | ((key == tags.ADMIN_LEVEL) & tags.admin_level(value).isNotNull())
+                n = F.when(whole, 1).otherwise(F.size(tags.pieces(key, value, split)))
             if self.c.skip_wiki_links:
                 return n
             linked = lambda kind: tags.is_link_key(key, kind).cast("int")
@@ -216,7 +234,7 @@ class Facts:
     def nodes(self, nodes: DataFrame) -> DataFrame:
         """All facts of nodes (id, lon, lat, tags, meta)."""
         kept = nodes.filter(F.size("tags") > 0) if self.c.no_untagged_nodes else nodes
-        s = self.subject("node")
+        kept, s = self.named(kept, "node")
         return exploded(kept, *self.object_facts(s, "node"), self.node_geometry(s))
 
     # -- ways ---------------------------------------------------------------------
@@ -225,33 +243,37 @@ class Facts:
         """Member nodes in order, with the next node and its distance if wanted."""
         if self.c.no_member_triples:
             return F.array().cast(TRIPLES)
+        return F.flatten(F.transform(self._way_items(), lambda m: self._way_member(s, self.number("way"), m)))
 
-        def one(p: Column) -> Column:
-            node = T.blank(F.lit("way"), self.number("way"), p["pos"])
-            rows = [
-                triple(s, self.term(V.WAY_MEMBER), node),
-                triple(node, self.term(V.WAY_MEMBER_ID), self.node_iri(F.abs(p["ref"]), p["is_tagged"])),
-                triple(node, self.term(V.WAY_MEMBER_POS), T.integer(p["pos"], self.fmt)),
-            ]
-            if not self.c.add_way_node_spatial_metadata:
-                return F.array(*rows)
-            q = F.get("located", p["pos"] + 1)
-            far = G.next_distance(p, q)
-            both = G.valid(p["x"], p["y"]) & G.valid(q["x"], q["y"])
-            return F.concat(
-                F.array(*rows),
-                when_true(
-                    both,
-                    triple(node, self.term(V.NEXT_NODE), self.node_iri(F.abs(q["ref"]), q["is_tagged"])),
-                    triple(
-                        node,
-                        self.term(V.NEXT_NODE_DISTANCE),
-                        T.typed(F.format_string("%.6f", far), "decimal", self.fmt),
-                    ),
-                ),
-            )
+    def _way_items(self) -> Column:
+        """Located references, each beside the next one if that is wanted."""
+        n = F.size("located") if self.c.add_way_node_spatial_metadata else F.lit(0)
+        return F.arrays_zip(F.col("located"), F.slice("located", F.lit(2), n)).cast(f"array<{WAY_ITEM}>")
 
-        return F.flatten(F.transform("located", one))
+    def _way_member(self, s: Column, number: Column, m: Column) -> Column:
+        p, q = m["p"], m["q"]
+        node = T.blank(F.lit("way"), number, p["pos"])
+        rows = [
+            triple(s, self.term(V.WAY_MEMBER), node),
+            triple(node, self.term(V.WAY_MEMBER_ID), self.node_iri(F.abs(p["ref"]), p["is_tagged"])),
+            triple(node, self.term(V.WAY_MEMBER_POS), T.integer(p["pos"], self.fmt)),
+        ]
+        if not self.c.add_way_node_spatial_metadata:
+            return F.array(*rows)
+        far = G.next_distance(p, q)
+        both = G.valid(p["x"], p["y"]) & G.valid(q["x"], q["y"])
+        return F.concat(
+            F.array(*rows),
+            when_true(
+                both,
+                triple(node, self.term(V.NEXT_NODE), self.node_iri(F.abs(q["ref"]), q["is_tagged"])),
+                triple(
+                    node,
+                    self.term(V.NEXT_NODE_DISTANCE),
+                    T.typed(F.format_string("%.6f", far), "decimal", self.fmt),
+                ),
+            ),
+        )
 
     def way_metadata(self, s: Column) -> Column:
         if not self.c.add_way_metadata:
@@ -266,12 +288,16 @@ class Facts:
         metres = T.trimmed(G.length(F.col("points")), V.LENGTH_DIGITS)
         return F.array(triple(s, self.term(V.LENGTH), T.typed(metres, "double", self.fmt)))
 
-    def way_geometry(self, s: Column, shown: str = "points") -> Column:
-        """The line, unless the way is an area whose lines are not wanted."""
+    def way_geometry(self, s: Column, shown: str = "points", path: str | None = None) -> Column:
+        """The line, unless the way is an area whose lines are not wanted; `path` holds its text
+        where the line has no repeats."""
         shape = self.geometry_iri("way_", self.number("way"))
+        text = G.line_wkt(F.col(shown), self.digits)
+        if path:
+            text = F.when(~F.col("repeats"), F.col(path)).otherwise(text)
         rows = (
             triple(s, self.term(V.HAS_GEOMETRY), shape),
-            triple(shape, self.term(V.AS_WKT), self.wkt(G.line_wkt(F.col(shown), self.digits))),
+            triple(shape, self.term(V.AS_WKT), self.wkt(text)),
         )
         return F.array(*rows) if self.c.add_area_way_linestrings else when_true(~F.col("is_area"), *rows)
 
@@ -316,13 +342,14 @@ class Facts:
             kept = kernels.with_simplified(kept, self.c.simplify_wkt, self.c.simplify_wkt_deviation)
             shown = "shown"
         kept = self.with_shapes(kept.withColumn("outline", F.col("points")))
-        s = self.subject("way")
+        kept, s = self.named(kept, "way")
         # an area's shapes come from the area
         shapes = [F.when(~F.col("is_area"), x) for x in self.shapes(s, self.number("way"), "way")]
-        return exploded(
-            kept, *self.object_facts(s, "way"), self.way_members(s), self.way_geometry(s, shown), *shapes,
-            self.way_metadata(s), self.way_length(s),
-        )
+        path = "path" if shown == "points" and "path" in kept.columns else None
+        own = [*self.object_facts(s, "way"), self.way_geometry(s, shown, path), *shapes, self.way_metadata(s), self.way_length(s)]
+        if self.c.no_member_triples:
+            return exploded(kept, *own)
+        return exploded_items(kept, own, self._way_items(), WAY_ITEM, s, self.number("way"), self._way_member)
 
     # -- relations ------------------------------------------------------------------
 
@@ -355,19 +382,26 @@ class Facts:
             triple(node, self.term(V.REL_MEMBER_POS), T.integer(m["at"], self.fmt)),
         )
 
-    def relation_geometry(self, s: Column) -> list[Column]:
-        """The collection of member geometries and whether it is whole."""
+    @property
+    def needs_lines(self) -> bool:
+        """Whether facts of relations need the points of members, not only their texts."""
+        c = self.c
+        return bool(c.add_hascentroid or c.add_hasconvexhull or c.add_hasenvelope or c.add_hasobb or c.simplify_wkt > 0)
+
+    def relation_geometry(self, s: Column, texts: bool = False) -> list[Column]:
+        """The collection of member geometries, of their texts where they have them, and whether it is whole."""
         shape = self.geometry_iri("rel_", self.number("relation"))
+        text = G.collection_wkt(F.col("parts.text")) if texts else joins.collection_wkt(self.digits)
         rows = when_true(
             F.size("parts") > 0,
             triple(s, self.term(V.HAS_GEOMETRY), shape),
-            triple(shape, self.term(V.AS_WKT), self.wkt(joins.collection_wkt(self.digits))),
+            triple(shape, self.term(V.AS_WKT), self.wkt(text)),
             triple(s, self.term(V.COMPLETE), T.boolean(F.col("complete"), self.fmt)),
         )
         return [rows, *(F.when(F.size("parts") > 0, x) for x in self.shapes(s, self.number("relation"), "relation"))]
 
     def relations(self, relations: DataFrame, geometries: DataFrame, locations: DataFrame | None = None) -> DataFrame:
-        """All facts of relations; geometries as of joins.relation_geometries."""
+        """All facts of relations; geometries as of joins.relation_geometries, with points if they are needed."""
         kept = relations.filter(F.size("tags") > 0) if self.c.no_untagged_relations else relations
         if self.c.separate_untagged:
             if locations is None:
@@ -375,21 +409,24 @@ class Facts:
             refs = kept.select("id", F.explode("members").alias("m")).filter("m.type = 'node'").select("id", F.abs("m.ref").alias("ref"))
             tagged = refs.join(locations.filter("is_tagged").select("ref"), "ref").groupBy("id").agg(F.collect_set("ref").alias("tagged_members"))
             kept = kept.join(tagged, "id", "left")
-        s = self.subject("relation")
+        kept, s = self.named(kept, "relation")
         own = self.object_facts(s, "relation")
         if self.c.no_member_triples:
             plain = exploded(kept, *own)
         else:
             plain = exploded_items(kept, own, self._relation_items(), RELATION_ITEM, s, self.number("relation"), self._relation_member)
         shown = geometries.join(kept.select("id"), "id", "left_semi")
-        shown = self.with_shapes(shown.withColumn("outline", F.flatten(F.transform("parts", lambda p: p["points"]))))
+        texts = self.c.simplify_wkt == 0 and "text" in shown.schema["parts"].dataType.elementType.names
+        if self.needs_lines:
+            shown = self.with_shapes(shown.withColumn("outline", F.flatten(F.transform("parts", lambda p: p["points"]))))
         if self.c.simplify_wkt > 0:
             lines = shown.withColumn("lines", F.transform("parts", lambda p: p["points"]))
             lines = kernels.with_simplified_geometry(
                 lines, self.c.simplify_wkt, self.c.simplify_wkt_deviation, "lines", "shown", closed=False
             )
             shown = lines.withColumn("parts", F.transform("parts", lambda p, k: p.withField("points", F.get("shown", k))))
-        return plain.unionByName(exploded(shown, *self.relation_geometry(s)))
+        shown, s = self.named(shown, "relation")
+        return plain.unionByName(exploded(shown, *self.relation_geometry(s, texts)))
 
     # -- areas ------------------------------------------------------------------------
 

@@ -690,3 +690,20 @@ def test_facts_of_relations_hold_each_member_once(spark):
     want = exploded(rows, *f.object_facts(s, "relation"), f.relation_members(s))
     got = f.relations(rows, none)
     assert got.count() == want.count() > 0 and got.exceptAll(want).isEmpty()
+
+
+def test_generators_hold_no_lambdas(spark, data):
+    # a generator with a lambda is interpreted as a whole, texts of all triples included
+    from terraweave.plans import queries
+
+    for name in ("full_dump", "facts_without_ways"):
+        plan = queries.QUERIES[name](spark, data)._jdf.queryExecution().optimizedPlan().toString()
+        made = [line for line in plan.splitlines() if "Generate explode" in line]
+        assert made and not any("lambda" in line for line in made)
+
+
+def test_far_references_take_no_blocks(spark):
+    # dense nodes alone are no reason for blocks: each of these references would fetch its own
+    far = spark.createDataFrame([(w, w * 64 + k * 640) for w in range(20) for k in range(10)], "id long, ref long")
+    near = spark.createDataFrame([(w, w * 64 + k) for w in range(20) for k in range(10)], "id long, ref long")
+    assert not joins.is_near(far) and joins.is_near(near)
