@@ -51,8 +51,17 @@ class Dump:
     @cached_property
     def shaped(self) -> DataFrame:
         """Located ways, made once for ways, areas and the spatial join."""
-        located = joins.locate_ways(self.e.ways, self.e.locations, self.c.store_locations)
-        return stored(joins.shape_ways(located), "located-ways")
+        located = joins.locate_ways(self.e.ways, self.e.locations, self.c.store_locations, self.c.wkt_precision)
+        return stored(joins.shape_ways(located).drop("raw"), "located-ways")
+
+    def relation_shapes(self, *, texts: bool = True) -> DataFrame:
+        """Geometries of relations, from the ways that are located anyway where facts of ways are wanted;
+        without `texts` only which members have one."""
+        shaped = None if self.c.no_way_facts and texts else self.shaped
+        return joins.relation_geometries(
+            self.e.relations, self.e.ways, self.e.locations, shaped,
+            digits=self.c.wkt_precision if texts else None, lines=texts and self.facts.needs_lines,
+        )
 
     def counters(self) -> DataFrame:
         """(kind, seen, dumped, geometries) of the four kinds."""
@@ -61,7 +70,7 @@ class Dump:
         found = self.areas()
         # untagged areas are out of areas() already
         rows = stats.kind_counts({**{k: (df, drop[k]) for k, df in own.items()}, "area": (found.withColumn("tags", F.array()), False)})
-        shapes = joins.relation_geometries(self.e.relations, self.e.ways, self.e.locations)
+        shapes = self.relation_shapes(texts=False)
         shaped = {
             "node": self.e.nodes.filter(G.valid(F.col("lon"), F.col("lat"))),
             "way": self.shaped.filter(F.size("points") > 0),
@@ -94,8 +103,7 @@ class Dump:
         if not self.c.no_way_facts:
             parts.append(self.facts.ways(self.shaped))
         if not self.c.no_relation_facts:
-            shapes = joins.relation_geometries(self.e.relations, self.e.ways, self.e.locations)
-            parts.append(self.facts.relations(self.e.relations, shapes, self.e.locations))
+            parts.append(self.facts.relations(self.e.relations, self.relation_shapes(), self.e.locations))
         if not self.c.no_area_facts:
             parts.append(self.facts.areas(self.areas()))
         return all_of(parts) if parts else None
@@ -119,8 +127,7 @@ class Dump:
             shaped = F.count_if(F.size("points") > 0).alias("geometries")
             parts.append(self.facts.ways(self._watched(self.shaped, "way", "seen", *seen(c.no_untagged_ways), shaped)))
         if not c.no_relation_facts:
-            shapes = joins.relation_geometries(self.e.relations, self.e.ways, self.e.locations)
-            shapes = self._watched(shapes, "relation", "geometries", count(F.size("parts") > 0))
+            shapes = self._watched(self.relation_shapes(), "relation", "geometries", count(F.size("parts") > 0))
             rows = self._watched(self.e.relations, "relation", "seen", *seen(c.no_untagged_relations))
             parts.append(self.facts.relations(rows, shapes, self.e.locations))
         if not c.no_area_facts:
